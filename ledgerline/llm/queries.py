@@ -1,8 +1,10 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import simhash
+from ledgerline.llm import mixing, quality, simhash
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
+    "op7_mix": mixing.op7_mix,
     "op4_simhash": simhash.op4_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
