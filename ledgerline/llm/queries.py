@@ -1,12 +1,13 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import decontaminate, mixing, quality, simhash, token_files
+from ledgerline.llm import decontaminate, mixing, quality, simhash, token_files, toxicity
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op7_mix": mixing.op7_mix,
     "op10_token_ids": token_files.op10_token_ids,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
