@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import decontaminate, mixing, quality, simhash, token_files, toxicity
+from ledgerline.llm import decontaminate, mixing, quality, simhash, token_files, toxicity, vectors
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
@@ -8,6 +8,7 @@ QUERIES = {
     "op10_token_ids": token_files.op10_token_ids,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op5_vectors": vectors.op5_vectors,
     "op4_simhash": simhash.op4_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
