@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import decontaminate, mixing, quality, simhash, token_files, tool_calls, toxicity, vectors
+from ledgerline.llm import decontaminate, mixing, private_data, quality, simhash, token_files, tool_calls, toxicity, vectors
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_vectors": vectors.op5_vectors,
     "op8_tool_calls": tool_calls.op8_tool_calls,
+    "op6_private": private_data.op6_private,
     "op4_simhash": simhash.op4_simhash,
 }
 ORACLE_SQL: dict[str, str] = {"op8_tool_calls": tool_calls.OP8_SQL}
