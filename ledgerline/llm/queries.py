@@ -1,10 +1,11 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import decontaminate, mixing, private_data, quality, simhash, token_files, tool_calls, toxicity, vectors
+from ledgerline.llm import decontaminate, mixing, private_data, quality, simhash, token_counts, token_files, tool_calls, toxicity, vectors
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op7_mix": mixing.op7_mix,
+    "op1_token_counts": token_counts.op1_token_counts,
     "op10_token_ids": token_files.op10_token_ids,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op3_toxicity": toxicity.op3_toxicity,
