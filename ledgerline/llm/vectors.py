@@ -1,11 +1,11 @@
 """Near-duplicate embeddings: random-hyperplane sign hashing in several tables, exact cosine, connected components.
 
-Equal vectors of a label are one node with a multiplicity. In each of TABLES tables a node's bucket is the signs of BITS
-random projections, so a pair at cosine 0.98 shares a given bucket with probability 0.45 and one of ten with 0.998. Buckets are cut into chunks of
-about CHUNK nodes and each pair of chunks is compared by one matrix product, in double precision, so no task holds
-more, however large a bucket is. A pair counts in the first table where it meets. A block returns a row for each node,
-its links and the least node it is connected to there, not the pairs, so dense groups return rows in proportion to
-their size.
+Equal vectors of a label are one node with a multiplicity. In each table a node's bucket is the signs of some random
+projections. With n nodes under the largest label there are log2(n) + 3 signs, so that chance brings few together, and as many tables
+as find a pair at the limit of the cosine with probability FOUND. Buckets are cut into chunks of about CHUNK nodes, and
+each pair of chunks is compared by matrix products in double precision, so no task holds more, however large a bucket is. A pair
+counts in the first table where it meets. A block gives a row for each node, its links and the least node it is connected to
+there, not the pairs, so dense groups give rows in proportion to their size.
 
 Rows: vectors that are null, empty, zero, or hold null or non-finite components, and rows with a null label, link with
 nothing; vectors of different lengths are not compared; repeated rows are vectors of their own and link; a null id counts
@@ -14,6 +14,7 @@ as a vector but names no component; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,75 +25,115 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import connected_components, kept, table
 
-TABLES, BITS, CHUNK, COSINE = 10, 12, 1000, 0.98
-_BUCKET = ["label", "size", "tab", "code"]
+FOUND, CHUNK, COSINE = 0.998, 1000, 0.98
+#: Groups up to this size are compared many at once.
+SMALL = 32
+_BLOCK = ["label", "size", "tab", "code", "i", "j"]
+_OUT = pa.schema([("node", pa.string()), ("links", pa.int64()), ("hub", pa.string())])
 
 
-def hyperplanes(size: int, tables: int = TABLES, bits: int = BITS) -> np.ndarray:
-    return np.random.default_rng(size).standard_normal((size, tables * bits))
+def plan(nodes: int, cosine: float) -> tuple[int, int]:
+    """Signs of a bucket, at most 60, and the number of tables."""
+    bits = min(60, max(8, math.ceil(math.log2(max(2, nodes))) + 3))
+    one = (1 - math.acos(min(1.0, cosine)) / math.pi) ** bits
+    return bits, max(1, math.ceil(math.log(1 - FOUND) / math.log(1 - min(one, 0.999))))
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def hyperplanes(size: int, many: int) -> np.ndarray:
+    return np.random.default_rng(size).standard_normal((size, many))
+
+
+def _buckets(bits: int, tables: int):
     """A row for each node and table: its bucket, its codes in all tables, and the vector at length one."""
-    powers = 1 << np.arange(BITS)
-    for batch in batches:
-        frame = batch.to_pandas()
-        for size, part in frame.groupby(frame["embedding"].map(len)):
-            raw = np.stack(part["embedding"].to_numpy()).astype(np.float64)
-            unit = raw / np.abs(raw).max(axis=1, keepdims=True)  # keeps squares of tiny and huge components in range
-            unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-            codes = ((unit @ hyperplanes(size) >= 0).reshape(len(part), TABLES, BITS) @ powers).astype(np.int32)
-            out = pd.DataFrame({"label": np.repeat(part["label"].to_numpy(), TABLES), "size": size, "node": np.repeat(part["node"].to_numpy(), TABLES)})
-            out["tab"], out["code"], out["many"] = np.tile(np.arange(TABLES, dtype=np.int32), len(part)), codes.ravel(), np.repeat(part["many"].to_numpy(), TABLES)
-            out["codes"] = np.repeat(np.array([c.tobytes() for c in codes], object), TABLES)
-            out["unit"] = np.repeat(np.array([u.tobytes() for u in unit], object), TABLES)
-            yield pa.RecordBatch.from_pandas(out, schema=_SCHEMA, preserve_index=False)
+    powers = np.int64(1) << np.arange(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch.to_pandas()
+            for (size, _), part in whole.groupby([whole["embedding"].map(len), np.arange(len(whole)) // 2000]):
+                raw = np.stack(part["embedding"].to_numpy()).astype(np.float64)
+                unit = raw / np.abs(raw).max(axis=1, keepdims=True)  # keeps squares of tiny and huge components in range
+                unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+                codes = (unit @ hyperplanes(size, tables * bits) >= 0).reshape(len(part), tables, bits) @ powers
+                out = pd.DataFrame({"label": np.repeat(part["label"].to_numpy(), tables), "size": size, "node": np.repeat(part["node"].to_numpy(), tables)})
+                out["tab"], out["code"], out["many"] = np.tile(np.arange(tables, dtype=np.int32), len(part)), codes.ravel(), np.repeat(part["many"].to_numpy(), tables)
+                out["codes"] = np.repeat(np.array([c.tobytes() for c in codes], object), tables)
+                out["unit"] = np.repeat(np.array([u.tobytes() for u in unit], object), tables)
+                yield pa.RecordBatch.from_pandas(out, schema=_SCHEMA, preserve_index=False)
+
+    return run
 
 
-_SCHEMA = pa.schema([("label", pa.int64()), ("size", pa.int32()), ("node", pa.string()), ("tab", pa.int32()), ("code", pa.int32()), ("many", pa.int64()), ("codes", pa.binary()), ("unit", pa.binary())])
+_SCHEMA = pa.schema([("label", pa.int64()), ("size", pa.int32()), ("node", pa.string()), ("tab", pa.int32()), ("code", pa.int64()), ("many", pa.int64()), ("codes", pa.binary()), ("unit", pa.binary())])
+
+
+def _blocks_of_one_size(frame: pd.DataFrame, rows: np.ndarray, cosine: float) -> pd.DataFrame:
+    """rows [block, member]: links and the least connected member of every member, for blocks of as many members each."""
+    pick = lambda name: frame[name].to_numpy()[rows]
+    unit = np.stack([np.frombuffer(u) for u in frame["unit"].to_numpy()[rows].ravel()]).reshape(*rows.shape, -1)
+    codes = np.stack([np.frombuffer(c, np.int64) for c in frame["codes"].to_numpy()[rows].ravel()]).reshape(*rows.shape, -1)
+    linked = unit @ unit.transpose(0, 2, 1) >= cosine
+    linked[:, np.arange(rows.shape[1]), np.arange(rows.shape[1])] = False
+    side, i, j, tab = pick("chunk"), pick("i")[:, :1], pick("j")[:, :1], pick("tab")[:, 0]
+    linked &= (i == j)[:, :, None] | (side[:, :, None] != side[:, None, :])
+    for t in range(codes.shape[2]):  # pairs that have met in an earlier table count there
+        later = tab > t
+        linked[later] &= codes[later, :, None, t] != codes[later, None, :, t]
+    links = (linked @ pick("many")[:, :, None])[:, :, 0]
+    least = np.broadcast_to(np.arange(rows.shape[1]), rows.shape).copy()
+    while True:
+        low = np.minimum(least, np.where(linked, least[:, None, :], rows.shape[1]).min(axis=2))
+        low = np.take_along_axis(low, low, axis=1)
+        if (low == least).all():
+            break
+        least = low
+    names = pick("node")
+    hit = links > 0
+    return pd.DataFrame({"node": names[hit], "links": links[hit], "hub": np.take_along_axis(names, least, axis=1)[hit]})
+
+
+def _compared(frame: pd.DataFrame, cosine: float) -> Iterator[pa.RecordBatch]:
+    """`frame` holds whole blocks, one after the other."""
+    new = (frame[_BLOCK] != frame[_BLOCK].shift()).any(axis=1).to_numpy()
+    starts = np.nonzero(new)[0]
+    sizes = np.diff(np.append(starts, len(frame)))
+    for n in np.unique(sizes[sizes > 1]).tolist():
+        own = starts[sizes == n]
+        step = max(1, 200_000 // (n * n)) if n <= SMALL else 1
+        for k in range(0, len(own), step):
+            found = _blocks_of_one_size(frame, own[k : k + step, None] + np.arange(n), cosine)
+            if len(found):
+                yield pa.RecordBatch.from_pandas(found, schema=_OUT, preserve_index=False)
 
 
 def _compare(cosine: float):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        i, j, tab = int(group["i"].iloc[0]), int(group["j"].iloc[0]), int(group["tab"].iloc[0])
-        group = group.sort_values("node", kind="stable")
-        unit = np.stack([np.frombuffer(u) for u in group["unit"]])
-        codes = np.stack([np.frombuffer(c, np.int32) for c in group["codes"]])
-        side, many = group["chunk"].to_numpy(), group["many"].to_numpy()
-        a, b = np.nonzero(side == i)[0], np.nonzero(side == j)[0]
-        linked = unit[a] @ unit[b].T >= cosine
-        if i == j:
-            np.fill_diagonal(linked, False)
-        for t in range(tab):  # pairs that have met in an earlier table count there
-            linked &= codes[a, t][:, None] != codes[b, t][None, :]
-        links, least = np.zeros(len(group), np.int64), np.arange(len(group))
-        links[a] += linked @ many[b]
-        if i != j:
-            links[b] += many[a] @ linked
-        x, y = np.nonzero(linked)
-        x, y = a[x], b[y]
-        while len(x):  # the least node that each is connected to
-            before = least.copy()
-            np.minimum.at(least, x, before[y])
-            np.minimum.at(least, y, before[x])
-            least = least[least]
-            if (least == before).all():
-                break
-        names = group["node"].to_numpy()
-        hit = links > 0
-        return pd.DataFrame({"node": names[hit], "links": links[hit], "hub": names[least][hit]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the block that the next batch may go on with
+        for batch in batches:
+            frame = batch.to_pandas() if held is None else pd.concat([held, batch.to_pandas()], ignore_index=True)
+            if not len(frame):
+                continue
+            last = (frame[_BLOCK] == frame[_BLOCK].iloc[-1]).all(axis=1).to_numpy()
+            cut = len(frame) - int(last.sum())
+            yield from _compared(frame.iloc[:cut], cosine)
+            held = frame.iloc[cut:].reset_index(drop=True)
+        if held is not None:
+            yield from _compared(held, cosine)
 
     return run
 
 
 def links(nodes: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(node, links, hub), several rows a node, from nodes (node, label, embedding, many) of usable vectors."""
-    rows = kept(nodes.select(F.col("label").cast("long").alias("label"), "node", "embedding", "many").mapInArrow(_buckets, "label long, size int, node string, tab int, code int, many long, codes binary, unit binary"))
-    sizes = rows.groupBy(*_BUCKET).agg(F.count("*").alias("n")).where("n > 1").withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int")).drop("n")
-    dealt = rows.join(sizes, _BUCKET).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    bits, tables = plan(most, cosine)
+    rows = kept(nodes.select(F.col("label").cast("long").alias("label"), "node", "embedding", "many").mapInArrow(_buckets(bits, tables), "label long, size int, node string, tab int, code long, many long, codes binary, unit binary"))
+    bucket = ["label", "size", "tab", "code"]
+    sizes = rows.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int")).drop("n")
+    dealt = rows.join(sizes, bucket).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    blocks = dealt.withColumn("other", other).select(*_BUCKET, "node", "many", "codes", "unit", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    return blocks.groupBy(*_BUCKET, "i", "j").applyInPandas(_compare(cosine), "node string, links long, hub string")
+    blocks = dealt.withColumn("other", other).select(*bucket, "node", "many", "codes", "unit", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    return blocks.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "node").mapInArrow(_compare(cosine), "node string, links long, hub string")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", cosine: float = COSINE) -> DataFrame:
