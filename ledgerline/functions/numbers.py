@@ -78,7 +78,7 @@ def yi_yuan(amount: Column, unit: Column) -> Column:
 def fmt_magnitude(v: Column) -> Column:
     """The size of a value with one decimal, or two if it has them; the sign is left to the words around it."""
     a = F.abs(F.round(v, 6))
-    return F.when(F.round(a, 1) == a, F.format_string("%.1f", a)).otherwise(F.format_string("%.2f", a))
+    return F.when(F.round(a, 1) == a, F.format_string("%.1f", a)).when(a.isNotNull(), F.format_string("%.2f", a))
 
 
 def fmt_pct(v: Column) -> Column:

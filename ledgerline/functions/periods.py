@@ -23,20 +23,20 @@ def period_shape_loose(period: Column | str) -> Column:
 
 
 def year(period: Column | str) -> Column:
-    return F.substring(_c(period), 1, 4).cast("int")
+    return F.substring(_c(period), 1, 4).try_cast("int")
 
 
 def month_num(period: Column | str) -> Column:
     """The month of a monthly period, else null."""
     p = _c(period)
-    return F.when(period_shape(p) == "M", F.substring(p, 6, 2).cast("int"))
+    return F.when(period_shape(p) == "M", F.substring(p, 6, 2).try_cast("int"))
 
 
 def to_month(period: Column | str) -> Column:
     """The last month that a period covers."""
     p = _c(period)
     shape = period_shape(p)
-    return F.when(shape == "M", F.substring(p, 6, 2).cast("int")).when(shape == "Q", F.substring(p, 7, 1).cast("int") * 3).when(shape == "A", F.lit(12))
+    return F.when(shape == "M", F.substring(p, 6, 2).try_cast("int")).when(shape == "Q", F.substring(p, 7, 1).try_cast("int") * 3).when(shape == "A", F.lit(12))
 
 
 def to_year_month(period: Column | str) -> Column:
@@ -56,7 +56,7 @@ def period_rank(period: Column | str) -> Column:
     """Place within the year for sorting: a year stands before its first quarter, a quarter with its first month."""
     p = _c(period)
     shape = period_shape(p)
-    return F.when(shape == "A", F.lit(0)).when(shape == "Q", F.substring(p, 7, 1).cast("int") * 3 - 2).otherwise(F.substring(p, 6, 2).cast("int"))
+    return F.when(shape == "A", F.lit(0)).when(shape == "Q", F.substring(p, 7, 1).try_cast("int") * 3 - 2).otherwise(F.substring(p, 6, 2).try_cast("int"))
 
 
 def period_sort_key(period: Column | str) -> Column:
@@ -68,17 +68,17 @@ def period_end_date(period: Column | str) -> Column:
 
 
 def _monthly(ordinal: Column) -> Column:
-    return F.format_string("%04d-%02d", F.floor((ordinal - 1) / 12).cast("int"), ((ordinal - 1) % 12 + 1).cast("int"))
+    return F.format_string("%04d-%02d", F.floor((ordinal - 1) / 12).try_cast("int"), ((ordinal - 1) % 12 + 1).try_cast("int"))
 
 
 def shift(period: Column | str, steps: int) -> Column:
     """The period so many steps of its own shape on."""
     p = _c(period)
     shape = period_shape(p)
-    quarter = year(p) * 4 + F.substring(p, 7, 1).cast("int") + steps
+    quarter = year(p) * 4 + F.substring(p, 7, 1).try_cast("int") + steps
     return (
         F.when(shape == "M", _monthly(period_ordinal(p) + steps))
-        .when(shape == "Q", F.format_string("%04d-Q%d", F.floor((quarter - 1) / 4).cast("int"), ((quarter - 1) % 4 + 1).cast("int")))
+        .when(shape == "Q", F.format_string("%04d-Q%d", F.floor((quarter - 1) / 4).try_cast("int"), ((quarter - 1) % 4 + 1).try_cast("int")))
         .when(shape == "A", F.format_string("%04d", year(p) + steps))
     )
 
@@ -103,14 +103,14 @@ def prev_ytd_period(period: Column | str) -> Column:
 def steps_between(a: Column | str, b: Column | str) -> Column:
     """Steps of the shape that both share from a to b, else null."""
     unit = F.when(period_shape(a) == "M", 1).when(period_shape(a) == "Q", 3).when(period_shape(a) == "A", 12)
-    return F.when(period_shape(a) == period_shape(b), ((period_ordinal(b) - period_ordinal(a)) / unit).cast("int"))
+    return F.when(period_shape(a) == period_shape(b), ((period_ordinal(b) - period_ordinal(a)) / unit).try_cast("int"))
 
 
 def decode_code(code: Column | str) -> Column:
     """202605MM, 202602SS and 2026AA (or 202600YY) as periods: months, quarters and years by the suffix."""
     c = _c(code)
     kind, y, n = F.upper(F.right(c, F.lit(2))), F.substring(c, 1, 4), F.substring(c, 5, 2)
-    return F.when(kind == "MM", F.concat_ws("-", y, n)).when(kind == "SS", F.concat(y, F.lit("-Q"), n.cast("int").cast("string"))).when(kind.isin("AA", "YY"), y)
+    return F.when(kind == "MM", F.concat_ws("-", y, n)).when(kind == "SS", F.concat(y, F.lit("-Q"), n.try_cast("int").cast("string"))).when(kind.isin("AA", "YY"), y)
 
 
 def encode_code(period: Column | str) -> Column:
