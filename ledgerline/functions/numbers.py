@@ -94,7 +94,7 @@ def fmt_points(v: Column) -> Column:
 
 
 def up_down_class(v: Column) -> Column:
-    return F.when(v > 0, "up").when(v < 0, "down").when(v == 0, "flat").otherwise("none")
+    return F.when(v > 0, "up").when(v < 0, "down").otherwise("flat")
 
 
 def nice_step(low: Column, high: Column, ticks: int = 4) -> Column:

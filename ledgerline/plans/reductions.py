@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ledgerline.functions import labels as L
 from ledgerline.functions import numbers as N
 from ledgerline.functions import periods as P
 from ledgerline.functions import text as X
@@ -244,3 +245,14 @@ def _(x):
 def _(x):
     tag = F.when(F.col("url").startswith("https"), F.concat(F.lit("dg:"), "url")).otherwise(F.col("url"))
     return x.table("pages").select("page_id", F.length(X.compact_text(F.col("html"))).cast("long").alias("compact"), X.slugify(F.col("url")).alias("slug"), X.infer_source_kind(tag).alias("kind"))
+
+
+@query("fn_labels", """SELECT c.series_id, CASE WHEN tier = 1 THEN 1 WHEN tier <= 4 THEN 2 ELSE 3 END AS tier_of_level, CASE WHEN tier = 3 THEN 'warn' ELSE 'block' END AS severity, '官方数据' AS agency,
+  CASE tier WHEN 1 THEN '①' WHEN 2 THEN '②' ELSE '③' END AS numeral, o.period, substr(o.period, 1, 4) || ' 年 ' || CASE WHEN headline = 'ytd' AND CAST(substr(o.period, 6, 2) AS INT) > 1 THEN '1-' ELSE '' END || CAST(substr(o.period, 6, 2) AS INT) || ' 月' AS tooltip,
+  CASE WHEN o.m_yoy IS NULL THEN '—' ELSE CASE WHEN o.m_yoy > 0 THEN '+' ELSE '' END || format('{:.1f}%', o.m_yoy) END AS pct FROM catalog c JOIN obs o USING (series_id)""")
+def _(x):
+    rows = x.catalog.join(x.obs, "series_id")
+    return rows.select(
+        "series_id", L.level_to_tier(F.col("tier")).alias("tier_of_level"), L.severity_for_mismatch(F.lit(None).cast("string"), F.col("tier")).alias("severity"), L.agency_from_id(F.col("series_id")).alias("agency"),
+        L.circled_numeral(F.col("tier")).alias("numeral"), "period", L.tooltip_period("period", F.col("headline") == "ytd").alias("tooltip"), L.format_percent(F.col("m_yoy"), sign=True).alias("pct"),
+    )
