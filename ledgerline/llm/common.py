@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,18 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts together have about `most` bytes, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def batch_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of every text in one flat array, and how many each text has. A null text has none."""
     lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))

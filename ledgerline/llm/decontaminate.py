@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import coded_words, table
+from ledgerline.llm.common import coded_words, slices, table
 from ledgerline.llm.simhash import majority
 
 SHINGLE = 5
@@ -155,7 +155,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             at = index.value
-            for batch in batches:
+            for batch in slices(batches):
                 distinct, codes, counts = coded_words(batch.column(1))
                 bare = [plain(w) for w in distinct]
                 ids = np.fromiter((at.vocabulary.get(w, -1) if w else -2 for w in bare), np.int64, len(bare))[codes]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import connected_components, kept, table
+from ledgerline.llm.common import connected_components, kept, slices, table
 
 SEED = 42
 _LANES = np.uint64(0x0101010101010101)
@@ -69,7 +69,7 @@ def simhash(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     """(id_col, fp): the fingerprint of every row as a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             each = [shingle_hashes(t, words) for t in batch.column(1).to_pylist()]
             counts = np.fromiter(map(len, each), np.int64, len(each))
             fp = majority(np.concatenate([np.zeros(0, np.uint64), *each]), counts)
@@ -162,6 +162,8 @@ PARTS = 4
 SIMILARITY = 0.8
 #: At similarity 0.8 a bit differs with probability 0.15: 39 of 256 are expected, 65 are four and a half deviations more.
 SKETCH_RADIUS = 65
+#: Text that a task holds at once of either side of the pairs that it compares.
+PAIR_BYTES = 2 << 20
 
 
 def _mixed(h: np.ndarray, part: int) -> np.ndarray:
@@ -178,7 +180,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
     """(id, same, s0, s1, ..): what texts of equal words share, and the sketch over each text's distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             each = [np.unique(shingle_hashes(t, words)) for t in texts]
             counts = np.fromiter(map(len, each), np.int64, len(each))
@@ -208,13 +210,13 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _similar(least: float, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(slices(batches, 2, PAIR_BYTES), 3, PAIR_BYTES):
             a, b = (batch.column(k).to_pylist() for k in (2, 3))
             remembered: dict[str, set[int]] = {}
 
             def bag(text: str | None, remembered: dict = remembered) -> set[int]:
                 if text not in remembered:
-                    if len(remembered) > 64:
+                    if len(remembered) > 32:
                         remembered.clear()
                     remembered[text] = set(shingle_hashes(text, words).tolist())
                 return remembered[text]

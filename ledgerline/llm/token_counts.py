@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import coded_words, row_sums, table
+from ledgerline.llm.common import coded_words, row_sums, slices, table
 
 MARK = "▁"
 REMEMBERED = 1_000_000
@@ -104,7 +104,7 @@ def token_counts(df: DataFrame, pieces: str, id_col: str = "doc_id", text_col: s
     """(id_col, n_words, n_tokens) of every whole text; `pieces` is the path of a sentencepiece vocabulary on every machine."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words, codes, counts = coded_words(batch.column(1))
             tokens = row_sums(word_counts(words, pieces)[codes], counts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts.astype(np.int64)), pa.array(tokens.astype(np.int64))], [id_col, "n_words", "n_tokens"])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import coded_words, kept, row_sums, table
+from ledgerline.llm.common import coded_words, kept, row_sums, slices, table
 from ledgerline.llm.quality import sample_rows
 
 #: Expected number of labelled documents of either class that the lexicon is counted on.
@@ -140,7 +140,7 @@ class Field:
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(feature, toxic, clean): in how many documents of a batch each feature stands."""
-    for batch in batches:
+    for batch in slices(batches, 0):
         words, codes, counts = coded_words(batch.column(0))
         own = [features(w) for w in words]
         names = {f: k for k, f in enumerate(dict.fromkeys(f for fs in own for f in fs))}
@@ -208,7 +208,7 @@ def score(df: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        for batch in batches:
+        for batch in slices(batches):
             words, codes, counts = coded_words(batch.column(1))
             emission = np.fromiter(map(own.emission, words), float, len(words))[codes]
             ahead, behind = forward_backward(emission, counts, own.moves)
