@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import coded_words, shared_dir, table
+from ledgerline.llm.common import coded_words, shared_dir, slices, table
 
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
@@ -40,8 +40,8 @@ ESCAPE = 15
 END_ID = 1
 BLOCK_IDS = 1 << 16
 OFFSET_EVERY = 4096
-#: Words that a Python worker remembers with their ids.
-REMEMBERED = 1_000_000
+#: Words that a Python worker remembers with their ids, and as many again that it met before those.
+REMEMBERED = 600_000
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,6 +116,7 @@ class WordEncoder:
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         plain = [w for w in words if self.PLAIN.fullmatch(w)] if self.ends.any() else []
@@ -139,8 +140,11 @@ class WordEncoder:
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words one after the other, and how many each has."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         new = [w for w in words if w not in self.known]
+        if new and self.older:
+            self.known.update((w, self.older[w]) for w in new if w in self.older)
+            new = [w for w in new if w not in self.older]
         if new:
             self._learn(new)
         found = [self.known[w] for w in words]
@@ -190,7 +194,7 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, before = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
+        for batch in slices(batches):
             ids, lengths = encode_texts(batch.column(1), tokenizer)
             ends = np.cumsum(lengths)
             part = (ends - lengths) // BLOCK_IDS
