@@ -93,11 +93,11 @@ def _(x):
     return G.integrity(log, x.long(x.old), _new(x), TODAY)
 
 
-@query("revision_log_kept", LOG + " SELECT series_id, period, measure, old, new, revised_on FROM log WHERE measure = 'm' AND seq = 1 AND series_id = 'nat-8'")
+@query("revision_log_kept", LOG + " SELECT series_id, period, measure, old, new, revised_on FROM log WHERE measure = 'm' AND seq = 1 AND series_id = 'mkt-FURNITURE'")
 def _(x):
     """The old log must be contained in the new one, as often; here the new one has lost a series' first round."""
     log = _log(x).drop("seq")
-    return G.lost_revisions(log, log.where("NOT (measure = 'm' AND revised_on = '2002-02-01' AND series_id = 'nat-8')"))
+    return G.lost_revisions(log, log.where("NOT (measure = 'm' AND revised_on = '2002-02-01' AND series_id = 'mkt-FURNITURE')"))
 
 
 @query("revision_flood", LOG + """, o AS (SELECT series_id, COUNT(*) AS observations FROM obs GROUP BY 1), r AS (SELECT series_id, COUNT(*) AS revised FROM log GROUP BY 1)
