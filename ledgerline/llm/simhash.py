@@ -205,7 +205,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 band = (fp >> np.uint64(32 * side)) & np.uint64(0xFFFFFFFF)
                 key = (band[:, None] ^ flips).ravel() | np.uint64((2 * p + side) << 32)
                 ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(fp)), 33)))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids], ["variant", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids, pa.array(np.tile(flips == 0, len(fp)))], ["variant", "id", "own"])
 
 
 def _similar(least: float, words: int):
@@ -236,18 +236,19 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Ball hashing as above, over eight bands of 32 bits: a pair meets if any band differs in at most two bits, which a
     pair at similarity 0.8 does with probability 0.6, at 0.9 with 0.96, at 0.95 with 0.999. In each variant every
-    document is paired with the least and with its neighbour, so pairs grow with the rows and not with their square. The whole sketch,
-    then the exact similarity verifies each pair.
+    document is paired with the least, and where the variant is its own band also with its neighbour, so pairs grow with
+    the rows and not with their square. The whole sketch, then the exact similarity verifies each pair.
     """
     id_type = df.schema[id_col].dataType
     drawn = kept(sketches(df.where(F.col(id_col).isNotNull()), id_col, text_col, words))
     parts = [f"s{p}" for p in range(PARTS)]
     one = kept(drawn.groupBy("same").agg(F.min("id").alias("id"), *(F.min(s).alias(s) for s in parts)))
-    schema = T.StructType([T.StructField("variant", T.LongType()), T.StructField("id", id_type)])
+    schema = T.StructType([T.StructField("variant", T.LongType()), T.StructField("id", id_type), T.StructField("own", T.BooleanType())])
     met = one.select("id", *parts).mapInArrow(_bands, schema)
     order = "OVER (PARTITION BY variant ORDER BY id)"
-    near = met.select("id", F.expr(f"first_value(id) {order}").alias("hub"), F.expr(f"lag(id) {order}").alias("last"))
-    near = near.where("last IS NOT NULL").select(F.col("id").alias("b"), F.explode(F.array_distinct(F.array("hub", "last"))).alias("a")).where("a <> b").distinct()
+    near = met.select("id", "own", F.expr(f"first_value(id) {order}").alias("hub"), F.expr(f"lag(id) {order}").alias("last")).where("last IS NOT NULL")
+    met_with = F.when(F.col("own"), F.array_distinct(F.array("hub", "last"))).otherwise(F.array("hub"))
+    near = near.select(F.col("id").alias("b"), F.explode(met_with).alias("a")).where("a <> b").distinct()
     side = lambda name: one.select(F.col("id").alias(name), *(F.col(s).alias(f"{name}_{s}") for s in parts))
     apart = " + ".join(f"bit_count(a_{s} ^ b_{s})" for s in parts)
     near = kept(near.join(side("a"), "a").join(side("b"), "b").where(f"{apart} <= {SKETCH_RADIUS}").select("a", "b"))
