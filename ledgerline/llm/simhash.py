@@ -157,57 +157,53 @@ def op4_simhash(spark, sf_dir):
 
 # --- One document of each group, at a similarity over word shingles -------------------------------------------------
 
-#: A sketch is PARTS fingerprints of 64 bits over differently mixed hashes; each is two bands of 32 bits.
-PARTS = 4
+#: In a band, texts meet whose least shingle hashes agree under all ROWS of its orders: a pair at similarity s with
+#: probability s ** ROWS, whatever the number of shingles; at 0.8 in one of the bands with 1 - (1 - 0.8**6)**24 = 0.9993.
+BANDS, ROWS = 24, 6
 SIMILARITY = 0.8
-#: At similarity 0.8 a bit differs with probability 0.15: 39 of 256 are expected, 65 are four and a half deviations more.
-SKETCH_RADIUS = 65
 #: Text that a task holds at once of either side of the pairs that it compares.
 PAIR_BYTES = 2 << 20
 
 
-def _mixed(h: np.ndarray, part: int) -> np.ndarray:
-    """Another hash from a hash (the finaliser of splitmix64); part 0 is the hash itself."""
-    if not part:
-        return h
-    h = h + np.uint64(0x9E3779B97F4A7C15 * part % 2**64)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+def _orders() -> np.ndarray:
+    return np.random.default_rng(SEED).integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def min_bands(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """[run, band]: a number for the least hashes of each run of `hashes` (lengths `counts`, all above 0) in each band."""
+    out = np.empty((len(counts), BANDS), np.uint64)
+    if not len(counts):
+        return out
+    starts = np.cumsum(counts) - counts
+    for band, orders in enumerate(_orders()):
+        key = np.full(len(counts), band + 1, np.uint64)
+        for order in orders:
+            key = (key ^ np.minimum.reduceat(hashes * order, starts)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        out[:, band] = key
+    return out
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, same, s0, s1, ..): what texts of equal words share, and the sketch over each text's distinct shingles."""
+    """(id, same, n, bands): what texts of equal words share, the number of distinct shingles, and the bands (none without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1, PAIR_BYTES):
             texts = batch.column(1).to_pylist()
             each = [np.unique(shingle_hashes(t, words)) for t in texts]
             counts = np.fromiter(map(len, each), np.int64, len(each))
-            hashes = np.concatenate([np.zeros(0, np.uint64), *each])
+            found = min_bands(np.concatenate([np.zeros(0, np.uint64), *each]), counts[counts > 0])
             same = [xxhash.xxh128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in texts]
-            parts = [pa.array(majority(_mixed(hashes, p), counts).view(np.int64)) for p in range(PARTS)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), *parts], out.names)
+            ends = np.concatenate([[0], np.cumsum((counts > 0) * BANDS)]).astype(np.int32)
+            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array(counts), bands], out.names)
 
     out = T.StructType(
-        [T.StructField("id", df.schema[id_col].dataType), T.StructField("same", T.StringType()), *(T.StructField(f"s{p}", T.LongType()) for p in range(PARTS))]
+        [T.StructField("id", df.schema[id_col].dataType), T.StructField("same", T.StringType()), T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
     )
     return df.select(id_col, text_col).mapInArrow(run, out)
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each 32-bit band of each sketch as it is and with one bit changed: what lies within half the radius of two."""
-    flips = np.concatenate([[0], _one_bit()[:32]]).astype(np.uint64)
-    for batch in batches:
-        for p in range(PARTS):
-            fp = batch.column(1 + p).to_numpy().view(np.uint64)
-            for side in (0, 1):
-                band = (fp >> np.uint64(32 * side)) & np.uint64(0xFFFFFFFF)
-                key = (band[:, None] ^ flips).ravel() | np.uint64((2 * p + side) << 32)
-                ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(fp)), 33)))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids, pa.array(np.tile(flips == 0, len(fp)))], ["variant", "id", "own"])
-
-
 def _similar(least: float, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(slices(batches, 2, PAIR_BYTES), 3, PAIR_BYTES):
@@ -234,24 +230,20 @@ def _similar(least: float, words: int):
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component_id) of every non-null id: groups linked by texts of equal words or by a Jaccard similarity of their shingles.
 
-    Ball hashing as above, over eight bands of 32 bits: a pair meets if any band differs in at most two bits, which a
-    pair at similarity 0.8 does with probability 0.6, at 0.9 with 0.96, at 0.95 with 0.999. In each variant every
-    document is paired with the least, and where the variant is its own band also with its neighbour, so pairs grow with
-    the rows and not with their square. The whole sketch, then the exact similarity verifies each pair.
+    MinHash over BANDS bands: a pair at similarity 0.8 meets in a band with probability 0.9993, at 0.85 with 0.99999. In each
+    band's bucket every document is paired with the least and with its neighbour, so pairs grow with
+    the rows and not with their square. The numbers of shingles, then the exact similarity verify each pair.
     """
     id_type = df.schema[id_col].dataType
     drawn = kept(sketches(df.where(F.col(id_col).isNotNull()), id_col, text_col, words))
-    parts = [f"s{p}" for p in range(PARTS)]
-    one = kept(drawn.groupBy("same").agg(F.min("id").alias("id"), *(F.min(s).alias(s) for s in parts)))
-    schema = T.StructType([T.StructField("variant", T.LongType()), T.StructField("id", id_type), T.StructField("own", T.BooleanType())])
-    met = one.select("id", *parts).mapInArrow(_bands, schema)
+    one = kept(drawn.groupBy("same").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("bands").alias("bands")))
+    met = one.select("id", "n", F.explode("bands").alias("variant"))
     order = "OVER (PARTITION BY variant ORDER BY id)"
-    near = met.select("id", "own", F.expr(f"first_value(id) {order}").alias("hub"), F.expr(f"lag(id) {order}").alias("last")).where("last IS NOT NULL")
-    met_with = F.when(F.col("own"), F.array_distinct(F.array("hub", "last"))).otherwise(F.array("hub"))
-    near = near.select(F.col("id").alias("b"), F.explode(met_with).alias("a")).where("a <> b").distinct()
-    side = lambda name: one.select(F.col("id").alias(name), *(F.col(s).alias(f"{name}_{s}") for s in parts))
-    apart = " + ".join(f"bit_count(a_{s} ^ b_{s})" for s in parts)
-    near = kept(near.join(side("a"), "a").join(side("b"), "b").where(f"{apart} <= {SKETCH_RADIUS}").select("a", "b"))
+    row = "struct(id, n)"
+    near = met.select("id", "n", F.expr(f"first_value({row}) {order}").alias("hub"), F.expr(f"lag({row}) {order}").alias("last")).where("last IS NOT NULL")
+    near = near.select(F.col("id").alias("b"), "n", F.explode(F.array_distinct(F.array("hub", "last"))).alias("a"))
+    # Of texts at the similarity, the lesser set has at least that share of the greater one.
+    near = kept(near.where(f"a.id <> b AND least(n, a.n) >= {similarity}D * greatest(n, a.n)").select("a.id", "b").toDF("a", "b").distinct())
     named = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = kept(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(named, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
     text = lambda name: texts.select(F.col("id").alias(name), F.col("text").alias(f"{name}_text"))

@@ -146,6 +146,20 @@ def test_all_links_of_three_bits_are_found(spark):
     assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(near)) for j in range(i))
 
 
+def stretch(rng, n):
+    return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+
+
+def test_pairs_at_the_similarity_are_found(spark):
+    rng, texts = np.random.default_rng(8), []
+    for k in range(200):
+        n = (24, 104, 404)[k % 3]  # words; shingles are four fewer
+        w, cut = stretch(rng, n), (n - 4) // 10  # 0.9 n' common of 1.1 n': similarity 0.818
+        texts += [" ".join(w), " ".join(w[: n - cut] + stretch(rng, cut))]
+    left = {r.doc_id for r in simhash.one_of_each(docs(spark, *texts)).select("doc_id").collect()}
+    assert set(range(0, 400, 2)) <= left and len(left) <= 202
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(20, 16))
