@@ -18,7 +18,7 @@ equal rows; a null id keeps its row and takes the component of its fingerprint;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -163,6 +163,8 @@ BANDS, ROWS = 24, 6
 SIMILARITY = 0.8
 #: Text that a task holds at once of either side of the pairs that it compares.
 PAIR_BYTES = 2 << 20
+#: Documents of a bucket that are compared with as many others of it at once.
+CHUNK = 1024
 
 
 def _orders() -> np.ndarray:
@@ -227,12 +229,106 @@ def _similar(least: float, words: int):
     return run
 
 
+def _bags(words: int):
+    """(id, bag): the distinct shingle hashes of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            bags = [np.unique(shingle_hashes(t, words)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], ["id", "bag"])
+
+    return run
+
+
+def similar_across(bags: list[np.ndarray], part: np.ndarray, chunk: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """The pairs of different `part`, and of different `chunk` unless there is one only, at the similarity or above. Exact.
+
+    Prefix filtering: with the shingles of every bag in one order, rarest first, two bags at the similarity share one
+    among the first n - ceil(least * n) + 1 of each.
+    """
+    n = np.fromiter(map(len, bags), np.int64, len(bags))
+    owner = np.repeat(np.arange(len(bags)), n)
+    _, code, held = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    order = np.lexsort((code, held[code], owner))
+    nth = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
+    first = nth < np.repeat(n - np.ceil(least * n - 1e-9).astype(np.int64) + 1, n)
+    code, owner = code[order][first], owner[first]
+    by = np.argsort(code, kind="stable")
+    code, owner = code[by], owner[by]
+    met, apart = set(), chunk.min() != chunk.max()
+    for own in np.split(owner, np.nonzero(np.diff(code))[0] + 1):
+        if len(own) < 2 or (part[own] == part[own[0]]).all():
+            continue
+        for k, x in enumerate(own.tolist()):
+            y = own[k + 1 :]
+            y = y[(part[y] != part[x]) & (np.minimum(n[y], n[x]) >= least * np.maximum(n[y], n[x]))]
+            met.update((x, z) for z in (y[chunk[y] != chunk[x]] if apart else y).tolist())
+    good = []
+    for x, y in sorted(met):
+        common = len(np.intersect1d(bags[x], bags[y], assume_unique=True))
+        if common >= least * (n[x] + n[y] - common):
+            good.append((x, y))
+    return good
+
+
+def _across(least: float):
+    """Links of each block (variant, i, j), whose rows stand together; the rows are (variant, i, j, chunk, part, id, bag)."""
+
+    def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block = pa.Table.from_batches(rows).combine_chunks()
+        bags = [np.frombuffer(b, np.uint64) for b in block["bag"].to_pylist()]
+        part = block["part"].combine_chunks().dictionary_encode().indices.to_numpy()
+        found = similar_across(bags, part, block["chunk"].to_numpy(), least)
+        ids = block["id"].combine_chunks()
+        return pa.RecordBatch.from_arrays([ids.take(pa.array([p[side] for p in found], pa.int64())) for side in (0, 1)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            key = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
+            cuts = [0, *(np.nonzero((key[1:] != key[:-1]).any(axis=1))[0] + 1).tolist(), len(key)]
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                if stop > start:
+                    if held and tuple(key[start]) != last:
+                        yield links(held)
+                        held = []
+                    held.append(batch.slice(start, stop - start))
+                    last = tuple(key[start])
+        if held:
+            yield links(held)
+
+    return run
+
+
+def _links_across(met: DataFrame, one: DataFrame, found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], words: int, similarity: float) -> DataFrame:
+    """(a, b): of all that meet in `met` (variant, id), the similar pairs that the components `found` do not link yet.
+
+    Buckets whose documents are in one component need nothing more. In all others every pair across components is held
+    against the similarity, in blocks of two chunks of a bucket, which bound what a task holds.
+    """
+    named = one.join(found, one["id"] == found["node"], "left").select("id", F.coalesce("component", "id").alias("part"))
+    placed = kept(met.select("variant", "id").join(named, "id"))
+    open_ = (
+        placed.groupBy("variant").agg(F.count("*").alias("rows"), F.min("part").alias("low"), F.max("part").alias("high"))
+        .where("low <> high").select("variant", F.ceil(F.col("rows") / CHUNK).cast("int").alias("chunks"))
+    )
+    dealt = kept(placed.join(open_, "variant").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")))
+    id_type = dealt.schema["id"].dataType
+    bags = texts_of(dealt.select("id").distinct()).mapInArrow(_bags(words), T.StructType([T.StructField("id", id_type), T.StructField("bag", T.BinaryType())]))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    block = ["variant", "i", "j"]
+    blocks = dealt.withColumn("other", other).select("variant", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "part", "id")
+    blocks = blocks.join(bags, "id").select(*block, "chunk", "part", "id", "bag").repartition(*block).sortWithinPartitions(*block, "id")
+    return blocks.mapInArrow(_across(similarity), T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)]))
+
+
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component_id) of every non-null id: groups linked by texts of equal words or by a Jaccard similarity of their shingles.
 
     MinHash over BANDS bands: a pair at similarity 0.8 meets in a band with probability 0.9993, at 0.85 with 0.99999. In each
-    band's bucket every document is paired with the least and with its neighbour, so pairs grow with
-    the rows and not with their square. The numbers of shingles, then the exact similarity verify each pair.
+    band's bucket every document is paired with the least and with its neighbour, so pairs grow with the rows and not with
+    their square; the numbers of shingles, then the exact similarity verify each pair. Where that leaves a bucket in
+    several components, all pairs across them are verified, so that every pair that meets anywhere is linked.
     """
     id_type = df.schema[id_col].dataType
     drawn = kept(sketches(df.where(F.col(id_col).isNotNull()), id_col, text_col, words))
@@ -245,11 +341,14 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Of texts at the similarity, the lesser set has at least that share of the greater one.
     near = kept(near.where(f"a.id <> b AND least(n, a.n) >= {similarity}D * greatest(n, a.n)").select("a.id", "b").toDF("a", "b").distinct())
     named = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = kept(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(named, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+    texts_of = lambda ids: df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    texts = kept(texts_of(named))
     text = lambda name: texts.select(F.col("id").alias(name), F.col("text").alias(f"{name}_text"))
     both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text")
     links = both.mapInArrow(_similar(similarity, words), T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)]))
-    found = kept(connected_components(links))
+    links = kept(links)
+    more = _links_across(met, one, connected_components(links), texts_of, words, similarity)
+    found = kept(connected_components(links.union(more)))
     reps = one.select("same", F.col("id").alias("node")).join(found, "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
     return drawn.select("id", "same").join(reps, "same").select("id", "component_id")
 

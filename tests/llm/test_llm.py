@@ -160,6 +160,32 @@ def test_pairs_at_the_similarity_are_found(spark):
     assert set(range(0, 400, 2)) <= left and len(left) <= 202
 
 
+def test_pairs_in_a_bucket_of_unlike_documents_are_found(spark):
+    """Families of two at similarity 0.8, all with a passage that makes any two documents about 0.75 alike."""
+    rng = np.random.default_rng(9)
+    passage, families = stretch(rng, 90), 40
+    tails = [stretch(rng, 3) for _ in range(families)]
+    texts = [" ".join(passage + tails[k] + stretch(rng, 11)) for _ in range(2) for k in range(families)]
+    bags = [set(zip(*(t.split()[j:] for j in range(5)), strict=False)) for t in texts]
+    alike = lambda i, j: len(bags[i] & bags[j]) / len(bags[i] | bags[j])
+    assert all((alike(i, j) >= 0.8) == (j - i == families) for i in range(len(texts)) for j in range(i + 1, len(texts)))
+    left = {r.doc_id for r in simhash.one_of_each(docs(spark, *texts)).select("doc_id").collect()}
+    assert left == set(range(families))
+
+
+def test_similar_across_is_brute_force():
+    rng = np.random.default_rng(10)
+    bags = []
+    for _ in range(12):
+        base = rng.integers(0, 2**63, rng.integers(1, 60), dtype=np.uint64)
+        bags += [np.unique(np.concatenate([base[rng.random(len(base)) > 0.08], rng.integers(0, 2**63, rng.integers(0, 3), dtype=np.uint64), base[:1]])) for _ in range(8)]
+    part, chunk = rng.integers(0, 30, len(bags)), rng.integers(0, 2, len(bags))
+    sets = [set(b.tolist()) for b in bags]
+    want = [(i, j) for i in range(len(bags)) for j in range(i + 1, len(bags)) if part[i] != part[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert want and simhash.similar_across(bags, part, np.zeros(len(bags), int), 0.8) == want
+    assert simhash.similar_across(bags, part, chunk, 0.8) == [p for p in want if chunk[p[0]] != chunk[p[1]]]
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(20, 16))
