@@ -1,7 +1,8 @@
 """Benchmark decontamination: documents that hold a passage of a benchmark item.
 
 A word is a white-space separated run, lower-cased and without marks. Windows as long as an item slide over each document wherever it shares a
-shingle of five words with that item (a window without one has similarity 0). Every window has a SimHash of its
+shingle of five words with that item (a window without one has similarity 0); a document of fewer words than the item
+is one window as a whole. Every window has a SimHash of its
 shingles; a multi-index over BLOCKS blocks of the items' fingerprints finds all items within RADIUS bits: of so
 many differing bits, one block has at most RADIUS // BLOCKS. Candidates are verified by exact weighted-shingle similarity, the sum of
 the lesser counts of each shingle over the sum of the greater ones.
@@ -113,15 +114,18 @@ class Index:
         best: dict[int, tuple[float, int, int]] = {}
         for n, anchors in places.items():
             size = min(SHINGLE, n)
-            span = n - size + 1  # shingles of a window
+            length = min(n, len(words))
+            span = length - size + 1  # shingles of a window
+            if span / (n - size + 1) < SIMILARITY:
+                continue
             starts = np.unique(np.array(sorted(anchors))[:, None] - np.arange(span))
-            starts = starts[(starts >= 0) & (starts + n <= len(words))]
+            starts = starts[(starts >= 0) & (starts + length <= len(words))]
             # Windows are worked off by stretches that overlap, so that far-apart anchors cost nothing between them.
             for stretch in np.split(starts, np.nonzero(np.diff(starts) > 1)[0] + 1):
                 if not len(stretch):
                     continue
                 first, last = int(stretch[0]), int(stretch[-1])
-                local = shingles(words[first : last + n], size)
+                local = shingles(words[first : last + length], size)
                 bits = np.unpackbits(hashed(local).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                 sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
                 prints = np.packbits(2 * (sums[span:] - sums[:-span]) > span, axis=1, bitorder="little").view("<u8").ravel()

@@ -309,6 +309,14 @@ def test_decontamination_is_brute_force(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    w = [f"word{k}" for k in range(59)]
+    texts = [" ".join(w[:57]), " ".join(w[5:]), " ".join(w[:48]), " ".join(w[:47]), " ".join(w[:4]), "word1 word2 word3"]
+    bench = spark.createDataFrame([(7, " ".join(w)), (8, "word1 word2 word3 word4")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in decontaminate.contaminated(docs(spark, *texts), bench).where("item_id = 7").collect()}
+    assert got == {(0, 7): (53 / 55, 0), (1, 7): (50 / 55, 0), (2, 7): (44 / 55, 0)}
+
+
 def test_simple8b_round_trips():
     rng = np.random.default_rng(3)
     for n in (0, 1, 59, 60, 61, 500, 5000):
