@@ -345,6 +345,16 @@ def test_token_files_hold_what_the_library_encodes(spark, odd):
         start += len(ids)
 
 
+def test_mixing_stage_takes_rows_of_one_id_one_by_one(spark):
+    rows = [(None, f"a b c d {k % 2}", "a") for k in range(150)] + [(k, "a b c d e", "b") for k in range(150)] + [(7, "a b c d e", "c") for _ in range(100)] + [(8, None, None)]
+    docs_ = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = Counter()
+    for r in mixing.mix(docs_).collect():
+        want[r.doc_id, r.source] += r.copies
+    got = Counter((r.doc_id, r.source) for r in corpus_pipeline.mix_sources(spark, docs_, SMALL).collect())
+    assert got == +want and want[None, "a"] % 150
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path):
     docs_ = common.table(spark, SMALL, "documents")
     columns, seen = docs_.columns, {}
