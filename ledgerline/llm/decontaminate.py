@@ -1,21 +1,27 @@
 """Benchmark decontamination: documents that hold a passage of a benchmark item.
 
-A word is a white-space separated run, lower-cased and without marks. Windows as long as an item slide over each document wherever it shares a
-shingle of five words with that item (a window without one has similarity 0); a document of fewer words than the item
-is one window as a whole. Every window has a SimHash of its
-shingles; a multi-index over BLOCKS blocks of the items' fingerprints finds all items within RADIUS bits: of so
-many differing bits, one block has at most RADIUS // BLOCKS. Candidates are verified by exact weighted-shingle similarity, the sum of
-the lesser counts of each shingle over the sum of the greater ones.
+A word is a run of anything but ASCII white space, lower-cased and without marks, in items and documents alike. Windows
+as long as an item slide over each document; a document of fewer words than the item is one window as a whole. Every
+window has a SimHash of LANES * 64 bits over its shingles of five words. A multi-index over the items' fingerprints, of
+one block for each lane, finds the items within RADIUS bits: of so many differing bits some block has at most
+RADIUS // LANES, which one unrelated pair in some thousands has. Candidates are verified by exact
+weighted-shingle similarity, the sum of the lesser counts of each shingle over the sum of the greater ones.
 
-Benchmarks of any size are worked off in blocks of ITEMS_AT_ONCE items against all documents; one block's index is
-what a task holds in memory.
+Windows are only taken where they can matter. A window at the similarity lacks less than a fifth of an item's
+shingles, so of any fifth of them, and one more, it holds one; the rarest in the benchmark are the item's anchors. Each anchor found in
+a document opens the windows around it for its own items only, so that a passage that many items share opens none.
+
+Benchmarks of any size are worked off in parts of at most ITEMS_AT_ONCE items and BYTES_AT_ONCE bytes (or one item) against all documents;
+one part's index is what a task holds in memory. Windows are worked off by WINDOWS_AT_ONCE.
 
 Rows: null or empty texts hold nothing, and items without words are in no document; items of fewer than
-five words match as a whole; repeated rows give repeated results; other columns are ignored.
+five words match as a whole; null ids keep their rows; repeated rows give repeated results; of windows of equal similarity
+the one of fewer differing bits, then the first is given; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -27,17 +33,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import coded_words, slices, table
-from ledgerline.llm.simhash import majority
+from ledgerline.llm.common import WORD, coded_words, slices, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: At similarity 0.8 a bit differs with probability 0.15: 10 of 64 are expected, and 24 are five deviations more.
-RADIUS = 24
-BLOCKS = 16
-ITEMS_AT_ONCE = 20_000
+#: 64-bit words of a fingerprint, each one block of the multi-index.
+LANES = 4
+#: At similarity 0.8 a bit differs with probability 0.15: 39 of 256 are expected, and 67 are five deviations more.
+RADIUS = 67
+ITEMS_AT_ONCE, BYTES_AT_ONCE = 20_000, 16 << 20
+WINDOWS_AT_ONCE = 8192
 
 _MARKS = re.compile(r"[\W_]+")
+_WORDS = re.compile(WORD)
 
 
 def plain(word: str) -> str:
@@ -58,34 +66,57 @@ def hashed(shingle_list: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(s) for s in shingle_list), np.uint64, len(shingle_list))
 
 
+def prints(hashes: np.ndarray, span: int) -> np.ndarray:
+    """[window, lane]: the fingerprints of all runs of `span` of `hashes`; each lane mixes the hashes in its own way."""
+    out = np.empty((len(hashes) - span + 1, LANES), np.uint64)
+    for lane in range(LANES):
+        mixed = hashes * np.uint64(2 * _MIX[lane] + 1)
+        mixed ^= mixed >> np.uint64(32)
+        bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
+        out[:, lane] = np.packbits(2 * (sums[span:] - sums[:-span]) > span, axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
+_MIX = np.random.default_rng(SHINGLE).integers(0, 2**62, LANES).tolist()
+
+
+def within(windows: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that the multi-index gives for an item, and their differing bits: some block within RADIUS // LANES, all within RADIUS."""
+    apart = np.bitwise_count(windows ^ item)
+    at = np.nonzero((apart <= RADIUS // LANES).any(axis=1))[0]
+    bits = apart[at].sum(axis=1, dtype=np.int64)
+    return at[bits <= RADIUS], bits[bits <= RADIUS]
+
+
+def item_words(text: str | None) -> list[str]:
+    return [p for p in map(plain, _WORDS.findall(text or "")) if p]
+
+
 class Index:
-    """Items by length in words, with anchors (shingles by key) and the multi-index of their fingerprints."""
+    """Items with their bags of shingles and fingerprints, and their anchors by shingle size and key."""
 
     def __init__(self, items: list[tuple[object, str | None]]) -> None:
-        self.items = [(i, w) for i, t in items if (w := [x for x in map(plain, (t or "").split()) if x])]
+        self.items = [(i, w) for i, t in items if (w := item_words(t))]
         self.vocabulary = {w: k for k, w in enumerate(dict.fromkeys(x for _, words in self.items for x in words))}
         self.bags = [Counter(shingles(w)) for _, w in self.items]
-        self.prints = np.array([majority(hashed(s := shingles(w)), np.array([len(s)]))[0] for _, w in self.items], np.uint64)
-        self.by_length: dict[int, np.ndarray] = {}
+        spans = [shingles(w) for _, w in self.items]
+        self.prints = np.array([prints(hashed(s), len(s))[0] for s in spans], np.uint64).reshape(-1, LANES)
+        every = [self.keys(np.array([self.vocabulary[w] for w in words]), min(SHINGLE, len(words))) for _, words in self.items]
+        holders = Counter(key for keys in every for key in np.unique(keys).tolist())
         owners: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        lengths = defaultdict(list)
-        for k, (_, words) in enumerate(self.items):
-            lengths[len(words)].append(k)
-            size = min(SHINGLE, len(words))
-            for key in set(self.keys(np.array([self.vocabulary[w] for w in words]), size).tolist()):
-                owners[size][key].append(k)
+        for k, keys in enumerate(every):
+            # The least that a window shares with the item; what is left out of the anchors is too little for it.
+            need, left = math.ceil(SIMILARITY * len(keys) - 1e-9), len(keys)
+            for key, n in sorted(Counter(keys.tolist()).items(), key=lambda x: (holders[x[0]], x)):
+                if left < need:
+                    break
+                owners[min(SHINGLE, len(self.items[k][1]))][key].append(k)
+                left -= n
         self.anchors = {size: (np.array(sorted(found), np.uint64), dict(found)) for size, found in owners.items()}
-        for n, own in lengths.items():
-            self.by_length[n] = np.array(own)
-        # near[n][block][value]: the items of n words whose block differs from the value in few enough bits.
-        values, width = np.arange(1 << (64 // BLOCKS)), 64 // BLOCKS
-        self.near = {}
-        for n, own in self.by_length.items():
-            parts = (self.prints[own][None, :] >> np.uint64(width) * np.arange(BLOCKS, dtype=np.uint64)[:, None]).astype(np.int64) & (len(values) - 1)
-            self.near[n] = np.bitwise_count(values[None, :, None] ^ parts[:, None, :]) <= RADIUS // BLOCKS
 
     def keys(self, ids: np.ndarray, size: int) -> np.ndarray:
-        """A number for each run of `size` words; runs with a word of no item have key 0 and are told apart later."""
+        """A number for each run of `size` words; runs with a word of no item have key 0."""
         if len(ids) < size:
             return np.zeros(0, np.uint64)
         base, key, known = np.uint64(len(self.vocabulary) + 1), np.zeros(len(ids) - size + 1, np.uint64), np.ones(len(ids) - size + 1, bool)
@@ -95,50 +126,47 @@ class Index:
             key = key * base + (part + 1).astype(np.uint64)
         return np.where(known, key, np.uint64(0))
 
-    def hits(self, ids: np.ndarray) -> dict[int, np.ndarray]:
-        """Where the words `ids` share a shingle with an item, by shingle size."""
-        found = {}
-        for size, (keys, _) in self.anchors.items():
+    def hits(self, ids: np.ndarray) -> dict[int, list[int]]:
+        """The places in the words `ids` where each item has an anchor."""
+        found: dict[int, list[int]] = defaultdict(list)
+        for size, (keys, owners) in self.anchors.items():
             own = self.keys(ids, size)
             at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            found[size] = np.nonzero((keys[at] == own) & (own > 0))[0]
+            for p in np.nonzero((keys[at] == own) & (own > 0))[0].tolist():
+                for k in owners[int(own[p])]:
+                    found[k].append(p)
         return found
 
-    def matches(self, words: list[str], ids: np.ndarray, hits: dict[int, np.ndarray]) -> Iterator[tuple[object, float, int, int]]:
+    def matches(self, words: list[str], hits: dict[int, list[int]]) -> Iterator[tuple[object, float, int, int]]:
         """(item, similarity, differing bits, first word) of the best window for each item that the words hold."""
-        places: dict[int, set[int]] = defaultdict(set)
-        for size, at in hits.items():
-            for p, key in zip(at.tolist(), self.keys(ids, size)[at].tolist(), strict=True):
-                for k in self.anchors[size][1][key]:
-                    places[len(self.items[k][1])].add(p)
+        by_length: dict[int, list[int]] = defaultdict(list)
+        for k in sorted(hits):
+            by_length[len(self.items[k][1])].append(k)
         best: dict[int, tuple[float, int, int]] = {}
-        for n, anchors in places.items():
-            size = min(SHINGLE, n)
-            length = min(n, len(words))
+        for n, own in by_length.items():
+            size, length = min(SHINGLE, n), min(n, len(words))
             span = length - size + 1  # shingles of a window
-            if span / (n - size + 1) < SIMILARITY:
+            if span < SIMILARITY * (n - size + 1):
                 continue
-            starts = np.unique(np.array(sorted(anchors))[:, None] - np.arange(span))
-            starts = starts[(starts >= 0) & (starts + length <= len(words))]
-            # Windows are worked off by stretches that overlap, so that far-apart anchors cost nothing between them.
+            windows = {}
+            for k in own:
+                starts = np.unique(np.array(hits[k])[:, None] - np.arange(span))
+                windows[k] = starts[(starts >= 0) & (starts + length <= len(words))]
+            starts = np.unique(np.concatenate(list(windows.values())))
+            # Windows are worked off by stretches, so that far-apart anchors cost nothing between them.
             for stretch in np.split(starts, np.nonzero(np.diff(starts) > 1)[0] + 1):
-                if not len(stretch):
-                    continue
-                first, last = int(stretch[0]), int(stretch[-1])
-                local = shingles(words[first : last + length], size)
-                bits = np.unpackbits(hashed(local).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
-                prints = np.packbits(2 * (sums[span:] - sums[:-span]) > span, axis=1, bitorder="little").view("<u8").ravel()
-                own, width = self.by_length[n], 64 // BLOCKS
-                met = np.zeros((len(prints), len(own)), bool)
-                for b in range(BLOCKS):
-                    met |= self.near[n][b][(prints >> np.uint64(b * width)).astype(np.int64) & ((1 << width) - 1)]
-                window, item = np.nonzero(met)
-                apart = np.bitwise_count(prints[window] ^ self.prints[own[item]])
-                for w, k, d in zip(window[apart <= RADIUS].tolist(), own[item][apart <= RADIUS].tolist(), apart[apart <= RADIUS].tolist(), strict=True):
-                    s = similarity(Counter(local[w : w + span]), self.bags[k])
-                    if s >= SIMILARITY and (s, -d, -(first + w)) > best.get(k, (0.0, 0, 0)):
-                        best[k] = (s, -d, -(first + w))
+                for c in range(0, len(stretch), WINDOWS_AT_ONCE):
+                    first, last = int(stretch[c]), int(stretch[min(c + WINDOWS_AT_ONCE, len(stretch)) - 1])
+                    local = shingles(words[first : last + length], size)
+                    marks = prints(hashed(local), span)
+                    for k in own:
+                        a, b = np.searchsorted(windows[k], (first, last + 1))
+                        at = windows[k][a:b] - first
+                        near, bits = within(marks[at], self.prints[k])
+                        for w, d in zip(at[near].tolist(), bits.tolist(), strict=True):
+                            s = similarity(Counter(local[w : w + span]), self.bags[k])
+                            if s >= SIMILARITY and (s, -d, -(first + w)) > best.get(k, (0.0, 0, 0)):
+                                best[k] = (s, -d, -(first + w))
         for k, (s, d, w) in sorted(best.items()):
             yield self.items[k][0], s, -d, -w
 
@@ -146,7 +174,8 @@ class Index:
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id_col, item_col, similarity, differing_bits, first_word): a row for every document and item that it holds."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
-    blocks = -(-items.count() // ITEMS_AT_ONCE)
+    many = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(-(-many[0] // ITEMS_AT_ONCE), -(-many[1] // BYTES_AT_ONCE))
     id_type, item_type = df.schema[id_col].dataType, benchmark.schema[item_col].dataType
     out = T.StructType(
         [T.StructField(id_col, id_type), T.StructField(item_col, item_type), T.StructField("similarity", T.DoubleType())]
@@ -165,14 +194,13 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 ids = np.fromiter((at.vocabulary.get(w, -1) if w else -2 for w in bare), np.int64, len(bare))[codes]
                 rows, stops = [], np.cumsum(counts)
                 names = batch.column(0).to_pylist()
-                # Runs of five known words are rare: look for them over the whole batch, then in the rows that have one.
                 for k, (stop, n) in enumerate(zip(stops.tolist(), counts.tolist(), strict=True)):
                     own = ids[stop - n : stop]
                     full = own > -2
                     hits = at.hits(own[full]) if n else {}
-                    if any(map(len, hits.values())):
+                    if hits:
                         words = [bare[c] for c in codes[stop - n : stop][full]]
-                        rows += [(names[k], *m) for m in at.matches(words, own[full], hits)]
+                        rows += [(names[k], *m) for m in at.matches(words, hits)]
                 columns = zip(*rows, strict=True) if rows else [[] for _ in out]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, (batch.column(0).type, _arrow(item_type), pa.float64(), pa.int32(), pa.int64()), strict=True)], out.names
