@@ -8,8 +8,10 @@ of the id; each holds a few documents back, and what they leave undecided forms
 25 times fewer, until a source has one block. What that leaves, ten documents at most, is the landing problem: it
 is rounded to the combination that keeps the source's words closest to its target.
 
-Rows: null texts have size 0; a null source is a source, last in order; repeated rows are rows of their own; an
-empty table gives an empty result; other columns are ignored. Choices depend on ids and sizes alone, so reruns agree.
+Rows: null texts have size 0; a null source is a source, last in order; rows equal in id, source and size are counted
+first and then numbered, so that a hot or null id is spread over blocks like any other rows, each with a choice of its
+own; ids of any type pass unchanged; an empty table gives an empty result; other columns are ignored. Choices depend on ids, sizes
+and those numbers alone, so reruns agree.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ import zlib
 from itertools import product
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import WORD, kept, table
@@ -28,29 +31,37 @@ from ledgerline.llm.common import WORD, kept, table
 BLOCK = 256
 #: Documents that a block holds back for the landing.
 HELD = 8
+#: Equal rows that are numbered at once.
+STRIDE = 1024
 #: No document is taken more often.
 MOST = 3
 
 
+def ranked(rows: DataFrame, order: Column) -> DataFrame:
+    """Adds `rank`, from 1, in the given order: by ranges, each of which is numbered on its own."""
+    placed = kept(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    # One row a range.
+    counts = placed.groupBy("_part").count().select("_part", F.expr("sum(count) OVER (ORDER BY _part) - count").alias("_before"))
+    return placed.join(counts, "_part").withColumn("rank", F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(order))).drop("_part", "_before")
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = MOST) -> DataFrame:
     """Adds `target` to a table (source, source_size): a weighted share of all words, at most `most` times the source's.
 
-    One row a source: sources are ranked by code point, null last, and weights repeat along that order. Those whose
-    limit is lowest against their weight are cut first; `level` is what a unit of weight gets if a row and all
-    after it are not cut, so the first row whose own limit is not below its level sets the level for all.
+    One row a source: sources are ranked by code point, null last, and weights repeat along that order. All sources get
+    the same number of words for a unit of weight but for those that this would lift above their limit, which get their limit;
+    what they leave lifts the others, until no more are cut.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), ((rank - 1) % len(weights) + 1).cast("int"))
-    rows = sources.withColumn("weight", weight).withColumn("most", F.col("source_size") * float(most))
-    order = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, everything = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    level = (F.sum("source_size").over(everything) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / (
-        F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    )
-    rows = rows.withColumn("level", level)
-    fits = F.when(F.col("level") <= F.col("most") / F.col("weight"), F.col("level"))
-    rows = rows.withColumn("level", F.first(fits, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    return rows.withColumn("target", F.least("most", F.col("weight") * F.coalesce("level", F.lit(0.0)))).drop("weight", "most", "level")
+    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
+    rows = kept(ranked(sources, F.col("source").asc_nulls_last()).withColumn("weight", weight))
+    level, cut = 0.0, -1
+    while True:
+        full = F.col("source_size") * float(most) < F.col("weight") * level
+        all_, held, n, open_ = rows.agg(F.sum("source_size"), F.sum(F.when(full, F.col("source_size"))), F.count_if(full), F.sum(F.when(~full, F.col("weight")))).first()
+        if n == cut or not all_ or not open_:
+            break
+        cut, level = n, (all_ - float(most) * (held or 0)) / open_
+    return rows.withColumn("target", F.least(F.col("source_size") * float(most), F.col("weight") * level)).drop("weight", "rank")
 
 
 def flight(prob: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -93,27 +104,26 @@ def landing(prob: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.round(out, 9)
 
 
-def _move(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(["place", "row_id", "size"], kind="stable")
-    seed = zlib.crc32(repr((group["source"].iloc[0], int(group["place"].iloc[0]))).encode())
-    size = group["size"].to_numpy(float)
+def _move(group: pa.Table) -> pa.Table:
+    group = group.take(pc.sort_indices(group, [("place", "ascending"), ("size", "ascending"), ("nth", "ascending")]))
+    seed = zlib.crc32(repr((group["source"][0].as_py(), group["place"][0].as_py())).encode())
+    size = group["size"].to_numpy().astype(float)
     p = flight(group["p"].to_numpy(), size, np.random.default_rng(seed))
-    return group.assign(p=landing(p, size) if group["last"].iloc[0] else p)
+    p = landing(p, size) if group["last"][0].as_py() else p
+    return group.set_column(group.schema.get_field_index("p"), "p", pa.array(p))
 
 
 def balanced(rows: DataFrame) -> DataFrame:
-    """Turns `p` of rows (row_id, source, size, p) into 0 or 1, with p's sums by source kept but for the landing."""
-    decided, turn = [], 0
+    """Turns `p` of rows (row_id, source, size, nth, p) into 0 or 1, with p's sums by source kept but for the landing."""
+    decided, turn, names = [], 0, rows.columns
     while True:
         # Blocks of a source: counted by source, then dealt by a hash that differs in every round.
         counts = rows.groupBy("source").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        place = F.xxhash64(F.lit(turn), "row_id", "size")
-        dealt = rows.join(F.broadcast(counts) if turn else counts, rows["source"].eqNullSafe(counts["source"])).select(
+        place = F.xxhash64(F.lit(turn), "row_id", "size", "nth")
+        dealt = rows.join(counts, rows["source"].eqNullSafe(counts["source"])).select(
             rows["*"], place.alias("place"), F.pmod(place, F.col("blocks")).alias("block"), (F.col("blocks") == 1).alias("last")
         )
-        moved = kept(
-            dealt.groupBy("source", "block").applyInPandas(_move, dealt.schema).select(*rows.columns)
-        )
+        moved = kept(dealt.groupBy("source", "block").applyInArrow(_move, dealt.schema).select(*names))
         decided.append(moved.where("p = 0 OR p = 1"))
         rows, turn = moved.where("p > 0 AND p < 1"), turn + 1
         if rows.isEmpty():
@@ -126,14 +136,15 @@ def balanced(rows: DataFrame) -> DataFrame:
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1, 2, 3), most: float = MOST) -> DataFrame:
     """(id_col, size, source, source_size, target, copies) for every row: how often the mix takes it."""
-    sized = kept(
-        df.select(F.col(id_col).alias("row_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    )
-    aims = kept(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most))
+    size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    equal = kept(df.select(F.col(id_col).alias("row_id"), F.col(source_col).alias("source"), size).groupBy("row_id", "source", "size").agg(F.count("*").alias("many")))
+    aims = targets(equal.groupBy("source").agg(F.sum(F.col("size") * F.col("many")).alias("source_size")), weights, most)
     # A row a source: the join is by source, and adaptive execution splits a source that holds a large share of rows.
     ratio = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
     ratio = F.when(F.abs(ratio - F.round(ratio)) < 1e-9, F.round(ratio)).otherwise(ratio)
-    rows = sized.join(aims, sized["source"].eqNullSafe(aims["source"])).select(sized["*"], "source_size", "target", F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("p"))
+    rows = equal.join(aims, equal["source"].eqNullSafe(aims["source"])).select(equal["*"], "source_size", "target", F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("p"))
+    rows = rows.select("*", F.expr(f"explode(sequence(0L, (many - 1) div {STRIDE}))").alias("stride"))
+    rows = rows.select("*", F.expr(f"explode(sequence(stride * {STRIDE}, least(many, (stride + 1) * {STRIDE}) - 1))").alias("nth")).drop("stride", "many")
     chosen = balanced(rows)
     return chosen.select(F.col("row_id").alias(id_col), "size", "source", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies"))
 

@@ -255,6 +255,24 @@ def test_mix(spark):
     assert again == {r.doc_id: r.taken for r in rows}
 
 
+def test_mix_takes_the_targets(spark):
+    """Every row a whole number of times next to its ratio, and each source's words near its target."""
+    big = [(2**53 + k, "w " * (k % 40), "abcde"[k % 5]) for k in range(1, 3000, 2)] + [(None, "x y z", "a")] * 700 + [(5, "hot row", "b")] * 3000 + [(None, None, None), (7, "q", None)]
+    rows = mixing.mix(spark.createDataFrame(big, "doc_id long, text string, source string")).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, *_ in big)
+    taken, aim, held = Counter(), {}, Counter()
+    for r in rows:
+        ratio = r.target / r.source_size if r.source_size else 0
+        assert np.floor(ratio - 1e-9) <= r.copies <= np.ceil(ratio + 1e-9) and r.copies <= 3
+        taken[r.source] += r.copies * r.size
+        held[r.source] += r.size
+        aim[r.source] = r.target
+    assert all(r.source_size == held[r.source] for r in rows)
+    assert all(abs(taken[s] - aim[s]) <= max(3, 0.002 * aim[s]) for s in aim)
+    hot = [r.copies for r in rows if r.doc_id == 5]
+    assert len(set(hot)) == 2 and abs(np.mean(hot) - aim["b"] / held["b"]) < 0.1
+
+
 def test_targets_stop_at_three_times(spark):
     rows = spark.createDataFrame([("a", 1000), ("b", 10), (None, 0), ("c", 500)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(rows).collect()}
