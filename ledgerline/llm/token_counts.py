@@ -3,8 +3,9 @@
 A pre-token is a white-space separated word with the word mark before it. The distinct pre-tokens of a batch go into a
 trie; a node stands for a prefix, and its forward score, the best sum of piece scores over all ways to cut the prefix into
 pieces, is computed once for all words that share it. Nodes that end a word keep the number of pieces of the
-best cut. Counts of texts are sums over their words. Words met before by the same Python worker aren't computed again,
-and what a worker remembers is bounded.
+best cut. Counts of texts are sums over their words. Words met before by the same Python worker aren't computed again;
+what it remembers is bounded in bytes, and a trie in letters. A word of over LONG_WORD letters has no prefix to share: it is
+cut by itself, holding no more scores than the longest piece has letters.
 
 Pieces come from a public vocabulary file, ordered by how common they are: the score of the piece of rank r is
 -log(r + 2.7), up to a constant that all pieces share (Mandelbrot's law). Characters that no piece covers cost their
@@ -27,7 +28,8 @@ from pyspark.sql import types as T
 from ledgerline.llm.common import coded_words, row_sums, slices, table
 
 MARK = "▁"
-REMEMBERED = 1_000_000
+#: Bytes of words that a Python worker remembers, letters of a trie, and the longest word that goes into one.
+REMEMBERED, LETTERS, LONG_WORD = 160 << 20, 1 << 20, 256
 
 
 def load_pieces(path: str) -> dict[str, float]:
@@ -81,23 +83,53 @@ class Trie:
         return self.count[node]
 
 
+    def cut(self, word: str) -> int:
+        """The number of tokens of `word`, without a node."""
+        score, count, size = [0.0] * (self.longest + 1), [0] * (self.longest + 1), self.longest + 1
+        for end, letter in enumerate(word, 1):
+            bytes_, last = len(letter.encode("utf-8", "surrogatepass")), (end - 1) % size
+            best, fewest = score[last] + bytes_ * self.unknown, count[last] + bytes_
+            for n in self.lengths.get(letter, ()):
+                if n > end:
+                    break
+                own = self.pieces.get(word[end - n : end])
+                if own is not None:
+                    s, c = score[(end - n) % size] + own, count[(end - n) % size] + 1
+                    if s > best or s == best and c < fewest:
+                        best, fewest = s, c
+            score[end % size], count[end % size] = best, fewest
+        return count[len(word) % size]
+
+
 _PIECES: dict[str, dict[str, float]] = {}
 _KNOWN: dict[str, dict[str, int]] = {}
+_HELD: dict[str, int] = {}
 
 
 def word_counts(words: list[str], path: str) -> np.ndarray:
     """The number of tokens of each of the distinct `words`."""
     if path not in _PIECES:
-        _PIECES[path], _KNOWN[path] = load_pieces(path), {}
+        _PIECES[path], _KNOWN[path], _HELD[path] = load_pieces(path), {}, 0
     known = _KNOWN[path]
-    if len(known) > REMEMBERED:
+    if _HELD[path] > REMEMBERED:
         known.clear()
+        _HELD[path] = 0
     new = sorted(w for w in words if w not in known)  # neighbours share prefixes: one trie for a run of them is small
-    for k in range(0, len(new), 50_000):
-        trie = Trie(_PIECES[path])
-        for w in new[k : k + 50_000]:
-            known[w] = trie.add(MARK + w)
-    return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    trie, room = None, 0
+    for w in new:
+        if len(w) > LONG_WORD:
+            known[w] = (trie or Trie(_PIECES[path])).cut(MARK + w)
+            continue
+        if room <= 0:
+            trie, room = Trie(_PIECES[path]), LETTERS
+        known[w] = trie.add(MARK + w)
+        room -= len(w)
+        _HELD[path] += 120 + len(w)
+    counts = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    for w in new:
+        if len(w) > LONG_WORD:
+            del known[w]
+    return counts
 
 
 def token_counts(df: DataFrame, pieces: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
