@@ -7,15 +7,18 @@ A file set is a Parquet folder. A row is a block, some 64k ids of whole document
     shard_start long     ids of the shard before the block
     doc_ids array<..>    documents of the block, in order
     lengths array<int>   ids of each, with its end id
-    offsets array<int>   place of the 64-bit word that holds the first id of every OFFSET_EVERY-th id, and how many
+    offsets array<long>  place of the 64-bit word that holds the first id of every OFFSET_EVERY-th id, and how many
                          ids of that word come before it, as word * 64 + skipped
     packed binary        little-endian 64-bit words
 
 Every word has a selector in its top 4 bits and 60 bits of payload: WIDTHS[s] bits for each of COUNTS[s] ids, the
 first lowest. Selector 15 is the escape: one id of up to 60 bits, for ids that no narrower cell can hold.
 
-Rows: null texts count as empty, and an empty text has the end id alone; equal ids keep the order of their
-texts; null ids come first; very long texts make a block of their own; other columns are ignored.
+Shards hold about SHARD_BYTES of text, however large the table is; rows of one id, or of none, may fill several.
+
+Rows: null texts count as empty, and an empty text has the end id alone; rows of equal ids are in the order of a hash of their
+texts, then of the texts; null ids come first; very long texts make a block of their own; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +43,11 @@ ESCAPE = 15
 END_ID = 1
 BLOCK_IDS = 1 << 16
 OFFSET_EVERY = 4096
-#: Words that a Python worker remembers with their ids, and as many again that it met before those.
-REMEMBERED = 600_000
+#: Bytes of text of a shard, about.
+SHARD_BYTES = 64 << 20
+#: What a Python worker remembers of words and their ids, in bytes, and as much again of words that it met before those.
+#: Longer words than LONG_WORD letters are not remembered.
+REMEMBERED, LONG_WORD = 160 << 20, 256
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,11 +108,14 @@ def unpack_part(words: np.ndarray, offsets: np.ndarray, start: int, stop: int) -
 class WordEncoder:
     """Ids of white-space separated words, from a tokenizer that drops white space, so that a text's ids are its words' ids.
 
-    Plain words, letters with or without one run of marks behind, are encoded many at once and told apart by
-    the suffix that ends each of the tokenizer's own words; all others are encoded one by one.
+    Most words are letters with or without a run of marks behind. Where the tokenizer takes the two apart, their ids
+    are those of the letters, in lower case if the tokenizer ignores case, and of the marks. Runs of letters are
+    encoded many at once and told apart by the suffix that ends each of the tokenizer's own words; all else is
+    encoded one by one.
     """
 
-    PLAIN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+(?:[.,!?;:]+)?")
+    LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
+    PLAIN = re.compile(rf"([{LETTERS}]+)([!-/:-@\[-^`{{-~]*)")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -115,39 +124,64 @@ class WordEncoder:
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        probes = [("word", ","), ("Größe", "..."), ("x", "'"), ("The", ")*")]
+        self.splits = self.ends.any() and all(self._one(a + b) == self._one(a) + self._one(b) for a, b in probes)
+        letters = [c for c in map(chr, range(256)) if re.match(f"[{self.LETTERS}]", c)]
+        self.folds = all(self._one(f"n{c}n") == self._one(f"n{c}n".lower()) for c in letters)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
+
+    def _one(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        self.known[word] = ids
+        self.held += 150 + len(word) + len(ids)
+
+    def _recall(self, words: list[str]) -> list[str]:
+        """The words that are not remembered; those from the older generation join the newer one."""
+        new = [w for w in words if w not in self.known]
+        if new and self.older:
+            for w in new:
+                if w in self.older:
+                    self._keep(w, self.older[w])
+            new = [w for w in new if w not in self.known]
+        return new
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.PLAIN.fullmatch(w)] if self.ends.any() else []
-        for k in range(0, len(plain), 5000):
-            some = plain[k : k + 5000]
+        parts = [(w, m[1].lower() if self.folds else m[1], m[2]) for w in words if (m := self.PLAIN.fullmatch(w))] if self.splits else []
+        letters = self._recall(list(dict.fromkeys(p[1] for p in parts)))
+        for k in range(0, len(letters), 5000):
+            some = letters[k : k + 5000]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            runs = np.array([1 if w[-1].isalpha() else 2 for w in some])
             stops = np.nonzero(self.ends[ids])[0] + 1
-            if len(stops) != runs.sum():
-                plain = plain[:k]
+            if len(stops) != len(some):  # the tokenizer cuts letters after all
+                parts = []
                 break
-            stops = stops[np.cumsum(runs) - 1].tolist()
             raw, start = ids.tobytes(), 0
-            for w, stop in zip(some, stops, strict=True):
-                self.known[w] = raw[4 * start : 4 * stop]
+            for w, stop in zip(some, stops.tolist(), strict=True):
+                self._keep(w, raw[4 * start : 4 * stop])
                 start = stop
+        for mark in self._recall(list(dict.fromkeys(p[2] for p in parts))):
+            self._keep(mark, self._one(mark))
+        for w, own, mark in parts:
+            if w not in self.known:
+                self._keep(w, self.known[own] + self.known[mark])
         for w in words:
             if w not in self.known:
-                self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+                self._keep(w, self._one(w))
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words one after the other, and how many each has."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        new = [w for w in words if w not in self.known]
-        if new and self.older:
-            self.known.update((w, self.older[w]) for w in new if w in self.older)
-            new = [w for w in new if w not in self.older]
-        if new:
+        if self.held > REMEMBERED:
+            self.known, self.older, self.held = {}, self.known, 0
+        if new := self._recall(words):
             self._learn(new)
         found = [self.known[w] for w in words]
+        for w in new:
+            if len(w) > LONG_WORD:
+                self.known.pop(w, None)
         return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
 
@@ -184,13 +218,15 @@ def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 def _block_schema(id_type: T.DataType) -> T.StructType:
     return T.StructType(
         [T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("shard_start", T.LongType()), T.StructField("n_ids", T.LongType())]
-        + [T.StructField("doc_ids", T.ArrayType(id_type)), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("offsets", T.ArrayType(T.IntegerType()))]
+        + [T.StructField("doc_ids", T.ArrayType(id_type)), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("offsets", T.ArrayType(T.LongType()))]
         + [T.StructField("packed", T.BinaryType())]
     )
 
 
 def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encodes every text and writes the blocks in ascending order of ids, in as many shards as there are partitions."""
+    """Encodes every text and writes the blocks in ascending order of ids, in shards of about SHARD_BYTES, and as many as there are cores at least."""
+    held = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shards = max(-(-held // SHARD_BYTES), df.sparkSession.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, before = TaskContext.get().partitionId(), 0, 0
@@ -209,13 +245,14 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
                     {
                         "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "shard_start": pa.array([before], pa.int64()),
                         "n_ids": pa.array([len(own)], pa.int64()), "doc_ids": pa.array([batch.column(0)[a:b].to_pylist()], pa.list_(batch.column(0).type)),
-                        "lengths": pa.array([lengths[a:b]], pa.list_(pa.int32())), "offsets": pa.array([offsets], pa.list_(pa.int32())),
+                        "lengths": pa.array([lengths[a:b]], pa.list_(pa.int32())), "offsets": pa.array([offsets], pa.list_(pa.int64())),
                         "packed": pa.array([words.astype("<u8").tobytes()], pa.binary()),
                     }
                 )
                 block, before = block + 1, before + len(own)
 
-    ordered = df.select(id_col, text_col).repartitionByRange(id_col).sortWithinPartitions(id_col, text_col)
+    order = F.xxhash64(text_col)  # parts a hot id
+    ordered = df.select(id_col, text_col).repartitionByRange(shards, id_col, order).sortWithinPartitions(id_col, order, text_col)
     ordered.mapInArrow(run, _block_schema(df.schema[id_col].dataType)).write.parquet(path)
 
 
@@ -245,6 +282,22 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInArrow(run, out)
 
 
+def read_range(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """(start, ids): the ids at the places start to stop of the whole stream, in pieces of one block each, decoded from the nearest offsets on."""
+    blocks = spark.read.parquet(path)
+    first = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select("shard", F.expr("sum(n) OVER (ORDER BY shard) - n").alias("first"))  # one row a shard
+    own = blocks.join(first, "shard").select((F.col("first") + F.col("shard_start")).alias("at"), "n_ids", "offsets", "packed").where((F.col("at") < stop) & (F.col("at") + F.col("n_ids") > start))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                a, b = max(start - row["at"], 0), min(stop - row["at"], row["n_ids"])
+                ids = unpack_part(np.frombuffer(row["packed"], "<u8"), row["offsets"], a, b)
+                yield pa.RecordBatch.from_arrays([pa.array([row["at"] + a]), pa.array([ids.astype(np.int64)], pa.list_(pa.int64()))], ["start", "ids"])
+
+    return own.mapInArrow(run, "start long, ids array<long>")
+
+
 def token_files(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the files into the shared folder and returns what reading them back gives."""
     spark = df.sparkSession

@@ -61,12 +61,13 @@ def test_all_survive_odd_rows_and_empty_tables(spark, odd):
 
 def test_token_counts_are_best_cuts(spark):
     pieces = token_counts.load_pieces(P.path("piece_bpe_32k.model"))
+    low = min(pieces.values()) - 10
 
     def brute(word):
         best = [(0.0, 0)]
         for end in range(1, len(word) + 1):
             n = len(word[end - 1].encode())
-            ways = [(best[end - 1][0] + n * (min(pieces.values()) - 10), best[end - 1][1] + n)]
+            ways = [(best[end - 1][0] + n * low, best[end - 1][1] + n)]
             ways += [(best[s][0] + pieces[word[s:end]], best[s][1] + 1) for s in range(end) if word[s:end] in pieces]
             best.append(max(ways, key=lambda w: (w[0], -w[1])))
         return best[-1][1]
@@ -79,6 +80,15 @@ def test_token_counts_are_best_cuts(spark):
         assert got[r.doc_id] == sum(cache.setdefault(w, brute(token_counts.MARK + w.decode())) for w in words)
 
 
+def test_long_words_are_cut_alike_without_a_trie():
+    trie = token_counts.Trie(token_counts.load_pieces(P.path("piece_bpe_32k.model")))
+    for word in ("the" * 100, "ünï日本" * 60, "a1b2-c3" * 50, "x", ""):
+        assert trie.cut(token_counts.MARK + word) == trie.add(token_counts.MARK + word)
+    words = ["Q" * 300, "the", "theme"]
+    assert token_counts.word_counts(words, P.path("piece_bpe_32k.model")).tolist() == [trie.add(token_counts.MARK + w) for w in words]
+    assert words[0] not in token_counts._KNOWN[P.path("piece_bpe_32k.model")]
+
+
 def test_quality_and_toxicity_rank(spark):
     labels = common.table(spark, "/root/testdata/sf0.01", "labels")
     for name, label, least in (("op2_quality", "quality", 0.97), ("op3_toxicity", "toxic", 0.85)):
@@ -397,6 +407,36 @@ def test_simple8b_round_trips():
         token_files.pack(np.array([2**61], np.uint64))
 
 
+def test_words_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(files()), np.random.default_rng(12)
+    letters = list("abcXYZéÉßÀÿ") + ["e\u0301", "İ", "ſ", "K", "日", "ﬁ"]
+    marks = list("!?.,;:'\"*$%&()[]{}|_-~") + ["'s", "\u0301", "…", "1", "9"]
+    words = sorted({"".join(rng.choice(letters, rng.integers(0, 6)).tolist() + rng.choice(marks, rng.integers(0, 4)).tolist() + rng.choice(letters, rng.integers(0, 2)).tolist()) for _ in range(4000)} - {""})
+    words.append("z" * 1000)
+    for _ in range(2):
+        flat, counts = token_files.encoder(files()).ids(words)
+        for w, own in zip(words, np.split(flat, np.cumsum(counts)[:-1]), strict=True):
+            assert own.tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
+    assert words[-1] not in token_files.encoder(files()).known
+
+
+def test_ranges_of_ids_are_read_from_the_files(spark, tmp_path):
+    rows = [(None if k % 3 else k, "some words of text " * (k % 50)) for k in range(600)] + [(9, "hot id " + str(k)) for k in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    token_files.write_ids(table, f"{tmp_path}/f", files())
+    docs_ = token_files.read_ids(spark, f"{tmp_path}/f")
+    total = docs_.agg(F.sum("n_tokens")).first()[0]
+    every = [x for r in sorted(token_files.read_range(spark, f"{tmp_path}/f", 0, total).collect()) for x in r.ids]
+    for a, b in ((0, 1), (total // 2, total // 2 + 9000), (total - 5, total)):
+        assert [x for r in sorted(token_files.read_range(spark, f"{tmp_path}/f", a, b).collect()) for x in r.ids] == every[a:b]
+    for r in docs_.collect():
+        assert zlib.crc32(np.array(every[r.start : r.start + r.n_tokens], "<u4").tobytes()) == r.ids_crc32
+    ids = [r.doc_id for r in docs_.orderBy("start").collect()]
+    assert ids == [None] * 400 + sorted(i for i, _ in rows if i is not None)
+
+
 def test_token_files_hold_what_the_library_encodes(spark, odd):
     from tokenizers import Tokenizer
 
