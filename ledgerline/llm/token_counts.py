@@ -124,7 +124,7 @@ def word_counts(words: list[str], path: str) -> np.ndarray:
             trie, room = Trie(_PIECES[path]), LETTERS
         known[w] = trie.add(MARK + w)
         room -= len(w)
-        _HELD[path] += 120 + len(w)
+        _HELD[path] += 220 + len(w)
     counts = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
     for w in new:
         if len(w) > LONG_WORD:
