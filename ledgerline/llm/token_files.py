@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import coded_words, shared_dir, slices, table
+from ledgerline.llm.common import coded_words, kept, shared_dir, slices, table
 
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
@@ -45,9 +45,11 @@ BLOCK_IDS = 1 << 16
 OFFSET_EVERY = 4096
 #: Bytes of text of a shard, about.
 SHARD_BYTES = 64 << 20
+#: Shards up to which their first places, two numbers each, are sent to every task.
+BROADCAST_SHARDS = 1_000_000
 #: What a Python worker remembers of words and their ids, in bytes, and as much again of words that it met before those.
 #: Longer words than LONG_WORD letters are not remembered.
-REMEMBERED, LONG_WORD = 160 << 20, 256
+REMEMBERED, LONG_WORD = 128 << 20, 256
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +139,7 @@ class WordEncoder:
 
     def _keep(self, word: str, ids: bytes) -> None:
         self.known[word] = ids
-        self.held += 150 + len(word) + len(ids)
+        self.held += 280 + len(word) + len(ids)
 
     def _recall(self, words: list[str]) -> list[str]:
         """The words that are not remembered; those from the older generation join the newer one."""
@@ -263,7 +265,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     # One row a shard: each shard's first id among all.
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     first = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
-    starts = shards.select("shard", first.alias("first"))
+    starts = kept(shards.select("shard", first.alias("first")))
+    starts = F.broadcast(starts) if starts.count() <= BROADCAST_SHARDS else starts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
