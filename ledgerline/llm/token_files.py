@@ -7,12 +7,11 @@ A file set is a Parquet folder. A row is a block, some 64k ids of whole document
     shard_start long     ids of the shard before the block
     doc_ids array<..>    documents of the block, in order
     lengths array<int>   ids of each, with its end id
-    offsets array<long>  place of the 64-bit word that holds the first id of every OFFSET_EVERY-th id, and how many
-                         ids of that word come before it, as word * 64 + skipped
+    offsets array<long>  place of the 64-bit word that begins with every OFFSET_EVERY-th id of the block
     packed binary        little-endian 64-bit words
 
 Every word has a selector in its top 4 bits and 60 bits of payload: WIDTHS[s] bits for each of COUNTS[s] ids, the
-first lowest. Selector 15 is the escape: one id of up to 60 bits, for ids that no narrower cell can hold.
+first lowest. A word never reaches over an OFFSET_EVERY-th id. Selector 15 is the escape: one id of up to 60 bits, for ids that no narrower cell can hold.
 
 Shards hold about SHARD_BYTES of text, however large the table is; rows of one id, or of none, may fill several.
 
@@ -44,20 +43,27 @@ END_ID = 1
 BLOCK_IDS = 1 << 16
 OFFSET_EVERY = 4096
 #: Bytes of text of a shard, about.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 #: Shards up to which their first places, two numbers each, are sent to every task.
 BROADCAST_SHARDS = 1_000_000
 #: What a Python worker remembers of words and their ids, in bytes, and as much again of words that it met before those.
 #: Longer words than LONG_WORD letters are not remembered.
-REMEMBERED, LONG_WORD = 128 << 20, 256
+REMEMBERED, LONG_WORD = 96 << 20, 256
 
 
-def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit words of `ids`, and the place of the first id of each word."""
+_FLOOR = np.array([max((c for c in COUNTS if c <= room), default=0) for room in range(61)], np.uint8)
+
+
+def pack(ids: np.ndarray, blocks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The 64-bit words of `ids`; and of every run of OFFSET_EVERY ids, each block's counted from its start, the place of its
+    first id and of its first word. `blocks` are the places where blocks begin.
+
+    All runs advance together: a step of the loop fills one word of each.
+    """
     ids = ids.astype(np.uint64)
     n = len(ids)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     width = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     if int(width.max()) > 60:
         raise ValueError("an id takes more than 60 bits")
@@ -70,19 +76,33 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             step = min(have, c - have)
             most = np.maximum(most[: len(most) - step], most[step:])
             have += step
-        best[: len(most)][most <= w] = c
-    jump, firsts, i = best.tolist(), [], 0
-    while i < n:
-        firsts.append(i)
-        i += jump[i]
-    firsts = np.array(firsts, np.int64)
+        fits = (most <= w).view(np.uint8) * np.uint8(c)
+        np.maximum(best[: len(most)], fits, out=best[: len(most)])
+    cuts = np.append(np.zeros(1, np.int64) if blocks is None else blocks, n)
+    starts = np.concatenate([np.arange(a, b, OFFSET_EVERY) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+    ends = np.append(starts[1:], n)
+    # Fewer ids than fit leave cells that are wide enough, so the last words of a run may stop short.
+    for back in range(1, min(60, OFFSET_EVERY) + 1):
+        at = ends - back
+        at = at[at >= starts]
+        best[at] = np.minimum(best[at], _FLOOR[back])
+    at, last, firsts = starts, ends, []
+    while len(at):
+        firsts.append(at)
+        at = at + best[at]
+        open_ = at < last
+        if not open_.all():
+            at, last = at[open_], last[open_]
+    mark = np.zeros(n, bool)
+    mark[np.concatenate(firsts)] = True
+    firsts = np.nonzero(mark)[0]
     took, words = best[firsts], np.zeros(len(firsts), np.uint64)
     for s, (c, w) in enumerate(zip(COUNTS, WIDTHS, strict=True)):
         at = np.nonzero(took == c)[0]
         if len(at):
             cells = ids[firsts[at][:, None] + np.arange(c)] << (np.uint64(w) * np.arange(c, dtype=np.uint64))
             words[at] = np.bitwise_or.reduce(cells, axis=1) | (np.uint64(ESCAPE if c == 1 else s) << np.uint64(60))
-    return words, firsts
+    return words, starts, np.searchsorted(firsts, starts)
 
 
 def unpack(words: np.ndarray) -> np.ndarray:
@@ -100,11 +120,10 @@ def unpack(words: np.ndarray) -> np.ndarray:
 
 
 def unpack_part(words: np.ndarray, offsets: np.ndarray, start: int, stop: int) -> np.ndarray:
-    """The ids from `start` to `stop` of a block, decoded from the nearest offset on."""
-    word, skip = divmod(int(offsets[start // OFFSET_EVERY]), 64)
-    skip += start % OFFSET_EVERY
-    ids = unpack(words[word : word + skip + stop - start])
-    return ids[skip : skip + stop - start]
+    """The ids from `start` to `stop` of a block, decoded from the offset before the first to the one after the last."""
+    a, b = start // OFFSET_EVERY, -(-stop // OFFSET_EVERY)
+    ids = unpack(words[offsets[a] : offsets[b] if b < len(offsets) else len(words)])
+    return ids[start - a * OFFSET_EVERY : stop - a * OFFSET_EVERY]
 
 
 class WordEncoder:
@@ -156,7 +175,7 @@ class WordEncoder:
         letters = self._recall(list(dict.fromkeys(p[1] for p in parts)))
         for k in range(0, len(letters), 5000):
             some = letters[k : k + 5000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             stops = np.nonzero(self.ends[ids])[0] + 1
             if len(stops) != len(some):  # the tokenizer cuts letters after all
                 parts = []
@@ -178,9 +197,13 @@ class WordEncoder:
         """All ids of the words one after the other, and how many each has."""
         if self.held > REMEMBERED:
             self.known, self.older, self.held = {}, self.known, 0
-        if new := self._recall(words):
+        found = list(map(self.known.get, words))
+        missing = [k for k, own in enumerate(found) if own is None]
+        new = [words[k] for k in missing]
+        if new := self._recall(new):
             self._learn(new)
-        found = [self.known[w] for w in words]
+        for k in missing:
+            found[k] = self.known[words[k]]
         for w in new:
             if len(w) > LONG_WORD:
                 self.known.pop(w, None)
@@ -192,7 +215,8 @@ def ranges(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
     ends = np.cumsum(counts)
     if not len(ends) or not ends[-1]:
         return values[:0]
-    return values[np.arange(ends[-1]) + np.repeat(starts - (ends - counts), counts)]
+    kind = np.int32 if max(ends[-1], len(values)) < 1 << 31 else np.int64
+    return values[np.arange(ends[-1], dtype=kind) + np.repeat((starts - (ends - counts)).astype(kind), counts)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -237,21 +261,21 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
             ends = np.cumsum(lengths)
             part = (ends - lengths) // BLOCK_IDS
             cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(lengths)]])
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                own = ids[ends[a] - lengths[a] : ends[b - 1]]
-                words, firsts = pack(own)
-                at = np.arange(0, len(own), OFFSET_EVERY)
-                word = np.searchsorted(firsts, at, side="right") - 1
-                offsets = word * 64 + (at - firsts[word])
+            firsts = (ends - lengths)[cuts[:-1]] if len(lengths) else ends
+            packed, starts, places = pack(ids, firsts)
+            runs = np.append(np.searchsorted(starts, firsts), len(starts))
+            for nth, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                own, here = int(ends[b - 1] - firsts[nth]), places[runs[nth] : runs[nth + 1]]
+                words = packed[here[0] : places[runs[nth + 1]] if runs[nth + 1] < len(places) else len(packed)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "shard_start": pa.array([before], pa.int64()),
-                        "n_ids": pa.array([len(own)], pa.int64()), "doc_ids": pa.array([batch.column(0)[a:b].to_pylist()], pa.list_(batch.column(0).type)),
-                        "lengths": pa.array([lengths[a:b]], pa.list_(pa.int32())), "offsets": pa.array([offsets], pa.list_(pa.int64())),
+                        "n_ids": pa.array([own], pa.int64()), "doc_ids": pa.array([batch.column(0)[a:b].to_pylist()], pa.list_(batch.column(0).type)),
+                        "lengths": pa.array([lengths[a:b]], pa.list_(pa.int32())), "offsets": pa.array([here - here[0]], pa.list_(pa.int64())),
                         "packed": pa.array([words.astype("<u8").tobytes()], pa.binary()),
                     }
                 )
-                block, before = block + 1, before + len(own)
+                block, before = block + 1, before + own
 
     order = F.xxhash64(text_col)  # parts a hot id
     ordered = df.select(id_col, text_col).repartitionByRange(shards, id_col, order).sortWithinPartitions(id_col, order, text_col)
@@ -269,7 +293,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     starts = F.broadcast(starts) if starts.count() <= BROADCAST_SHARDS else starts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             for row in batch.to_pylist():
                 ids = unpack(np.frombuffer(row["packed"], "<u8")).astype("<u4")
                 lengths = np.array(row["lengths"], np.int64)
@@ -292,7 +316,7 @@ def read_range(spark: SparkSession, path: str, start: int, stop: int) -> DataFra
     own = blocks.join(first, "shard").select((F.col("first") + F.col("shard_start")).alias("at"), "n_ids", "offsets", "packed").where((F.col("at") < stop) & (F.col("at") + F.col("n_ids") > start))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 3):
             for row in batch.to_pylist():
                 a, b = max(start - row["at"], 0), min(stop - row["at"], row["n_ids"])
                 ids = unpack_part(np.frombuffer(row["packed"], "<u8"), row["offsets"], a, b)

@@ -394,15 +394,18 @@ def test_anchors_are_enough(spark):
 
 def test_simple8b_round_trips():
     rng = np.random.default_rng(3)
-    for n in (0, 1, 59, 60, 61, 500, 5000):
-        ids = (rng.integers(0, 2**60, n) >> rng.integers(0, 60, n)).astype(np.uint64)
-        words, firsts = token_files.pack(ids)
-        assert (token_files.unpack(words) == ids).all()
-        if n:
-            at = np.arange(0, n, token_files.OFFSET_EVERY)
-            word = np.searchsorted(firsts, at, side="right") - 1
-            for start, stop in ((0, n), (n // 2, n), (n - 1, n)):
-                assert (token_files.unpack_part(words, word * 64 + at - firsts[word], start, stop) == ids[start:stop]).all()
+    for n in (0, 1, 59, 60, 61, 500, 5000, 30_000):
+        for most in (1, 16, 60):
+            ids = (rng.integers(0, 2**60, n) >> rng.integers(60 - most, 60, n)).astype(np.uint64)
+            words, starts, places = token_files.pack(ids)
+            assert (token_files.unpack(words) == ids).all() and (starts == np.arange(0, n, token_files.OFFSET_EVERY)).all()
+            for start, stop in ((0, n), (n // 2, n), (n - 1, n), (n // 3, n // 2)) if n else ():
+                assert (token_files.unpack_part(words, places, start, stop) == ids[start:stop]).all()
+            if n > 100:
+                blocks = np.array([0, 7, n // 2])
+                words, starts, places = token_files.pack(ids, blocks)
+                assert (token_files.unpack(words) == ids).all() and set(blocks) <= set(starts.tolist())
+                assert (token_files.unpack(words[places[starts == n // 2][0] :]) == ids[n // 2 :]).all()
     with pytest.raises(ValueError):
         token_files.pack(np.array([2**61], np.uint64))
 
