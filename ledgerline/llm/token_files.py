@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,9 +47,8 @@ OFFSET_EVERY = 4096
 SHARD_BYTES = 32 << 20
 #: Shards up to which their first places, two numbers each, are sent to every task.
 BROADCAST_SHARDS = 1_000_000
-#: What a Python worker remembers of words and their ids, in bytes, and as much again of words that it met before those.
-#: Longer words than LONG_WORD letters are not remembered.
-REMEMBERED, LONG_WORD = 96 << 20, 256
+#: What a Python worker remembers of words and their ids, in bytes; then it starts anew.
+REMEMBERED = 96 << 20
 
 
 _FLOOR = np.array([max((c for c in COUNTS if c <= room), default=0) for room in range(61)], np.uint8)
@@ -132,7 +132,7 @@ class WordEncoder:
     Most words are letters with or without a run of marks behind. Where the tokenizer takes the two apart, their ids
     are those of the letters, in lower case if the tokenizer ignores case, and of the marks. Runs of letters are
     encoded many at once and told apart by the suffix that ends each of the tokenizer's own words; all else is
-    encoded one by one.
+    encoded one by one. Words are remembered by a hash of 64 bits in some 30 bytes each.
     """
 
     LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
@@ -149,30 +149,43 @@ class WordEncoder:
         self.splits = self.ends.any() and all(self._one(a + b) == self._one(a) + self._one(b) for a, b in probes)
         letters = [c for c in map(chr, range(256)) if re.match(f"[{self.LETTERS}]", c)]
         self.folds = all(self._one(f"n{c}n") == self._one(f"n{c}n".lower()) for c in letters)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
-
-    def _one(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _keep(self, word: str, ids: bytes) -> None:
-        self.known[word] = ids
-        self.held += 280 + len(word) + len(ids)
-
-    def _recall(self, words: list[str]) -> list[str]:
-        """The words that are not remembered; those from the older generation join the newer one."""
-        new = [w for w in words if w not in self.known]
-        if new and self.older:
-            for w in new:
-                if w in self.older:
-                    self._keep(w, self.older[w])
-            new = [w for w in new if w not in self.known]
-        return new
+        self._forget()
+
+    def _forget(self) -> None:
+        # By a 64-bit hash of the word, in rising order: the first of its ids among `flat`, and how many it has.
+        self.keys, self.starts, self.counts, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u4")
+
+    def _one(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    @staticmethod
+    def _hashes(words: list[str]) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each word stands, or -1."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, at, -1)
+
+    def _keep(self, hashes: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> None:
+        starts = len(self.flat) + np.cumsum(counts) - counts
+        self.flat = np.concatenate([self.flat, flat.astype("<u4")])
+        hashes, first = np.unique(hashes, return_index=True)
+        first = first[self._places(hashes) < 0]
+        hashes = hashes[self._places(hashes) < 0]
+        at = np.searchsorted(self.keys, hashes)
+        self.keys, self.starts, self.counts = np.insert(self.keys, at, hashes), np.insert(self.starts, at, starts[first]), np.insert(self.counts, at, counts[first])
+
+    def _singly(self, words: list[str]) -> None:
+        ids = [self._one(w) for w in words]
+        self._keep(self._hashes(words), np.array([x for own in ids for x in own], "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def _learn(self, words: list[str]) -> None:
         parts = [(w, m[1].lower() if self.folds else m[1], m[2]) for w in words if (m := self.PLAIN.fullmatch(w))] if self.splits else []
-        letters = self._recall(list(dict.fromkeys(p[1] for p in parts)))
+        letters = list(dict.fromkeys(p[1] for p in parts))
+        letters = [letters[k] for k in np.nonzero(self._places(self._hashes(letters)) < 0)[0]]
         for k in range(0, len(letters), 5000):
             some = letters[k : k + 5000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -180,34 +193,24 @@ class WordEncoder:
             if len(stops) != len(some):  # the tokenizer cuts letters after all
                 parts = []
                 break
-            raw, start = ids.tobytes(), 0
-            for w, stop in zip(some, stops.tolist(), strict=True):
-                self._keep(w, raw[4 * start : 4 * stop])
-                start = stop
-        for mark in self._recall(list(dict.fromkeys(p[2] for p in parts))):
-            self._keep(mark, self._one(mark))
-        for w, own, mark in parts:
-            if w not in self.known:
-                self._keep(w, self.known[own] + self.known[mark])
-        for w in words:
-            if w not in self.known:
-                self._keep(w, self._one(w))
+            self._keep(self._hashes(some), ids, np.diff(stops, prepend=0))
+        if parts:
+            self._singly(list(dict.fromkeys(p[2] for p in parts)))
+            at = np.stack([self._places(self._hashes([p[side] for p in parts])) for side in (1, 2)], axis=1)
+            counts = self.counts[at].astype(np.int64)
+            self._keep(self._hashes([p[0] for p in parts]), ranges(self.flat, self.starts[at].ravel(), counts.ravel()), counts.sum(axis=1))
+        self._singly([words[k] for k in np.nonzero(self._places(self._hashes(words)) < 0)[0]])
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words one after the other, and how many each has."""
-        if self.held > REMEMBERED:
-            self.known, self.older, self.held = {}, self.known, 0
-        found = list(map(self.known.get, words))
-        missing = [k for k, own in enumerate(found) if own is None]
-        new = [words[k] for k in missing]
-        if new := self._recall(new):
-            self._learn(new)
-        for k in missing:
-            found[k] = self.known[words[k]]
-        for w in new:
-            if len(w) > LONG_WORD:
-                self.known.pop(w, None)
-        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        if 20 * len(self.keys) + 4 * len(self.flat) > REMEMBERED:
+            self._forget()
+        hashes = self._hashes(words)
+        missing = np.nonzero(self._places(hashes) < 0)[0]
+        if len(missing):
+            self._learn([words[k] for k in missing])
+        at = self._places(hashes)
+        return ranges(self.flat, self.starts[at], self.counts[at].astype(np.int64)), self.counts[at].astype(np.int64)
 
 
 def ranges(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -256,7 +259,7 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, before = TaskContext.get().partitionId(), 0, 0
-        for batch in slices(batches):
+        for batch in slices(batches, most=4 << 20):
             ids, lengths = encode_texts(batch.column(1), tokenizer)
             ends = np.cumsum(lengths)
             part = (ends - lengths) // BLOCK_IDS
