@@ -4,14 +4,16 @@ Labels say which documents are toxic, not which words. Word labels are therefore
 labelled documents, each text once, words (lower-cased, without marks) that are far more frequent in toxic documents
 than in clean ones form a bounded lexicon; such a word of a toxic document is labelled toxic, every other word clean.
 A two-state field with a weight for each of these features and for each transition is then fitted to the word labels by
-gradient ascent on the conditional likelihood.
+gradient ascent on the conditional likelihood; of texts of over FIT_WORDS words a stretch is taken, which a hash places,
+or in toxic ones the first word of the lexicon.
 
 Scoring runs forward and backward over each whole text. A document's score is a logistic function, fitted on the same
 sample, of its expected number of toxic words, the sum of their marginals; words whose marginal reaches SPAN_AT are
 its offending spans, in code points.
 
 Rows: null texts count as empty and score like clean ones, and so do all texts where no toxic label was learnt; repeated rows score alike;
-null labels and labels without a document are left out; other columns are ignored.
+a labelled id counts once; null labels and labels without a document are left out; an empty table gives an empty result; very
+long texts are scored whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ from pyspark.sql import types as T
 from ledgerline.llm.common import coded_words, kept, row_sums, slices, table
 from ledgerline.llm.quality import sample_rows
 
-#: Expected number of labelled documents of either class that the lexicon is counted on.
+#: Most labelled documents of either class that the lexicon is counted on.
 SAMPLE_PER_CLASS = 10_000
-#: Expected number of those, of either class, that the field is fitted on, and their longest in words.
+#: Most of those, of either class, that the field is fitted on, and the longest stretch in words.
 FIT_PER_CLASS, FIT_WORDS = 800, 600
 LEXICON = 2_000
 #: A feature enters the lexicon if its share of toxic documents, smoothed, is so many times its share of clean ones,
@@ -164,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     model = Field()
     if not sizes.get(1):
         return model
-    # The sample has at most about 2 * SAMPLE_PER_CLASS rows of two numbers, whatever the tables' sizes.
+    # The sample has at most 2 * SAMPLE_PER_CLASS rows of two numbers, whatever the tables' sizes.
     found = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(sample.withColumnRenamed(id_col, "_id")), F.col(id_col) == F.col("_id"))
     # Copies of a text count once, as what it says.
     once = kept(found.groupBy(F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"), F.max("label").alias("label")))
@@ -179,26 +181,52 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     places = {f: k for k, f in enumerate(names)}
     if not names:
         return model
-    part = F.when(F.col("label") == 1, min(1.0, FIT_PER_CLASS / max(1, toxic))).otherwise(min(1.0, FIT_PER_CLASS / max(1, clean)))
-    short = F.size(F.split("text", r"[\x20\x09-\x0D]+")) <= FIT_WORDS
-    rows = once.where((F.pmod(F.col("h"), F.lit(1 << 20)) < part * (1 << 20)) & short).orderBy("h").collect()
-    sequences, labelled = [], []
-    for r in rows:
-        found_ = [tuple(places[f] for f in features(w) if f in places) for w in r["text"].split()]
-        if found_:
-            labelled.append(r["label"])
-            sequences.append((found_, np.array([bool(f) and r["label"] == 1 for f in found_])))
+    chosen = [once.where(F.col("label") == c).select("h").orderBy(F.xxhash64("h"), "h").limit(FIT_PER_CLASS) for c in (0, 1)]
+    some = once.join(F.broadcast(chosen[0].union(chosen[1])), "h").select("h", "text", "label")
+    rows = sorted(some.mapInArrow(_stretches(places), "h long, label int, coded array<int>").collect())
+    sequences = [(tuple((k,) if k >= 0 else () for k in r["coded"]), np.array([k >= 0 and r["label"] == 1 for k in r["coded"]])) for r in rows if r["coded"]]
     if any(y.any() for _, y in sequences):
         model.fit(sequences, names)
-        counts = np.array([len(y) for _, y in sequences])
-        emission = np.array([model.bias + sum(model.weights[names[k]] for k in f) for x, _ in sequences for f in x])
-        expected = row_sums(marginals(*forward_backward(emission, counts, model.moves)), counts)
+        # Calibrated on what whole texts give, long ones too.
+        whole = sorted(_expected(some, model).collect())
+        expected, labelled = np.array([r["expected"] for r in whole]), [r["label"] for r in whole]
         y = np.array(labelled, float)
         weight = np.where(y == 1, sizes[1] / max(1, y.sum()), sizes.get(0, 0) / max(1, (1 - y).sum()))
         model.calibrate(np.maximum(expected, 0.0), y, weight / weight.mean())
     return model
 
 
+def _stretches(places: dict[str, int]):
+    """(h, label, coded): of each text at most FIT_WORDS words, each as its place in the lexicon or -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, codes, counts = coded_words(batch.column(1))
+            own = np.fromiter((places.get(f[0], -1) if (f := features(w)) else -1 for w in words), np.int32, len(words))[codes]
+            out = []
+            for h, label, part in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), np.split(own, np.cumsum(counts)[:-1]), strict=True):
+                hits = np.nonzero(part >= 0)[0]
+                at = int(hits[0]) - FIT_WORDS // 2 if label == 1 and len(hits) else h % max(1, len(part) - FIT_WORDS + 1)
+                at = max(0, min(at, len(part) - FIT_WORDS))
+                out.append(part[at : at + FIT_WORDS].tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.list_(pa.int32()))], ["h", "label", "coded"])
+
+    return run
+
+
+def _expected(df: DataFrame, model: Field) -> DataFrame:
+    """(h, label, expected): the expected number of toxic words of each whole text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, codes, counts = coded_words(batch.column(1))
+            emission = np.fromiter(map(model.emission, words), float, len(words))[codes]
+            expected = row_sums(marginals(*forward_backward(emission, counts, model.moves)), counts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(expected)], ["h", "label", "expected"])
+
+    return df.mapInArrow(run, "h long, label int, expected double")
+
+
 def score(df: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, score, spans): the probability that any word is toxic, and the spans (start, end, marginal) of those that are."""
     held = df.sparkSession.sparkContext.broadcast(model)
@@ -236,4 +264,6 @@ def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
     found = score(docs, model)
-    return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+    spans = F.expr("array_join(transform(spans, x -> concat(x.start, ':', x.end)), ',')").alias("spans")
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", predicted, F.size("spans").alias("n_spans"), spans)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -98,6 +99,50 @@ def test_quality_and_toxicity_rank(spark):
         assert np.mean([r[label] == r.predicted for r in held]) >= least
 
 
+def test_quality_is_brute_force(spark):
+    """The query's scores from the fitted weights and features counted in Python."""
+    docs_ = common.table(spark, SMALL, "documents")
+    model = quality.fit(docs_, common.table(spark, SMALL, "labels").where(~quality.held_out()))
+    got = {r.doc_id: r for r in queries.QUERIES["op2_quality"](spark, SMALL).collect()}
+    for r in docs_.collect():
+        t = r.text or ""
+        w, lines, n = re.findall(r"[^\x20\x09-\x0d]+", t), [x for x in t.split("\n") if x], max(1, len(t))
+        k = max(1, len(w))
+        java_space = " \t\n\x0b\f\r"
+        f = [np.log1p(len(w)), np.log1p(n / k), len(set(w)) / k, sum(a == b for a, b in zip(w, w[1:], strict=False)) / k]
+        f += [sum(unicodedata.category(c) == "Lu" for c in t) / n, sum(not (unicodedata.category(c)[0] in "LN" or c in java_space + ".,") for c in t) / n]
+        f += [sum(c in "0123456789" for c in t) / n, sum(x == "|" for x in w) / k, sum(x[-1] in "#$%&*!" for x in w) / k, len(set(lines)) / max(1, len(lines)), sum(len(x) <= 3 for x in w) / k]
+        strength = sum(a * b for a, b in zip(model.weights, f, strict=True)) - model.threshold
+        want = 1 / (1 + np.exp(-strength) * 7 / 3)
+        assert abs(got[r.doc_id].score - want) < 1e-9 and got[r.doc_id].predicted == (want >= 0.3) and got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_a_labelled_id_counts_once(spark):
+    labels = spark.createDataFrame([(1, 1)] * 500 + [(2, 0)] * 500 + [(None, 1)], "doc_id long, quality int")
+    found, sizes = quality.sample_rows(labels, "quality", 10)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 0)] and sizes == {0: 1, 1: 1}
+    many = labels.union(spark.range(10, 2000).selectExpr("id", "cast(id % 2 AS int)"))
+    assert {c: n for c, n in quality.sample_rows(many, "quality", 50)[0].groupBy("label").count().collect()} == {0: 50, 1: 50}
+
+
+def test_toxic_spans_and_long_documents(spark):
+    """Toxic documents are all longer than a stretch; their insults are found at their places."""
+    rng = np.random.default_rng(7)
+    clean = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(clean, 900).tolist()) for _ in range(240)]
+    for k in range(0, 240, 2):
+        w = texts[k].split()
+        for at in rng.integers(0, 900, 6):
+            w[at] = rng.choice(["Vile!", "grotty"])
+        texts[k] = " ".join(w)
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(200)], "doc_id long, toxic int")
+    table = docs(spark, *texts, "Vile\u00a0grotty vile", None)
+    got = {r.doc_id: r for r in toxicity.score(table, toxicity.fit(table, labels)).collect()}
+    assert all((got[k].score >= 0.7) == (k % 2 == 0) for k in range(240)) and got[241].score < 0.7
+    for k in range(240):
+        assert [(s.start, s.end) for s in got[k].spans] == [m.span() for m in re.finditer(r"(?<!\S)(Vile!|grotty)(?!\S)", texts[k])]
+
+
 def test_forward_backward_is_exact():
     rng, counts = np.random.default_rng(0), np.array([4, 0, 1, 6])
     e, moves = rng.normal(size=counts.sum()), rng.normal(size=(2, 2))
