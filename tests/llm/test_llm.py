@@ -353,7 +353,7 @@ def test_tool_calls(spark):
         (1, 8, "result", "b", None, None, [], "done"), (1, 9, "result", "zz", None, None, [], "lost"), (2, 1, "call", "a", "reply", "{broken", [], None),
         (3, 1, "call", "a", "reply", '{"text":"t"}', ["b"], None), (3, 2, "call", "b", "other", "{}", ["a"], None), (None, 1, "call", "a", "reply", None, [], None),
     ]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, kind string, call_id string, name string, arguments string, needs array<string>, content string").withColumn("needs", F.coalesce("needs", F.expr(none)))
+    df = spark.createDataFrame(rows, CALLS).withColumn("needs", F.coalesce("needs", F.expr(none)))
     got = {(r.conv_id, r.call_id): r for r in tool_calls.linked(df).collect()}
     assert (got[1, "b"].position, got[1, "a"].position) == (0, 1)
     assert got[1, "b"].status == "linked" and got[1, "a"].status == "unanswered" and got[1, "zz"].status == "orphan"
@@ -362,6 +362,36 @@ def test_tool_calls(spark):
     assert got[1, "a"].message == '{"arguments":{"text":"x y","words":2},"id":"a","name":"reply"}'
 
 
+CALLS = "conv_id long, turn long, kind string, call_id string, name string, arguments string, needs array<string>, content string"
+
+
+def test_levels_are_longest_ways(spark):
+    """A reversed chain of 300 calls, cycles with calls that need them, and drawn graphs, against plain recursion."""
+    rng, graphs = np.random.default_rng(11), {1: {k: [k + 1] for k in range(300)}, 2: {0: [1], 1: [2], 2: [0], 3: [2], 4: [5], 5: [], 6: [3, 5]}, 3: {0: [0], 1: [2], 2: []}}
+    graphs[1][300] = []
+    for g in range(4, 12):
+        order = rng.permutation(14).tolist()
+        graphs[g] = {x: sorted({order[j] for j in rng.integers(0, 14, 3) if j < k}) for k, x in enumerate(order)}
+    rows = [(g, k, "call", f"c{k}", "reply", "{}", [f"c{n}" for n in needs], None) for g, graph in graphs.items() for k, needs in graph.items()]
+    got = {(r.conv_id, r.call_id): r.level for r in tool_calls.levels(spark.createDataFrame(rows, CALLS)).collect()}
+    for g, graph in graphs.items():
+        level = dict.fromkeys(graph, 0)
+        for _ in range(len(graph) + 1):
+            level = {k: max((level[n] + 1 for n in needs), default=0) for k, needs in graph.items()}
+        if any(n >= k for k, needs in graph.items() for n in needs):
+            assert {k: got[g, f"c{k}"] for k in graph} == {k: v if v < len(graph) else 1 << 62 for k, v in level.items()}
+
+
+def test_tool_calls_odd_rows(spark):
+    rows = [(None, 1, "call", "a", "reply", "{}", [], None)] * 3 + [(1, None, "call", "a", "reply", "{}", [], None), (1, 2, "call", "a", "reply", "{}", [], None), (1, 2, "call", None, "reply", "{}", [], None), (1, 3, "result", "a", None, None, None, "r")]
+    table = spark.createDataFrame([(*r, 5, "clash") for r in rows], CALLS + ", level int, stride string")
+    got = tool_calls.linked(table).collect()
+    assert Counter((r.conv_id, r.turn, r.call_id, r.position, r.status) for r in got) == Counter(
+        {(None, 1, "a", None, "unanswered"): 3, (1, None, "a", None, "linked"): 1, (1, 2, "a", 1, "linked"): 1, (1, 2, None, 0, "unanswered"): 1}
+    )
+    assert tool_calls.linked(table.where("false")).count() == 0
+
+
 def test_decontamination_is_brute_force(spark):
     item = "the quick brown fox jumps over the lazy dog while five wizards watch from a hill of old stones by night and day together"
     w = item.split()
