@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; where that is unset, one of this process."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; where that is unset in local mode, one of this process."""
     sc = spark.sparkContext
     held = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if held is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         held = tempfile.mkdtemp(prefix="spark-shared-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(held)
@@ -36,6 +38,12 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_side(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A side of a join, held in the shared folder: sent to every task where it has at most `most` rows, shuffled otherwise."""
+    df = kept(df)
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts together have about `most` bytes, or of one row."""
     for batch in batches:
@@ -75,7 +83,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): for every node of `edges` (a, b) the smallest node that it reaches.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): each step is a minimum by node and a
-    join back, so a hub's edges are never gathered in one place, and every round is held in the shared folder.
+    join back. Minima are taken before the shuffle, a hub's edges stay rows that adaptive execution may split over tasks,
+    and every round is held in the shared folder.
     """
     e = kept(
         edges.where("a <> b")

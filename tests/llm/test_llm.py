@@ -1,5 +1,6 @@
 """Operators of llm against brute force on small tables, and the cases that their docstrings define."""
 
+import datetime
 import hashlib
 import re
 import unicodedata
@@ -258,6 +259,18 @@ def test_vectors(spark):
     assert got[120].component_id == 0 and not got[120].kept
 
 
+def test_vectors_link_within_equal_labels_of_any_type(spark):
+    v, w = [1.0, 2.0, 3.0], [1.0, 2.0, 3.001]
+    for kind, labels in (("double", (1.2, 1.9, 1.2, 0.0, -0.0)), ("string", ("a", "b", "a", "", "")), ("date", None)):
+        if labels is None:
+            labels = tuple(datetime.date(2020, 1, d) for d in (1, 2, 1, 3, 3))
+        rows = [(k, v if k % 2 else w, labels[k], "x", 7) for k in range(5)] + [(None, v, labels[1], "x", 7), (9, v, None, "x", 7)]
+        table = spark.createDataFrame(rows, f"vec_id long, embedding array<float>, label {kind}, node string, many int")
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(table).collect()}
+        assert got == {0: (1, 0, True), 1: (1, 1, True), 2: (1, 0, False), 3: (1, 3, True), 4: (1, 3, False), None: (1, 1, False), 9: (0, 9, True)}
+        assert vectors.near_duplicates(table.where("false")).count() == 0
+
+
 def test_private_data_base_is_exact(spark):
     odd = ["a@b.c_d@e.f x@y.z.", "1.2.3.4.5.6.7.8 256.1.1.1 010.1.1.1", "4539 1488 0343 6467 9" + "1" * 30, "+1 (017) 555-7713+49 30 1234567 +1((((", "9" * 50_000 + " " + "a" * 50_000 + "@", None, "", "日本 a@b.cd 日本 1.1.1.1"]
     texts = [r.text for r in common.table(spark, SMALL, "documents").collect()] + odd
