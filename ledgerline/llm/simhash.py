@@ -306,7 +306,7 @@ def _links_across(met: DataFrame, one: DataFrame, found: DataFrame, texts_of: Ca
     Buckets whose documents are in one component need nothing more. In all others every pair across components is held
     against the similarity, in blocks of two chunks of a bucket, which bound what a task holds.
     """
-    named = one.join(found, one["id"] == found["node"], "left").select("id", F.coalesce("component", "id").alias("part"))
+    named = one.join(found, one["id"] == found["node"], "left").select("id", F.xxhash64(F.coalesce("component", "id")).alias("part"))
     placed = kept(met.select("variant", "id").join(named, "id"))
     open_ = (
         placed.groupBy("variant").agg(F.count("*").alias("rows"), F.min("part").alias("low"), F.max("part").alias("high"))
@@ -354,7 +354,20 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `df` without those whose group has a smaller id. Rows with a null id stay, and so do repeated rows of one id."""
+    """The rows of `df` without those whose group has a smaller id.
+
+    Null ids come after all others: such rows are told apart by their texts, and of those with one text one row stays.
+    Repeated rows of an id stay together. Null texts and texts without words are one group.
+    """
+    if not df.where(F.col(id_col).isNull()).isEmpty():
+        whole = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.when(F.col(id_col).isNull(), F.sha2(F.coalesce(text_col, F.lit("")), 256)).alias("text"))
+        left = _without_lost(df.withColumn("_whole", whole), "_whole", text_col, words, similarity)
+        nameless = left.where(F.col(id_col).isNull()).dropDuplicates(["_whole"])
+        return left.where(F.col(id_col).isNotNull()).union(nameless).drop("_whole")
+    return _without_lost(df, id_col, text_col, words, similarity)
+
+
+def _without_lost(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> DataFrame:
     groups = similar_groups(df, id_col, text_col, words, similarity)
     lost = groups.where("id <> component_id").select(F.col("id").alias("_lost")).distinct()
     return df.join(lost, df[id_col] == F.col("_lost"), "left_anti")

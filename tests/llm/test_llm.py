@@ -550,6 +550,44 @@ def test_mixing_stage_takes_rows_of_one_id_one_by_one(spark):
     assert got == +want and want[None, "a"] % 150
 
 
+def test_pipeline_stages_with_null_and_repeated_ids(spark):
+    """Null ids and clashing columns through the stages that join on ids."""
+    rng = np.random.default_rng(13)
+    long = " ".join(stretch(rng, 60))
+    item = common.table(spark, SMALL, "benchmark").orderBy("item_id").first().text
+    rows = [(5, long), (3, long + " more"), (None, long + " again"), (None, "alone here"), (None, "alone here"), (None, f"x {item} y"), (8, f"z {item}"), (8, "clean text"), (9, None), (None, "")]
+    docs_ = spark.createDataFrame([(i, t, "en", "s", 1, 2, 3, 4, 5) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, copies int, id int, variant int, size int")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs_, SMALL)
+    assert left.columns == docs_.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(3, long + " more"), (None, "alone here"), (8, f"z {item}"), (8, "clean text"), (9, None)] + [(None, f"x {item} y")])
+    clean = corpus_pipeline.drop_contaminated(spark, docs_, SMALL)
+    assert clean.columns == docs_.columns and Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if item not in (r[1] or ""))
+    mixed = corpus_pipeline.mix_sources(spark, docs_, SMALL)
+    assert mixed.columns == docs_.columns and {r.doc_id for r in mixed.collect()} <= {i for i, _ in rows}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs_.where("false"), SMALL).count() == 0, name
+
+
+def test_recall_by_similarity(spark):
+    """Pairs of two documents by bands of similarity: at least 0.99 of those at 0.8 or more fall into one group."""
+    rng, texts, alike = np.random.default_rng(14), [], []
+    for _ in range(300):
+        w = stretch(rng, int(rng.integers(40, 200)))
+        v = list(w)
+        for at in rng.integers(0, len(w), int(rng.integers(0, max(2, len(w) // 40)))):
+            v[at] = f"new{rng.integers(0, 10**9)}"
+        a, b = (set(zip(*(x[j:] for j in range(5)), strict=False)) for x in (w, v))
+        texts += [" ".join(w), " ".join(v)]
+        alike.append(len(a & b) / len(a | b))
+    group = {r.id: r.component_id for r in simhash.similar_groups(docs(spark, *texts)).collect()}
+    met = np.array([group[2 * k] == group[2 * k + 1] for k in range(300)])
+    alike = np.array(alike)
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
+        band = (alike >= low) & (alike < high)
+        assert band.sum() > 15 and met[band].mean() >= 0.99, (low, met[band].mean())
+    assert not met[alike < 0.8].any()
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path):
     docs_ = common.table(spark, SMALL, "documents")
     columns, seen = docs_.columns, {}
