@@ -65,6 +65,13 @@ def numeric(text: Column) -> Column:
     return F.when(~t.isin("", "-", "--", "—"), F.regexp_replace(t, ",", "").try_cast("double"))
 
 
+def to_number(text: Column) -> Column:
+    """As numeric, but of text that is no number the first number in it."""
+    t = F.trim(text)
+    bare = F.regexp_replace(t, ",", "")
+    return F.when(~t.isin("", "-", "--", "—"), F.coalesce(bare.try_cast("double"), F.regexp_extract(bare, r"-?[0-9]+(?:\.[0-9]+)?", 0).try_cast("double")))
+
+
 def sign_from_word(word: Column) -> Column:
     """1 for growth words, -1 for words of decline, null for others."""
     return F.when(word.isin("增长", "上涨", "上升", "提高", "增加"), 1).when(word.isin("下降", "下跌", "减少", "回落", "降低"), -1)
@@ -105,5 +112,26 @@ def nice_step(low: Column, high: Column, ticks: int = 4) -> Column:
     return power * F.when(part <= 1, 1.0).when(part <= 2, 2.0).when(part <= 5, 5.0).otherwise(10.0)
 
 
+def _nice(span: Column) -> Column:
+    power = F.pow(F.lit(10.0), F.floor(F.log10(span)))
+    part = span / power
+    return power * F.when(part < 1.5, 1.0).when(part < 3, 2.0).when(part < 7, 5.0).otherwise(10.0)
+
+
+def nice_ticks(low: Column, high: Column, most: int = 4) -> Column:
+    """Three to five round axis marks around a range, as an array."""
+    a, b = F.when(low == high, low - 1).otherwise(low), F.when(low == high, high + 1).otherwise(high)
+
+    def marks(x: Column, step: Column) -> tuple[Column, Column]:
+        return F.floor(x["a"] / step), F.ceil(x["b"] / step)
+
+    def ticks(x: Column) -> Column:
+        coarser = lambda step, _: F.when(marks(x, step)[1] - marks(x, step)[0] > 4, _nice(step * 1.5)).otherwise(step)
+        step = F.aggregate(F.sequence(F.lit(1), F.lit(10)), _nice((x["b"] - x["a"]) / (most - 1)), coarser)
+        return F.transform(F.array(step), lambda s: F.transform(F.sequence(*marks(x, s)), lambda k: F.round(k * s, 9)))[0]
+
+    return F.transform(F.array(F.struct(a.cast("double").alias("a"), b.cast("double").alias("b"))), ticks)[0]
+
+
 def linear_scale(v: Column, d0: Column, d1: Column, r0: float, r1: float) -> Column:
     return F.when(d1 == d0, (F.lit(r0) + r1) / 2).otherwise(F.lit(r0) + (v - d0) / (d1 - d0) * (r1 - r0))

@@ -48,8 +48,21 @@ def number_renderings(v: Column) -> Column:
     return F.array_distinct(F.array(F.format_string("%.2f", a), F.format_string("%.1f", a), F.format_string("%d", F.round(a).cast("long")), F.format_number(a, 1), F.format_number(a, 0)))
 
 
+#: Fixed: words before a number that say that it is negative or positive, and the marks that end a clause.
+NEGATIVE = ("负增长", "下降", "下跌", "下滑", "降至", "回落", "减少", "亏损", "负", "-", "－", "−")
+POSITIVE = ("增长", "增加", "上涨", "上升", "提高", "攀升", "回升")
+CLAUSE_ENDS = "，。；！？、\n"
+
+
 def direction_before(text: Column, at: Column, back: int = 12) -> Column:
-    """-1 or 1 by the last direction word of the clause before a place, else null."""
-    window = F.substring_index(F.substring_index(F.substr(text, F.greatest(at - back, F.lit(1)), F.least(at - 1, F.lit(back))), "，", -1), "。", -1)
-    down, up = F.regexp_extract(window, r".*(下降|下跌|减少|回落)", 0), F.regexp_extract(window, r".*(增长|上涨|上升|增加)", 0)
-    return F.when((F.length(down) == 0) & (F.length(up) == 0), F.lit(None)).when(F.length(down) > F.length(up), -1).otherwise(1)
+    """-1 or 1 by the words of the clause in the few characters before a place; negative words go first, as 负增长 holds 增长; else null."""
+    window = F.substr(text, F.greatest(at - back, F.lit(1)), F.least(at - 1, F.lit(back)))
+    clause = F.regexp_replace(window, f"(?s)^.*[{CLAUSE_ENDS}]", "")
+    return F.when(clause.rlike("|".join(NEGATIVE)), -1).when(clause.rlike("|".join(POSITIVE)), 1)
+
+
+def direction_consistent(value: Column, candidate: Column, text: Column, at: Column) -> Column:
+    """Whether a value may be what text prints as `candidate` at a place, by its sign and the words before it."""
+    signed = candidate.rlike("^(-|－|−|下降|负)")
+    said = F.coalesce(direction_before(text, at), F.lit(0))
+    return F.when(signed, value < 0).when(value < 0, said < 1).when(value > 0, said > -1).otherwise(True)

@@ -37,6 +37,24 @@ def link_findings(breaks: DataFrame) -> DataFrame:
     return lost.union(back.join(turned(ahead), ["series_id", "other"], "left_anti").withColumn("side", F.lit("supersedes")))
 
 
+def link_problems(breaks: DataFrame, series: DataFrame) -> DataFrame:
+    """(series_id, other, problem, severity): links between series (series_id, ended) that aren't frozen, answered or on file."""
+    known = series.select(F.col("series_id").alias("other"), F.col("ended").alias("other_ended"))
+    own = series.select("series_id", "ended")
+    ahead = breaks.where("superseded_by IS NOT NULL").select("series_id", F.col("superseded_by").alias("other"), F.lit("new").alias("side"))
+    back = breaks.where("supersedes IS NOT NULL").select("series_id", F.col("supersedes").alias("other"), F.lit("old").alias("side"))
+    answers = ahead.union(back).select(F.col("other").alias("series_id"), F.col("series_id").alias("other"), F.when(F.col("side") == "new", "old").otherwise("new").alias("side"), F.lit(True).alias("answered"))
+    links = ahead.union(back).join(own, "series_id", "left").join(known, "other", "left").join(answers.distinct(), ["series_id", "other", "side"], "left")
+    frozen = F.when(F.col("side") == "new", F.col("ended")).otherwise(F.col("other_ended"))
+    there = F.col("other_ended").isNotNull()
+    problem = F.array_compact(F.array(
+        F.when(~there, "not found"), F.when(there & F.col("answered").isNull(), "no way back"),
+        F.when((there | (F.col("side") == "new")) & ~F.coalesce(frozen, F.lit(False)), "not frozen"),
+    ))
+    out = links.select("series_id", "other", F.explode(problem).alias("problem"))
+    return out.withColumn("severity", F.when(F.col("problem") == "not found", "WARN").otherwise("BLOCK"))
+
+
 def seam_neighbours(rows: DataFrame, breaks: DataFrame) -> DataFrame:
     """For every break the last period before it and the first at or after it."""
     near = breaks.select("series_id", "effective").join(rows.select("series_id", "period"), "series_id")

@@ -136,20 +136,20 @@ def _(x):
     return K.calendar_step(staged(x).where(F.col("period") >= cut).groupBy("series_id").agg(F.min("period").alias("period")), latest)
 
 
-@query("gate_release_window", "SELECT 'release_window' AS check_id, 'WARN' AS severity, 'nat-' || c_nationkey AS series_id, strftime(o_orderdate, '%Y-%m') AS period FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 50 = 7 AND day(o_orderdate) NOT BETWEEN 6 AND 24", pre=False)
+@query("gate_release_window", "SELECT 'release_window' AS check_id, 'WARN' AS severity, 'nat-' || c_nationkey AS series_id, strftime(o_orderdate, '%Y-%m') AS period FROM orders JOIN customer ON o_custkey = c_custkey WHERE day(o_orderdate) NOT BETWEEN 6 AND 24", pre=False)
 def _(x):
     customer = x.table("customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("nat-"), "c_nationkey").alias("series_id"))
-    rows = x.table("orders").where("o_orderkey % 50 = 7").join(customer, "o_custkey").select("series_id", F.date_format("o_orderdate", "yyyy-MM").alias("period"), F.dayofmonth("o_orderdate").alias("day"), F.lit(9).alias("low"), F.lit(21).alias("high"))
+    rows = x.table("orders").join(customer, "o_custkey").select("series_id", F.date_format("o_orderdate", "yyyy-MM").alias("period"), F.dayofmonth("o_orderdate").alias("day"), F.lit(9).alias("low"), F.lit(21).alias("high"))
     return K.release_window(rows)
 
 
-@query("gate_completeness", """+ r AS (SELECT DISTINCT nat AS release, seg AS field FROM cells WHERE period = '1996-03'), a AS (SELECT n_nationkey AS release, g AS "group", f AS field FROM nation, (VALUES ('core', 'BUILDING'), ('core', 'MACHINERY'), ('home', 'HOUSEHOLD')) t(g, f))
+@query("gate_completeness", """+ r AS (SELECT DISTINCT nat || '/' || period AS release, seg AS field FROM cells), a AS (SELECT release, g AS "group", f AS field FROM (SELECT DISTINCT release FROM r), (VALUES ('core', 'BUILDING'), ('core', 'MACHINERY'), ('home', 'HOUSEHOLD')) t(g, f))
   SELECT a.release, a."group" FROM a LEFT JOIN r USING (release, field) GROUP BY 1, 2 HAVING COUNT(r.release) = 0""")
 def _(x):
-    groups = x.rows([("core", "BUILDING"), ("core", "MACHINERY"), ("home", "HOUSEHOLD")], "`group` string, field string")
-    anchors = x.table("nation").select(F.col("n_nationkey").alias("release"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
-    anchors = anchors.join(groups.withColumn("k", F.when(F.col("field") == "BUILDING", 0).when(F.col("field") == "MACHINERY", 1).otherwise(2)), "k").select("release", "group", "field")
-    return K.completeness(x.cells.where("period = '1996-03'").select(F.col("nat").alias("release"), F.col("seg").alias("field")), anchors)
+    """A release is a nation's month; it must have a field of every group."""
+    groups = F.array(*(F.struct(F.lit(g).alias("group"), F.lit(f).alias("field")) for g, f in (("core", "BUILDING"), ("core", "MACHINERY"), ("home", "HOUSEHOLD"))))
+    rows = x.cells.select(F.concat_ws("/", "nat", "period").alias("release"), F.col("seg").alias("field"))
+    return K.completeness(rows, rows.select("release").distinct().select("release", F.inline(groups)))
 
 
 @query("gate_release_identity", STAGED + """, n AS (SELECT series_id, period, m FROM staged WHERE period >= '2000-06') SELECT 'release_identity' AS check_id, 'BLOCK' AS severity, series_id, period FROM n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.series_id = n.series_id AND o.period = n.period)""")
@@ -164,10 +164,20 @@ def _(x):
     return K.break_no_yoy(x.obs, x.breaks)
 
 
-@query("gate_break_link", """+ f AS (SELECT series_id, superseded_by AS other FROM breaks WHERE superseded_by IS NOT NULL), b AS (SELECT series_id, supersedes AS other FROM breaks WHERE supersedes IS NOT NULL)
-  SELECT 'break_link' AS check_id, 'BLOCK' AS severity, f.series_id, f.other AS period FROM f WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.series_id = f.other AND b.other = f.series_id) UNION ALL SELECT 'break_link', 'BLOCK', b.series_id, b.other FROM b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.series_id = b.other AND f.other = b.series_id)""")
-def _(x):
-    return K.findings(B.link_findings(x.breaks).withColumn("period", F.col("other")), "break_link", "BLOCK")
+@query("gate_break_link", """+ ended AS (SELECT 'nat-' || n_nationkey AS series_id, n_regionkey % 2 = 1 AS ended FROM nation),
+  links AS (SELECT 'nat-' || n_nationkey AS series_id, 'nat-' || (n_nationkey + 1) AS other, 'new' AS side FROM nation WHERE n_nationkey % 3 <> 1 UNION ALL SELECT 'nat-' || n_nationkey, 'nat-' || (n_nationkey - 1), 'old' FROM nation WHERE n_nationkey % 4 <> 2),
+  j AS (SELECT l.*, e.ended, o.ended AS other_ended, EXISTS (SELECT 1 FROM links r WHERE r.series_id = l.other AND r.other = l.series_id AND r.side <> l.side) AS answered FROM links l LEFT JOIN ended e ON e.series_id = l.series_id LEFT JOIN ended o ON o.series_id = l.other)
+  SELECT 'break_link' AS check_id, 'WARN' AS severity, series_id, other AS period FROM j WHERE other_ended IS NULL
+  UNION ALL SELECT 'break_link', 'BLOCK', series_id, other FROM j WHERE other_ended IS NOT NULL AND NOT answered
+  UNION ALL SELECT 'break_link', 'BLOCK', series_id, other FROM j WHERE CASE side WHEN 'new' THEN NOT ended ELSE other_ended IS NOT NULL AND NOT other_ended END""")
+def _(x):
+    """Nations that follow one another by number; some lack the way ahead or back, those of even regions are not frozen."""
+    key = F.col("n_nationkey")
+    id_ = lambda n: F.concat(F.lit("nat-"), n)
+    nations = x.table("nation")
+    links = nations.select(id_(key).alias("series_id"), F.when(key % 3 != 1, id_(key + 1)).alias("superseded_by"), F.when(key % 4 != 2, id_(key - 1)).alias("supersedes"))
+    found = B.link_problems(links, nations.select(id_(key).alias("series_id"), (F.col("n_regionkey") % 2 == 1).alias("ended")))
+    return found.select(F.lit("break_link").alias("check_id"), "severity", "series_id", F.col("other").alias("period"))
 
 
 @query("gate_revision_flood", merges.LOG + """, o AS (SELECT series_id, COUNT(*) AS n, MAX(period) AS period FROM obs GROUP BY 1), r AS (SELECT series_id, COUNT(*) AS k FROM log GROUP BY 1)

@@ -13,39 +13,39 @@ from ledgerline.streaming import ingest as I
 RULES = (("BUILDING", 5, 9, 1), ("MACHINERY", 8, 31, 1), ("HOUSEHOLD", 20, 28, 1), ("AUTOMOBILE", 9, 12, 2))
 
 
-@query("extract_table_rows", "+ t AS (SELECT nat, pri, SUM(v)::DOUBLE AS v FROM cells WHERE period = '1996-05' GROUP BY 1, 2) SELECT nat AS page_id, pri AS label, 'm' AS measure, v AS value FROM t WHERE nat < 20 UNION ALL SELECT nat, pri, 'half', v / 2 FROM t WHERE nat < 20")
+@query("extract_table_rows", "+ t AS (SELECT nat || '/' || period AS page_id, pri, SUM(v)::DOUBLE AS v FROM cells GROUP BY 1, 2) SELECT page_id, pri AS label, 'm' AS measure, v AS value FROM t UNION ALL SELECT page_id, pri, 'half', v / 2 FROM t")
 def _(x):
-    """A page for each nation with a table of its order priorities, read back from its HTML."""
+    """A page for each nation and month with a table of its order priorities, read back from its HTML."""
     cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
-    sums = x.cells.where("period = '1996-05' AND nat < 20").groupBy("nat", "pri").agg(F.sum("v").alias("v"))
+    sums = x.cells.groupBy(F.concat_ws("/", "nat", "period").alias("page_id"), "pri").agg(F.sum("v").alias("v"))
     row = F.concat(F.lit("<tr>"), cell(F.col("pri")), cell(F.format_number(F.col("v").cast("double"), 2)), cell((F.col("v").cast("double") / 2).cast("string")), F.lit("</tr>"))
-    pages = sums.groupBy(F.col("nat").alias("page_id")).agg(F.concat(F.lit("<table><tr><th>Item</th><th>Value &amp; unit</th><th>Half</th></tr>"), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("html"))
+    pages = sums.groupBy("page_id").agg(F.concat(F.lit("<table><tr><th>Item</th><th>Value &amp; unit</th><th>Half</th></tr>"), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("html"))
     out, _ = E.measured_rows(E.table_rows(pages), x.rows([("Value & unit", "m"), ("Half", "half")], "text string, measure string"), x.rows([("1-URGENT",)], "label string"))
     return out
 
 
-@query("extract_required_rows", "+ n AS (SELECT nat AS page_id, COUNT(*) FILTER (WHERE pri = '1-URGENT') AS k FROM cells WHERE period = '1996-05' GROUP BY 1) SELECT page_id, '1-URGENT' AS label FROM n WHERE k = 0")
+@query("extract_required_rows", "+ n AS (SELECT nat || '/' || period AS page_id, COUNT(*) FILTER (WHERE pri = '1-URGENT') AS k FROM cells GROUP BY 1) SELECT page_id, '1-URGENT' AS label FROM n WHERE k = 0")
 def _(x):
-    """Pages that lack a required row."""
-    rows = x.cells.where("period = '1996-05'").groupBy("nat").agg(F.collect_set("pri").alias("p"))
+    """Pages, one for each nation and month, that lack a required row."""
+    rows = x.cells.groupBy(F.concat_ws("/", "nat", "period").alias("page_id")).agg(F.collect_set("pri").alias("p"))
     html = F.concat(F.lit("<table><tr><th>Item</th><th>Value</th></tr>"), F.array_join(F.transform("p", lambda p: F.concat(F.lit("<tr><td>"), p, F.lit("</td><td>1</td></tr>"))), ""), F.lit("</table>"))
-    _, missing = E.measured_rows(E.table_rows(rows.select(F.col("nat").alias("page_id"), html.alias("html"))), x.rows([("Value", "m")], "text string, measure string"), x.rows([("1-URGENT",)], "label string"))
+    _, missing = E.measured_rows(E.table_rows(rows.select("page_id", html.alias("html"))), x.rows([("Value", "m")], "text string, measure string"), x.rows([("1-URGENT",)], "label string"))
     return missing
 
 
-@query("extract_prose_stats", "SELECT o_orderkey AS page_id, 'total' AS name, ROUND(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE), 2) AS value FROM orders WHERE o_orderkey % 20 = 0 UNION ALL SELECT o_orderkey, 'growth', (o_custkey % 90) / 10.0 FROM orders WHERE o_orderkey % 20 = 0", pre=False)
+@query("extract_prose_stats", "SELECT o_orderkey AS page_id, 'total' AS name, ROUND(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE), 2) AS value FROM orders UNION ALL SELECT o_orderkey, 'growth', (o_custkey % 90) / 10.0 FROM orders", pre=False)
 def _(x):
     """Sentences written from orders, and the amount and the rate read back from them."""
-    rows = x.table("orders").where("o_orderkey % 20 = 0")
+    rows = x.table("orders")
     text = F.concat(F.lit("本月社会消费品零售总额 "), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit(" 亿元，同比增长 "), (F.col("o_custkey") % 90 / 10).cast("string"), F.lit("%。"))
     return E.prose(rows.select(F.col("o_orderkey").alias("page_id"), text.alias("text")), (("total", r"总额 ([0-9.]+) 亿元"), ("growth", r"增长 ([0-9.]+)%"))).drop("place")
 
 
-@query("nearest_marker_caliber", "SELECT o_orderkey AS page_id, CASE o_orderkey % 3 WHEN 0 THEN 'ytd' WHEN 1 THEN 'single' END AS kind FROM orders WHERE o_orderkey % 10 < 4", pre=False)
+@query("nearest_marker_caliber", "SELECT o_orderkey AS page_id, CASE o_orderkey % 3 WHEN 0 THEN 'ytd' WHEN 1 THEN 'single' END AS kind FROM orders", pre=False)
 def _(x):
     n = F.col("o_orderkey") % 3
     text = F.when(n == 0, "5 月份增长。1-5 月累计，增速 3.1%").when(n == 1, "1-5 月累计增长。5 月份，增速 2.2%").otherwise("增速 1.0%，5 月份")
-    rows = x.table("orders").where("o_orderkey % 10 < 4").select(F.col("o_orderkey").alias("page_id"), text.alias("text"))
+    rows = x.table("orders").select(F.col("o_orderkey").alias("page_id"), text.alias("text"))
     return E.nearest_marker(rows, "增速", (("累计", "ytd"), ("月份", "single")))
 
 
@@ -75,17 +75,19 @@ def _(x):
     return value.groupBy("page_id").agg(F.count("*").alias("n")).where("n >= 10").select(F.split_part("page_id", F.lit("|"), F.lit(1)).alias("metric"), F.split_part("page_id", F.lit("|"), F.lit(2)).alias("period"), "n")
 
 
-@query("link_select")
+@query("link_select", r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a[^>]*href="[^"]*"[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(html, '(?s)<a[^>]*href="[^"]*"[^>]*>.*?</a>'), 1) AS place FROM pages),
+  t AS (SELECT page_id, place, regexp_extract(a, 'href="([^"]*)"', 1) AS href, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(a, '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM l)
+  SELECT page_id, href, arg_min(title, place) AS title FROM t WHERE regexp_matches(title, '^[a-zA-Z]') AND title NOT IN ('to', 'and') GROUP BY 1, 2""", pre=False)
 def _(x):
     return E.links(x.table("pages").select("page_id", "html"), "(?i)^[a-z]", "^(to|and)$")
 
 
-@query("page_value_check")
+@query("page_value_check", r"""WITH t AS (SELECT page_id, html, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'), '<style[^>]*>.*?</style>', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages)
+  SELECT page_id, contains(t, CAST(page_id % 1000 AS VARCHAR)) AS found, contains(html, CAST(page_id % 1000 AS VARCHAR)) AS in_markup FROM t""", pre=False)
 def _(x):
-    """Pages whose text has the count of their own characters' first two digits."""
-    text = X.strip_html(F.col("html"))
-    rows = x.table("pages").select("page_id", text.alias("t"), F.substring(F.length(text).cast("string"), 1, 2).alias("v"))
-    return rows.select("page_id", F.contains("t", F.col("v")).alias("found"))
+    """Whether a page's text has a number, its own id's last digits; and whether its markup has."""
+    value = (F.col("page_id") % 1000).cast("string")
+    return x.table("pages").select("page_id", F.contains(X.strip_html(F.col("html")), value).alias("found"), F.contains("html", value).alias("in_markup"))
 
 
 @query("due_sources", """+ r AS (SELECT * FROM (VALUES ('BUILDING', 5, 9, 1), ('MACHINERY', 8, 31, 1), ('HOUSEHOLD', 20, 28, 1), ('AUTOMOBILE', 9, 12, 2)) t(source, low, high, lag)), l AS (SELECT seg AS source, MAX(period) AS latest FROM cells WHERE NOT (seg IN ('BUILDING', 'AUTOMOBILE') AND period > '2001-05') GROUP BY 1)

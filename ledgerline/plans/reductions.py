@@ -141,9 +141,11 @@ def _(x):
     return R.infer_decimals(x.obs.withColumn("m", rounded), "m")
 
 
-@query("dataset_fingerprint")
+@query("dataset_fingerprint", """+ c AS (SELECT series_id, sha256(period || '|' || span || '|' || CAST(CAST(m AS DECIMAL(28,2)) AS VARCHAR) || '|' || COALESCE(CAST(CAST(ytd AS DECIMAL(28,2)) AS VARCHAR), '~')) AS h FROM obs)
+  SELECT series_id, sha256(string_agg(h, chr(10) ORDER BY h)) AS hash FROM c GROUP BY 1""")
 def _(x):
-    return R.fingerprint(x.obs, ["period", "span", "m", "ytd"])
+    exact = x.obs.withColumn("m", F.col("m").cast("decimal(28,2)")).withColumn("ytd", F.col("ytd").cast("decimal(28,2)"))
+    return R.fingerprint(exact, ["period", "span", "m", "ytd"])
 
 
 # --- sorts ------------------------------------------------------------------------------------------------------------
@@ -203,11 +205,11 @@ def _(x):
     return x.old.select("series_id", "period").intersect(x.obs.where("period >= '2000'").select("series_id", "period"))
 
 
-@query("required_anchor_groups", """+ seen AS (SELECT period, list(DISTINCT seg) AS fields FROM cells WHERE nat < 3 GROUP BY 1) SELECT period, len(list_intersect(fields, ['BUILDING', 'MACHINERY'])) > 0 AS first_ok, len(list_intersect(fields, ['HOUSEHOLD'])) > 0 AS second_ok FROM seen""")
+@query("required_anchor_groups", """+ seen AS (SELECT nat, period, list(DISTINCT seg) AS fields FROM cells GROUP BY 1, 2) SELECT nat, period, len(list_intersect(fields, ['BUILDING', 'MACHINERY'])) > 0 AS first_ok, len(list_intersect(fields, ['HOUSEHOLD'])) > 0 AS second_ok FROM seen""")
 def _(x):
-    seen = x.cells.where("nat < 3").groupBy("period").agg(F.collect_set("seg").alias("fields"))
+    seen = x.cells.groupBy("nat", "period").agg(F.collect_set("seg").alias("fields"))
     has = lambda *names: F.arrays_overlap("fields", F.array(*map(F.lit, names)))
-    return seen.select("period", has("BUILDING", "MACHINERY").alias("first_ok"), has("HOUSEHOLD").alias("second_ok"))
+    return seen.select("nat", "period", has("BUILDING", "MACHINERY").alias("first_ok"), has("HOUSEHOLD").alias("second_ok"))
 
 
 @query("touched_union", "SELECT period FROM release WHERE series_id = 'nat-0' UNION SELECT period FROM release WHERE series_id IN ('nat-1', 'mkt-BUILDING')")

@@ -58,12 +58,12 @@ def _(x):
     return records.select("period", F.explode("metrics").alias("metric", "m")).join(names, "metric").select("period", "series_id", "m")
 
 
-@query("panel_explode", "SELECT entity::VARCHAR AS entity, metric, period, m AS value FROM panel WHERE metric = '1-URGENT'")
+@query("panel_explode", "SELECT entity::VARCHAR AS entity, metric, period, m AS value FROM panel")
 def _(x):
-    wide = R.assemble_panel(x.panel.where("metric = '1-URGENT'"), x.panel.where("false"))
-    there = x.panel.where("metric = '1-URGENT'").select(F.col("entity").cast("string").alias("entity"), "period")
+    wide = R.assemble_panel(x.panel, x.panel.where("false"))
+    there = x.panel.select(F.col("entity").cast("string").alias("entity"), "metric", "period")
     nested = wide.select(F.lit("p").alias("id"), "periods", F.create_map(F.col("entity").cast("string"), F.create_map("metric", F.create_map(F.lit("m"), "values"))).alias("cells"))
-    return R.explode_panel(nested).join(there, ["entity", "period"], "left_semi").select("entity", "metric", "period", "value")
+    return R.explode_panel(nested).join(there, ["entity", "metric", "period"], "left_semi").select("entity", "metric", "period", "value")
 
 
 @query("panel_assemble", """+ a AS (SELECT * FROM panel WHERE period < '1999'), b AS (SELECT entity, metric, period, m + 1 AS m FROM panel WHERE period >= '1998'), c AS (SELECT entity, metric, period, COALESCE(a.m, b.m) AS m FROM a FULL JOIN b USING (entity, metric, period)),
@@ -88,7 +88,7 @@ def _(x):
     return x.captures.select(F.explode(codes).alias("code")).distinct().select("code", P.decode_code("code").alias("period"))
 
 
-@query("scan_html_captures")
+@query("scan_html_captures", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'), '<style[^>]*>.*?</style>', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM pages""", pre=False)
 def _(x):
     return x.table("pages").select("page_id", X.strip_html(F.col("html")).alias("text"))
 
@@ -120,6 +120,8 @@ def _(x):
     return back.select("section", F.explode("series").alias("s")).groupBy("section").agg(F.count("*").alias("series"))
 
 
-@query("page_label_value_search")
+@query("page_label_value_search", r"""WITH t AS (SELECT trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'), '<style[^>]*>.*?</style>', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages),
+  l AS (SELECT label, t, instr(t, label) AS place FROM t, (VALUES ('onth'), ('entr'), ('with')) v(label))
+  SELECT label, COUNT(*) AS pages, COUNT(*) FILTER (WHERE regexp_matches(substr(t, greatest(place - 220, 1), 540), '[0-9]')) AS with_number FROM l WHERE place > 0 GROUP BY 1""", pre=False)
 def _(x):
     return E.labels_in_pages(x.table("pages").select("page_id", "html"), ("onth", "entr", "with"))
