@@ -41,15 +41,38 @@ def caliber(cells: DataFrame, series: DataFrame) -> DataFrame:
 
 
 def bounds(rows: DataFrame, band: tuple[float, float] = (-80.0, 300.0)) -> DataFrame:
-    """Levels below zero and rates outside the band."""
-    return findings(rows, "bounds", "BLOCK", (F.col("m") < 0) | ~F.col("m_yoy").between(*band))
+    """Values that their type (`value_type`, level if there is none) can't have.
 
-
-def monotonic(rows: DataFrame) -> DataFrame:
-    """Periods that don't rise along `place`, stand twice, or whose span and month don't fit."""
+    Counts are whole and not negative, levels not negative, rates in percent and ratios within 0 and 100, monthly changes
+    within 25 either way; rates on the year of indices, levels and ratios lie within the band.
+    """
+    kind = F.col("value_type") if "value_type" in rows.columns else F.lit("level")
+    m = F.col("m")
+    share = F.when(kind == "ratio", F.coalesce(m, F.col("ytd") if "ytd" in rows.columns else m)).when(kind == "rate_pct", m)
+    rates = [F.coalesce(~F.col(c).between(*band), F.lit(False)) for c in ("m_yoy", "ytd_yoy") if c in rows.columns]
+    off = [
+        (kind == "count") & ((m < 0) | (F.abs(m - F.round(m)) > 1e-6)), (kind == "level") & (m < 0), ~share.between(0, 100), (kind == "mom_pct") & ~m.between(-25, 25),
+        *(kind.isin("index", "level", "ratio") & r for r in rates),
+    ]
+    wrong = F.lit(False)
+    for o in off:
+        wrong = wrong | F.coalesce(o, F.lit(False))
+    return findings(rows, "bounds", "BLOCK", wrong)
+
+
+def monotonic(rows: DataFrame, joint_from: str | None = None) -> DataFrame:
+    """Periods that don't rise along `place`, stand twice, aren't of the series' own frequency (`freq`, if there is one), or whose span and month don't fit.
+
+    A span of 2 stands at February only; from `joint_from` on, a February has no other and a January none at all.
+    """
     last = F.lag("period").over(Window.partitionBy("series_id").orderBy("place"))
     rows = rows.withColumn("_last", last)
-    return findings(rows, "monotonic", "BLOCK", (F.col("_last") >= F.col("period")) | ((F.col("span") == 2) & ~F.col("period").endswith("-02")))
+    off = (F.col("_last") >= F.col("period")) | ((F.col("span") == 2) & ~F.col("period").endswith("-02"))
+    if joint_from is not None:
+        off = off | ((F.col("period") >= joint_from) & ((F.col("period").endswith("-02") & (F.col("span") != 2)) | F.col("period").endswith("-01")))
+    if "freq" in rows.columns:
+        off = off | (P.period_shape("period") != F.col("freq"))
+    return findings(rows, "monotonic", "BLOCK", off)
 
 
 def unit_slip(touched: DataFrame, history: DataFrame, factor: float = 100.0) -> DataFrame:
@@ -105,9 +128,10 @@ def envelope(heads: DataFrame, items: DataFrame, slack: float = 0.05) -> DataFra
 
 
 def share_bounds(parts: DataFrame, wholes: DataFrame) -> DataFrame:
-    """Parts (series_id, period, m) above their whole (period, whole)."""
+    """Parts (series_id, period, m) above their whole (period, whole), and published shares (`share`, if there are) outside 0 and 100."""
     rows = parts.join(wholes, "period")
-    return findings(rows, "share_bounds", "WARN", F.col("m") > F.col("whole") * 1.001)
+    ratio = F.coalesce(~F.col("share").between(0, 100), F.lit(False)) if "share" in rows.columns else F.lit(False)
+    return findings(rows, "share_bounds", "WARN", (F.col("m") > F.col("whole") * 1.001) | ratio)
 
 
 def calendar_step(new: DataFrame, latest: DataFrame) -> DataFrame:

@@ -23,8 +23,37 @@ def join_text(*parts: Column) -> Column:
     return X.pangu_join(F.concat_ws("", *parts))
 
 
-def sentence(label: Column, name: Column, verb_: Column, y: Column, yp: Column, ref: Column, first_after_break: Column, merged: Column) -> Column:
-    """One sentence on a rate `y` against the rate before `yp`, by their signs; `ref` names the period before."""
+#: Fixed: how a run of months ends a sentence, by its kind.
+STREAKS = {"negative": "同比下降", "decel": "放缓", "accel": "加快", "up": "上升", "down": "下降"}
+
+
+def streak_suffix(kind: Column, run: Column) -> Column:
+    """，连续 3 个月放缓; nothing for runs of less than two."""
+    tail = F.try_element_at(F.create_map(*(F.lit(x) for kv in STREAKS.items() for x in kv)), kind)
+    months = F.when(run > 24, "24 个月以上").otherwise(F.concat(run.cast("string"), F.lit(" 个月")))
+    return F.when((run >= 2) & tail.isNotNull(), F.concat(F.lit("，连续"), months, tail)).otherwise("")
+
+
+def reference(shape: Column) -> Column:
+    """What a sentence calls the period before."""
+    return F.when(shape == "Q", "上季度").when(shape == "A", "上年").otherwise("上月")
+
+
+def sentence(
+    label: Column, name: Column, verb_: Column, y: Column, yp: Column, ref: Column, first_after_break: Column, merged: Column,
+    streak: Column | None = None, real: Column | None = None, ytd_month: Column | None = None,
+) -> Column:
+    """One sentence on a rate `y` against the rate before `yp`, by their signs; `ref` names the period before.
+
+    `streak` ends the sentence; a `real` rate makes it one on nominal and real change; where `ytd_month` isn't null the series
+    has the year to date only, and the first such print of a year compares to nothing.
+    """
+    none = F.lit(None).cast("int")
+    month = none if ytd_month is None else ytd_month
+    ref = F.when(month > 2, F.concat(F.lit("1-"), (month - 1).cast("string"), F.lit(" 月"))).when(month.isNull(), ref)
+    label = F.when(month.isNotNull(), F.concat(F.lit("1-"), month.cast("string"), F.lit(" 月"))).otherwise(label)
+    subject = F.concat(name, F.when(month.isNotNull(), "累计").otherwise(""))
+    yp = F.when(ref.isNotNull(), yp)
     word = F.when(y > 0, verb_).when(y < 0, "下降")
     said = F.concat(F.lit("同比"), word, N.fmt_pct(y))
     d, price = F.round(y - yp, 6), verb_ == "上涨"
@@ -39,9 +68,13 @@ def sentence(label: Column, name: Column, verb_: Column, y: Column, yp: Column,
         .when(d == 0, F.concat(said, F.lit("，与"), ref, F.lit("持平")))
         .otherwise(F.concat(said, trend))
     )
+    body = F.concat(body, F.lit("") if streak is None else streak)
+    if real is not None:
+        way = lambda v: F.when(v >= 0, "增长").otherwise("下降")
+        body = F.when(real.isNotNull(), F.concat(F.lit("同比名义"), way(y), N.fmt_pct(y), F.lit("，实际"), way(real), N.fmt_pct(real))).otherwise(body)
     suffix = F.when(merged, "（1-2 月合并统计）").otherwise("")
     first = F.concat(F.lit("口径调整后首期数据："), name, F.when(y == 0, "持平").otherwise(F.concat(word, N.fmt_pct(y))), F.lit("（与旧口径不可比）"))
-    return F.when(y.isNotNull(), F.when(first_after_break, join_text(first)).otherwise(join_text(label, name, body, suffix)))
+    return F.when(y.isNotNull(), F.when(first_after_break, join_text(first)).otherwise(join_text(label, subject, body, suffix)))
 
 
 def level_sentence(label: Column, name: Column, level: Column, previous: Column, ref: Column, line: float | None = None) -> Column:

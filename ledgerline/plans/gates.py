@@ -52,18 +52,34 @@ def _(x):
     return K.caliber(x.long(x.obs), x.catalog.withColumn("calibers", calibers))
 
 
-@query("gate_bounds", STAGED + find("bounds", "BLOCK", "staged", "m < 0 OR m_yoy NOT BETWEEN -80 AND 300"))
+TYPED = """, typed AS (SELECT s.* EXCLUDE (m), t.value_type, CASE t.value_type WHEN 'count' THEN ROUND(m) + CASE WHEN period LIKE '%-09' THEN 0.5 ELSE 0 END WHEN 'rate_pct' THEN m_yoy WHEN 'mom_pct' THEN m_yoy / 2 WHEN 'ratio' THEN m_yoy + 60 ELSE m END AS m
+  FROM staged s JOIN (SELECT series_id, CASE WHEN section = 'market' THEN 'level' ELSE ['level', 'count', 'rate_pct', 'mom_pct', 'ratio', 'index'][CAST(substr(series_id, 5) AS INT) % 6 + 1] END AS value_type FROM catalog) t USING (series_id))"""
+
+
+def typed(x):
+    """The staged rows as series of every type: nations by their number."""
+    kinds = F.array(*map(F.lit, ("level", "count", "rate_pct", "mom_pct", "ratio", "index")))
+    kind = F.when(F.col("series_id").like("mkt-%"), "level").otherwise(F.element_at(kinds, F.expr("try_cast(substr(series_id, 5) AS int)") % 6 + 1))
+    half = F.when(F.col("period").like("%-09"), 0.5).otherwise(0.0)
+    m = F.when(kind == "count", F.round("m") + half).when(kind == "rate_pct", F.col("m_yoy")).when(kind == "mom_pct", F.col("m_yoy") / 2).when(kind == "ratio", F.col("m_yoy") + 60).otherwise(F.col("m"))
+    return staged(x).withColumns({"value_type": kind, "m": m})
+
+
+@query("gate_bounds", STAGED + TYPED + find("bounds", "BLOCK", "typed", """COALESCE(CASE value_type WHEN 'count' THEN m < 0 OR ABS(m - ROUND(m)) > 1e-6 WHEN 'level' THEN m < 0 WHEN 'rate_pct' THEN m NOT BETWEEN 0 AND 100 WHEN 'mom_pct' THEN m NOT BETWEEN -25 AND 25 WHEN 'ratio' THEN COALESCE(m, ytd) NOT BETWEEN 0 AND 100 END, FALSE)
+  OR (value_type IN ('index', 'level', 'ratio') AND (COALESCE(m_yoy NOT BETWEEN -80 AND 300, FALSE) OR COALESCE(ytd_yoy NOT BETWEEN -80 AND 300, FALSE)))"""))
 def _(x):
-    return K.bounds(staged(x))
+    return K.bounds(typed(x))
 
 
-@query("gate_monotonic", """+ s AS (SELECT series_id, CASE WHEN series_id = 'nat-2' AND period = '1999-07' THEN '1999-05' ELSE period END AS period, CASE WHEN series_id = 'nat-4' AND period = '1999-08' THEN 2 ELSE span END AS span, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period) AS place FROM obs),
-  l AS (SELECT *, lag(period) OVER (PARTITION BY series_id ORDER BY place) AS last FROM s) """ + find("monotonic", "BLOCK", "l", "last >= period OR (span = 2 AND period NOT LIKE '%-02')"))
+@query("gate_monotonic", """+ s AS (SELECT series_id, CASE WHEN series_id = 'nat-2' AND period = '1999-07' THEN '1999-05' WHEN series_id = 'nat-6' AND period = '2000-06' THEN '2000-Q2' ELSE period END AS period, CASE WHEN series_id = 'nat-4' AND period = '1999-08' THEN 2 WHEN series_id = 'nat-5' AND period = '2000-02' THEN 1 ELSE span END AS span, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period) AS place FROM obs),
+  l AS (SELECT *, lag(period) OVER (PARTITION BY series_id ORDER BY place) AS last FROM s) """ + find("monotonic", "BLOCK", "l", "last >= period OR (span = 2 AND period NOT LIKE '%-02') OR (period >= '1998' AND (period LIKE '%-01' OR (period LIKE '%-02' AND span <> 2))) OR period LIKE '%Q%'"))
 def _(x):
+    """A period too early, a quarter among months, a merged August and a February that isn't."""
     rows = x.obs.withColumn("place", F.expr("row_number() OVER (PARTITION BY series_id ORDER BY period)"))
-    period = F.when((F.col("series_id") == "nat-2") & (F.col("period") == "1999-07"), "1999-05").otherwise(F.col("period"))
-    span = F.when((F.col("series_id") == "nat-4") & (F.col("period") == "1999-08"), 2).otherwise(F.col("span"))
-    return K.monotonic(rows.withColumns({"span": span, "period": period}))
+    at = lambda s, p: (F.col("series_id") == s) & (F.col("period") == p)
+    period = F.when(at("nat-2", "1999-07"), "1999-05").when(at("nat-6", "2000-06"), "2000-Q2").otherwise(F.col("period"))
+    span = F.when(at("nat-4", "1999-08"), 2).when(at("nat-5", "2000-02"), 1).otherwise(F.col("span"))
+    return K.monotonic(rows.withColumns({"span": span, "period": period, "freq": F.lit("M")}), joint_from="1998")
 
 
 @query("gate_unit_slip", STAGED + """, h AS (SELECT series_id, period, m, CASE WHEN COUNT(m) OVER w >= 3 THEN quantile_cont(ABS(m), 0.5) OVER w END AS med FROM staged WHERE span = 1 WINDOW w AS (PARTITION BY series_id ORDER BY period ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) """
@@ -122,9 +138,10 @@ def _(x):
     return K.envelope(x.obs.where("series_id = 'mkt-BUILDING'"), items)
 
 
-@query("gate_share_bounds", STAGED + ", w AS (SELECT period, m AS whole FROM obs WHERE series_id = 'mkt-MACHINERY') SELECT 'share_bounds' AS check_id, 'WARN' AS severity, s.series_id, s.period FROM staged s JOIN w USING (period) WHERE s.series_id LIKE 'nat-%' AND s.m > whole * 1.001")
+@query("gate_share_bounds", STAGED + ", w AS (SELECT period, m AS whole FROM obs WHERE series_id = 'mkt-MACHINERY') SELECT 'share_bounds' AS check_id, 'WARN' AS severity, s.series_id, s.period FROM staged s JOIN w USING (period) WHERE s.series_id LIKE 'nat-%' AND (s.m > whole * 1.001 OR COALESCE(s.m_yoy + 40 NOT BETWEEN 0 AND 100, FALSE))")
 def _(x):
-    return K.share_bounds(staged(x).where("series_id LIKE 'nat-%'"), x.obs.where("series_id = 'mkt-MACHINERY'").select("period", F.col("m").alias("whole")))
+    parts = staged(x).where("series_id LIKE 'nat-%'").withColumn("share", F.col("m_yoy") + 40)
+    return K.share_bounds(parts, x.obs.where("series_id = 'mkt-MACHINERY'").select("period", F.col("m").alias("whole")))
 
 
 @query("gate_calendar_step", STAGED + """, l AS (SELECT series_id, MAX(period) AS last FROM staged WHERE period < CASE WHEN series_id = 'nat-3' THEN '2001-01' WHEN series_id = 'nat-7' THEN '2000-05' ELSE '2000-06' END GROUP BY 1), n AS (SELECT series_id, MIN(period) AS period FROM staged WHERE period >= CASE WHEN series_id = 'nat-3' THEN '2001-01' ELSE '2000-06' END GROUP BY 1),
@@ -202,6 +219,6 @@ def _(x):
     return found.where("severity = 'BLOCK'").union(unpublished)
 
 
-@query("gate_verdict", STAGED + ", f AS (" + find("bounds", "BLOCK", "staged", "m < 0 OR m_yoy NOT BETWEEN -80 AND 300") + " UNION ALL SELECT 'pairs', 'WARN', series_id, period FROM obs WHERE ABS(m_yoy) > 50) SELECT COUNT(*) FILTER (WHERE severity = 'BLOCK') AS blocks, COUNT(*) FILTER (WHERE severity = 'WARN') AS warns, CASE WHEN COUNT(*) FILTER (WHERE severity = 'BLOCK') > 0 THEN 2 ELSE 0 END AS exit_code FROM f")
+@query("gate_verdict", STAGED + ", f AS (" + find("bounds", "BLOCK", "staged", "m < 0 OR m_yoy NOT BETWEEN -80 AND 300 OR ytd_yoy NOT BETWEEN -80 AND 300") + " UNION ALL SELECT 'pairs', 'WARN', series_id, period FROM obs WHERE ABS(m_yoy) > 50) SELECT COUNT(*) FILTER (WHERE severity = 'BLOCK') AS blocks, COUNT(*) FILTER (WHERE severity = 'WARN') AS warns, CASE WHEN COUNT(*) FILTER (WHERE severity = 'BLOCK') > 0 THEN 2 ELSE 0 END AS exit_code FROM f")
 def _(x):
     return K.verdict(K.bounds(staged(x)).union(K.findings(x.obs, "pairs", "WARN", F.abs("m_yoy") > 50)))

@@ -10,41 +10,80 @@ from ledgerline.plans.registry import query
 from ledgerline.plans.windows import RATES, rates, tail
 
 LAST = RATES + ", e AS (SELECT p.*, c.name, c.section, c.tier, c.headline, o.span, CASE WHEN c.headline = 'ytd' THEN o.ytd ELSE o.m END AS value FROM pair p JOIN obs o USING (series_id, period) JOIN catalog c USING (series_id) WHERE p.period = (SELECT MAX(period) FROM obs z WHERE z.series_id = p.series_id))"
-ENTRY_SQL = LAST + """, n AS (SELECT series_id, COUNT(*) AS points FROM obs GROUP BY 1)
-  SELECT series_id, section, tier, name, period, value, y, prev, yp, ROUND(y - yp, 6) AS delta, CASE WHEN ROUND(y - yp, 6) > 0 THEN 'up' WHEN ROUND(y - yp, 6) < 0 THEN 'down' WHEN y - yp IS NOT NULL THEN 'flat' END AS direction, span = 2 AS merged, points FROM e JOIN n USING (series_id)"""
+FMT = "CASE WHEN ROUND(ABS({0}), 1) = ABS(ROUND({0}, 6)) THEN format('{{:.1f}}', ABS({0})) ELSE format('{{:.2f}}', ABS({0})) END"
+#: Runs of the headline rate that end at the last row, at least two rows long.
+STREAK_SQL = """, sd AS (SELECT series_id, period, y, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period DESC) AS n, ROUND(y - lag(y) OVER w, 6) AS d, y > 0 AND lag(y) OVER w > 0 AS both_up FROM pair WINDOW w AS (PARTITION BY series_id ORDER BY period)),
+  ss AS (SELECT *, CASE WHEN y < 0 THEN 'negative' END AS neg, CASE WHEN both_up AND d > 0 THEN 'accel' WHEN both_up AND d < 0 THEN 'decel' END AS mv FROM sd), sl AS (SELECT series_id, mv AS mv1 FROM ss WHERE n = 1),
+  sr AS (SELECT ss.series_id, COALESCE(MIN(n) FILTER (WHERE neg IS NULL), MAX(n) + 1) - 1 AS nrun, CASE WHEN ANY_VALUE(mv1) IS NULL THEN 0 ELSE COALESCE(MIN(n) FILTER (WHERE mv IS DISTINCT FROM mv1), MAX(n) + 1) - 1 END AS mrun, ANY_VALUE(mv1) AS mv1 FROM ss JOIN sl USING (series_id) GROUP BY 1),
+  streak AS (SELECT series_id, CASE WHEN nrun >= 2 THEN 'negative' WHEN mrun >= 2 THEN mv1 ELSE 'none' END AS kind, CAST(CASE WHEN nrun >= 2 THEN nrun WHEN mrun >= 2 THEN mrun ELSE 0 END AS BIGINT) AS run FROM sr)"""
+SENTENCE_SQL = LAST + STREAK_SQL + f""", s0 AS (SELECT e.*, CAST(substr(e.period, 6, 2) AS INT) AS mo, prev IS NOT NULL AND yp IS NULL AND COALESCE(prev_blocked, FALSE) AS brk, CASE WHEN series_id LIKE 'nat-2%' AND series_id <> 'nat-2' THEN ROUND(y - 1.5, 1) END AS re, kind, run FROM e JOIN streak USING (series_id) WHERE y IS NOT NULL),
+  s AS (SELECT * EXCLUDE (yp), CASE WHEN headline = 'ytd' AND mo <= 2 THEN NULL ELSE yp END AS yp, CASE WHEN headline = 'ytd' THEN ' 1-' || (mo - 1) || ' 月' ELSE '上月' END AS ref,
+    CASE WHEN headline = 'ytd' THEN '1-' || mo || ' 月 ' || name || ' 累计' ELSE substr(period, 1, 4) || ' 年 ' || CASE WHEN span = 2 THEN '1-' ELSE '' END || mo || ' 月 ' || name || ' ' END AS head, {FMT.format('y')} || '%' AS pct, {FMT.format('re')} || '%' AS rpct FROM s0),
+  w AS (SELECT *, {FMT.format('(y - yp)')} || ' 个百分点' AS pp, ROUND(y - yp, 6) AS d, CASE WHEN y > 0 THEN '增长' ELSE '下降' END AS word,
+    CASE WHEN run < 2 THEN '' ELSE '，连续 ' || CASE WHEN run > 24 THEN '24 个月以上' ELSE run || ' 个月' END || CASE kind WHEN 'negative' THEN '同比下降' WHEN 'accel' THEN '加快' ELSE '放缓' END END AS tail FROM s),
+  b AS (SELECT *, CASE WHEN re IS NOT NULL THEN '同比名义' || CASE WHEN y >= 0 THEN '增长 ' ELSE '下降 ' END || pct || '，实际' || CASE WHEN re >= 0 THEN '增长 ' ELSE '下降 ' END || rpct
+    WHEN y = 0 THEN '同比持平' || tail WHEN yp IS NULL OR yp = 0 THEN '同比' || word || ' ' || pct || tail WHEN yp > 0 AND y < 0 THEN '同比由升转降，下降 ' || pct || tail WHEN yp < 0 AND y > 0 THEN '同比由降转升，增长 ' || pct || tail
+    WHEN d = 0 THEN '同比' || word || ' ' || pct || '，与' || ref || '持平' || tail ELSE '同比' || word || ' ' || pct || '，' || CASE WHEN y < 0 THEN '降幅' ELSE '增速' END || '较' || ref || CASE WHEN y < 0 THEN CASE WHEN d > 0 THEN '收窄' ELSE '扩大' END WHEN d > 0 THEN '加快' ELSE '放缓' END || ' ' || pp || tail END AS body FROM w),
+  said AS (SELECT series_id, kind, run, CASE WHEN brk THEN '口径调整后首期数据：' || name || CASE WHEN y = 0 THEN ' 持平' ELSE ' ' || word || ' ' || pct END || '（与旧口径不可比）' ELSE head || body || CASE WHEN span = 2 THEN '（1-2 月合并统计）' ELSE '' END END AS sentence FROM b)"""
+ENTRY_SQL = SENTENCE_SQL + """, n AS (SELECT o.series_id, COUNT(*) AS points, MIN(o.period) AS since FROM obs o GROUP BY 1),
+  sp AS (SELECT series_id, period, y, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period DESC) AS k FROM pair), spark AS (SELECT series_id, string_agg(COALESCE(format('{:.1f}', y), '-'), ',' ORDER BY period) AS spark, MIN(period) AS spark_from FROM sp WHERE k <= 24 GROUP BY 1),
+  mk AS (SELECT series_id, string_agg(effective || ':' || kind, ',' ORDER BY effective) AS annotations FROM breaks GROUP BY 1),
+  rv AS (SELECT o.series_id, COUNT(*) AS revisions FROM long_obs o JOIN long_old p USING (series_id, period, measure) WHERE ABS(o.value - p.value) >= 1e-9 GROUP BY 1)
+  SELECT e.series_id, section, tier, name, e.period, value, y, prev, yp, ROUND(y - yp, 6) AS delta, CASE WHEN ROUND(y - yp, 6) > 0 THEN 'up' WHEN ROUND(y - yp, 6) < 0 THEN 'down' WHEN y - yp IS NOT NULL THEN 'flat' END AS direction, span = 2 AS merged, points, since,
+    COALESCE(said.kind, 'none') AS streak_kind, COALESCE(run, 0) AS streak, sentence, spark, spark_from, COALESCE(annotations, '') AS annotations, COALESCE(revisions, 0) AS revisions
+  FROM e JOIN n USING (series_id) JOIN spark USING (series_id) LEFT JOIN said USING (series_id) LEFT JOIN mk USING (series_id) LEFT JOIN rv USING (series_id)"""
 
 
 def entries(x):
     """Each series' latest row with what it compares to."""
-    rows = rates(x).withColumn("value", F.when(F.col("headline") == "ytd", F.col("ytd")).otherwise(F.col("m"))).drop("headline")
+    return _latest(x, rates(x))
+
+
+def _latest(x, rows):
+    rows = rows.withColumn("value", F.when(F.col("headline") == "ytd", F.col("ytd")).otherwise(F.col("m"))).drop("headline")
     return S.resolve_latest(rows, "value", "y").join(x.catalog, "series_id")
 
 
+def _said(x, rows):
+    """Latest rows with the streak of their rate and their sentence."""
+    streaks = S.rate_streaks(rows.select("series_id", "period", "y"), x.breaks, "y")
+    latest = _latest(x, rows).join(streaks, "series_id")
+    label = P.period_label("period", F.lit(False), F.col("span"))
+    first = F.col("yp").isNull() & F.col("prev").isNotNull() & F.coalesce("prev_blocked", F.lit(False))
+    real = F.when(F.col("series_id").like("nat-2%") & (F.col("series_id") != "nat-2"), F.round(F.col("y") - 1.5, 1))
+    upto = F.when(F.col("headline") == "ytd", F.substring("period", 6, 2).cast("int"))
+    # Names are Latin here: the space between label and name is theirs.
+    said = U.sentence(
+        F.concat(label, F.lit(" ")), F.col("name"), U.verb(F.col("value_type")), F.col("y"), F.col("yp"), U.reference(P.period_shape_loose("period")), first, F.col("span") == 2,
+        U.streak_suffix(F.col("kind"), F.col("run")), real, upto,
+    )
+    return latest.withColumn("sentence", said)
+
+
 @query("bundle_entry", ENTRY_SQL)
 def bundle_entry(x):
+    """The published record of every series: latest and previous, streak and sentence, the last 24 rates, breaks and revisions."""
+    rows = x.held(rates(x))
     d = F.round(F.col("y") - F.col("yp"), 6)
-    points = x.obs.groupBy("series_id").agg(F.count("*").alias("points"))
-    return entries(x).join(points, "series_id").select(
+    points = x.obs.groupBy("series_id").agg(F.count("*").alias("points"), F.min("period").alias("since"))
+    last = rows.withColumn("_k", F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc("period")))).where("_k <= 24")
+    marks = F.transform(F.array_sort(F.collect_list(F.struct("period", "y"))), lambda r: F.when(r["y"].isNull(), "-").otherwise(F.format_string("%.1f", r["y"])))
+    spark = last.groupBy("series_id").agg(F.array_join(marks, ",").alias("spark"), F.min("period").alias("spark_from"))
+    notes = x.breaks.groupBy("series_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "effective", "kind"))), ",").alias("annotations"))
+    before = x.long(x.old).withColumnRenamed("value", "_was")
+    revised = x.long(x.obs).join(before, ["series_id", "period", "span", "measure"]).where("abs(value - _was) >= 1e-9").groupBy("series_id").agg(F.count("*").alias("revisions"))
+    out = _said(x, rows).join(points, "series_id").join(spark, "series_id").join(notes, "series_id", "left").join(revised, "series_id", "left")
+    return out.select(
         "series_id", "section", "tier", "name", "period", "value", "y", "prev", "yp", d.alias("delta"),
-        F.when(d > 0, "up").when(d < 0, "down").when(d == 0, "flat").alias("direction"), (F.col("span") == 2).alias("merged"), "points",
+        F.when(d > 0, "up").when(d < 0, "down").when(d == 0, "flat").alias("direction"), (F.col("span") == 2).alias("merged"), "points", "since",
+        F.when(F.col("y").isNull(), "none").otherwise(F.col("kind")).alias("streak_kind"), F.when(F.col("y").isNull(), 0).otherwise(F.col("run")).cast("long").alias("streak"), "sentence", "spark", "spark_from",
+        F.coalesce("annotations", F.lit("")).alias("annotations"), F.coalesce("revisions", F.lit(0)).cast("long").alias("revisions"),
     )
 
 
-FMT = "CASE WHEN ROUND(ABS({0}), 1) = ABS(ROUND({0}, 6)) THEN format('{{:.1f}}', ABS({0})) ELSE format('{{:.2f}}', ABS({0})) END"
-
-
-@query("headline_sentence", LAST + f""", s AS (SELECT *, substr(period, 1, 4) || ' 年 ' || CASE WHEN span = 2 OR headline = 'ytd' THEN '1-' ELSE '' END || CAST(substr(period, 6, 2) AS INT) || ' 月' AS label, {FMT.format('y')} || '%' AS pct, {FMT.format('(y - yp)')} || ' 个百分点' AS pp, ROUND(y - yp, 6) AS d,
-    yp IS NULL AND prev IS NOT NULL AND COALESCE(prev_blocked, FALSE) AS brk FROM e WHERE y IS NOT NULL), w AS (SELECT *, CASE WHEN y > 0 THEN '增长' ELSE '下降' END AS word FROM s),
-  b AS (SELECT *, CASE WHEN y = 0 THEN '同比持平' WHEN yp IS NULL OR yp = 0 THEN '同比' || word || ' ' || pct WHEN yp > 0 AND y < 0 THEN '同比由升转降，下降 ' || pct WHEN yp < 0 AND y > 0 THEN '同比由降转升，增长 ' || pct
-    WHEN d = 0 THEN '同比' || word || ' ' || pct || '，与上月持平' ELSE '同比' || word || ' ' || pct || '，' || CASE WHEN y < 0 THEN '降幅' ELSE '增速' END || '较上月' || CASE WHEN y < 0 THEN CASE WHEN d > 0 THEN '收窄' ELSE '扩大' END WHEN d > 0 THEN '加快' ELSE '放缓' END || ' ' || pp END AS body FROM w)
-  SELECT series_id, CASE WHEN brk THEN '口径调整后首期数据：' || name || CASE WHEN y = 0 THEN ' 持平' ELSE ' ' || word || ' ' || pct END || '（与旧口径不可比）' ELSE label || ' ' || name || ' ' || body || CASE WHEN span = 2 THEN '（1-2 月合并统计）' ELSE '' END END AS sentence FROM b""")
+@query("headline_sentence", SENTENCE_SQL + " SELECT series_id, sentence FROM said")
 def _(x):
-    rows = entries(x).where("y IS NOT NULL")
-    label = P.period_label("period", F.col("headline") == "ytd", F.col("span"))
-    first = F.col("yp").isNull() & F.col("prev").isNotNull() & F.coalesce("prev_blocked", F.lit(False))
-    # Names are Latin here: the space between label and name is theirs.
-    said = U.sentence(F.concat(label, F.lit(" ")), F.col("name"), U.verb(F.col("value_type")), F.col("y"), F.col("yp"), F.lit("上月"), first, F.col("span") == 2)
-    return rows.select("series_id", said.alias("sentence"))
+    return _said(x, x.held(rates(x))).where("y IS NOT NULL").select("series_id", "sentence")
 
 
 @query("level_sentence", """+ l AS (SELECT series_id, period, ROUND(m_yoy / 4 + 50, 1) AS v FROM obs WHERE m_yoy IS NOT NULL AND span = 1), g AS (SELECT *, lag(v) OVER (PARTITION BY series_id ORDER BY period) AS p FROM l), d AS (SELECT *, ROUND(v - p, 6) AS d FROM g)

@@ -1,8 +1,5 @@
 """Queries on reading and writing documents."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ledgerline.functions import periods as P
@@ -14,8 +11,7 @@ from ledgerline.sources import readers as R
 
 def scratch(x) -> str:
     """A folder of its own under the one that driver and executors share."""
-    root = x.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{root}/{uuid.uuid4().hex}"
+    return x.scratch()
 
 
 def documents(x):
