@@ -1,12 +1,19 @@
 """Taking releases in, as a batch or from a stream of files; both go through the same function.
 
-State is a folder of snapshots: a release is merged into the newest, checked, and, if nothing blocks, written as the
-next. A release that was taken in before changes nothing, so a stream that starts anew after a fault may repeat its last batch.
+State is kept by year of the period: a release is merged into the years it touches, checked, and, if nothing blocks,
+written under its own name with a log of every value that it changed, so what it costs goes with the years it touches and not with
+all that is on file. A release counts once its commit, a row for each year, is written; readers take the newest
+commit of each year. A release that was taken in before is merged into what stood before it, so a stream that starts anew
+after a fault may repeat its last batch.
+
+    cells/<name>/year=<year>   cells of a year after the release
+    log/<name>                 (cell, row_no, old, new): every change, several for a cell that the release has several rows of
+    commits/<name>             (year, name)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,15 +22,38 @@ from ledgerline.operators import merge as G
 
 ROW = "series_id string, period string, measure string, value double, release_id string"
 CELL = "series_id string, period string, measure string, value double"
+LOG = "series_id string, period string, measure string, row_no int, old double, new double"
+_YEAR = "substr(period, 1, 4)"
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
 
+def _commits(spark: SparkSession, root: str, before: str | None = None) -> DataFrame:
+    """(year, name) of the releases taken in, or of those before a name."""
+    if not _there(spark, f"{root}/commits"):
+        return spark.createDataFrame([], "year string, name string")
+    rows = spark.read.option("recursiveFileLookup", "true").schema("year string, name string").json(f"{root}/commits")
+    return rows.where(F.col("name") < before) if before is not None else rows
 
-def newest(spark: SparkSession, root: str) -> DataFrame:
-    """The cells of the newest snapshot; none before the first."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    # A snapshot counts once its writer has left the mark of success.
-    done = sorted(s.getPath().getName() for s in fs.listStatus(path) if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))) if fs.exists(path) else []
-    return spark.read.schema(CELL).parquet(f"{root}/{done[-1]}") if done else spark.createDataFrame([], CELL)
+
+def newest(spark: SparkSession, root: str, before: str | None = None, years: list[str] | None = None) -> DataFrame:
+    """The cells as the last release left them, or the last before a name; all, or of some years only."""
+    last = _commits(spark, root, before).groupBy("year").agg(F.max("name").alias("name"))
+    last = last if years is None else last.where(F.col("year").isin(years))
+    paths = [f"{root}/cells/{r['name']}/year={r['year']}" for r in last.collect()]  # a path for each year on file
+    return spark.read.schema(CELL).parquet(*paths) if paths else spark.createDataFrame([], CELL)
+
+
+def revisions(spark: SparkSession, root: str) -> DataFrame:
+    """(release, cell, row_no, old, new): what the releases taken in have changed."""
+    names = [r["name"] for r in _commits(spark, root).select("name").distinct().collect()]
+    none = spark.createDataFrame([], "release string, " + LOG)
+    for name in names:
+        none = none.union(spark.read.schema(LOG).parquet(f"{root}/log/{name}").select(F.lit(name).alias("release"), "*"))
+    return none
 
 
 def check(rows: DataFrame) -> DataFrame:
@@ -34,23 +64,30 @@ def check(rows: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, rows: DataFrame, root: str, name: str) -> tuple[bool, DataFrame]:
-    """Merges release rows into the state as snapshot `name`, unless a check blocks; (taken, revisions)."""
-    verdict = K.verdict(check(rows)).first()
-    old = newest(spark, root)
-    revised = G.classify(old, rows.select(*G.CELL, "value")).where("class = 'revise'")
-    if verdict["exit_code"]:
-        return False, revised
-    G.merged(old, rows.select(*G.CELL, "value")).write.mode("overwrite").parquet(f"{root}/{name}")
-    return True, revised
+    """Merges release rows into the state under a name, unless a check blocks; (taken, what it changes).
+
+    Of several rows of a cell the last by release_id stays, and each step is logged.
+    """
+    order = Window.partitionBy(*G.CELL).orderBy(*(["release_id"] if "release_id" in rows.columns else []), "value")
+    rows = rows.withColumn("row_no", F.row_number().over(order)).select(*G.CELL, "row_no", "value")
+    years = [r["year"] for r in rows.selectExpr(f"{_YEAR} AS year").distinct().collect()]
+    old = newest(spark, root, name, years)
+    changed = G.in_order(old, rows)
+    if K.verdict(check(rows)).first()["exit_code"]:
+        return False, changed
+    changed.write.mode("overwrite").parquet(f"{root}/log/{name}")
+    last = rows.groupBy(*G.CELL).agg(F.max_by("value", "row_no").alias("value"))
+    G.merged(old, last).withColumn("year", F.expr(_YEAR)).write.mode("overwrite").partitionBy("year").parquet(f"{root}/cells/{name}")
+    spark.createDataFrame([(y, name) for y in years], "year string, name string").coalesce(1).write.mode("overwrite").json(f"{root}/commits/{name}")
+    return True, spark.read.schema(LOG).parquet(f"{root}/log/{name}")
 
 
 def start(spark: SparkSession, source: str, root: str, checkpoint: str) -> StreamingQuery:
-    """A stream of JSON files of release rows; a batch is a snapshot named by its number, so a repeated batch is written over."""
+    """A stream of JSON files of release rows; a batch is a release named by its number, so a repeated batch is written over."""
     rows = spark.readStream.schema(ROW).json(source)
-    latest = lambda df: df.groupBy(*G.CELL).agg(F.max_by("value", "release_id").alias("value"))
     return (
         rows.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, n: ingest(spark, latest(df), root, f"snapshot-{n:09d}"))
+        .foreachBatch(lambda df, n: ingest(spark, df, root, f"snapshot-{n:09d}"))
         .trigger(availableNow=True)
         .start()
     )

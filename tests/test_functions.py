@@ -49,6 +49,9 @@ def test_text(spark):
     assert one(spark, X.pangu_join(F.lit("制造业PMI为50.2")))[0][0] == "制造业 PMI 为 50.2"
     assert one(spark, X.slugify(F.lit(" A b/C! ")))[0][0] == "a-b-c"
     assert one(spark, X.direction_before(F.lit("其中出口下降3.2%"), F.lit(7)))[0][0] == -1
+    assert one(spark, X.direction_before(F.lit("进口负增长3.2%"), F.lit(6)))[0][0] == -1 and one(spark, X.direction_before(F.lit("出口增长；进口3.2%"), F.lit(8)))[0][0] is None
+    assert one(spark, N.to_number(F.lit("约 1,234.5 亿元")))[0][0] == 1234.5 and one(spark, N.to_number(F.lit(" — ")))[0][0] is None
+    assert one(spark, N.nice_ticks(F.lit(0.0), F.lit(100.0)))[0][0] == [0.0, 50.0, 100.0] and one(spark, N.nice_ticks(F.lit(2), F.lit(2)))[0][0] == [1.0, 1.5, 2.0, 2.5, 3.0]
 
 
 def test_titles(spark):

@@ -137,6 +137,31 @@ def test_stream_takes_a_release_in_once(spark, tmp_path):
     assert {r.period: r.value for r in I.newest(spark, root).collect()} == {"2025-01": 1.0, "2025-02": 2.5}
     taken, _ = I.ingest(spark, spark.createDataFrame([("a", "2025-03", "m", -1.0)], CELL), root, "snapshot-9")
     assert not taken and I.newest(spark, root).count() == 2
+    assert [tuple(r)[1:] for r in I.revisions(spark, root).collect()] == [("a", "2025-02", "m", 1, 2.0, 2.5)]
+
+
+def test_a_release_rewrites_the_years_it_touches_and_logs_every_step(spark, tmp_path):
+    root = str(tmp_path)
+    first = [("a", "2024-12", "m", 1.0, "r1"), ("a", "2025-01", "m", 2.0, "r1")]
+    again = [("a", "2025-01", "m", 3.0, "r2"), ("a", "2025-01", "m", 4.0, "r3"), ("b", "2025-02", "m", 9.0, "r2")]
+    for name, rows in (("s-1", first), ("s-2", again), ("s-2", again)):  # the second is repeated
+        assert I.ingest(spark, spark.createDataFrame(rows, I.ROW), root, name)[0]
+    assert {(r.series_id, r.period): r.value for r in I.newest(spark, root).collect()} == {("a", "2024-12"): 1.0, ("a", "2025-01"): 4.0, ("b", "2025-02"): 9.0}
+    assert sorted(p.name for p in (tmp_path / "cells" / "s-2").iterdir() if p.is_dir()) == ["year=2025"]
+    assert [tuple(r) for r in I.revisions(spark, root).orderBy("row_no").collect()] == [("s-2", "a", "2025-01", "m", 1, 2.0, 3.0), ("s-2", "a", "2025-01", "m", 2, 3.0, 4.0)]
+
+
+def test_sentences_of_every_branch(spark):
+    cases = [
+        (3.0, 2.0, None, None, "", "2026 年 5 月某业同比增长 3.0%，增速较上月加快 1.0 个百分点"), (3.0, 2.0, None, 5, "", "1-5 月某业累计同比增长 3.0%，增速较 1-4 月加快 1.0 个百分点"),
+        (3.0, 2.0, None, 2, "", "1-2 月某业累计同比增长 3.0%"), (-3.0, -2.0, None, None, "，连续 4 个月同比下降", "2026 年 5 月某业同比下降 3.0%，降幅较上月扩大 1.0 个百分点，连续 4 个月同比下降"),
+        (5.3, 4.0, -0.2, None, "", "2026 年 5 月某业同比名义增长 5.3%，实际下降 0.2%"), (0.0, 1.0, None, None, "", "2026 年 5 月某业同比持平"),
+    ]
+    df = spark.createDataFrame([(y, yp, real, month, tail) for y, yp, real, month, tail, _ in cases], "y double, yp double, re double, month int, tail string")
+    said = U.sentence(F.lit("2026 年 5 月"), F.lit("某业"), F.lit("增长"), F.col("y"), F.col("yp"), F.lit("上月"), F.lit(False), F.lit(False), F.col("tail"), F.col("re"), F.col("month"))
+    assert [r[0] for r in df.select(said).collect()] == [c[-1] for c in cases]
+    runs = spark.createDataFrame([("decel", 1), ("decel", 3), ("accel", 30), ("none", 5)], "kind string, run int")
+    assert [r[0] for r in runs.select(U.streak_suffix(F.col("kind"), F.col("run"))).collect()] == ["", "，连续3 个月放缓", "，连续24 个月以上加快", ""]
 
 
 def test_audit_stands_alone():
