@@ -77,7 +77,7 @@ def ingest(spark: SparkSession, rows: DataFrame, root: str, name: str) -> tuple[
         return False, changed
     changed.write.mode("overwrite").parquet(f"{root}/log/{name}")
     last = rows.groupBy(*G.CELL).agg(F.max_by("value", "row_no").alias("value"))
-    G.merged(old, last).withColumn("year", F.expr(_YEAR)).write.mode("overwrite").partitionBy("year").parquet(f"{root}/cells/{name}")
+    G.merged(old, last).withColumn("year", F.expr(_YEAR)).hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(f"{root}/cells/{name}")
     spark.createDataFrame([(y, name) for y in years], "year string, name string").coalesce(1).write.mode("overwrite").json(f"{root}/commits/{name}")
     return True, spark.read.schema(LOG).parquet(f"{root}/log/{name}")
 
