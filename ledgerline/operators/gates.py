@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import numbers as N
 from ledgerline.functions import periods as P
 from ledgerline.operators import breaks as B
+from ledgerline.operators import merge as G
 from ledgerline.operators import series as S
 
 FINDING = ["check_id", "severity", "series_id", "period"]
@@ -21,6 +22,37 @@ def findings(rows: DataFrame, check: str, severity: Column | str, condition: Col
     return rows.select(F.lit(check).alias("check_id"), (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"), "series_id", "period")
 
 
+def acknowledged(found: DataFrame, known: tuple[tuple, ...]) -> DataFrame:
+    """Blocking findings that a configured exception (series, period, check, note) fits warn instead; null stands for any."""
+    rows = G.known_exceptions(found, known)
+    return rows.withColumn("severity", F.when(F.col("known"), "WARN").otherwise(F.col("severity"))).select(*FINDING)
+
+
+def schema_of_lines(lines: DataFrame, required: tuple[str, ...], kinds: dict[str, str], choices: dict[str, tuple], limits: dict[str, tuple[float, float]]) -> DataFrame:
+    """Raw objects (series_id, period, line) against their form: one finding `schema.<rule>` for each rule that is broken.
+
+    `kinds` gives the fields there may be, as number or text; null counts as absent. A line that is no object breaks `object`.
+    """
+    v = F.try_parse_json("line")
+    at = {k: F.try_variant_get(v, f"$.{k}", "variant") for k in kinds}
+    there = {k: c.isNotNull() & ~F.is_variant_null(c) for k, c in at.items()}
+    number = lambda k: F.schema_of_variant(at[k]).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    text = lambda k: F.schema_of_variant(at[k]) == "STRING"
+    any_of = lambda tests: sum((F.when(t, 1).otherwise(0) for t in tests), F.lit(0)) > 0
+    keys = F.json_object_keys("line")
+    rules = {
+        "object": keys.isNull(),
+        "required": keys.isNotNull() & any_of(~there[k] for k in required),
+        "unknown": F.exists(keys, lambda k: ~k.isin(*kinds)),
+        "type": any_of(there[k] & ~(number(k) if kind == "number" else text(k)) for k, kind in kinds.items()),
+        "choice": any_of(there[k] & ~F.coalesce(F.try_variant_get(v, f"$.{k}", "string").isin(*map(str, c)), F.lit(False)) for k, c in choices.items()),
+        "limits": any_of(~F.try_variant_get(v, f"$.{k}", "double").between(*ends) for k, ends in limits.items()),
+        "period": there["period"] & text("period") & P.period_shape(F.try_variant_get(v, "$.period", "string")).isNull(),
+    }
+    broken = F.array_compact(F.array(*(F.when(r, F.lit(f"schema.{name}")) for name, r in rules.items())))
+    return lines.select("series_id", "period", F.explode(broken).alias("check_id")).select("check_id", F.lit("BLOCK").alias("severity"), "series_id", "period")
+
+
 def schema(rows: DataFrame) -> DataFrame:
     """A period of no known form, a span that isn't 1 or 2, or a row without a series."""
     bad = P.period_shape("period").isNull() | ~F.coalesce(F.col("span").isin(1, 2), F.lit(False)) | F.col("series_id").isNull()
@@ -82,15 +114,60 @@ def unit_slip(touched: DataFrame, history: DataFrame, factor: float = 100.0) ->
     return findings(rows, "unit_slip", "BLOCK", (F.col("median") > 0) & (F.col("m") != 0) & ((ratio >= factor) | (ratio <= 1 / factor)))
 
 
-def seasonal_z(touched: DataFrame, past: DataFrame, least: int = 24, warn: float = 4.0, block: float = 7.0) -> DataFrame:
-    """Rates far from the median of the rates before them; `past` has (series_id, at, m_yoy) for each touched period `at`.
+def seasonal_z(
+    touched: DataFrame, past: DataFrame, rows: DataFrame, shocks: tuple[str, ...] = (), confirmed: DataFrame | None = None,
+    least: dict[str, int] | None = None, warn: float = 4.0, block: float = 7.0,
+) -> DataFrame:
+    """Touched rows far from what their series did before; only series of `least` rows or more by frequency (24 months, 8 quarters).
 
-    The medians are two aggregations over touched rows and their history.
+    Rates are held against the median of the rates before: `past` has (series_id, at, m_yoy) for each touched period `at`.
+    Where there is no such rate, the change on the same season's row before is held against such changes before (`cohort_z`).
+    A value that another source confirms (series_id, period) warns at most.
     """
-    mid = past.groupBy("series_id", "at").agg(F.percentile("m_yoy", F.lit(0.5)).alias("_med"), F.count("m_yoy").alias("_n")).where(F.col("_n") >= least)
+    many = F.lit(None).cast("int")
+    for shape, n in (least or {"M": 24, "Q": 8}).items():
+        many = F.when(P.period_shape_loose(F.col("_last")) == shape, n).otherwise(many)
+    enough = rows.groupBy("series_id").agg(F.count("*").alias("_rows"), F.max("period").alias("_last")).where(F.col("_rows") >= F.coalesce(many, F.lit(0)))
+    touched = touched.join(enough.select("series_id"), "series_id", "left_semi")
+    mid = past.groupBy("series_id", "at").agg(F.percentile("m_yoy", F.lit(0.5)).alias("_med"))
     mad = past.join(mid, ["series_id", "at"]).groupBy("series_id", "at").agg(F.percentile(F.abs(F.col("m_yoy") - F.col("_med")), F.lit(0.5)).alias("_mad"), F.first("_med").alias("_med"))
-    rows = touched.join(mad.withColumnRenamed("at", "period"), ["series_id", "period"]).withColumn("z", F.abs(N.robust_z(F.col("m_yoy"), F.col("_med"), F.col("_mad"))))
-    return findings(rows, "seasonal_z", F.when(F.col("z") >= block, "BLOCK").otherwise("WARN"), F.col("z") >= warn)
+    both = touched.join(mad.withColumnRenamed("at", "period"), ["series_id", "period"], "left")
+    judged = F.col("m_yoy").isNotNull() & F.col("_med").isNotNull()
+    by_rate = both.where(judged).select("series_id", "period", N.robust_z(F.col("m_yoy"), F.col("_med"), F.col("_mad")).alias("z"))
+    z = by_rate.union(cohort_z(both.where(~judged), rows.where(~F.col("period").isin(*shocks)) if shocks else rows)).withColumn("z", F.abs("z"))
+    top = F.when(F.col("z") >= block, "BLOCK").otherwise("WARN")
+    if confirmed is not None:
+        z = z.join(confirmed.select("series_id", "period", F.lit(True).alias("_sure")).distinct(), ["series_id", "period"], "left")
+        top = F.when(F.col("_sure"), "WARN").otherwise(top)
+    return findings(z, "seasonal_z", top, F.col("z") >= warn)
+
+
+def cohort_z(touched: DataFrame, rows: DataFrame, least: int = 4) -> DataFrame:
+    """(series_id, period, z) of the change on the same season before (month, quarter or merged print), among `least` such changes or more.
+
+    Changes are of logarithms for levels, indices and counts that are all positive, else differences. A season of a series
+    has one row a year, so that its array stays small.
+    """
+    kind = F.col("value_type") if "value_type" in rows.columns else F.lit("level")
+    level, season = F.coalesce("m", "ytd"), P.cohort_key("period", F.col("span"))
+    now = touched.where(level.isNotNull()).select("series_id", "period", season.alias("_season"), level.alias("_now"))
+    before = rows.where(level.isNotNull()).select("series_id", season.alias("_season"), F.col("period").alias("_p"), level.alias("_v"), kind.alias("_kind"))
+    met = now.where("_season <> 'A'").join(before, ["series_id", "_season"]).where("_p < period")
+    runs = met.groupBy("series_id", "period", "_now").agg(F.array_sort(F.collect_list(F.struct("_p", "_v"))).alias("_run"), F.first("_kind").alias("_kind")).where(F.size("_run") > least)
+    logs = F.col("_kind").isin("level", "index", "count") & (F.col("_now") > 0) & F.forall("_run", lambda r: r["_v"] > 0)
+    scale = lambda v: F.when(F.col("_logs"), F.log(v)).otherwise(v)
+    runs = runs.withColumn("_logs", logs).withColumn("_run", F.transform("_run", lambda r: scale(r["_v"]))).withColumn("_change", scale(F.col("_now")) - F.element_at("_run", -1))
+    steps = F.zip_with(F.slice("_run", 2, F.size("_run") - 1), F.slice("_run", 1, F.size("_run") - 1), lambda b, a: b - a)
+    runs = runs.withColumn("_steps", steps).withColumn("_med", _middle(F.col("_steps")))
+    runs = runs.withColumn("_mad", _middle(F.transform("_steps", lambda s: F.abs(s - F.col("_med")))))
+    return runs.select("series_id", "period", N.robust_z(F.col("_change"), F.col("_med"), F.col("_mad")).alias("z"))
+
+
+def _middle(values: Column) -> Column:
+    """The median of a small array."""
+    v, n = F.array_sort(values), F.size(values)
+    at = lambda k: F.element_at(v, k.cast("int"))
+    return (at(F.floor((n + 1) / 2)) + at(F.ceil((n + 1) / 2))) / 2
 
 
 def ytd_arithmetic(rows: DataFrame, batch: DataFrame, decimals: int = 1) -> DataFrame:
@@ -104,14 +181,21 @@ def ytd_arithmetic(rows: DataFrame, batch: DataFrame, decimals: int = 1) -> Data
 
 
 def yoy_base(rows: DataFrame, breaks: DataFrame, points: float = 3.0, share: float = 50.0) -> DataFrame:
-    """The published rate against the one that the levels give: WARN beyond some points, BLOCK if the implied base is far off."""
-    rows = S.year_ago(rows, {"m": "_base"}).where("_base IS NOT NULL AND m_yoy IS NOT NULL")
+    """Published rates against those that the levels give, for single months and the year to date: WARN beyond some points, BLOCK if the implied base is far off.
+
+    Only levels (`value_type`, if there is one) have such a base; a base of 0 or a rate of -100 blocks.
+    """
+    if "value_type" in rows.columns:
+        rows = rows.where("value_type = 'level'")
+    pairs = [(v, r) for v, r in (("m", "m_yoy"), ("ytd", "ytd_yoy")) if {v, r} <= set(rows.columns)]
+    rows = S.year_ago(rows, {v: f"_{v}" for v, _ in pairs})
     rows = B.seam_between(rows.withColumn("_ago", P.year_ago_period("period")), breaks, "_ago").where("NOT seam")
-    implied = N.safe_div(F.col("m"), 1 + F.col("m_yoy") / 100)
-    off = F.abs(implied / F.col("_base") - 1) * 100
-    gap = F.abs(F.col("m_yoy") - (F.col("m") / F.col("_base") - 1) * 100)
-    block = implied.isNull() | (off > share)
-    return findings(rows, "yoy_base", F.when(block, "BLOCK").otherwise("WARN"), block | (gap > points))
+    each = F.array(*(F.struct(F.col(v).alias("v"), F.col(f"_{v}").alias("base"), F.col(r).alias("rate")) for v, r in pairs))
+    cells = rows.select("series_id", "period", F.inline(each)).where("v IS NOT NULL AND base IS NOT NULL AND rate IS NOT NULL")
+    implied = F.try_divide(F.col("v"), 1 + F.col("rate") / 100)
+    block = implied.isNull() | (F.col("base") == 0) | (F.abs(implied - F.col("base")) > F.abs("base") * share / 100)
+    gap = F.abs(F.col("rate") - (F.try_divide(F.col("v"), F.col("base")) - 1) * 100)
+    return findings(cells, "yoy_base", F.when(block, "BLOCK").otherwise("WARN"), block | (gap > points))
 
 
 def sum_of_parts(totals: DataFrame, summed: DataFrame, tolerance: float = 0.02) -> DataFrame:
@@ -134,10 +218,10 @@ def share_bounds(parts: DataFrame, wholes: DataFrame) -> DataFrame:
     return findings(rows, "share_bounds", "WARN", (F.col("m") > F.col("whole") * 1.001) | ratio)
 
 
-def calendar_step(new: DataFrame, latest: DataFrame) -> DataFrame:
-    """How far a first new period lies beyond the last on file: one step is right, two WARN, more BLOCK."""
+def calendar_step(new: DataFrame, latest: DataFrame, known: tuple[tuple, ...] = ()) -> DataFrame:
+    """How far a new period lies beyond the last on file: one step is right, two WARN, any other BLOCK unless it is known."""
     rows = new.join(latest.withColumnRenamed("period", "_last"), "series_id").withColumn("_n", P.steps_between("_last", "period"))
-    return findings(rows, "calendar_step", F.when(F.col("_n") == 2, "WARN").otherwise("BLOCK"), F.col("_n") > 1)
+    return acknowledged(findings(rows, "calendar_step", F.when(F.col("_n") == 2, "WARN").otherwise("BLOCK"), F.col("_n") != 1), known)
 
 
 def release_window(releases: DataFrame, grace: int = 3) -> DataFrame:
@@ -146,18 +230,37 @@ def release_window(releases: DataFrame, grace: int = 3) -> DataFrame:
 
 
 def completeness(seen: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Groups of anchors (release, group, field) of which a release (release, field) has none: (release, group)."""
+    """Groups of anchors (release, group, field) of which a release (release, field) has none: (check_id, severity, release, group)."""
     hits = anchors.join(seen.select("release", "field").distinct().withColumn("_hit", F.lit(1)), ["release", "field"], "left")
-    return hits.groupBy("release", "group").agg(F.sum(F.coalesce("_hit", F.lit(0))).alias("_n")).where("_n = 0").select("release", "group")
+    return hits.groupBy("release", "group").agg(F.sum(F.coalesce("_hit", F.lit(0))).alias("_n")).where("_n = 0").select(F.lit("completeness").alias("check_id"), F.lit("BLOCK").alias("severity"), "release", "group")
 
 
-def release_identity(new: DataFrame, captures: DataFrame, stale: DataFrame) -> DataFrame:
-    """New rows without a capture, and rows that repeat the one before."""
-    lost = findings(new.join(captures, ["series_id", "period"], "left_anti"), "release_identity", "BLOCK")
-    again = new.join(stale.select("series_id", "period"), ["series_id", "period"], "left_semi")
+def release_identity(new: DataFrame, manifests: DataFrame, captures: DataFrame, stale: DataFrame, corroborated: DataFrame | None = None) -> DataFrame:
+    """New rows (series_id, period, release) whose release can't be shown, and rows that repeat the one before.
+
+    A release is shown by a manifest (release, capture) all of whose captures are on file (capture). A repeated row of a
+    release that is shown passes if every measure of it is confirmed: `corroborated` has (series_id, period, measure, value).
+    """
+    absent = manifests.join(captures.select("capture"), "capture", "left_anti").select("release").distinct()
+    shown = manifests.select("release").distinct().join(absent, "release", "left_anti")
+    lost = findings(new.join(shown, "release", "left_anti"), "release_identity", "BLOCK")
+    again = new.join(shown, "release", "left_semi").join(stale, ["series_id", "period"]).select("series_id", "period", *(c for c in ("m", "ytd", "m_yoy", "ytd_yoy") if c in stale.columns))
+    if corroborated is not None:
+        measures = again.columns[2:]
+        cells = again.unpivot(["series_id", "period"], measures, "measure", "value").where("value IS NOT NULL")
+        doubt = cells.join(corroborated.select("series_id", "period", "measure", "value"), ["series_id", "period", "measure", "value"], "left_anti")
+        again = again.join(doubt.select("series_id", "period"), ["series_id", "period"], "left_semi")
     return lost.union(findings(again, "stale_reserve", "BLOCK"))
 
 
+def revision_flood(revisions: DataFrame, rows: DataFrame, panels: DataFrame, known: tuple[tuple, ...] = (), most: int = 6, share: float = 0.1, periods: int = 3) -> DataFrame:
+    """Series that a release revises too much, at their last period: more than `most` cells or a share of their rows; panels (series_id): more than some periods."""
+    own = G.flood(revisions.join(panels, "series_id", "left_anti"), rows, most, share).select("series_id")
+    wide = revisions.join(panels, "series_id", "left_semi").groupBy("series_id").agg(F.countDistinct("period").alias("_n")).where(F.col("_n") > periods).select("series_id")
+    last = rows.groupBy("series_id").agg(F.max("period").alias("period"))
+    return acknowledged(findings(own.union(wide).join(last, "series_id"), "revision_flood", "BLOCK"), known)
+
+
 def break_no_yoy(rows: DataFrame, breaks: DataFrame, need: int = 12) -> DataFrame:
     """Rates inside a window without rates; windows that end before they begin; rates at the end of one with fewer restated rows than a year."""
     inside = findings(B.blocked(rows, breaks), "break_no_yoy", "BLOCK", F.col("blocked") & F.col("m_yoy").isNotNull())
@@ -171,12 +274,26 @@ def break_no_yoy(rows: DataFrame, breaks: DataFrame, need: int = 12) -> DataFram
     return inside.union(turned).union(thin)
 
 
-def catalog(rows: DataFrame, declared: DataFrame) -> DataFrame:
-    """Series without a catalog entry, and entries without data."""
+def catalog(rows: DataFrame, declared: DataFrame, facts: DataFrame | None = None, fields: DataFrame | None = None, orphans: tuple[str, ...] = ()) -> DataFrame:
+    """Series without a catalog entry (unless known as orphans) or unlike it, entries without data, and fields that map to no series.
+
+    `facts` has what the series say of themselves, in columns that the catalog has too (value_type, section, ...); `fields` has
+    (field, series_id) as a release carries them, series_id null where none fits; such a field is named in `series_id`.
+    """
     ids = rows.groupBy("series_id").agg(F.max("period").alias("period"))
-    stray = findings(ids.join(declared, "series_id", "left_anti"), "catalog", "BLOCK")
+    stray = findings(ids.where(~F.col("series_id").isin(*orphans)).join(declared, "series_id", "left_anti"), "catalog", "BLOCK")
     empty = declared.join(ids, "series_id", "left_anti").withColumn("period", F.lit(None).cast("string"))
-    return stray.union(findings(empty, "catalog", "WARN"))
+    found = stray.union(findings(empty, "catalog", "WARN"))
+    if facts is not None:
+        names = [c for c in facts.columns if c != "series_id" and c in declared.columns]
+        both = facts.select("series_id", *(F.col(c).alias(f"_{c}") for c in names)).join(declared, "series_id").join(ids, "series_id", "left")
+        off = F.array_compact(F.array(*(F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"catalog.{c}")) for c in names)))
+        unlike = both.select("series_id", "period", F.explode(off).alias("check_id"))
+        found = found.union(unlike.select("check_id", F.lit("BLOCK").alias("severity"), "series_id", "period"))
+    if fields is not None:
+        loose = fields.where("series_id IS NULL").select(F.col("field").alias("series_id"), F.lit(None).cast("string").alias("period")).distinct()
+        found = found.union(findings(loose, "catalog.field", "WARN"))
+    return found
 
 
 def verdict(found: DataFrame) -> DataFrame:

@@ -46,6 +46,20 @@ def _(x):
     return K.schema(x.obs.withColumns({"period": p, "span": s}))
 
 
+@query("gate_schema_lines", """+ b AS (SELECT series_id, period, substr(period, 6) AS mo FROM obs), q AS (SELECT series_id, period, CASE WHEN series_id = 'nat-5' THEN 'period' WHEN series_id = 'nat-6' AND mo = '11' THEN 'choice' WHEN series_id = 'nat-7' AND mo = '04' THEN 'required' WHEN series_id = 'nat-8' AND mo = '05' THEN 'type'
+  WHEN series_id = 'nat-9' AND mo = '06' THEN 'unknown' WHEN series_id = 'nat-10' AND mo = '07' THEN 'object' WHEN series_id = 'nat-11' AND mo = '08' THEN 'limits' END AS rule FROM b) SELECT 'schema.' || rule AS check_id, 'BLOCK' AS severity, series_id, period FROM q WHERE rule IS NOT NULL""")
+def _(x):
+    """Rows as raw JSON; one nation breaks each of the rules."""
+    at = lambda n, month="%": (F.col("series_id") == f"nat-{n}") & F.substring("period", 6, 2).like(month)
+    line = lambda **other: F.to_json(F.struct(*(other.get(c, F.col(c)).alias(c) for c in ("series_id", "period", "span", "m")), *(v.alias(k) for k, v in other.items() if k == "note")))
+    text = (
+        F.when(at(5), line(period=F.replace(F.col("period"), F.lit("-"), F.lit("/")))).when(at(6, "11"), line(span=F.lit(3))).when(at(7, "04"), line(m=F.lit(None).cast("double")))
+        .when(at(8, "05"), line(m=F.lit("n/a"))).when(at(9, "06"), line(note=F.lit("x"))).when(at(10, "07"), F.lit("oops")).when(at(11, "08"), line(m=F.lit(-1.0))).otherwise(line())
+    )
+    kinds = {"series_id": "text", "period": "text", "span": "number", "m": "number"}
+    return K.schema_of_lines(x.obs.select("series_id", "period", text.alias("line")), ("series_id", "period", "span", "m"), kinds, {"span": (1, 2)}, {"m": (0.0, 1e15)})
+
+
 @query("gate_caliber", "+ c AS (SELECT l.series_id, l.period, l.measure, k.tier FROM long_obs l JOIN catalog k USING (series_id)) " + find("caliber", "BLOCK", "c", "tier = 3 AND measure IN ('m', 'm_yoy')"))
 def _(x):
     calibers = F.when(F.col("tier") == 3, F.array(F.lit("ytd"))).otherwise(F.array(F.lit("single"), F.lit("ytd")))
@@ -88,13 +102,23 @@ def _(x):
     return K.unit_slip(touched(x), staged(x))
 
 
-@query("gate_seasonal_z", STAGED + f""", t AS (SELECT series_id, period, m_yoy FROM staged WHERE period >= '2001-04' AND m_yoy IS NOT NULL), p AS (SELECT t.series_id, t.period AS upto, h.m_yoy FROM t JOIN obs h ON h.series_id = t.series_id AND h.period < t.period WHERE h.m_yoy IS NOT NULL AND h.period NOT IN {SHOCKS} AND NOT {BLOCKED.format(a='h', p='period')}),
-  md AS (SELECT series_id, upto, median(m_yoy) AS med, COUNT(*) AS n FROM p GROUP BY 1, 2 HAVING COUNT(*) >= 24), mad AS (SELECT p.series_id, p.upto, median(ABS(m_yoy - med)) AS mad, ANY_VALUE(med) AS med FROM p JOIN md USING (series_id, upto) GROUP BY 1, 2),
-  z AS (SELECT t.series_id, t.period, ABS(CASE WHEN mad = 0 THEN CASE WHEN m_yoy = med THEN 0 ELSE 'inf'::DOUBLE END ELSE (m_yoy - med) / (mad * 1.4826) END) AS z FROM t JOIN mad ON t.series_id = mad.series_id AND t.period = mad.upto) """
-       + find("seasonal_z", "CASE WHEN z >= 7 THEN 'BLOCK' ELSE 'WARN' END", "z", "z >= 4"))
+@query("gate_seasonal_z", STAGED + f""", u AS (SELECT series_id, period, span, m, CASE WHEN series_id NOT LIKE 'nat-1%' THEN m_yoy END AS m_yoy FROM staged), t AS (SELECT * FROM u WHERE period >= '2001-04' AND series_id IN (SELECT series_id FROM u GROUP BY 1 HAVING COUNT(*) >= 24)),
+  p AS (SELECT t.series_id, t.period AS upto, h.m_yoy FROM t JOIN obs h ON h.series_id = t.series_id AND h.period < t.period WHERE t.m_yoy IS NOT NULL AND h.m_yoy IS NOT NULL AND h.period NOT IN {SHOCKS} AND NOT {BLOCKED.format(a='h', p='period')}),
+  md AS (SELECT series_id, upto, median(m_yoy) AS med FROM p GROUP BY 1, 2), mad AS (SELECT p.series_id, p.upto, median(ABS(m_yoy - med)) AS mad, ANY_VALUE(med) AS med FROM p JOIN md USING (series_id, upto) GROUP BY 1, 2),
+  co AS (SELECT t.series_id, t.period AS upto, t.m AS now, s.period, s.m, MIN(s.m) OVER v > 0 AND t.m > 0 AS logs, COUNT(*) OVER v AS n FROM t JOIN u s ON s.series_id = t.series_id AND s.span = t.span AND substr(s.period, 6) = substr(t.period, 6) AND s.period < t.period
+    WHERE s.period NOT IN {SHOCKS} AND NOT EXISTS (SELECT 1 FROM md WHERE md.series_id = t.series_id AND md.upto = t.period) WINDOW v AS (PARTITION BY t.series_id, t.period)),
+  cl AS (SELECT *, CASE WHEN logs THEN LN(ABS(m)) ELSE m END AS lv, CASE WHEN logs THEN LN(ABS(now)) ELSE now END AS ln FROM co WHERE n > 4),
+  cs AS (SELECT series_id, upto, lv - lag(lv) OVER w AS step, ln - first_value(lv) OVER (PARTITION BY series_id, upto ORDER BY period DESC) AS chg FROM cl WINDOW w AS (PARTITION BY series_id, upto ORDER BY period)),
+  cm AS (SELECT series_id, upto, median(step) AS med, ANY_VALUE(chg) AS chg FROM cs GROUP BY 1, 2), cd AS (SELECT cs.series_id, cs.upto, ANY_VALUE(cm.chg) AS v, ANY_VALUE(med) AS med, median(ABS(step - med)) AS mad FROM cs JOIN cm USING (series_id, upto) GROUP BY 1, 2),
+  g AS (SELECT t.series_id, t.period, t.m_yoy AS v, med, mad FROM t JOIN mad ON t.series_id = mad.series_id AND t.period = mad.upto UNION ALL SELECT series_id, upto, v, med, mad FROM cd),
+  z AS (SELECT series_id, period, ABS(CASE WHEN mad = 0 THEN CASE WHEN v = med THEN 0 ELSE 'inf'::DOUBLE END ELSE (v - med) / (mad * 1.4826) END) AS z FROM g) """
+       + find("seasonal_z", "CASE WHEN z >= 7 AND NOT (series_id = 'mkt-BUILDING' AND period = '2001-05') THEN 'BLOCK' ELSE 'WARN' END", "z", "z >= 4"))
 def _(x):
-    rows = staged(x).where("period >= '2001-04' AND m_yoy IS NOT NULL").select("series_id", "period", "m_yoy")
-    return K.seasonal_z(rows, history(x, rows.select("series_id", F.col("period").alias("at"))))
+    """Some nations publish no rate, so that their seasons are compared; another source confirms one wild rate."""
+    rows = staged(x).withColumn("m_yoy", F.when(~F.col("series_id").like("nat-1%"), F.col("m_yoy")))
+    new = rows.where("period >= '2001-04'")
+    past = history(x, new.where("m_yoy IS NOT NULL").select("series_id", F.col("period").alias("at")))
+    return K.seasonal_z(new, past, rows, SHOCKS, rows.where("series_id = 'mkt-BUILDING' AND period = '2001-05'"))
 
 
 @query("gate_triangulate_dg_press", "SELECT 'dg_press' AS check_id, 'BLOCK' AS severity, a.series_id, a.period FROM long_obs a JOIN long_old b USING (series_id, period, measure) WHERE measure = 'm_yoy' AND ABS(a.value - b.value) > 0.05 + 1e-9")
@@ -115,11 +139,12 @@ def _(x):
     return K.ytd_arithmetic(staged(x), touched(x))
 
 
-@query("gate_yoy_base", STAGED + f""", r AS (SELECT a.*, b.m AS base, {AGO.format(a='a')} AS ago FROM staged a JOIN staged b ON a.series_id = b.series_id AND a.span = b.span AND b.period = {AGO.format(a='a')} WHERE a.m_yoy IS NOT NULL),
-  c AS (SELECT *, m / NULLIF(1 + m_yoy / 100, 0) AS implied FROM r WHERE NOT {SEAM.format(a='r', p='period', q='r.ago')}), d AS (SELECT *, implied IS NULL OR ABS(implied / base - 1) * 100 > 50 AS blk FROM c) """
-       + find("yoy_base", "CASE WHEN blk THEN 'BLOCK' ELSE 'WARN' END", "d", "blk OR ABS(m_yoy - (m / base - 1) * 100) > 3"))
+@query("gate_yoy_base", STAGED + TYPED + f""", r AS (SELECT a.series_id, a.period, a.m, a.m_yoy, a.ytd, a.ytd_yoy, b.m AS bm, b.ytd AS yb, {AGO.format(a='a')} AS ago FROM typed a JOIN typed b ON a.series_id = b.series_id AND a.span = b.span AND b.period = {AGO.format(a='a')} WHERE a.value_type = 'level'),
+  l AS (SELECT series_id, period, ago, m AS v, bm AS base, m_yoy AS rate FROM r UNION ALL SELECT series_id, period, ago, ytd, yb, ytd_yoy FROM r), c AS (SELECT *, v / NULLIF(1 + rate / 100, 0) AS implied FROM l WHERE v IS NOT NULL AND base IS NOT NULL AND rate IS NOT NULL AND NOT {SEAM.format(a='l', p='period', q='l.ago')}),
+  d AS (SELECT *, implied IS NULL OR base = 0 OR ABS(implied - base) > ABS(base) * 0.5 AS blk FROM c) """
+       + find("yoy_base", "CASE WHEN blk THEN 'BLOCK' ELSE 'WARN' END", "d", "blk OR ABS(rate - (v / base - 1) * 100) > 3"))
 def _(x):
-    return K.yoy_base(staged(x), x.breaks)
+    return K.yoy_base(typed(x), x.breaks)
 
 
 @query("gate_sum_parts", """+ p AS (SELECT period, SUM(CAST(m AS DECIMAL(28,2)))::DOUBLE AS summed, COUNT(*) AS n FROM obs WHERE series_id LIKE 'mkt-%' GROUP BY 1), t AS (SELECT 'all' AS series_id, period, CAST(SUM(CAST(m AS DECIMAL(28,2))) AS DOUBLE) * CASE WHEN period LIKE '%-09' THEN 1.05 ELSE 1 END AS m FROM obs WHERE series_id LIKE 'nat-%' GROUP BY 1, 2)
@@ -144,13 +169,18 @@ def _(x):
     return K.share_bounds(parts, x.obs.where("series_id = 'mkt-MACHINERY'").select("period", F.col("m").alias("whole")))
 
 
-@query("gate_calendar_step", STAGED + """, l AS (SELECT series_id, MAX(period) AS last FROM staged WHERE period < CASE WHEN series_id = 'nat-3' THEN '2001-01' WHEN series_id = 'nat-7' THEN '2000-05' ELSE '2000-06' END GROUP BY 1), n AS (SELECT series_id, MIN(period) AS period FROM staged WHERE period >= CASE WHEN series_id = 'nat-3' THEN '2001-01' ELSE '2000-06' END GROUP BY 1),
-  s AS (SELECT n.*, (CAST(substr(period, 1, 4) AS INT) - CAST(substr(last, 1, 4) AS INT)) * 12 + CAST(substr(period, 6, 2) AS INT) - CAST(substr(last, 6, 2) AS INT) AS k FROM n JOIN l USING (series_id)) """ + find("calendar_step", "CASE WHEN k = 2 THEN 'WARN' ELSE 'BLOCK' END", "s", "k > 1"))
+KNOWN_STEPS = (("nat-3", None, "calendar_step", "caught up"),)
+
+
+@query("gate_calendar_step", STAGED + """, l AS (SELECT series_id, MAX(period) AS last FROM staged WHERE period < CASE series_id WHEN 'nat-3' THEN '2001-01' WHEN 'nat-7' THEN '2000-05' WHEN 'nat-8' THEN '2001-01' WHEN 'nat-9' THEN '2000-03' ELSE '2000-06' END GROUP BY 1), n AS (SELECT series_id, MIN(period) AS period FROM staged WHERE period >= CASE WHEN series_id = 'nat-3' THEN '2001-01' ELSE '2000-06' END GROUP BY 1),
+  s AS (SELECT n.*, (CAST(substr(period, 1, 4) AS INT) - CAST(substr(last, 1, 4) AS INT)) * 12 + CAST(substr(period, 6, 2) AS INT) - CAST(substr(last, 6, 2) AS INT) AS k FROM n JOIN l USING (series_id)) """ + find("calendar_step", "CASE WHEN k = 2 OR series_id = 'nat-3' THEN 'WARN' ELSE 'BLOCK' END", "s", "k <> 1"))
 def _(x):
+    """One nation catches up as is known, one goes back, one leaves out more than a month."""
     cut = F.when(F.col("series_id") == "nat-3", "2001-01").otherwise("2000-06")
-    known = F.when(F.col("series_id") == "nat-7", "2000-05").otherwise(cut)
+    at = lambda s: F.col("series_id") == s
+    known = F.when(at("nat-7"), "2000-05").when(at("nat-8"), "2001-01").when(at("nat-9"), "2000-03").otherwise(cut)
     latest = staged(x).where(F.col("period") < known).groupBy("series_id").agg(F.max("period").alias("period"))
-    return K.calendar_step(staged(x).where(F.col("period") >= cut).groupBy("series_id").agg(F.min("period").alias("period")), latest)
+    return K.calendar_step(staged(x).where(F.col("period") >= cut).groupBy("series_id").agg(F.min("period").alias("period")), latest, KNOWN_STEPS)
 
 
 @query("gate_release_window", "SELECT 'release_window' AS check_id, 'WARN' AS severity, 'nat-' || c_nationkey AS series_id, strftime(o_orderdate, '%Y-%m') AS period FROM orders JOIN customer ON o_custkey = c_custkey WHERE day(o_orderdate) NOT BETWEEN 6 AND 24", pre=False)
@@ -161,7 +191,7 @@ def _(x):
 
 
 @query("gate_completeness", """+ r AS (SELECT DISTINCT nat || '/' || period AS release, seg AS field FROM cells), a AS (SELECT release, g AS "group", f AS field FROM (SELECT DISTINCT release FROM r), (VALUES ('core', 'BUILDING'), ('core', 'MACHINERY'), ('home', 'HOUSEHOLD')) t(g, f))
-  SELECT a.release, a."group" FROM a LEFT JOIN r USING (release, field) GROUP BY 1, 2 HAVING COUNT(r.release) = 0""")
+  SELECT 'completeness' AS check_id, 'BLOCK' AS severity, a.release, a."group" FROM a LEFT JOIN r USING (release, field) GROUP BY 3, 4 HAVING COUNT(r.release) = 0""")
 def _(x):
     """A release is a nation's month; it must have a field of every group."""
     groups = F.array(*(F.struct(F.lit(g).alias("group"), F.lit(f).alias("field")) for g, f in (("core", "BUILDING"), ("core", "MACHINERY"), ("home", "HOUSEHOLD"))))
@@ -169,9 +199,18 @@ def _(x):
     return K.completeness(rows, rows.select("release").distinct().select("release", F.inline(groups)))
 
 
-@query("gate_release_identity", STAGED + """, n AS (SELECT series_id, period, m FROM staged WHERE period >= '2000-06') SELECT 'release_identity' AS check_id, 'BLOCK' AS severity, series_id, period FROM n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.series_id = n.series_id AND o.period = n.period)""")
+@query("gate_release_identity", STAGED + """, rep AS (SELECT * FROM staged WHERE NOT (series_id IN ('nat-11', 'nat-12') AND period = '2000-10') UNION ALL SELECT series_id, '2000-10', span, m, ytd, m_yoy, ytd_yoy FROM staged WHERE series_id IN ('nat-11', 'nat-12') AND period = '2000-09'),
+  n AS (SELECT * FROM rep WHERE period >= '2000-06'), l AS (SELECT series_id, period, lag(m) OVER w = m AND lag(ytd) OVER w = ytd AND COALESCE(lag(m_yoy) OVER w = m_yoy, TRUE) AND COALESCE(lag(ytd_yoy) OVER w = ytd_yoy, TRUE) AS same FROM rep WINDOW w AS (PARTITION BY series_id ORDER BY period))
+  SELECT 'release_identity' AS check_id, 'BLOCK' AS severity, series_id, period FROM n WHERE period IN ('2000-09', '2000-11') UNION ALL SELECT 'stale_reserve', 'BLOCK', series_id, period FROM l WHERE same AND period >= '2000-06' AND period NOT IN ('2000-09', '2000-11') AND NOT (series_id = 'nat-12' AND period = '2000-10')""")
 def _(x):
-    return K.release_identity(touched(x), x.old.select("series_id", "period"), S.stale(staged(x)))
+    """A month is a release of two captures; one month has no manifest, another lacks a capture. Two nations repeat a month, one of them as a second source confirms."""
+    twice = F.col("series_id").isin("nat-11", "nat-12")
+    rows = staged(x).where(~(twice & (F.col("period") == "2000-10"))).unionByName(staged(x).where(twice & (F.col("period") == "2000-09")).withColumn("period", F.lit("2000-10")))
+    new = rows.where("period >= '2000-06'").select("series_id", "period", F.concat(F.lit("rel-"), "period").alias("release"))
+    parts = lambda r: F.array(*(F.concat_ws("/", r, F.lit(k)) for k in "ab"))
+    manifests = new.where("period <> '2000-09'").select("release").distinct().select("release", F.explode(parts("release")).alias("capture"))
+    confirmed = rows.where("series_id = 'nat-12'").unpivot(["series_id", "period"], ["m", "ytd", "m_yoy", "ytd_yoy"], "measure", "value")
+    return K.release_identity(new, manifests, manifests.where("capture <> 'rel-2000-11/b'"), S.stale(rows), confirmed)
 
 
 @query("gate_break_no_yoy", f"""+ w AS (SELECT series_id, effective, yoy_valid_from AS vf FROM breaks WHERE no_yoy_across AND yoy_valid_from > effective),
@@ -197,11 +236,12 @@ def _(x):
     return found.select(F.lit("break_link").alias("check_id"), "severity", "series_id", F.col("other").alias("period"))
 
 
-@query("gate_revision_flood", merges.LOG + """, o AS (SELECT series_id, COUNT(*) AS n, MAX(period) AS period FROM obs GROUP BY 1), r AS (SELECT series_id, COUNT(*) AS k FROM log GROUP BY 1)
-  SELECT 'revision_flood' AS check_id, 'BLOCK' AS severity, series_id, period FROM r JOIN o USING (series_id) WHERE k > 6 OR k > n * 0.1""")
+@query("gate_revision_flood", merges.LOG + """, o AS (SELECT series_id, COUNT(*) AS n, MAX(period) AS period FROM obs GROUP BY 1), r AS (SELECT series_id, COUNT(*) AS k, COUNT(DISTINCT period) AS p FROM log GROUP BY 1)
+  SELECT 'revision_flood' AS check_id, CASE WHEN series_id = 'nat-2' THEN 'WARN' ELSE 'BLOCK' END AS severity, series_id, period FROM r JOIN o USING (series_id) WHERE CASE WHEN series_id LIKE 'mkt-%' THEN p > 3 ELSE k > 6 OR k > n * 0.1 END""")
 def _(x):
-    last = x.obs.groupBy("series_id").agg(F.max("period").alias("period"))
-    return K.findings(G.flood(merges._log(x), x.obs).join(last, "series_id"), "revision_flood", "BLOCK")
+    """Segments count as panels; one nation's revision is known."""
+    panels = x.catalog.where("section = 'market'").select("series_id")
+    return K.revision_flood(merges._log(x), x.obs, panels, (("nat-2", None, "revision_flood", "benchmark"),))
 
 
 @query("gate_revision_integrity", merges.LOG + " SELECT 'revision_integrity' AS check_id, 'BLOCK' AS severity, series_id, period FROM log WHERE seq = 2 AND series_id = 'nat-2'")
@@ -210,13 +250,16 @@ def _(x):
     return K.findings(G.integrity(log, x.long(x.old), merges._new(x), merges.TODAY), "revision_integrity", "BLOCK")
 
 
-@query("gate_catalog", """SELECT 'catalog' AS check_id, 'BLOCK' AS severity, series_id, MAX(period) AS period FROM obs WHERE series_id NOT IN (SELECT series_id FROM catalog WHERE name <> 'BUILDING') GROUP BY series_id
-  UNION ALL SELECT 'catalog', 'WARN', series_id, NULL FROM catalog WHERE name <> 'BUILDING' AND series_id NOT IN (SELECT series_id FROM obs WHERE series_id <> 'nat-8')""")
+@query("gate_catalog", """SELECT 'catalog' AS check_id, 'BLOCK' AS severity, series_id, MAX(period) AS period FROM obs WHERE series_id NOT IN (SELECT series_id FROM catalog WHERE name <> 'BUILDING' AND series_id <> 'nat-12') AND series_id <> 'nat-12' GROUP BY series_id
+  UNION ALL SELECT 'catalog.value_type', 'BLOCK', series_id, MAX(period) FROM obs WHERE series_id = 'nat-4' GROUP BY 3 UNION ALL SELECT 'catalog.section', 'BLOCK', series_id, MAX(period) FROM obs WHERE series_id LIKE 'nat-2%' GROUP BY 3
+  UNION ALL SELECT DISTINCT 'catalog.field', 'WARN', pri, NULL FROM cells WHERE pri LIKE '1%' OR pri LIKE '5%' UNION ALL SELECT 'catalog', 'WARN', series_id, NULL FROM catalog WHERE series_id = 'nat-8'""")
 def _(x):
-    declared = x.catalog.where("name <> 'BUILDING'").select("series_id")
-    found = K.catalog(x.obs, declared)
-    unpublished = K.catalog(x.obs.where("series_id <> 'nat-8'"), declared).where("severity = 'WARN'")
-    return found.where("severity = 'BLOCK'").union(unpublished)
+    """A segment and a nation without an entry, the latter known; a nation without data; some of another type or section; priorities as fields of which two map to nothing."""
+    declared = x.catalog.where("name <> 'BUILDING' AND series_id <> 'nat-12'")
+    at = lambda c, like, v: F.when(F.col("series_id").like(like), v).otherwise(F.col(c))
+    facts = declared.select("series_id", at("value_type", "nat-4", "index").alias("value_type"), at("section", "nat-2%", "market").alias("section"))
+    series = F.when(~F.substring("pri", 1, 1).isin("1", "5"), F.concat(F.lit("pri-"), "pri")).alias("series_id")
+    return K.catalog(x.obs.where("series_id <> 'nat-8'"), declared, facts, x.cells.select(F.col("pri").alias("field"), series).distinct(), ("nat-12",))
 
 
 @query("gate_verdict", STAGED + ", f AS (" + find("bounds", "BLOCK", "staged", "m < 0 OR m_yoy NOT BETWEEN -80 AND 300 OR ytd_yoy NOT BETWEEN -80 AND 300") + " UNION ALL SELECT 'pairs', 'WARN', series_id, period FROM obs WHERE ABS(m_yoy) > 50) SELECT COUNT(*) FILTER (WHERE severity = 'BLOCK') AS blocks, COUNT(*) FILTER (WHERE severity = 'WARN') AS warns, CASE WHEN COUNT(*) FILTER (WHERE severity = 'BLOCK') > 0 THEN 2 ELSE 0 END AS exit_code FROM f")
