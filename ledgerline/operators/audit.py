@@ -26,18 +26,27 @@ def sources(index: DataFrame, bundles: DataFrame, catalog: DataFrame) -> DataFra
     return both.select("series_id", problem.alias("problem")).where("problem IS NOT NULL")
 
 
-def latest_anchor(bundles: DataFrame, rows: DataFrame) -> DataFrame:
-    """The published latest period is the last with any measure."""
+def latest_anchor(tails: DataFrame, rows: DataFrame) -> DataFrame:
+    """What is published as last (series_id, field, period: latest, the arrays' ends, the index) is the last period with any measure: `latest_anchor.<field>`."""
     true = rows.where(F.coalesce("m", "ytd", "m_yoy", "ytd_yoy").isNotNull()).groupBy("series_id").agg(F.max("period").alias("_true"))
-    both = bundles.select("series_id", "period").join(true, "series_id", "left")
-    return _found(both, "latest_anchor", "block", ~F.col("period").eqNullSafe(F.col("_true")))
+    both = tails.select("series_id", "field", "period").join(true, "series_id", "left").where(~F.col("period").eqNullSafe(F.col("_true")))
+    return both.select(F.concat(F.lit("latest_anchor."), "field").alias("check_id"), F.lit("block").alias("status"), "series_id", "period")
 
 
-def yoy_break_nulls(points: DataFrame, breaks: DataFrame) -> DataFrame:
-    """No published rate (series_id, period, yoy) lies in a window without rates."""
-    near = points.where("yoy IS NOT NULL").join(breaks.where("no_yoy_across").select("series_id", "effective", "yoy_valid_from"), "series_id")
-    hit = (F.col("period") >= F.col("effective")) & (F.col("yoy_valid_from").isNull() | (F.col("period") < F.col("yoy_valid_from")))
-    return _found(near, "yoy_break_nulls", "block", hit).distinct()
+def yoy_break_nulls(points: DataFrame, breaks: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
+    """No published rate (series_id, period, yoy) lies in a window without rates.
+
+    Nor does that of a latest or previous block, and no break lies between the two: `blocks` has (series_id, period, yoy, prev, prev_yoy).
+    """
+    walls = breaks.where("no_yoy_across").select("series_id", "effective", "yoy_valid_from")
+    inside = lambda c: (F.col(c) >= F.col("effective")) & (F.col("yoy_valid_from").isNull() | (F.col(c) < F.col("yoy_valid_from")))
+    found = _found(points.where("yoy IS NOT NULL").join(walls, "series_id"), "yoy_break_nulls", "block", inside("period"))
+    if blocks is not None:
+        near = blocks.join(walls, "series_id")
+        across = (F.col("prev") < F.col("effective")) & (F.col("effective") <= F.col("period"))
+        found = found.union(_found(near, "yoy_break_nulls.latest", "block", inside("period") & F.col("yoy").isNotNull()))
+        found = found.union(_found(near, "yoy_break_nulls.prev", "block", inside("prev") & F.col("prev_yoy").isNotNull())).union(_found(near, "yoy_break_nulls.seam", "block", across))
+    return found.distinct()
 
 
 def previous(bundles: DataFrame, rows: DataFrame, breaks: DataFrame) -> DataFrame:
@@ -58,12 +67,24 @@ def previous(bundles: DataFrame, rows: DataFrame, breaks: DataFrame) -> DataFram
 
 
 def headline_numbers(sentences: DataFrame, slack: float = 0.06) -> DataFrame:
-    """Every percentage of a sentence is the size of the rate or of its change: rows (series_id, period, sentence, y, yp)."""
-    bare = F.regexp_replace("sentence", r"[0-9]{4} 年 ?(1-)?[0-9]+ 月|（[^）]*）", "")
-    numbers = F.transform(F.regexp_extract_all(bare, F.lit(r"([0-9]+\.[0-9]+)"), F.lit(1)), lambda n: n.cast("double"))
-    known = F.array_compact(F.array(F.abs("y"), F.abs(F.col("y") - F.col("yp"))))
+    """Numbers of a sentence that aren't the size of its rate, of the change or of the real rate, and runs of months that it states wrongly.
+
+    Rows (series_id, period, sentence, y, yp, and where there are: name, real, kind, run). Labels, names, notes and runs are left
+    out of the numbers. A run of months differs: block, up to 24 as published; it isn't stated: warn.
+    """
+    has = set(sentences.columns)
+    run = F.regexp_extract("sentence", "连续 ?([0-9]+)", 1).try_cast("int")
+    bare = F.replace(F.col("sentence"), F.col("name"), F.lit("")) if "name" in has else F.col("sentence")
+    bare = F.regexp_replace(bare, r"[0-9]{4} 年 ?(1-)?[0-9]+ 月|1-[0-9]+ 月|（[^）]*）|连续 ?[0-9]+ 个月", "")
+    numbers = F.transform(F.regexp_extract_all(bare, F.lit(r"([0-9]+(?:\.[0-9]+)?)"), F.lit(1)), lambda n: n.cast("double"))
+    known = F.array_compact(F.array(F.abs("y"), F.abs(F.col("y") - F.col("yp")), *([F.abs("real")] if "real" in has else [])))
     lost = F.exists(numbers, lambda n: ~F.exists(known, lambda k: F.abs(k - n) <= slack))
-    return _found(sentences, "headline_numbers", "block", lost)
+    found = _found(sentences, "headline_numbers", "block", lost)
+    if "run" in has:
+        due = (F.col("run") >= 2) & (F.col("kind") != "none")
+        wrong = run.isNotNull() & (~due | (run != F.least("run", F.lit(24))))
+        found = found.union(_found(sentences, "headline_streak", "block", wrong)).union(_found(sentences, "headline_streak", "warn", due & run.isNull()))
+    return found
 
 
 def derived(published: DataFrame, again: DataFrame, tolerance: Column) -> DataFrame:
@@ -73,6 +94,27 @@ def derived(published: DataFrame, again: DataFrame, tolerance: Column) -> DataFr
     return _found(both, "derived", "block", off)
 
 
+#: Fixed: how far a derived value may lie from the same computed anew, by rule: at least, and as a share.
+TOLERANCES = {"sum": (1.0, 0.002), "single_from_ytd": (1.0, 0.002), "ratio": (0.05, 0.01), "mean": (0.01, 0.0), "count": (0.0, 0.0)}
+
+
+def derived_rules(published: DataFrame, again: DataFrame, known: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """Derived values (rule, series_id, period, value) against the same computed anew, within their rule's tolerance: `derived.<rule>`.
+
+    Periods on one side only count too; what is known (series_id, period) warns.
+    """
+    keys = ["rule", "series_id", "period"]
+    both = published.select(*keys, F.col("value").alias("_a")).join(again.select(*keys, F.col("value").alias("_b")), keys, "full_outer")
+    slack = F.lit(0.0)
+    for rule, (least, share) in TOLERANCES.items():
+        slack = F.when(F.col("rule") == rule, F.greatest(F.lit(least), F.abs("_b") * share)).otherwise(slack)
+    sure = F.lit(False)
+    for series, period in known:
+        sure = sure | ((F.col("series_id") == series) & (F.col("period") == period))
+    off = F.col("_a").isNull() | F.col("_b").isNull() | (F.abs(F.col("_a") - F.col("_b")) > slack)
+    return both.where(off).select(F.concat(F.lit("derived."), "rule").alias("check_id"), F.when(sure, "warn").otherwise("block").alias("status"), "series_id", "period")
+
+
 def sample(rows: DataFrame, by: str, many: int, seed: int) -> DataFrame:
     """`many` rows of each group by the order of a hash: the same rows for a seed, whatever the partitions."""
     w = Window.partitionBy(by).orderBy(F.xxhash64(F.lit(seed), "series_id", "period"), "series_id", "period")

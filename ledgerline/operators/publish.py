@@ -111,17 +111,29 @@ def level_only(rows: DataFrame, series: DataFrame) -> DataFrame:
     return none.join(series.where(F.col("value_type").isin("index", "ratio", "rate_pct", "level")), "series_id", "left_semi").select("series_id")
 
 
-def diary(entries: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Entries whose period is not that of the snapshot of the run before: (series_id, before, period, kind)."""
+def diary(entries: DataFrame, snapshot: DataFrame, revised: DataFrame | None = None) -> DataFrame:
+    """What changed since the run before: (series_id, before, period, kind, line).
+
+    Entries whose period is not that of the snapshot, and periods in which cells (series_id, period, ...) were `revised` since.
+    """
     before = snapshot.select("series_id", F.col("period").alias("before"))
     rows = entries.join(before, "series_id", "left").where(~F.col("period").eqNullSafe(F.col("before")))
-    return rows.select("series_id", "before", "period", F.when(F.col("before").isNull(), "new").otherwise("advanced").alias("kind"))
-
-
-def city_rows(panel: DataFrame, many: int = 24) -> DataFrame:
-    """(entity, metric, latest, points): the last cell and how many of the last `many` periods have one."""
-    rows = panel.withColumn("_n", F.row_number().over(Window.partitionBy("entity", "metric").orderBy(F.col("period").desc()))).where(F.col("_n") <= many)
-    return rows.groupBy("entity", "metric").agg(F.max_by("m", "period").alias("latest"), F.count("m").alias("points"), F.min("period").alias("since"))
+    kind = F.when(F.col("before").isNull(), "new").otherwise("advanced")
+    line = F.concat("series_id", F.lit(": "), F.coalesce(F.concat("before", F.lit(" → ")), F.lit("")), "period")
+    out = rows.select("series_id", "before", "period", kind.alias("kind"), line.alias("line"))
+    if revised is None:
+        return out
+    n = revised.groupBy("series_id", "period").agg(F.count("*").cast("string").alias("_n"))
+    return out.union(n.select("series_id", "period", "period", F.lit("revised"), F.concat("series_id", F.lit(": "), "period", F.lit(" ("), "_n", F.lit(")"))))
+
+
+def city_rows(panel: DataFrame, primary: str, secondary: str, many: int = 24) -> DataFrame:
+    """(entity, cells, latest, second, points, since): the last `many` periods of one metric, the last values of it and of another."""
+    wide = panel.where(F.col("metric").isin(primary, secondary)).groupBy("entity", "period").pivot("metric", [primary, secondary]).agg(F.max("m")).toDF("entity", "period", "_a", "_b")
+    rows = wide.withColumn("_n", F.row_number().over(Window.partitionBy("entity").orderBy(F.col("period").desc()))).where(F.col("_n") <= many)
+    at_end = lambda c: F.max(F.when(F.col("_n") == 1, F.col(c)))
+    cells = F.array_sort(F.collect_list(F.struct("period", F.col("_a").alias("m"))))
+    return rows.groupBy("entity").agg(cells.alias("cells"), at_end("_a").alias("latest"), at_end("_b").alias("second"), F.count("_a").alias("points"), F.min("period").alias("since"))
 
 
 def shared_axis(rows: DataFrame, group: str, value: str) -> DataFrame:

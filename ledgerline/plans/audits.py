@@ -8,10 +8,10 @@ from ledgerline.operators import audit as A
 from ledgerline.operators import merge as G
 from ledgerline.operators import reduce as R
 from ledgerline.operators import series as S
-from ledgerline.plans.publishing import LAST, entries
+from ledgerline.plans.publishing import LAST, SENTENCE_SQL, entries, said
 from ledgerline.plans.registry import query
-from ledgerline.plans.sql import BLOCKED
-from ledgerline.plans.windows import PRIOR
+from ledgerline.plans.sql import BLOCKED, SEAM
+from ledgerline.plans.windows import PRIOR, rates
 
 
 @query("audit_bundle_source", """+ pub AS (SELECT series_id, CASE WHEN series_id = 'nat-8' THEN 'market' ELSE section END AS section FROM catalog WHERE series_id <> 'nat-9' UNION ALL SELECT 'nat-2', 'nation' UNION ALL SELECT 'ghost', 'nation'),
@@ -24,15 +24,26 @@ def _(x):
     return A.sources(c.where("series_id <> 'nat-6'"), published, c)
 
 
-@query("audit_latest_anchor", "+ t AS (SELECT series_id, MAX(period) AS p FROM obs GROUP BY 1), b AS (SELECT series_id, CASE WHEN series_id LIKE 'nat-1%' THEN '2001-01' ELSE p END AS period, p FROM t) SELECT 'latest_anchor' AS check_id, 'block' AS status, series_id, period FROM b WHERE period <> p")
+@query("audit_latest_anchor", """+ t AS (SELECT series_id, MAX(period) AS p FROM obs GROUP BY 1), f AS (SELECT series_id, p, unnest(['latest', 'yoy_series', 'level_series', 'freshness']) AS field FROM t),
+  b AS (SELECT *, CASE WHEN field = 'latest' AND series_id LIKE 'nat-1%' THEN '2001-01' WHEN field = 'yoy_series' AND series_id LIKE 'mkt-%' THEN NULL WHEN field = 'freshness' AND series_id = 'nat-5' THEN '2001-02' ELSE p END AS period FROM f)
+  SELECT 'latest_anchor.' || field AS check_id, 'block' AS status, series_id, period FROM b WHERE period IS DISTINCT FROM p""")
 def _(x):
-    last = x.obs.groupBy("series_id").agg(F.max("period").alias("period"))
-    return A.latest_anchor(last.withColumn("period", F.when(F.col("series_id").like("nat-1%"), "2001-01").otherwise(F.col("period"))), x.obs)
+    """All ends of what is published; some nations lag in one of them, the segments' rates are empty."""
+    fields = F.explode(F.array(*map(F.lit, ("latest", "yoy_series", "level_series", "freshness")))).alias("field")
+    last = x.obs.groupBy("series_id").agg(F.max("period").alias("period")).select("series_id", "period", fields)
+    late = F.when((F.col("field") == "latest") & F.col("series_id").like("nat-1%"), "2001-01").when((F.col("field") == "freshness") & (F.col("series_id") == "nat-5"), "2001-02")
+    empty = (F.col("field") == "yoy_series") & F.col("series_id").like("mkt-%")
+    return A.latest_anchor(last.withColumn("period", F.when(~empty, F.coalesce(late, "period"))), x.obs)
 
 
-@query("audit_yoy_break_nulls", f"SELECT 'yoy_break_nulls' AS check_id, 'block' AS status, series_id, period FROM obs o WHERE m_yoy IS NOT NULL AND {BLOCKED.format(a='o', p='period')}")
+@query("audit_yoy_break_nulls", f"""+ b AS (SELECT series_id, period, m_yoy AS y, lag(period) OVER w AS prev, lag(m_yoy) OVER w AS yp FROM obs WINDOW w AS (PARTITION BY series_id ORDER BY period)) SELECT 'yoy_break_nulls' AS check_id, 'block' AS status, series_id, period FROM obs o WHERE m_yoy IS NOT NULL AND {BLOCKED.format(a='o', p='period')}
+  UNION ALL SELECT 'yoy_break_nulls.latest', 'block', series_id, period FROM b WHERE y IS NOT NULL AND {BLOCKED.format(a='b', p='period')} UNION ALL SELECT 'yoy_break_nulls.prev', 'block', series_id, period FROM b WHERE yp IS NOT NULL AND {BLOCKED.format(a='b', p='prev')}
+  UNION ALL SELECT 'yoy_break_nulls.seam', 'block', series_id, period FROM b WHERE {SEAM.format(a='b', p='period', q='b.prev')}""")
 def _(x):
-    return A.yoy_break_nulls(x.obs.select("series_id", "period", F.col("m_yoy").alias("yoy")), x.breaks)
+    """Rates as they come, and every row as a latest that compares to the row before, whatever lies between."""
+    before = lambda c: F.expr(f"lag({c}) OVER (PARTITION BY series_id ORDER BY period)")
+    blocks = x.obs.select("series_id", "period", F.col("m_yoy").alias("yoy"), before("period").alias("prev"), before("m_yoy").alias("prev_yoy"))
+    return A.yoy_break_nulls(x.obs.select("series_id", "period", F.col("m_yoy").alias("yoy")), x.breaks, blocks)
 
 
 @query("audit_prev", LAST + "SELECT 'previous' AS check_id, 'block' AS status, series_id, period FROM e WHERE series_id LIKE 'mkt-%' AND prev IS DISTINCT FROM '1999-01'")
@@ -42,12 +53,15 @@ def _(x):
     return A.previous(rows, x.obs, x.breaks)
 
 
-@query("audit_headline_numbers", LAST + "SELECT 'headline_numbers' AS check_id, 'block' AS status, series_id, period FROM e WHERE y IS NOT NULL AND series_id LIKE 'nat-2%'")
+@query("audit_headline_numbers", SENTENCE_SQL + """, told AS (SELECT b.series_id, b.period, said.kind, said.run, CASE WHEN series_id LIKE 'mkt-%' THEN replace(sentence, '%', '7%') WHEN series_id LIKE 'nat-1%' THEN replace(sentence, '连续 ', '连续 1') WHEN series_id LIKE 'nat-2%' THEN regexp_replace(sentence, '，连续.*$', '') ELSE sentence END AS text FROM b JOIN said USING (series_id))
+  SELECT 'headline_numbers' AS check_id, 'block' AS status, series_id, period FROM told WHERE series_id LIKE 'mkt-%' AND contains(text, '%') UNION ALL SELECT 'headline_streak', 'block', series_id, period FROM told WHERE series_id LIKE 'nat-1%' AND contains(text, '连续') UNION ALL SELECT 'headline_streak', 'warn', series_id, period FROM told WHERE run >= 2 AND NOT contains(text, '连续')""")
 def _(x):
-    """Sentences with the rate and its change; those of some nations are off by 7."""
-    slip = F.when(F.col("series_id").like("nat-2%"), 7.0).otherwise(0.0)
-    said = F.concat(F.col("period"), F.lit("增长 "), F.format_string("%.1f", F.abs("y") + slip), F.lit("%（口径 9.9）"))
-    return A.headline_numbers(entries(x).where("y IS NOT NULL").select("series_id", "period", "y", "yp", said.alias("sentence")).withColumn("yp", F.lit(None).cast("double")))
+    """The published sentences; the segments' rates have a digit too many, some nations' runs a wrong length, those of others no run."""
+    rows = said(x, x.held(rates(x))).where("y IS NOT NULL")
+    s, id_ = F.col("sentence"), F.col("series_id")
+    text = F.when(id_.like("mkt-%"), F.replace(s, F.lit("%"), F.lit("7%"))).when(id_.like("nat-1%"), F.replace(s, F.lit("连续 "), F.lit("连续 1"))).when(id_.like("nat-2%"), F.regexp_replace(s, "，连续.*$", "")).otherwise(s)
+    real = F.when(id_.like("nat-2%") & (id_ != "nat-2"), F.round(F.col("y") - 1.5, 1))
+    return A.headline_numbers(x.held(rows.select("series_id", "period", "name", "y", "yp", "kind", "run", real.alias("real"), text.alias("sentence"))))
 
 
 @query("audit_derived", """+ t AS (SELECT series_id, substr(period, 1, 4) AS y, period, span, ytd, CASE WHEN series_id = 'nat-7' THEN m * 1.01 WHEN series_id = 'nat-9' AND period LIKE '%-05' THEN NULL ELSE m END AS m FROM obs),
@@ -64,6 +78,33 @@ def _(x):
     return A.derived(published.join(again.select("series_id", "period"), ["series_id", "period"], "left_semi"), again, F.greatest(F.lit(1.0), F.abs("_b") * 0.002))
 
 
+@query("audit_derived_rules", """+ r AS (SELECT 'mean' AS rule, 'all-' || metric AS series_id, period, AVG(m) AS v FROM panel WHERE m IS NOT NULL GROUP BY 2, 3 UNION ALL SELECT 'count', 'up-' || metric, period, COUNT(*) FILTER (WHERE m > 0) FROM panel WHERE m IS NOT NULL GROUP BY 2, 3
+    UNION ALL SELECT 'sum', 'total', period, SUM(m) FROM obs WHERE series_id LIKE 'mkt-%' GROUP BY 3 HAVING COUNT(*) = (SELECT COUNT(*) FROM catalog WHERE section = 'market') UNION ALL SELECT 'ratio', 'share', a.period, a.m / b.m * 100 FROM obs a JOIN obs b ON a.series_id = 'mkt-BUILDING' AND b.series_id = 'mkt-MACHINERY' AND a.period = b.period)
+  SELECT 'derived.' || rule AS check_id, CASE WHEN series_id = 'total' AND period = '2000-09' THEN 'warn' ELSE 'block' END AS status, series_id, period FROM r WHERE (v <> 0 OR rule = 'mean') AND (substr(period, 6) = CASE rule WHEN 'mean' THEN '03' WHEN 'count' THEN '04' WHEN 'sum' THEN '09' ELSE '06' END OR (rule = 'ratio' AND period LIKE '%-07'))""")
+def _(x):
+    """Derived series as the operators give them, each rule off in a month of its own and ratios lacking in July, against sums and counts of the parts."""
+    panel, segments = x.panel.where("m IS NOT NULL"), x.obs.where("series_id LIKE 'mkt-%'")
+    series = lambda rows, rule, id_, value: rows.select(F.lit(rule).alias("rule"), id_.alias("series_id"), "period", value.cast("double").alias("value"))
+    all_, up = F.concat(F.lit("all-"), "metric"), F.concat(F.lit("up-"), "metric")
+    summed = G.sum_parts(segments, segments.select(F.lit("total").alias("total"), "series_id").distinct())
+    part = lambda s: x.obs.where(F.col("series_id") == s)
+    one, share = part("mkt-BUILDING"), G.ratio(part("mkt-BUILDING"), part("mkt-MACHINERY"), "m")
+    published = (
+        series(panel.groupBy("metric", "period").agg(F.avg("m").alias("v")), "mean", all_, F.col("v") + F.when(F.col("period").like("%-03"), 0.02).otherwise(0.0))
+        .union(series(panel.groupBy("metric", "period").agg(F.count(F.when(F.col("m") > 0, 1)).alias("v")), "count", up, F.col("v") + F.when(F.col("period").like("%-04") & (F.col("v") != 0), 1).otherwise(0)))
+        .union(series(summed, "sum", F.col("total"), F.col("summed") * F.when(F.col("period").like("%-09"), 1.01).otherwise(1.0)))
+        .union(series(share.where("period NOT LIKE '%-07'"), "ratio", F.lit("share"), F.col("ratio") * F.when(F.col("period").like("%-06"), 103).otherwise(100)))
+    )
+    n = panel.groupBy("metric", "period").agg(F.sum("m").alias("s"), F.sum(F.lit(1)).alias("n"), F.sum((F.col("m") > 0).cast("int")).alias("up"))
+    need = x.catalog.where("section = 'market'").agg(F.count("*").alias("need"))
+    whole = segments.groupBy("period").agg(F.sum("m").alias("v"), F.count("*").alias("n")).join(F.broadcast(need), F.col("n") == F.col("need"))
+    two = one.select("period", F.col("m").alias("a")).union(part("mkt-MACHINERY").select("period", (-F.col("m")).alias("a"))).groupBy("period").agg(F.max("a").alias("a"), F.min("a").alias("b"), F.count("*").alias("n")).where("n = 2")
+    again = (
+        series(n, "mean", all_, F.col("s") / F.col("n")).union(series(n, "count", up, F.col("up"))).union(series(whole, "sum", F.lit("total"), F.col("v"))).union(series(two, "ratio", F.lit("share"), -F.col("a") / F.col("b") * 100))
+    )
+    return A.derived_rules(published, again, (("total", "2000-09"),))
+
+
 SAMPLED = "+ n AS (SELECT indicator, code, TRY_CAST(v AS DOUBLE) AS value, fetched FROM captures), c AS (SELECT indicator AS series_id, substr(code, 1, 4) || '-' || substr(code, 5, 2) AS period, arg_max(value, fetched) AS raw FROM n WHERE value IS NOT NULL GROUP BY 1, 2)"
 
 

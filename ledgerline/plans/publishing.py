@@ -44,7 +44,7 @@ def _latest(x, rows):
     return S.resolve_latest(rows, "value", "y").join(x.catalog, "series_id")
 
 
-def _said(x, rows):
+def said(x, rows):
     """Latest rows with the streak of their rate and their sentence."""
     streaks = S.rate_streaks(rows.select("series_id", "period", "y"), x.breaks, "y")
     latest = _latest(x, rows).join(streaks, "series_id")
@@ -53,11 +53,11 @@ def _said(x, rows):
     real = F.when(F.col("series_id").like("nat-2%") & (F.col("series_id") != "nat-2"), F.round(F.col("y") - 1.5, 1))
     upto = F.when(F.col("headline") == "ytd", F.substring("period", 6, 2).cast("int"))
     # Names are Latin here: the space between label and name is theirs.
-    said = U.sentence(
+    text = U.sentence(
         F.concat(label, F.lit(" ")), F.col("name"), U.verb(F.col("value_type")), F.col("y"), F.col("yp"), U.reference(P.period_shape_loose("period")), first, F.col("span") == 2,
         U.streak_suffix(F.col("kind"), F.col("run")), real, upto,
     )
-    return latest.withColumn("sentence", said)
+    return latest.withColumn("sentence", text)
 
 
 @query("bundle_entry", ENTRY_SQL)
@@ -72,7 +72,7 @@ def bundle_entry(x):
     notes = x.breaks.groupBy("series_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "effective", "kind"))), ",").alias("annotations"))
     before = x.long(x.old).withColumnRenamed("value", "_was")
     revised = x.long(x.obs).join(before, ["series_id", "period", "span", "measure"]).where("abs(value - _was) >= 1e-9").groupBy("series_id").agg(F.count("*").alias("revisions"))
-    out = _said(x, rows).join(points, "series_id").join(spark, "series_id").join(notes, "series_id", "left").join(revised, "series_id", "left")
+    out = said(x, rows).join(points, "series_id").join(spark, "series_id").join(notes, "series_id", "left").join(revised, "series_id", "left")
     return out.select(
         "series_id", "section", "tier", "name", "period", "value", "y", "prev", "yp", d.alias("delta"),
         F.when(d > 0, "up").when(d < 0, "down").when(d == 0, "flat").alias("direction"), (F.col("span") == 2).alias("merged"), "points", "since",
@@ -83,7 +83,7 @@ def bundle_entry(x):
 
 @query("headline_sentence", SENTENCE_SQL + " SELECT series_id, sentence FROM said")
 def _(x):
-    return _said(x, x.held(rates(x))).where("y IS NOT NULL").select("series_id", "sentence")
+    return said(x, x.held(rates(x))).where("y IS NOT NULL").select("series_id", "sentence")
 
 
 @query("level_sentence", """+ l AS (SELECT series_id, period, ROUND(m_yoy / 4 + 50, 1) AS v FROM obs WHERE m_yoy IS NOT NULL AND span = 1), g AS (SELECT *, lag(v) OVER (PARTITION BY series_id ORDER BY period) AS p FROM l), d AS (SELECT *, ROUND(v - p, 6) AS d FROM g)
@@ -126,26 +126,49 @@ def _(x):
     return entries(x).join(recent, "series_id", "left").select("series_id", (F.col("span") == 2).alias("jan_feb"), F.coalesce("r", F.lit(False)).alias("break_recent"))
 
 
-@query("section_bundle", LAST + "SELECT section, COUNT(*) AS series, MAX(period) AS latest, array_to_string(list(series_id ORDER BY tier, series_id), ',') AS ids FROM e GROUP BY 1")
+RECORD_SQL = ENTRY_SQL.replace("\n  SELECT e.series_id, section", "\n  , rec AS (SELECT e.series_id, section") + ")"
+MARK_SQL = "series_id || '|' || period || '|' || format('{:.2f}', value) || '|' || COALESCE(format('{:.1f}', y), '-') || '|' || COALESCE(prev, '-') || '|' || streak"
+
+
+def _mark():
+    """A record in short: id, latest, value, rate, previous, streak."""
+    return F.concat_ws("|", "series_id", "period", F.format_string("%.2f", "value"), F.when(F.col("y").isNull(), "-").otherwise(F.format_string("%.1f", "y")), F.coalesce("prev", F.lit("-")), F.col("streak").cast("string"))
+
+
+def _listed(texts, *order):
+    """Texts of a group in the order of some columns; nulls are left out."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(texts.isNotNull(), F.struct(*order, texts.alias("text"))))), lambda s: s["text"]), ";")
+
+
+@query("section_bundle", RECORD_SQL + f" SELECT section, COUNT(*) AS series, MAX(period) AS latest, string_agg({MARK_SQL} || '|' || COALESCE(sentence, '-') || '|' || spark, ';' ORDER BY tier, series_id) AS records FROM rec GROUP BY 1")
 def _(x):
-    ids = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tier", "series_id"))), lambda s: s["series_id"]), ",")
-    return entries(x).groupBy("section").agg(F.count("*").alias("series"), F.max("period").alias("latest"), ids.alias("ids"))
+    """One row a section with all its records, of which a section has some hundreds."""
+    records = _listed(F.concat_ws("|", _mark(), F.coalesce("sentence", F.lit("-")), "spark"), "tier", "series_id")
+    return bundle_entry(x).groupBy("section").agg(F.count("*").alias("series"), F.max("period").alias("latest"), records.alias("records"))
 
 
-@query("index_bundle", LAST + "SELECT section, COUNT(*) FILTER (WHERE tier = 1) AS tiles, COUNT(*) AS series, MIN(period) AS oldest FROM e GROUP BY 1")
+@query("index_bundle", RECORD_SQL + f" SELECT section, COALESCE(string_agg({MARK_SQL} || '|' || COALESCE(sentence, '-'), ';' ORDER BY series_id) FILTER (WHERE tier = 1), '') AS tiles, string_agg(series_id || ':' || period || ':' || revisions, ';' ORDER BY series_id) AS freshness FROM rec GROUP BY 1")
 def _(x):
-    return entries(x).groupBy("section").agg(F.count(F.when(F.col("tier") == 1, 1)).alias("tiles"), F.count("*").alias("series"), F.min("period").alias("oldest"))
+    """By section: first-tier records without their arrays, and how fresh every series is."""
+    tile = F.when(F.col("tier") == 1, F.concat_ws("|", _mark(), F.coalesce("sentence", F.lit("-"))))
+    fresh = F.concat_ws(":", "series_id", "period", F.col("revisions").cast("string"))
+    return bundle_entry(x).groupBy("section").agg(_listed(tile, "series_id").alias("tiles"), _listed(fresh, "series_id").alias("freshness"))
 
 
-@query("diary_diff", "+ n AS (SELECT series_id, MAX(period) AS period FROM obs GROUP BY 1), b AS (SELECT series_id, MAX(period) AS before FROM old WHERE series_id <> 'nat-0' GROUP BY 1) SELECT series_id, before, period, CASE WHEN before IS NULL THEN 'new' ELSE 'advanced' END AS kind FROM n LEFT JOIN b USING (series_id) WHERE period IS DISTINCT FROM before")
+@query("diary_diff", """+ n AS (SELECT series_id, MAX(period) AS period FROM obs GROUP BY 1), b AS (SELECT series_id, MAX(period) AS before FROM old WHERE series_id <> 'nat-0' GROUP BY 1), r AS (SELECT series_id, period, COUNT(*) AS n FROM long_obs o JOIN long_old p USING (series_id, period, measure) WHERE ABS(o.value - p.value) >= 1e-9 GROUP BY 1, 2)
+  SELECT series_id, before, period, CASE WHEN before IS NULL THEN 'new' ELSE 'advanced' END AS kind, series_id || ': ' || COALESCE(before || ' → ', '') || period AS line FROM n LEFT JOIN b USING (series_id) WHERE period IS DISTINCT FROM before UNION ALL SELECT series_id, period, period, 'revised', series_id || ': ' || period || ' (' || n || ')' FROM r""")
 def _(x):
     last = lambda t: t.groupBy("series_id").agg(F.max("period").alias("period"))
-    return U.diary(last(x.obs), last(x.old.where("series_id <> 'nat-0'")))
+    before = x.long(x.old).withColumnRenamed("value", "_was")
+    revised = x.long(x.obs).join(before, ["series_id", "period", "span", "measure"]).where("abs(value - _was) >= 1e-9")
+    return U.diary(last(x.obs), last(x.old.where("series_id <> 'nat-0'")), revised)
 
 
-@query("city_rows", "+ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity, metric ORDER BY period DESC) AS n FROM panel) SELECT entity, metric, arg_max(m, period) FILTER (WHERE m IS NOT NULL AND n = 1) AS latest, COUNT(m) AS points, MIN(period) AS since FROM r WHERE n <= 24 GROUP BY 1, 2")
+@query("city_rows", """+ w AS (SELECT entity, period, MAX(m) FILTER (WHERE metric LIKE '1%') AS a, MAX(m) FILTER (WHERE metric LIKE '2%') AS b FROM panel WHERE metric LIKE '1%' OR metric LIKE '2%' GROUP BY 1, 2), r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity ORDER BY period DESC) AS n FROM w)
+  SELECT entity, string_agg(COALESCE(format('{:.1f}', a), '-'), ',' ORDER BY period) AS cells, MAX(a) FILTER (WHERE n = 1) AS latest, MAX(b) FILTER (WHERE n = 1) AS second, COUNT(a) AS points, MIN(period) AS since FROM r WHERE n <= 24 GROUP BY 1""")
 def _(x):
-    return U.city_rows(x.panel)
+    rows = U.city_rows(x.panel, "1-URGENT", "2-HIGH")
+    return rows.withColumn("cells", F.array_join(F.transform("cells", lambda c: F.when(c["m"].isNull(), "-").otherwise(F.format_string("%.1f", c["m"]))), ","))
 
 
 @query("small_multiples_scale", """+ e AS (SELECT substr(series_id, 1, 3) AS grp, LEAST(MIN(m_yoy), 0) AS lo, GREATEST(MAX(m_yoy), 0) AS hi FROM obs GROUP BY 1), s AS (SELECT *, GREATEST((hi - lo) / 4, 1e-9) AS raw FROM e), q AS (SELECT *, POW(10.0, FLOOR(LOG10(raw))) AS pw FROM s),

@@ -2,6 +2,7 @@ import ast
 import json
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerline.operators import audit as A
@@ -109,6 +110,50 @@ def test_each_fault_is_caught_by_its_check_and_clean_data_passes(spark):
     assert K.break_no_yoy(rows, breaks(spark, ("2025-01", "x", True, "2025-03"))).where("check_id = 'break_no_yoy'").count() == 2
 
 
+def test_raw_lines_break_the_rule_that_they_break(spark):
+    lines = {
+        "good": '{"id": "a", "period": "2025-01", "m": 1.5}', "object": "oops", "required": '{"id": "a", "period": "2025-01", "m": null}', "unknown": '{"id": "a", "period": "2025-01", "m": 1, "x": 1}',
+        "type": '{"id": 7, "period": "2025-01", "m": 1}', "choice": '{"id": "a", "period": "2025-01", "m": 1, "span": 3}', "limits": '{"id": "a", "period": "2025-01", "m": -1}', "period": '{"id": "a", "period": "2025-13", "m": 1}',
+    }
+    df = spark.createDataFrame([(k, "p", v) for k, v in lines.items()], "series_id string, period string, line string")
+    found = K.schema_of_lines(df, ("id", "period", "m"), {"id": "text", "period": "text", "m": "number", "span": "number"}, {"span": (1, 2)}, {"m": (0.0, 1e9)})
+    assert {(r["series_id"], r["check_id"]) for r in found.collect()} == {(k, f"schema.{k}") for k in lines if k != "good"}
+
+
+def test_seasons_stand_in_for_rates(spark):
+    level = {2018: 100.0, 2019: 110.0, 2020: 120.0, 2021: 133.0, 2022: 145.0, 2023: 160.0}
+    rows = obs(spark, *((f"{y}-03", 1, v, None, None, None) for y, v in level.items()), ("2024-03", 1, 1000.0, None, None, None), ("2024-04", 1, 5.0, None, None, None))
+    z = K.cohort_z(rows.where("period >= '2024'"), rows).collect()
+    steps = np.diff(np.log(list(level.values())))
+    mad = np.median(np.abs(steps - np.median(steps)))
+    assert [r["period"] for r in z] == ["2024-03"]
+    assert abs(z[0]["z"] - (np.log(1000 / 160) - np.median(steps)) / (1.4826 * mad)) < 1e-6
+    none = spark.createDataFrame([], "series_id string, at string, m_yoy double")
+    judge = lambda least, sure=None: [tuple(r)[1::2] for r in K.seasonal_z(rows.where("period >= '2024'"), none, rows, confirmed=sure, least={"M": least}).collect()]
+    assert judge(8) == [("BLOCK", "2024-03")]
+    assert judge(8, rows) == [("WARN", "2024-03")]
+    assert judge(9) == []
+
+
+def test_calendar_steps_and_release_identity(spark):
+    periods = lambda *rows: spark.createDataFrame(list(rows), "series_id string, period string")
+    step = lambda new, last, known=(): [r["severity"] for r in K.calendar_step(periods(("a", new)), periods(("a", last)), known).collect()]
+    assert [step("2025-03", last) for last in ("2025-02", "2025-01", "2024-12", "2025-03", "2025-05")] == [[], ["WARN"], ["BLOCK"], ["BLOCK"], ["BLOCK"]]
+    assert step("2025-03", "2024-12", (("a", None, "calendar_step", ""),)) == ["WARN"]
+    new = spark.createDataFrame([("a", "2025-01", "r1"), ("a", "2025-02", "r2"), ("a", "2025-03", "r3"), ("a", "2025-04", "r1")], "series_id string, period string, release string")
+    manifests = spark.createDataFrame([("r1", "x"), ("r1", "y"), ("r2", "x"), ("r2", "z")], "release string, capture string")
+    stale = obs(spark, ("2025-01", 1, 1.0, 2.0, None, None), ("2025-04", 1, 3.0, 4.0, None, None))
+    sure = spark.createDataFrame([("a", "2025-01", "m", 1.0), ("a", "2025-01", "ytd", 2.0), ("a", "2025-04", "m", 3.0)], CELL)
+    found = K.release_identity(new, manifests, spark.createDataFrame([("x",), ("y",)], "capture string"), stale, sure)
+    assert {(r["check_id"], r["period"]) for r in found.collect()} == {("release_identity", "2025-02"), ("release_identity", "2025-03"), ("stale_reserve", "2025-04")}
+
+
+def test_stated_numbers_and_runs(spark):
+    rows = [("a", "同比增长 5.9%，增速较上月加快 0.8 个百分点，连续 3 个月加快", 3), ("b", "同比增长 6.9%，连续 3 个月加快", 3), ("c", "同比增长 5.9%，连续 4 个月加快", 3), ("d", "同比增长 5.9%", 3), ("e", "同比增长 5.9%，连续 24 个月以上加快", 30)]
+    df = spark.createDataFrame(rows, "series_id string, sentence string, run int").selectExpr("*", "'2025-01' AS period", "5.9D AS y", "5.1D AS yp", "'accel' AS kind")
+    assert {(r["series_id"], r["check_id"], r["status"]) for r in A.headline_numbers(df).collect()} == {("b", "headline_numbers", "block"), ("c", "headline_streak", "block"), ("d", "headline_streak", "warn")}
+
+
 def test_sentences(spark):
     rows = [(5.9, 5.1), (-1.0, 2.0), (1.0, -2.0), (-3.0, -4.0), (0.0, 1.0), (2.0, None), (2.0, 2.0)]
     df = spark.createDataFrame(rows, "y double, yp double")

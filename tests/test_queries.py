@@ -11,6 +11,7 @@ CHOSEN = (
     "gate_seasonal_z", "gate_yoy_base", "gate_ytd_arith", "audit_prev", "audit_api_sample", "headline_sentence", "level_sentence", "fn_periods", "extract_table_rows", "ingest_stream",
     "fn_period_steps", "fn_release_windows", "fn_titles", "fn_number_tests", "fn_number_text", "fn_ticks", "fn_text_signs", "fn_provenance", "audit_determinism", "audit_derived", "audit_archive_sample",
     "smoke_sample_compare", "stage_identity_replay", "gate_break_link", "page_label_value_search", "dataset_fingerprint", "link_select",
+    "gate_schema_lines", "gate_release_identity", "gate_catalog", "audit_headline_numbers", "audit_derived_rules", "section_bundle", "city_rows",
 )
 
 
