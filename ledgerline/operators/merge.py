@@ -173,8 +173,10 @@ def resolve_parameter(rows: DataFrame, own: DataFrame, kinds: DataFrame, kind_ke
     return rows.join(own, "series_id", "left").join(kinds, kind_keys, "left").withColumn("value", F.coalesce("own", "kind", F.lit(default))).drop("own", "kind")
 
 
-def label_hits(labels: DataFrame, names: DataFrame, name: str) -> DataFrame:
-    """Labels within names: an equi-join on words, then the whole label; labels begin with a whole word of the name."""
-    words = names.withColumn("_w", F.explode(F.array_distinct(F.split(name, " "))))
-    keyed = labels.withColumn("_w", F.substring_index("label", " ", 1))
-    return words.join(keyed, "_w").where(F.contains(F.col(name), F.col("label"))).drop("_w").distinct()
+def label_hits(labels: DataFrame, names: DataFrame, name: str, width: int = 4) -> DataFrame:
+    """Labels anywhere within names: an equi-join on the label's first `width` characters (all, if it has fewer), then the whole label; empty labels meet nothing."""
+    text = F.col(name)
+    grams = lambda k: F.when(F.length(text) >= k, F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substring(text, i, F.lit(k))))
+    keys = F.array_distinct(F.concat(*(F.coalesce(grams(k), F.array().cast("array<string>")) for k in range(1, width + 1))))
+    keyed = labels.where("label <> ''").withColumn("_w", F.substring("label", 1, width))
+    return names.withColumn("_w", F.explode(keys)).join(keyed, "_w").where(F.contains(text, F.col("label"))).drop("_w")

@@ -163,12 +163,14 @@ def _(x):
 
 @query(
     "candidate_match",
-    """+ labels AS (SELECT DISTINCT split_part(p_name, ' ', 2) AS label FROM part),
+    """+ labels AS (SELECT DISTINCT substr(split_part(p_name, ' ', 2), 2) AS label FROM part WHERE length(split_part(p_name, ' ', 2)) > 1),
     hits AS (SELECT l.label, n.p_partkey, length(n.p_name) - length(l.label) AS extra FROM labels l JOIN part n ON contains(n.p_name, l.label))
     SELECT label, COUNT(*) AS n, arg_min(p_partkey, (extra, p_partkey)) AS best FROM hits GROUP BY 1""",
 )
 def _(x):
+    """Words without their first letter, found within names."""
     names = x.table("part").select("p_partkey", "p_name")
-    labels = x.table("part").select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("label")).distinct()
+    word = F.split_part("p_name", F.lit(" "), F.lit(2))
+    labels = x.table("part").where(F.length(word) > 1).select(F.expr("substr(split_part(p_name, ' ', 2), 2)").alias("label")).distinct()
     hits = G.label_hits(labels, names, "p_name").withColumn("extra", F.length("p_name") - F.length("label"))
     return hits.groupBy("label").agg(F.count("*").alias("n"), F.min_by("p_partkey", F.struct("extra", "p_partkey")).alias("best"))

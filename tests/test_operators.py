@@ -154,6 +154,12 @@ def test_stated_numbers_and_runs(spark):
     assert {(r["series_id"], r["check_id"], r["status"]) for r in A.headline_numbers(df).collect()} == {("b", "headline_numbers", "block"), ("c", "headline_streak", "block"), ("d", "headline_streak", "warn")}
 
 
+def test_labels_are_found_within_words(spark):
+    names = spark.createDataFrame([(1, "pink rose"), (2, "inkpot ink"), (3, "x"), (4, ""), (5, None)], "k int, name string")
+    labels = spark.createDataFrame([("ink",), ("nk ros",), ("x",), ("",), (None,), ("rosemary",)], "label string")
+    assert sorted(tuple(r) for r in G.label_hits(labels, names, "name").select("k", "label").collect()) == [(1, "ink"), (1, "nk ros"), (2, "ink"), (3, "x")]
+
+
 def test_sentences(spark):
     rows = [(5.9, 5.1), (-1.0, 2.0), (1.0, -2.0), (-3.0, -4.0), (0.0, 1.0), (2.0, None), (2.0, 2.0)]
     df = spark.createDataFrame(rows, "y double, yp double")
