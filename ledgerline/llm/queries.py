@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import decontaminate, mixing, private_data, quality, simhash, token_counts, token_files, tool_calls, toxicity, vectors
+from ledgerline.llm import decontaminate, mixing, passages, private_data, quality, simhash, token_counts, token_files, tool_calls, toxicity, vectors
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
@@ -13,5 +13,6 @@ QUERIES = {
     "op8_tool_calls": tool_calls.op8_tool_calls,
     "op6_private": private_data.op6_private,
     "op4_simhash": simhash.op4_simhash,
+    "op11_passages": passages.op11_passages,
 }
 ORACLE_SQL: dict[str, str] = {"op8_tool_calls": tool_calls.OP8_SQL}
