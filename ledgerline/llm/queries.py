@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from ledgerline.llm import decontaminate, mixing, passages, private_data, quality, simhash, token_counts, token_files, tool_calls, toxicity, vectors
+from ledgerline.llm import collocations, decontaminate, divergence, mixing, passages, private_data, quality, simhash, token_counts, token_files, tool_calls, toxicity, vectors
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
@@ -14,5 +14,7 @@ QUERIES = {
     "op6_private": private_data.op6_private,
     "op4_simhash": simhash.op4_simhash,
     "op11_passages": passages.op11_passages,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_collocations": collocations.op13_collocations,
 }
-ORACLE_SQL: dict[str, str] = {"op8_tool_calls": tool_calls.OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_tool_calls": tool_calls.OP8_SQL, "op12_divergence": divergence.OP12_SQL}
