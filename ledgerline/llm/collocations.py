@@ -26,8 +26,8 @@ from ledgerline.llm import vocabulary as V
 from ledgerline.llm.common import shared_dir, table
 from ledgerline.llm.passages import mixed
 
-#: Occurrences that a phrase needs; percent of them in a longer phrase that drop it; phrases reported of a language; words of a phrase; arcs of a range.
-LEAST, COVERED, MOST, WORDS, RANGE_ARCS = 10, 50, 2000, 3, 2_000_000
+#: Occurrences that a phrase needs; percent of them in a longer phrase that drop it; phrases reported of a language; arcs of a range.
+LEAST, COVERED, MOST, RANGE_ARCS = 10, 50, 2000, 1_500_000
 
 _PIECES = np.arange(256, dtype=np.uint8)
 _PIECES[65:91] += 32
@@ -40,7 +40,7 @@ def pieces(texts: pa.Array) -> V.Sliced:
     lists = pc.split_pattern(V.translated(texts, _PIECES), "\n")
     flat = lists.flatten()
     words, piece = V.split(flat)
-    doc = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[piece]
+    doc = np.repeat(np.arange(len(lists), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[piece]
     return V.Sliced(words, doc, False, np.packbits(np.diff(piece, prepend=-1) == 0))
 
 
@@ -65,19 +65,18 @@ def _pairs(ranges: int):
     """Slices with answered words as arcs of two words; and each slice's words as ordinals, for the next level (range -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, ordinal, before, weight = V.read_parts(row["parts"])
-                place, docs, n = np.frombuffer(row["codes"], np.int32), np.frombuffer(row["docs"], np.int32), row["n"]
-                totals = np.bincount(docs[:n][docs[n:]], minlength=len(row["names"]))
-                words = ordinal[place]
-                on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(place)].astype(bool)
-                there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
-                many = max(1, len(ordinal))
-                key, count = np.unique(place[there].astype(np.int64) * many + place[there + 1], return_counts=True)
-                a, b = key // many, key % many
-                rows = [(row["slice"], -1, words.astype(np.int32).tobytes(), row["marks"], row["names"], totals.tolist(), None, None, None, None, None)]
-                yield V._batch(rows + _arcs(row["slice"], ordinal[a], ordinal[b], ordinal[b], count, before[a], weight[a], row["weight_all"], ranges), ARCS)
+        for row in V.each(batches):
+            _, ordinal, before, weight = V.read_parts(row["parts"])
+            place, docs, n = np.frombuffer(row["codes"], np.int32), np.frombuffer(row["docs"], np.int32), row["n"]
+            totals = np.bincount(docs[:n][docs[n:]], minlength=len(row["names"]))
+            words = ordinal[place]
+            on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(place)].astype(bool)
+            there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
+            many = max(1, len(ordinal))
+            key, count = np.unique(place[there].astype(np.int64) * many + place[there + 1], return_counts=True)
+            a, b = key // many, key % many
+            rows = [(row["slice"], -1, words.astype(np.int32).tobytes(), row["marks"], row["names"], totals.tolist(), None, None, None, None, None)]
+            yield V._batch(rows + _arcs(row["slice"], ordinal[a], ordinal[b], ordinal[b], count, before[a], weight[a], row["weight_all"], ranges), ARCS)
 
     return run
 
@@ -115,43 +114,40 @@ def _longer(ranges: int):
     """Slices with their kept states as arcs that are a word longer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                words = np.frombuffer(row["words"], np.int32).astype(np.int64)
-                on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(words)].astype(bool)
-                of = lambda name, kind, plus=0: np.concatenate([np.frombuffer(p[name], kind) + (p[plus] if plus else 0) for p in row["parts"]])  # noqa: B023, E731
-                arcs = of("states", np.int64) << 32 | of("labels", np.int32)
-                order = np.argsort(arcs)
-                arcs, ordinal, before, weight = arcs[order], of("ordinals", np.int64, "base")[order], of("befores", np.int64, "before")[order], of("weights", np.int64)[order]
-                there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
-                key = words[there] << 32 | words[there + 1]
-                at = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
-                state = np.full(len(words), -1)
-                hit = arcs[at] == key
-                state[there[hit]] = at[hit]
-                go = np.nonzero((state[:-1] >= 0) & (state[1:] >= 0))[0]
-                key, count = np.unique(state[go] * len(arcs) + state[go + 1], return_counts=True)
-                a, b = key // len(arcs), key % len(arcs)
-                yield V._batch(_arcs(row["slice"], ordinal[a], arcs[b] & 0xFFFFFFFF, ordinal[b], count, before[a], weight[a], row["weight_all"], ranges), ARCS)
+        for row in V.each(batches):
+            words = np.frombuffer(row["words"], np.int32).astype(np.int64)
+            on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(words)].astype(bool)
+            of = lambda name, kind, plus=0: np.concatenate([np.frombuffer(p[name], kind) + (p[plus] if plus else 0) for p in row["parts"]])  # noqa: B023, E731
+            arcs = of("states", np.int64) << 32 | of("labels", np.int32)
+            order = np.argsort(arcs)
+            arcs, ordinal, before, weight = arcs[order], of("ordinals", np.int64, "base")[order], of("befores", np.int64, "before")[order], of("weights", np.int64)[order]
+            there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
+            key = words[there] << 32 | words[there + 1]
+            at = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
+            state = np.full(len(words), -1)
+            hit = arcs[at] == key
+            state[there[hit]] = at[hit]
+            go = np.nonzero((state[:-1] >= 0) & (state[1:] >= 0))[0]
+            key, count = np.unique(state[go] * len(arcs) + state[go + 1], return_counts=True)
+            a, b = key // len(arcs), key % len(arcs)
+            yield V._batch(_arcs(row["slice"], ordinal[a], arcs[b] & 0xFFFFFFFF, ordinal[b], count, before[a], weight[a], row["weight_all"], ranges), ARCS)
 
     return run
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kept states, one row each."""
-    for batch in batches:
-        for p in batch.to_pylist():
-            state, label, suffix, weight = (np.frombuffer(p[k], t) for k, t in (("states", np.int64), ("labels", np.int32), ("suffixes", np.int64), ("weights", np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(p["base"] + np.arange(len(state))), pa.array(state), pa.array(label.astype(np.int64)), pa.array(suffix), pa.array(weight)], ["ordinal", "state", "label", "suffix", "a"])
+    for p in V.each(batches):
+        state, label, suffix, weight = (np.frombuffer(p[k], t) for k, t in (("states", np.int64), ("labels", np.int32), ("suffixes", np.int64), ("weights", np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(p["base"] + np.arange(len(state))), pa.array(state), pa.array(label.astype(np.int64)), pa.array(suffix), pa.array(weight)], ["ordinal", "state", "label", "suffix", "a"])
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kept words, one row each."""
-    for batch in batches:
-        for p in batch.to_pylist():
-            terms = [t.rpartition(b"\n") for t in V.Transducer.unpacked(p["transducer"]).terms()]
-            columns = [pa.array(p["base"] + np.arange(len(terms))), pa.array([t[0].decode() for t in terms], pa.string()), pa.array([t[2].decode() for t in terms], pa.string()), pa.array(np.frombuffer(p["weights"], np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["ordinal", "lang", "word", "f"])
+    for p in V.each(batches):
+        terms = [t.rpartition(b"\n") for t in V.Transducer.unpacked(p["transducer"]).terms()]
+        columns = [pa.array(p["base"] + np.arange(len(terms))), pa.array([t[0].decode() for t in terms], pa.string()), pa.array([t[2].decode() for t in terms], pa.string()), pa.array(np.frombuffer(p["weights"], np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["ordinal", "lang", "word", "f"])
 
 
 def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

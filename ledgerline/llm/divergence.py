@@ -28,7 +28,7 @@ from ledgerline.llm.common import shared_dir, table
 LEAST, MOST_TERMS = 3, 200
 BILLION = 1_000_000_000
 #: Entries of a block of terms by sources, and counts gathered before they are written.
-CELLS, GATHERED = 1 << 20, 1 << 22
+CELLS, GATHERED = 1 << 20, 1 << 21
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[97:123] = np.arange(97, 123)
@@ -74,19 +74,18 @@ def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys.clear(), counts.clear()
         yield V._batch(rows, _COUNTED)
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            _, ordinal, _, _ = V.read_parts(row["parts"])
-            starts |= {p["range"]: p["base"] for p in row["parts"]}
-            pairs = list(zip(row["names"][::2], row["names"][1::2], strict=True))
-            own = np.array([names.setdefault(p, len(names)) for p in pairs], np.int64)
-            docs = np.frombuffer(row["docs"], np.int32)
-            group, found = own[docs[: row["n"]]][docs[row["n"] :]], ordinal[np.frombuffer(row["codes"], np.int32)]
-            key, count = np.unique((found << 24 | group)[found >= 0], return_counts=True)
-            keys.append(key)
-            counts.append(count)
-            if sum(map(len, keys)) > GATHERED:
-                yield from flush()
+    for row in V.each(batches):
+        _, ordinal, _, _ = V.read_parts(row["parts"])
+        starts |= {p["range"]: p["base"] for p in row["parts"]}
+        pairs = list(zip(row["names"][::2], row["names"][1::2], strict=True))
+        own = np.array([names.setdefault(p, len(names)) for p in pairs], np.int64)
+        docs = np.frombuffer(row["docs"], np.int32)
+        group, found = own[docs[: row["n"]]][docs[row["n"] :]], ordinal[np.frombuffer(row["codes"], np.int32)]
+        key, count = np.unique((found << 24 | group)[found >= 0], return_counts=True)
+        keys.append(key)
+        counts.append(count)
+        if sum(map(len, keys)) > GATHERED:
+            yield from flush()
     yield from flush()
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import shared_dir, slices
 
 #: Bytes of text in a slice, and for each range; ranges are at most MOST_RANGES.
-SLICE_BYTES, RANGE_BYTES, MOST_RANGES = 12 << 20, 16 << 20, 1 << 16
+SLICE_BYTES, RANGE_BYTES, MOST_RANGES = 6 << 20, 16 << 20, 1 << 16
 
 
 class Transducer:
@@ -135,10 +135,17 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     lists = pc.ascii_split_whitespace(texts)
     flat = lists.flatten()
     full = pc.greater(pc.binary_length(flat), 0)
-    rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    rows = np.repeat(np.arange(len(lists), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     return flat.filter(full), rows[full.to_numpy(zero_copy_only=False)]
 
 
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of batches, one at a time."""
+    for batch in batches:
+        for k in range(len(batch)):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 def terms_of(words: pa.Array, langs: list[str], lang: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """The sorted distinct terms of words whose languages are `lang` (places in `langs`), and each word's place among them."""
     coded = words.dictionary_encode()
@@ -147,7 +154,7 @@ def terms_of(words: pa.Array, langs: list[str], lang: np.ndarray) -> tuple[pa.Ar
     names = pa.array([x.encode() + b"\n" for x in langs], pa.large_binary()).take(pa.array(both // many))
     terms = pc.binary_join_element_wise(names, coded.dictionary.cast(pa.large_binary()).take(pa.array(both % many)), pa.scalar(b"", pa.large_binary()))
     order = pc.sort_indices(terms).to_numpy()
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     return terms.take(pa.array(order)), rank[place]
 
@@ -186,7 +193,8 @@ def boundaries(df: DataFrame, tokenise: Callable[[pa.Array], Sliced]) -> list[by
     held = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     many = int(min(max(-(-held // RANGE_BYTES), df.sparkSession.sparkContext.defaultParallelism), MOST_RANGES))
     place = F.pmod(F.xxhash64("text"), F.greatest(F.char_length("text") - 400, F.lit(1))).cast("int") + 1
-    rows = df.where("text IS NOT NULL").orderBy(F.xxhash64("text")).limit(max(1000, many)).select("lang", F.substring("text", place, F.lit(400)).alias("text")).collect()
+    stretches = df.where("text IS NOT NULL").select("lang", F.substring("text", place, F.lit(400)).alias("text"), F.xxhash64("text").alias("at"))
+    rows = stretches.orderBy("at").limit(max(1000, many)).collect()
     if not rows:
         return []
     langs = sorted({r["lang"] for r in rows})
@@ -200,21 +208,20 @@ def written(df: DataFrame, tokenise: Callable[[pa.Array], Sliced], names: list[s
     """Writes the slices and requests of a table with lang, text and `names`, of which lang is one; returns the folder."""
     bounds = boundaries(df, tokenise)
     path = f"{shared_dir(df.sparkSession)}/vocabulary-{uuid.uuid4().hex}"
-    width = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nth = TaskContext.get().partitionId() << 32
         for batch in slices(batches, 0, SLICE_BYTES):
             made = tokenise(batch.column(0))
-            groups = pa.table(batch.columns[1:], names=[str(k) for k in range(width)]).to_pandas()
-            code, kinds = groups.groupby(list(groups.columns), sort=True).ngroup().to_numpy(), groups.drop_duplicates().sort_values(list(groups.columns))
-            langs = sorted(set(kinds["0"]))
-            of_kind = np.array([langs.index(x) for x in kinds["0"]], np.int64)
+            own = list(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True))
+            kinds = {kind: k for k, kind in enumerate(sorted(set(own)))}
+            code, langs = np.array([kinds[x] for x in own], np.int32), sorted({kind[0] for kind in kinds})
+            of_kind = np.array([langs.index(kind[0]) for kind in kinds], np.int32)
             terms, place = terms_of(made.words, langs, of_kind[code[made.doc]])
-            told = np.unique(made.doc * max(1, len(terms)) + place) % max(1, len(terms)) if made.once else place
+            told = np.unique(made.doc.astype(np.int64) * max(1, len(terms)) + place) % max(1, len(terms)) if made.once else place
             counts = np.bincount(told, minlength=len(terms)).astype(np.int64)
             cuts = [0, *(_first_at(terms, b) for b in bounds), len(terms)]
-            sizes, rows = sizes_of(terms), [(nth, -1, place.astype(np.int32).tobytes(), made.marks.tobytes(), kinds.to_numpy().ravel().tolist(), code.astype(np.int32).tobytes() + made.doc.astype(np.int32).tobytes(), None, None, None, len(code))]
+            sizes, rows = sizes_of(terms), [(nth, -1, place.tobytes(), made.marks.tobytes(), [x for kind in kinds for x in kind], code.tobytes() + made.doc.astype(np.int32).tobytes(), None, None, None, len(code))]
             for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if b > a:
                     rows.append((nth, r, None, None, None, None, blob_of(terms[a:b]), sizes[a:b].tobytes(), counts[a:b].tobytes(), b - a))
