@@ -44,11 +44,11 @@ def pieces(texts: pa.Array) -> V.Sliced:
     return V.Sliced(words, doc, False, np.packbits(np.diff(piece, prepend=-1) == 0))
 
 
-ARCS = "slice long, range int, words binary, marks binary, langs array<string>, totals array<long>, states binary, labels binary, suffixes binary, counts binary, n int"
+ARCS = "slice long, range int, words binary, marks binary, langs array<string>, totals array<long>, states binary, runs binary, labels binary, suffixes binary, counts binary, n int"
 
 
-def _arcs(slice_: int, state: np.ndarray, label: np.ndarray, suffix: np.ndarray, count: np.ndarray, before: np.ndarray, weight: np.ndarray, all_: int, ranges: int) -> list[tuple]:
-    """A slice's arcs, sorted by state and label, in a row for each range; `before` and `weight` are the states'."""
+def _arcs(slice_: int, state: np.ndarray, label: np.ndarray, suffix: np.ndarray | None, count: np.ndarray, before: np.ndarray, weight: np.ndarray, all_: int, ranges: int) -> list[tuple]:
+    """A slice's arcs, sorted by state and label, in a row for each range; `before` and `weight` are the states'. Without suffixes the label is the suffix."""
     spread = mixed(label.astype(np.uint64)).astype(np.float64) / 2.0**64
     at = np.minimum((before + weight * spread) * (ranges / max(1, all_)), ranges - 1).astype(np.int64)
     order = np.argsort(at.astype(np.uint16) if ranges <= 1 << 16 else at, kind="stable")
@@ -57,7 +57,8 @@ def _arcs(slice_: int, state: np.ndarray, label: np.ndarray, suffix: np.ndarray,
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if b > a:
             own = order[a:b]
-            rows.append((slice_, int(at[own[0]]), None, None, None, None, state[own].tobytes(), label[own].astype(np.int32).tobytes(), suffix[own].tobytes(), count[own].astype(np.int32).tobytes(), b - a))
+            states, runs = np.unique(state[own], return_counts=True)
+            rows.append((slice_, int(at[own[0]]), None, None, None, None, states.tobytes(), runs.astype(np.int32).tobytes(), label[own].astype(np.int32).tobytes(), None if suffix is None else suffix[own].tobytes(), count[own].astype(np.int32).tobytes(), b - a))
     return rows
 
 
@@ -66,17 +67,18 @@ def _pairs(ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in V.each(batches):
-            _, ordinal, before, weight = V.read_parts(row["parts"])
-            place, docs, n = np.frombuffer(row["codes"], np.int32), np.frombuffer(row["docs"], np.int32), row["n"]
-            totals = np.bincount(docs[:n][docs[n:]], minlength=len(row["names"]))
+            ordinal, before, weight = V.read_parts(row["parts"])
+            place, (of_doc, many_words) = np.frombuffer(row["codes"], np.int32), V.read_docs(row["docs"], row["n"])
+            totals = np.zeros(len(row["names"]), np.int64)
+            np.add.at(totals, of_doc, many_words)
             words = ordinal[place]
             on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(place)].astype(bool)
             there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
             many = max(1, len(ordinal))
             key, count = np.unique(place[there].astype(np.int64) * many + place[there + 1], return_counts=True)
             a, b = key // many, key % many
-            rows = [(row["slice"], -1, words.astype(np.int32).tobytes(), row["marks"], row["names"], totals.tolist(), None, None, None, None, None)]
-            yield V._batch(rows + _arcs(row["slice"], ordinal[a], ordinal[b], ordinal[b], count, before[a], weight[a], row["weight_all"], ranges), ARCS)
+            rows = [(row["slice"], -1, words.astype(np.int32).tobytes(), row["marks"], row["names"], totals.tolist(), None, None, None, None, None, None)]
+            yield V._batch(rows + _arcs(row["slice"], ordinal[a], ordinal[b], None, count, before[a], weight[a], row["weight_all"], ranges), ARCS)
 
     return run
 
@@ -84,12 +86,14 @@ def _pairs(ranges: int):
 STATES = "slice long, range int, states binary, labels binary, suffixes binary, ordinals binary, befores binary, weights binary, n long, weight long"
 
 
-def _united(group: pa.Table) -> pa.Table:
-    """The arcs of one range, united: what each slice needs to know of its kept arcs, and all kept ones (slice -1)."""
+def _united(group: pa.Table, answer: bool) -> pa.Table:
+    """The arcs of one range, united: all kept ones (slice -1), and, for a next level, what each slice needs to know of its kept arcs."""
     read = lambda name, kind: [np.frombuffer(x, kind) for x in group[name].to_pylist()]
-    states, labels, suffixes, counts = read("states", np.int64), read("labels", np.int32), read("suffixes", np.int64), read("counts", np.int32)
+    states = [np.repeat(s, n) for s, n in zip(read("states", np.int64), read("runs", np.int32), strict=True)]
+    labels, counts = read("labels", np.int32), read("counts", np.int32)
+    suffixes = labels if group["suffixes"].null_count else read("suffixes", np.int64)
     ends = np.cumsum([len(x) for x in states])
-    state, label, suffix = np.concatenate(states), np.concatenate(labels), np.concatenate(suffixes)
+    state, label, suffix = np.concatenate(states), np.concatenate(labels), np.concatenate(suffixes).astype(np.int64)
     order = np.lexsort((label, state))
     opens = np.concatenate([[True], (np.diff(state[order]) != 0) | (np.diff(label[order]) != 0)])
     arc = np.empty(len(order), np.int64)
@@ -98,15 +102,16 @@ def _united(group: pa.Table) -> pa.Table:
     np.add.at(weight, arc, np.concatenate(counts))
     keep, first = weight >= LEAST, order[opens]
     ordinal = np.where(keep, np.cumsum(keep) - 1, -1)
-    before = np.cumsum(np.where(keep, weight, 0)) - weight
+    before, all_ = np.cumsum(np.where(keep, weight, 0)) - weight, int(weight[keep].sum())
     r, rows = group["range"][0].as_py(), []
     for slice_, a, b in zip(group["slice"].to_pylist(), ends - [len(x) for x in states], ends, strict=True):
         here = np.nonzero(keep[arc[a:b]])[0]
-        if len(here):
+        if len(here) and answer:
             own = arc[a:b][here]
-            rows.append((slice_, r, state[a:b][here].tobytes(), label[a:b][here].tobytes(), None, ordinal[own].tobytes(), before[own].tobytes(), weight[own].tobytes(), len(here), None))
+            told = (state[a:b][here].astype(np.int32).tobytes(), label[a:b][here].tobytes(), None, ordinal[own].astype(np.int32).tobytes(), *V.placed(before[own], weight[own], all_))
+            rows.append((slice_, r, *told, len(here), None))
     own = first[keep]
-    rows.append((-1, r, state[own].tobytes(), label[own].tobytes(), suffix[own].tobytes(), ordinal[keep].tobytes(), None, weight[keep].tobytes(), int(keep.sum()), int(weight[keep].sum())))
+    rows.append((-1, r, state[own].tobytes(), label[own].tobytes(), suffix[own].tobytes(), None, None, weight[keep].tobytes(), int(keep.sum()), all_))
     return pa.Table.from_batches([V._batch(rows, STATES)])
 
 
@@ -117,10 +122,11 @@ def _longer(ranges: int):
         for row in V.each(batches):
             words = np.frombuffer(row["words"], np.int32).astype(np.int64)
             on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(words)].astype(bool)
-            of = lambda name, kind, plus=0: np.concatenate([np.frombuffer(p[name], kind) + (p[plus] if plus else 0) for p in row["parts"]])  # noqa: B023, E731
-            arcs = of("states", np.int64) << 32 | of("labels", np.int32)
+            of = lambda name: np.concatenate([np.frombuffer(p[name], np.int32) for p in row["parts"]]).astype(np.int64)  # noqa: B023, E731
+            arcs = of("states") << 32 | of("labels")
             order = np.argsort(arcs)
-            arcs, ordinal, before, weight = arcs[order], of("ordinals", np.int64, "base")[order], of("befores", np.int64, "before")[order], of("weights", np.int64)[order]
+            ordinal = np.concatenate([np.frombuffer(p["ordinals"], np.int32).astype(np.int64) + p["base"] for p in row["parts"]])
+            arcs, ordinal, (before, weight) = arcs[order], ordinal[order], (x[order] for x in V.unplaced(row["parts"]))
             there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
             key = words[there] << 32 | words[there + 1]
             at = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
@@ -166,14 +172,14 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang")
     sliced = spark.read.parquet(V.written(docs, pieces, ["lang"]))
     answers = spark.read.parquet(V.answered(sliced, LEAST))
     all_ = V.bases(answers).agg(F.max("weight_all")).first()[0]
-    two = held(V.encoded(sliced, answers).select("slice", "codes", "marks", "names", "docs", "n", "parts", "weight_all").mapInArrow(_pairs(ranges(all_)), ARCS))
-    arcs = ["slice", "range", "states", "labels", "suffixes", "counts"]
-    kept2 = held(two.where("range >= 0").select(*arcs).groupBy("range").applyInArrow(_united, STATES))
-    own = kept2.where("slice >= 0").join(F.broadcast(V.bases(kept2)), "range")
-    parts = own.groupBy("slice").agg(F.collect_list(F.struct("base", "before", "states", "labels", "ordinals", "befores", "weights")).alias("parts"), F.max("weight_all").alias("weight_all"))
+    two = held(V.encoded(sliced, answers, "before", "range_weight", "befores", "weights").select("slice", "codes", "marks", "names", "docs", "n", "parts", "weight_all").mapInArrow(_pairs(ranges(all_)), ARCS))
+    arcs = ["slice", "range", "states", "runs", "labels", "suffixes", "counts"]
+    kept2 = held(two.where("range >= 0").select(*arcs).groupBy("range").applyInArrow(lambda group: _united(group, True), STATES))
+    own = kept2.where("slice >= 0").drop("weight").join(F.broadcast(V.bases(kept2)), "range")
+    parts = own.groupBy("slice").agg(F.collect_list(F.struct("base", "before", "range_weight", "states", "labels", "ordinals", "befores", "weights")).alias("parts"), F.max("weight_all").alias("weight_all"))
     slices_ = two.where("range < 0")
     three = slices_.select("slice", "words", "marks").join(parts, "slice").mapInArrow(_longer(ranges(V.bases(kept2).agg(F.max("weight_all")).first()[0])), ARCS)
-    kept3 = held(three.select(*arcs).groupBy("range").applyInArrow(_united, STATES))
+    kept3 = held(three.select(*arcs).groupBy("range").applyInArrow(lambda group: _united(group, False), STATES))
 
     def listed(kept: DataFrame) -> DataFrame:
         rows = kept.where("slice < 0").join(F.broadcast(V.bases(kept).select("range", "base")), "range").select("base", "states", "labels", "suffixes", "weights")

@@ -26,7 +26,6 @@ from ledgerline.llm.common import shared_dir, table
 
 #: Documents that a kept term needs; ranks of the terms of a group that are reported.
 LEAST, MOST_TERMS = 3, 200
-BILLION = 1_000_000_000
 #: Entries of a block of terms by sources, and counts gathered before they are written.
 CELLS, GATHERED = 1 << 20, 1 << 21
 
@@ -75,12 +74,12 @@ def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield V._batch(rows, _COUNTED)
 
     for row in V.each(batches):
-        _, ordinal, _, _ = V.read_parts(row["parts"])
+        ordinal, _, _ = V.read_parts(row["parts"])
         starts |= {p["range"]: p["base"] for p in row["parts"]}
         pairs = list(zip(row["names"][::2], row["names"][1::2], strict=True))
         own = np.array([names.setdefault(p, len(names)) for p in pairs], np.int64)
-        docs = np.frombuffer(row["docs"], np.int32)
-        group, found = own[docs[: row["n"]]][docs[row["n"] :]], ordinal[np.frombuffer(row["codes"], np.int32)]
+        of_doc, words = V.read_docs(row["docs"], row["n"])
+        group, found = np.repeat(own[of_doc], words), ordinal[np.frombuffer(row["codes"], np.int32)]
         key, count = np.unique((found << 24 | group)[found >= 0], return_counts=True)
         keys.append(key)
         counts.append(count)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import shared_dir, slices
 
 #: Bytes of text in a slice, and for each range; ranges are at most MOST_RANGES.
-SLICE_BYTES, RANGE_BYTES, MOST_RANGES = 6 << 20, 16 << 20, 1 << 16
+SLICE_BYTES, RANGE_BYTES, MOST_RANGES = 4 << 20, 16 << 20, 1 << 16
 
 
 class Transducer:
@@ -190,11 +190,13 @@ SLICES = "slice long, range int, codes binary, marks binary, names array<string>
 
 def boundaries(df: DataFrame, tokenise: Callable[[pa.Array], Sliced]) -> list[bytes]:
     """Where ranges begin, from stretches of a bounded sample of texts. `df` has lang and text."""
-    held = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    held, rows = df.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("text")).first()
     many = int(min(max(-(-held // RANGE_BYTES), df.sparkSession.sparkContext.defaultParallelism), MOST_RANGES))
     place = F.pmod(F.xxhash64("text"), F.greatest(F.char_length("text") - 400, F.lit(1))).cast("int") + 1
     stretches = df.where("text IS NOT NULL").select("lang", F.substring("text", place, F.lit(400)).alias("text"), F.xxhash64("text").alias("at"))
-    rows = stretches.orderBy("at").limit(max(1000, many)).collect()
+    # About four times as many by their hashes, of which the first are taken.
+    share = int(min(1, 4 * max(1000, many) / max(1, rows)) * (1 << 20))
+    rows = stretches.where(F.pmod("at", F.lit(1 << 20)) < share).orderBy("at").limit(max(1000, many)).collect()
     if not rows:
         return []
     langs = sorted({r["lang"] for r in rows})
@@ -221,12 +223,13 @@ def written(df: DataFrame, tokenise: Callable[[pa.Array], Sliced], names: list[s
             told = np.unique(made.doc.astype(np.int64) * max(1, len(terms)) + place) % max(1, len(terms)) if made.once else place
             counts = np.bincount(told, minlength=len(terms)).astype(np.int64)
             cuts = [0, *(_first_at(terms, b) for b in bounds), len(terms)]
-            sizes, rows = sizes_of(terms), [(nth, -1, place.tobytes(), made.marks.tobytes(), [x for kind in kinds for x in kind], code.tobytes() + made.doc.astype(np.int32).tobytes(), None, None, None, len(code))]
+            sizes, rows = sizes_of(terms), [(nth, -1, place.tobytes(), made.marks.tobytes(), [x for kind in kinds for x in kind], code.tobytes() + np.bincount(made.doc, minlength=len(code)).astype(np.int32).tobytes(), None, None, None, len(code))]
             for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if b > a:
                     rows.append((nth, r, None, None, None, None, blob_of(terms[a:b]), sizes[a:b].tobytes(), counts[a:b].tobytes(), b - a))
             yield _batch(rows, SLICES)
             nth += 1
+            pa.default_memory_pool().release_unused()
 
     df.select("text", *names).mapInArrow(run, SLICES).write.parquet(path)
     return path
@@ -255,8 +258,8 @@ ANSWERS = "slice long, range int, ordinals binary, befores binary, weights binar
 def answered(sliced: DataFrame, least: int) -> str:
     """Writes the answers to every request, and a row of each range with its transducer, its terms' weights and languages (slice -1); returns the folder.
 
-    Terms with at least `least` counts are kept. An answer has each term's ordinal within the range, and of the kept ones the counts of
-    the kept terms before it in the range and its own.
+    Terms with at least `least` counts are kept. An answer has each term's ordinal within the range, and of the kept ones where
+    it lies among the range's counts and its own count.
     """
 
     def run(group: pa.Table) -> pa.Table:
@@ -272,7 +275,7 @@ def answered(sliced: DataFrame, least: int) -> str:
         ordinal = machine.ordinals(coded.dictionary)
         weight = np.zeros(len(kept), np.int64)
         weight[ordinal[ordinal >= 0]] = total[ordinal >= 0]
-        before, out, ends = np.cumsum(weight) - weight, [], np.cumsum(many)
+        before, all_, out, ends = np.cumsum(weight) - weight, int(weight.sum()), [], np.cumsum(many)
         names = [t.rpartition(b"\n")[0] for t in kept.to_pylist()]
         langs = sorted(set(names))
         of_lang = np.array([langs.index(x) for x in names], np.int32) if len(langs) < 20 else np.searchsorted(np.array(langs, object), np.array(names, object)).astype(np.int32)
@@ -280,8 +283,8 @@ def answered(sliced: DataFrame, least: int) -> str:
         for slice_, a, b in zip(group["slice"].to_pylist(), ends - many, ends, strict=True):
             own = ordinal[code[a:b]]
             here = own[own >= 0]
-            out.append((slice_, r, own.astype(np.int32).tobytes(), before[here].tobytes(), weight[here].tobytes(), None, None, None, b - a, None))
-        out.append((-1, r, None, of_lang.tobytes(), weight.tobytes(), machine.packed(), [x.decode() for x in langs], np.bincount(of_lang, minlength=len(langs)).tolist(), len(kept), int(weight.sum())))
+            out.append((slice_, r, own.astype(np.int32).tobytes(), *placed(before[here], weight[here], all_), None, None, None, b - a, None))
+        out.append((-1, r, None, of_lang.tobytes(), weight.tobytes(), machine.packed(), [x.decode() for x in langs], np.bincount(of_lang, minlength=len(langs)).tolist(), len(kept), all_))
         return pa.Table.from_batches([_batch(out, ANSWERS)])
 
     path = f"{shared_dir(sliced.sparkSession)}/vocabulary-{uuid.uuid4().hex}"
@@ -290,25 +293,42 @@ def answered(sliced: DataFrame, least: int) -> str:
     return path
 
 
+def placed(before: np.ndarray, weight: np.ndarray, all_: int) -> tuple[bytes, bytes]:
+    """Counts before and own counts, in short: a share of all in 32 bits, and counts up to 2^31."""
+    return (before / max(1, all_)).astype(np.float32).tobytes(), np.minimum(weight, (1 << 31) - 1).astype(np.int32).tobytes()
+
+
+def unplaced(parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the kept items of some answers lie among all counts, and their counts."""
+    at = [np.frombuffer(p["befores"], np.float32).astype(np.float64) * p["range_weight"] + p["before"] for p in parts]
+    return np.concatenate([np.zeros(0), *at]), np.concatenate([np.zeros(0), *(np.frombuffer(p["weights"], np.int32) for p in parts)])
+
+
 def bases(answers: DataFrame) -> DataFrame:
-    """(range, base, before, weight_all): kept terms and their counts in the ranges before, and the counts of all. One row a range, MOST_RANGES at most."""
-    return answers.where("slice < 0").selectExpr("range", "sum(n) OVER (ORDER BY range) - n AS base", "sum(weight) OVER (ORDER BY range) - weight AS before", "sum(weight) OVER () AS weight_all")
+    """(range, base, before, range_weight, weight_all): kept terms and their counts in the ranges before, the range's counts, those of all. One row a range, MOST_RANGES at most."""
+    return answers.where("slice < 0").selectExpr("range", "sum(n) OVER (ORDER BY range) - n AS base", "sum(weight) OVER (ORDER BY range) - weight AS before", "weight AS range_weight", "sum(weight) OVER () AS weight_all")
 
 
-def encoded(sliced: DataFrame, answers: DataFrame) -> DataFrame:
-    """Slices with their answers: parts, an array of (range, base, before, ordinals, befores, weights), and weight_all."""
-    own = answers.where("slice >= 0").join(F.broadcast(bases(answers)), "range")
-    parts = own.groupBy("slice").agg(F.collect_list(F.struct("range", "base", "before", "ordinals", "befores", "weights")).alias("parts"), F.max("weight_all").alias("weight_all"))
+def encoded(sliced: DataFrame, answers: DataFrame, *more: str) -> DataFrame:
+    """Slices with their answers: parts, an array of (range, base, ordinals) and, where `more` names them, (before, range_weight, befores, weights); and weight_all."""
+    own = answers.where("slice >= 0").drop("weight").join(F.broadcast(bases(answers)), "range")
+    parts = own.groupBy("slice").agg(F.collect_list(F.struct("range", "base", "ordinals", *more)).alias("parts"), F.max("weight_all").alias("weight_all"))
     return sliced.where("range < 0").select("slice", "codes", "marks", "names", "docs", "n").join(parts, "slice")
 
 
-def read_parts(parts: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every term of a slice, in order: its range, its ordinal among all or -1, the counts of kept terms before it, its own counts."""
+def read_parts(parts: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every term of a slice, in order: its ordinal among all or -1, the counts of kept terms before it, and its own; without counts zeros."""
     parts = sorted(parts, key=lambda p: p["range"])
+    none = np.zeros(0, np.int64)
     local = [np.frombuffer(p["ordinals"], np.int32).astype(np.int64) for p in parts]
-    sizes = [len(x) for x in local]
-    ordinal = np.concatenate([np.zeros(0, np.int64), *(np.where(x >= 0, x + p["base"], -1) for x, p in zip(local, parts, strict=True))])
-    before, weight = np.zeros(len(ordinal), np.int64), np.zeros(len(ordinal), np.int64)
-    before[ordinal >= 0] = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(p["befores"], np.int64) + p["before"] for p in parts)])
-    weight[ordinal >= 0] = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(p["weights"], np.int64) for p in parts)])
-    return np.repeat([p["range"] for p in parts], sizes), ordinal, before, weight
+    ordinal = np.concatenate([none, *(np.where(x >= 0, x + p["base"], -1) for x, p in zip(local, parts, strict=True))])
+    before, weight = np.zeros(len(ordinal)), np.zeros(len(ordinal))
+    if parts and "weights" in parts[0]:
+        before[ordinal >= 0], weight[ordinal >= 0] = unplaced(parts)
+    return ordinal, before, weight
+
+
+def read_docs(docs: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each document of a slice, and how many words it has."""
+    both = np.frombuffer(docs, np.int32)
+    return both[:n], both[n:]
