@@ -44,7 +44,7 @@ def pieces(texts: pa.Array) -> V.Sliced:
     return V.Sliced(words, doc, False, np.packbits(np.diff(piece, prepend=-1) == 0))
 
 
-ARCS = "slice long, range int, words binary, marks binary, langs array<string>, totals array<long>, states binary, runs binary, labels binary, suffixes binary, counts binary, n int"
+ARCS = "slice long, range int, states binary, runs binary, labels binary, suffixes binary, counts binary"
 
 
 def _arcs(slice_: int, state: np.ndarray, label: np.ndarray, suffix: np.ndarray | None, count: np.ndarray, before: np.ndarray, weight: np.ndarray, all_: int, ranges: int) -> list[tuple]:
@@ -58,27 +58,38 @@ def _arcs(slice_: int, state: np.ndarray, label: np.ndarray, suffix: np.ndarray
         if b > a:
             own = order[a:b]
             states, runs = np.unique(state[own], return_counts=True)
-            rows.append((slice_, int(at[own[0]]), None, None, None, None, states.tobytes(), runs.astype(np.int32).tobytes(), label[own].astype(np.int32).tobytes(), None if suffix is None else suffix[own].tobytes(), count[own].astype(np.int32).tobytes(), b - a))
+            rows.append((slice_, int(at[own[0]]), states.tobytes(), runs.astype(np.int32).tobytes(), label[own].astype(np.int32).tobytes(), None if suffix is None else suffix[own].tobytes(), count[own].astype(np.int32).tobytes()))
     return rows
 
 
+def _words(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A slice's words as places among its terms, and as ordinals; and where a kept word has another after it in its piece."""
+    ordinal, _, _ = V.read_parts(row["parts"])
+    place = np.frombuffer(row["codes"], np.int32)
+    words, on = ordinal[place], np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(place)].astype(bool)
+    return place, words, np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many words slices have of each language."""
+    for row in V.each(batches):
+        of_doc, many = V.read_docs(row["docs"], row["n"])
+        totals = np.zeros(len(row["names"]), np.int64)
+        np.add.at(totals, of_doc, many)
+        yield pa.RecordBatch.from_arrays([pa.array(row["names"], pa.string()), pa.array(totals)], ["lang", "n"])
+
+
 def _pairs(ranges: int):
-    """Slices with answered words as arcs of two words; and each slice's words as ordinals, for the next level (range -1)."""
+    """Slices with answered words as arcs of two words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in V.each(batches):
             ordinal, before, weight = V.read_parts(row["parts"])
-            place, (of_doc, many_words) = np.frombuffer(row["codes"], np.int32), V.read_docs(row["docs"], row["n"])
-            totals = np.zeros(len(row["names"]), np.int64)
-            np.add.at(totals, of_doc, many_words)
-            words = ordinal[place]
-            on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(place)].astype(bool)
-            there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
+            place, _, there = _words(row)
             many = max(1, len(ordinal))
             key, count = np.unique(place[there].astype(np.int64) * many + place[there + 1], return_counts=True)
             a, b = key // many, key % many
-            rows = [(row["slice"], -1, words.astype(np.int32).tobytes(), row["marks"], row["names"], totals.tolist(), None, None, None, None, None, None)]
-            yield V._batch(rows + _arcs(row["slice"], ordinal[a], ordinal[b], None, count, before[a], weight[a], row["weight_all"], ranges), ARCS)
+            yield V._batch(_arcs(row["slice"], ordinal[a], ordinal[b], None, count, before[a], weight[a], row["weight_all"], ranges), ARCS)
 
     return run
 
@@ -120,14 +131,12 @@ def _longer(ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in V.each(batches):
-            words = np.frombuffer(row["words"], np.int32).astype(np.int64)
-            on = np.unpackbits(np.frombuffer(row["marks"], np.uint8))[: len(words)].astype(bool)
-            of = lambda name: np.concatenate([np.frombuffer(p[name], np.int32) for p in row["parts"]]).astype(np.int64)  # noqa: B023, E731
+            _, words, there = _words(row)
+            of = lambda name: np.concatenate([np.frombuffer(p[name], np.int32) for p in row["arcs"]]).astype(np.int64)  # noqa: B023, E731
             arcs = of("states") << 32 | of("labels")
             order = np.argsort(arcs)
-            ordinal = np.concatenate([np.frombuffer(p["ordinals"], np.int32).astype(np.int64) + p["base"] for p in row["parts"]])
-            arcs, ordinal, (before, weight) = arcs[order], ordinal[order], (x[order] for x in V.unplaced(row["parts"]))
-            there = np.nonzero(on[1:] & (words[1:] >= 0) & (words[:-1] >= 0))[0]
+            ordinal = np.concatenate([np.frombuffer(p["ordinals"], np.int32).astype(np.int64) + p["base"] for p in row["arcs"]])
+            arcs, ordinal, (before, weight) = arcs[order], ordinal[order], (x[order] for x in V.unplaced(row["arcs"]))
             key = words[there] << 32 | words[there + 1]
             at = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
             state = np.full(len(words), -1)
@@ -136,7 +145,7 @@ def _longer(ranges: int):
             go = np.nonzero((state[:-1] >= 0) & (state[1:] >= 0))[0]
             key, count = np.unique(state[go] * len(arcs) + state[go + 1], return_counts=True)
             a, b = key // len(arcs), key % len(arcs)
-            yield V._batch(_arcs(row["slice"], ordinal[a], arcs[b] & 0xFFFFFFFF, ordinal[b], count, before[a], weight[a], row["weight_all"], ranges), ARCS)
+            yield V._batch(_arcs(row["slice"], ordinal[a], arcs[b] & 0xFFFFFFFF, ordinal[b], count, before[a], weight[a], row["arcs_weight"], ranges), ARCS)
 
     return run
 
@@ -172,13 +181,12 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang")
     sliced = spark.read.parquet(V.written(docs, pieces, ["lang"]))
     answers = spark.read.parquet(V.answered(sliced, LEAST))
     all_ = V.bases(answers).agg(F.max("weight_all")).first()[0]
-    two = held(V.encoded(sliced, answers, "before", "range_weight", "befores", "weights").select("slice", "codes", "marks", "names", "docs", "n", "parts", "weight_all").mapInArrow(_pairs(ranges(all_)), ARCS))
-    arcs = ["slice", "range", "states", "runs", "labels", "suffixes", "counts"]
-    kept2 = held(two.where("range >= 0").select(*arcs).groupBy("range").applyInArrow(lambda group: _united(group, True), STATES))
+    arcs = ["range", "slice", "states", "runs", "labels", "suffixes", "counts"]
+    two = V.encoded(sliced, answers, "before", "range_weight", "befores", "weights").select("slice", "codes", "marks", "parts", "weight_all").mapInArrow(_pairs(ranges(all_)), ARCS)
+    kept2 = held(two.select(*arcs).groupBy("range").applyInArrow(lambda group: _united(group, True), STATES))
     own = kept2.where("slice >= 0").drop("weight").join(F.broadcast(V.bases(kept2)), "range")
-    parts = own.groupBy("slice").agg(F.collect_list(F.struct("base", "before", "range_weight", "states", "labels", "ordinals", "befores", "weights")).alias("parts"), F.max("weight_all").alias("weight_all"))
-    slices_ = two.where("range < 0")
-    three = slices_.select("slice", "words", "marks").join(parts, "slice").mapInArrow(_longer(ranges(V.bases(kept2).agg(F.max("weight_all")).first()[0])), ARCS)
+    known = own.groupBy("slice").agg(F.collect_list(F.struct("base", "before", "range_weight", "states", "labels", "ordinals", "befores", "weights")).alias("arcs"), F.max("weight_all").alias("arcs_weight"))
+    three = V.encoded(sliced, answers).select("slice", "codes", "marks", "parts").join(known, "slice").mapInArrow(_longer(ranges(V.bases(kept2).agg(F.max("weight_all")).first()[0])), ARCS)
     kept3 = held(three.select(*arcs).groupBy("range").applyInArrow(lambda group: _united(group, False), STATES))
 
     def listed(kept: DataFrame) -> DataFrame:
@@ -201,7 +209,7 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang")
     three = three.withColumn("s1", score("f1", "a23")).withColumn("s2", score("a12", "f3")).withColumn("one", F.col("s1") <= F.col("s2"))
     part = lambda a, b: F.when(F.col("one"), F.col(a)).otherwise(F.col(b))
     three = three.select("lang", F.concat_ws(" ", "word1", "word2", "word3").alias("phrase"), "a", part("f1", "a12").alias("l"), part("a23", "f3").alias("r"), part("s1", "s2").alias("score"))
-    totals = slices_.select(F.explode(F.arrays_zip("langs", "totals")).alias("t")).groupBy(F.col("t.langs").alias("lang")).agg(F.sum("t.totals").alias("n"))
+    totals = sliced.where("range < 0").select("names", "docs", "n").mapInArrow(_totals, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     ranked = two.union(three).withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= MOST)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
