@@ -115,27 +115,6 @@ def derived_rules(published: DataFrame, again: DataFrame, known: tuple[tuple[str
     return both.where(off).select(F.concat(F.lit("derived."), "rule").alias("check_id"), F.when(sure, "warn").otherwise("block").alias("status"), "series_id", "period")
 
 
-def sample(rows: DataFrame, by: str, many: int, seed: int) -> DataFrame:
-    """`many` rows of each group by the order of a hash: the same rows for a seed, whatever the partitions."""
-    w = Window.partitionBy(by).orderBy(F.xxhash64(F.lit(seed), "series_id", "period"), "series_id", "period")
-    return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= many).drop("_n")
-
-
-def api_sample(rows: DataFrame, captures: DataFrame, slack: float = 0.06) -> DataFrame:
-    """Cells (series_id, period, value) against API numbers, as they are or less 100: adds state verified, mismatch or gap."""
-    both = rows.join(captures.select("series_id", "period", F.col("value").alias("_raw")), ["series_id", "period"], "left")
-    near = F.exists(F.array(F.col("_raw"), F.col("_raw") - 100), lambda r: F.abs(r - F.col("value")) <= slack)
-    return both.withColumn("state", F.when(F.col("_raw").isNull(), "gap").when(near, "verified").otherwise("mismatch")).drop("_raw")
-
-
-def archive_sample(rows: DataFrame, pages: DataFrame) -> DataFrame:
-    """Cells (series_id, page_id, value) against the numbers in their page's text (page_id, text): adds state."""
-    numbers = F.transform(F.regexp_extract_all("text", F.lit(r"([0-9][0-9,]*(?:\.[0-9]+)?)"), F.lit(1)), lambda n: F.regexp_replace(n, ",", "").try_cast("double"))
-    both = rows.join(pages.select("page_id", numbers.alias("_numbers")), "page_id", "left")
-    near = F.exists("_numbers", lambda n: F.abs(n - F.abs(F.col("value"))) <= 0.06)
-    return both.withColumn("state", F.when(F.col("_numbers").isNull(), "unverifiable").when(near, "verified").otherwise("gap")).drop("_numbers")
-
-
 def freshness(bundles: DataFrame, budgets: DataFrame, as_of: str) -> DataFrame:
     """First-tier entries whose period ended longer ago than a period, the expected lag and the grace allow."""
     rows = bundles.where("tier = 1").join(budgets, "series_id")
@@ -143,6 +122,13 @@ def freshness(bundles: DataFrame, budgets: DataFrame, as_of: str) -> DataFrame:
     return _found(rows, "freshness", "warn", F.date_diff(F.lit(as_of).cast("date"), ended) > F.col("days"))
 
 
+def advanced(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Indices (series_id: a section, generated_at) that weren't generated later than in the run before, or carry no time that can be read."""
+    both = now.select("series_id", F.col("generated_at").alias("_now")).join(before.select("series_id", F.col("generated_at").alias("_was")), "series_id")
+    a, b = (F.col(c).try_cast("timestamp") for c in ("_now", "_was"))
+    return _found(both.withColumn("period", F.col("_now")), "freshness.generated_at", "warn", a.isNull() | (a <= b))
+
+
 def determinism(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows that one of two builds has and the other has not: (series_id, period, side)."""
     cols = ["series_id", "period", "m", "ytd"]

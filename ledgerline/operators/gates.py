@@ -5,6 +5,9 @@ All work on every series at once; a check of new rows joins them to what it need
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -171,10 +174,17 @@ def _middle(values: Column) -> Column:
 
 
 def ytd_arithmetic(rows: DataFrame, batch: DataFrame, decimals: int = 1) -> DataFrame:
-    """ytd isn't the ytd before plus the period's own; a merged print isn't its own ytd. BLOCK if the batch has both periods."""
+    """ytd isn't the ytd before plus the period's own; a merged print isn't its own ytd. BLOCK if the batch has both periods.
+
+    Only levels and counts add up (`value_type`, if there is one); the slack is two units of the last place of the series (`decimals`, if
+    there is such a column) or half a percent.
+    """
+    if "value_type" in rows.columns:
+        rows = rows.where("value_type IN ('level', 'count')")
+    places = F.col("decimals") if "decimals" in rows.columns else F.lit(decimals)
     mark = batch.select("series_id", "period", F.lit(True).alias("_in"))
     rows = S.prior_period(rows.join(mark, ["series_id", "period"], "left"), {"ytd": "_b", "_in": "_pin"})
-    slack = F.greatest(F.lit(2 * 10.0**-decimals), F.abs("ytd") * 0.005)
+    slack = F.greatest(2 * F.pow(F.lit(10.0), -places), F.abs("ytd") * 0.005)
     want = F.when(F.col("span") == 2, F.col("m")).otherwise(F.col("_b") + F.col("m"))
     off = F.abs(F.col("ytd") - want) > slack
     return findings(rows.where("_in"), "ytd_arithmetic", F.when(F.coalesce("_pin", F.lit(False)) | (F.col("span") == 2), "BLOCK").otherwise("WARN"), off)
@@ -229,6 +239,20 @@ def release_window(releases: DataFrame, grace: int = 3) -> DataFrame:
     return findings(releases, "release_window", "WARN", ~F.col("day").between(F.col("low") - grace, F.col("high") + grace))
 
 
+def release_calendar(releases: DataFrame, rules: DataFrame, grace: int = 3) -> DataFrame:
+    """Releases (series_id, source, period, released) outside the window that the calendar gives their source for that period.
+
+    `rules` are (source, freq, low, high, lag, skips): the days of the month `lag` months after the period's end, cut to that
+    month; `skips` are months, as 01, in which a source prints nothing by itself. Sources without a rule, and periods of another frequency or that are
+    skipped, have no window.
+    """
+    rows = releases.join(rules, "source").where(P.period_shape_loose("period") == F.col("freq")).where(~F.array_contains("skips", F.substring("period", 6, 2)))
+    first = F.add_months(F.trunc(P.period_end_date("period"), "month"), F.col("lag"))
+    cut = lambda d: F.least(F.date_add(first, d - 1), F.last_day(first))
+    day = F.col("released").cast("date")
+    return findings(rows, "release_window", "WARN", ~day.between(F.date_add(cut(F.col("low")), -grace), F.date_add(cut(F.col("high")), grace)))
+
+
 def completeness(seen: DataFrame, anchors: DataFrame) -> DataFrame:
     """Groups of anchors (release, group, field) of which a release (release, field) has none: (check_id, severity, release, group)."""
     hits = anchors.join(seen.select("release", "field").distinct().withColumn("_hit", F.lit(1)), ["release", "field"], "left")
@@ -261,17 +285,21 @@ def revision_flood(revisions: DataFrame, rows: DataFrame, panels: DataFrame, kno
     return acknowledged(findings(own.union(wide).join(last, "series_id"), "revision_flood", "BLOCK"), known)
 
 
-def break_no_yoy(rows: DataFrame, breaks: DataFrame, need: int = 12) -> DataFrame:
-    """Rates inside a window without rates; windows that end before they begin; rates at the end of one with fewer restated rows than a year."""
-    inside = findings(B.blocked(rows, breaks), "break_no_yoy", "BLOCK", F.col("blocked") & F.col("m_yoy").isNotNull())
+#: Fixed: restated rows that a window without rates has to hold before rates resume, by frequency.
+RESTATED = {"M": 12, "Q": 4, "A": 1}
+
+
+def break_no_yoy(rows: DataFrame, breaks: DataFrame, restated: dict[str, int] | None = None) -> DataFrame:
+    """Rates inside a window without rates; windows that end before they begin; rates at the end of one with fewer restated rows than a year has."""
+    inside = findings(B.blocked_by_sweep(rows, breaks), "break_no_yoy", "BLOCK", F.col("blocked") & F.col("m_yoy").isNotNull())
     turned = findings(breaks.withColumn("period", F.col("effective")), "break_window", "BLOCK", F.col("yoy_valid_from") < F.col("effective"))
-    ends = breaks.where("no_yoy_across AND yoy_valid_from > effective").select("series_id", "effective", F.col("yoy_valid_from").alias("_from"))
-    near = ends.join(rows, "series_id").groupBy("series_id", "_from").agg(
-        F.count(F.when((F.col("period") >= F.col("effective")) & (F.col("period") < F.col("_from")), 1)).alias("_n"),
-        F.count(F.when((F.col("period") == F.col("_from")) & F.col("m_yoy").isNotNull(), 1)).alias("_y"),
-    )
-    thin = findings(near.withColumnRenamed("_from", "period"), "break_restated", "BLOCK", (F.col("_y") > 0) & (F.col("_n") < need))
-    return inside.union(turned).union(thin)
+    ends = breaks.where("no_yoy_across AND yoy_valid_from > effective").select("series_id", "effective", F.col("yoy_valid_from").alias("period"))
+    resumed = ends.join(rows.where("m_yoy IS NOT NULL").select("series_id", "period"), ["series_id", "period"], "left_semi")
+    need = F.lit(None).cast("int")
+    for shape, n in (restated or RESTATED).items():
+        need = F.when(P.period_shape_loose(F.col("period")) == shape, n).otherwise(need)
+    thin = B.rows_within(resumed, rows, "effective", "period", "_n")
+    return inside.union(turned).union(findings(thin, "break_restated", "BLOCK", F.col("_n") < need).distinct())
 
 
 def catalog(rows: DataFrame, declared: DataFrame, facts: DataFrame | None = None, fields: DataFrame | None = None, orphans: tuple[str, ...] = ()) -> DataFrame:
@@ -296,6 +324,99 @@ def catalog(rows: DataFrame, declared: DataFrame, facts: DataFrame | None = None
     return found
 
 
+@dataclass(frozen=True)
+class Context:
+    """What the checks hold a release against; a check whose table is missing isn't run."""
+
+    #: (series_id, value_type, calibers, section)
+    catalog: DataFrame
+    breaks: DataFrame
+    today: str
+    #: Periods whose values are out of the ordinary for all.
+    shocks: tuple[str, ...] = ()
+    known: tuple[tuple, ...] = ()
+    #: (cell, value) of a second source.
+    second: DataFrame | None = None
+    #: (first_id, second_id, tol); (total, series_id); (head, series_id); (series_id, whole_id).
+    pairs: DataFrame | None = None
+    parts: DataFrame | None = None
+    heads: DataFrame | None = None
+    wholes: DataFrame | None = None
+    #: (series_id, day, low, high) of the release; (release, group, field) of what it must have, and (release, field) of what it has.
+    window: DataFrame | None = None
+    anchors: DataFrame | None = None
+    fields: DataFrame | None = None
+    #: (series_id, release); (release, capture); (capture).
+    releases: DataFrame | None = None
+    manifests: DataFrame | None = None
+    captures: DataFrame | None = None
+    #: (series_id): those whose revisions count by period; (series_id, ended).
+    panels: DataFrame | None = None
+    ended: DataFrame | None = None
+    orphans: tuple[str, ...] = ()
+    joint_from: str | None = None
+
+
+MEASURES = ["m", "ytd", "m_yoy", "ytd_yoy"]
+
+
+def wide(cells: DataFrame) -> DataFrame:
+    """(series_id, period, span, m, ytd, m_yoy, ytd_yoy) of cells, of which those of measure `span` give the span, else 1."""
+    rows = cells.groupBy("series_id", "period").pivot("measure", ["span", *MEASURES]).agg(F.max("value"))
+    return rows.withColumn("span", F.coalesce("span", F.lit(1)).cast("int"))
+
+
+def all_checks(now: DataFrame, rows: DataFrame, before: DataFrame, log: DataFrame, c: Context, held: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Findings of every check on a release: cells after it, its rows, the cells before it, and its log of changes.
+
+    All checks but those on whole series report only what the release touches. Known exceptions warn.
+    """
+    kinds = c.catalog.select("series_id", "value_type")
+    after, touched = held(wide(now).join(kinds, "series_id", "left")), held(rows.select("series_id", "period").distinct())
+    stored = before.groupBy("series_id").agg(F.max("period").alias("period"))
+    new = after.join(touched, ["series_id", "period"], "left_semi")
+    only = lambda found: found.join(touched, ["series_id", "period"], "left_semi").select(*FINDING)
+    places = after.withColumn("place", F.row_number().over(Window.partitionBy("series_id").orderBy("period")))
+    rates = after.where("m_yoy IS NOT NULL").where(~F.col("period").isin(*c.shocks) if c.shocks else F.lit(True))
+    past = B.blocked(rates, c.breaks).where("NOT blocked").select("series_id", F.col("period").alias("_p"), "m_yoy")
+    past = new.where("m_yoy IS NOT NULL").select("series_id", F.col("period").alias("at")).join(past, "series_id").where("_p < at")
+    cells = rows.where("measure <> 'span'").select(*G.CELL, "value")
+    last = cells.groupBy(*G.CELL).agg(F.max("value").alias("value"))
+    ahead = touched.join(stored.withColumnRenamed("period", "_last"), "series_id").where("period > _last").groupBy("series_id").agg(F.min("period").alias("period"))
+    revised = log.where("measure <> 'span'")
+    found = [
+        schema(new), caliber(cells, c.catalog), bounds(new), only(monotonic(places, c.joint_from)), unit_slip(new, after), seasonal_z(new, past, after, c.shocks),
+        ytd_arithmetic(after, touched), only(yoy_base(after, c.breaks)), calendar_step(ahead, stored), only(break_no_yoy(after, c.breaks)), revision_flood(revised, after, c.panels if c.panels is not None else stored.where("false").select("series_id")),
+        findings(G.integrity(revised.withColumn("revised_on", F.lit(c.today)).where("row_no = 1"), before, last, c.today), "revision_integrity", "BLOCK"), catalog(after, c.catalog, orphans=c.orphans).where("severity = 'BLOCK'"),
+    ]
+    if c.second is not None:
+        found.append(findings(G.disagreements(cells, c.second, N.display_tolerance(F.lit(1))), "dg_press", "BLOCK"))
+    if c.pairs is not None:
+        found.append(only(findings(G.republications(after, c.pairs, "m_yoy").withColumnRenamed("first_id", "series_id"), "pairs", "WARN")))
+    if c.parts is not None:
+        found.append(only(sum_of_parts(after.select("series_id", "period", "m"), G.sum_parts(after, c.parts))))
+    if c.heads is not None:
+        items = after.join(c.heads, "series_id").select("head", "period", "m_yoy")
+        found.append(only(envelope(after, items)))
+    if c.wholes is not None:
+        whole = after.select(F.col("series_id").alias("whole_id"), "period", F.col("m").alias("whole"))
+        parts = after.join(c.wholes, "series_id").join(whole, ["whole_id", "period"]).select("series_id", "period", F.when(F.col("m") > F.col("whole") * 1.001, 1).alias("_over")).where("_over = 1")
+        found.append(only(findings(parts, "share_bounds", "WARN")))
+    if c.window is not None:
+        found.append(release_window(touched.join(c.window, "series_id")))
+    if c.anchors is not None and c.fields is not None:
+        found.append(completeness(c.fields, c.anchors).select("check_id", "severity", F.col("group").alias("series_id"), F.col("release").alias("period")))
+    if c.manifests is not None and c.captures is not None and c.releases is not None:
+        found.append(release_identity(ahead.join(c.releases, "series_id"), c.manifests, c.captures, S.stale(after)))
+    if c.ended is not None:
+        problems = B.link_problems(c.breaks, c.ended)
+        found.append(problems.join(touched.select("series_id").distinct(), "series_id", "left_semi").select(F.lit("break_link").alias("check_id"), "severity", "series_id", F.col("other").alias("period")))
+    every = found[0].select(*FINDING)
+    for part in found[1:]:
+        every = every.union(part.select(*FINDING))
+    return acknowledged(every, c.known)
+
+
 def verdict(found: DataFrame) -> DataFrame:
     """One row: findings by severity and the exit code, 2 if any blocks."""
     n = lambda s: F.count(F.when(F.col("severity") == s, 1))

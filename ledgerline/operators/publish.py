@@ -77,15 +77,30 @@ def sentence(
     return F.when(y.isNotNull(), F.when(first_after_break, join_text(first)).otherwise(join_text(label, subject, body, suffix)))
 
 
-def level_sentence(label: Column, name: Column, level: Column, previous: Column, ref: Column, line: float | None = None) -> Column:
-    """One sentence on a level, its change, and whether it lies at a line or has crossed it."""
+#: Fixed: steps of a level in one direction from which a sentence counts them.
+LEVEL_STREAK = 3
+
+
+def level_sentence(
+    label: Column, name: Column, level: Column, previous: Column, ref: Column, line: float | None = None,
+    percent: Column | None = None, rate: Column | None = None, kind: Column | None = None, run: Column | None = None,
+) -> Column:
+    """One sentence on a level, its change, and whether it lies at a line or has crossed it, or how long it has moved one way.
+
+    Where `percent`, the level is printed in percent. A `rate` falls (下降) by percentage points and has no line, any other level
+    recedes (回落) by points. `run` steps in the direction `kind`, up or down, end the sentence from LEVEL_STREAK on.
+    """
+    percent, rate = (F.lit(False) if c is None else c for c in (percent, rate))
     d = F.round(level - previous, 6)
-    change = F.when(d.isNull(), "").when(d == 0, F.concat(F.lit("，与"), ref, F.lit("持平"))).otherwise(F.concat(F.lit("，比"), ref, F.when(d > 0, "上升").otherwise("回落"), N.fmt_points(d)))
-    side = F.lit("")
+    way = F.when(d > 0, "上升").otherwise(F.when(rate, "下降").otherwise("回落"))
+    change = F.when(d.isNull(), "").when(d == 0, F.concat(F.lit("，与"), ref, F.lit("持平"))).otherwise(F.concat(F.lit("，比"), ref, way, F.when(rate, N.fmt_pp(d)).otherwise(N.fmt_points(d))))
+    side = tail = F.lit("")
     if line is not None:
         crossed = F.coalesce((previous >= line) != (level >= line), F.lit(False))
-        side = F.when(crossed | (F.abs(level - line) <= 0.5), F.concat(F.lit("，位于荣枯线"), F.when(level >= line, "上方").otherwise("下方"))).otherwise("")
-    return join_text(label, name, F.lit("为"), N.fmt_magnitude(level), change, side)
+        side = F.when(~rate & (crossed | (F.abs(level - line) <= 0.5)), F.concat(F.lit("，位于荣枯线"), F.when(level >= line, "上方").otherwise("下方"))).otherwise("")
+    if run is not None and kind is not None:
+        tail = F.when(run >= LEVEL_STREAK, streak_suffix(kind, run)).otherwise("")
+    return join_text(label, name, F.lit("为"), F.when(percent, N.fmt_pct(level)).otherwise(N.fmt_magnitude(level)), change, side, tail)
 
 
 def banned_words(text: Column) -> Column:

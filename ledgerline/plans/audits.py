@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions import periods as P
-from ledgerline.functions.text import strip_html
 from ledgerline.operators import audit as A
 from ledgerline.operators import merge as G
 from ledgerline.operators import reduce as R
@@ -105,37 +103,20 @@ def _(x):
     return A.derived_rules(published, again, (("total", "2000-09"),))
 
 
-SAMPLED = "+ n AS (SELECT indicator, code, TRY_CAST(v AS DOUBLE) AS value, fetched FROM captures), c AS (SELECT indicator AS series_id, substr(code, 1, 4) || '-' || substr(code, 5, 2) AS period, arg_max(value, fetched) AS raw FROM n WHERE value IS NOT NULL GROUP BY 1, 2)"
-
-
-def _captured(x):
-    from ledgerline.sources.readers import latest_captures
-
-    return latest_captures(x.captures).select(F.col("indicator").alias("series_id"), P.decode_code("code").alias("period"), "value")
-
-
-@query("audit_api_sample", SAMPLED + ", s AS (SELECT series_id, period, CASE WHEN period LIKE '%-04' THEN raw + 5 WHEN period LIKE '%-05' THEN raw - 100 ELSE raw END AS value, CASE WHEN period LIKE '%-07' THEN NULL ELSE raw END AS raw FROM c) SELECT series_id, CASE WHEN raw IS NULL THEN 'gap' WHEN ABS(raw - value) <= 0.06 OR ABS(raw - 100 - value) <= 0.06 THEN 'verified' ELSE 'mismatch' END AS state, COUNT(*) AS n FROM s GROUP BY 1, 2")
-def _(x):
-    raw, month = _captured(x), F.substring("period", 6, 2)
-    rows = raw.withColumn("value", F.when(month == "04", F.col("value") + 5).when(month == "05", F.col("value") - 100).otherwise(F.col("value")))
-    return A.api_sample(rows, raw.where("substr(period, 6, 2) <> '07'")).groupBy("series_id", "state").agg(F.count("*").alias("n"))
-
-
-@query("audit_archive_sample", """+ r AS (SELECT series_id, period, m_yoy FROM obs WHERE m_yoy IS NOT NULL), s AS (SELECT series_id, period, CASE WHEN period LIKE '%-03' THEN 'gap' WHEN period LIKE '%-07' THEN 'unverifiable' ELSE 'verified' END AS state FROM r)
-  SELECT series_id, state, COUNT(*) AS n FROM s GROUP BY 1, 2""")
-def _(x):
-    """Every rate looked up in the page of its own release, written from the cells; March pages print another rate, July has no page."""
-    rate = F.abs(F.col("m_yoy") + F.when(F.col("period").like("%-03"), 7.7).otherwise(0.0))
-    text = F.concat(F.lit("<p>"), F.col("series_id"), F.lit(" moved by "), F.format_number(rate, 1), F.lit(" % on the year &amp; so on</p>"))
-    rows = x.obs.where("m_yoy IS NOT NULL").withColumn("page_id", F.concat_ws("/", "series_id", "period"))
-    pages = rows.where("period NOT LIKE '%-07'").select("page_id", F.regexp_extract(strip_html(text), "moved by (.*)", 1).alias("text"))
-    return A.archive_sample(rows.select("series_id", "page_id", F.col("m_yoy").alias("value")), pages).groupBy("series_id", "state").agg(F.count("*").alias("n"))
-
-
-@query("audit_freshness", LAST + "SELECT 'freshness' AS check_id, 'warn' AS status, series_id, period FROM e WHERE tier = 1 AND date_diff('day', last_day(CAST(period || '-01' AS DATE)), DATE '2001-10-20') > CASE WHEN name < 'F' THEN 30 ELSE 120 END")
+@query("audit_freshness", LAST + """SELECT 'freshness' AS check_id, 'warn' AS status, series_id, period FROM e WHERE tier = 1 AND date_diff('day', last_day(CAST(period || '-01' AS DATE)), DATE '2001-10-20') > CASE WHEN name < 'F' THEN 30 ELSE 120 END
+  UNION ALL SELECT 'freshness.generated_at', 'warn', series_id, n FROM (SELECT 'nat-' || c_nationkey AS series_id, MAX(o_orderdate) AS b, strftime(MAX(o_orderdate) FILTER (WHERE c_nationkey % 3 <> 0 OR o_orderdate < DATE '2001-01-01'), '%Y-%m-%dT%H:%M:%SZ') AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey) WHERE strptime(n, '%Y-%m-%dT%H:%M:%SZ') + CASE WHEN series_id LIKE '%1' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END <= b""")
 def _(x):
+    """Entries that are late, and nations whose index, generated at their last order, is no newer than the one before; some are an hour newer."""
     budgets = x.catalog.select("series_id", F.when(F.col("name") < "F", 30).otherwise(120).alias("days"))
-    return A.freshness(entries(x).select("series_id", "period", "tier"), budgets, "2001-10-20")
+    late = A.freshness(entries(x).select("series_id", "period", "tier"), budgets, "2001-10-20")
+    customer = x.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    orders = x.table("orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("at")).join(customer, "o_custkey")
+    seen = (F.col("c_nationkey") % 3 != 0) | (F.col("at") < F.lit("2001-01-01").cast("timestamp"))
+    runs = orders.groupBy(F.concat(F.lit("nat-"), "c_nationkey").alias("series_id")).agg(F.max("at").alias("b"), F.max(F.when(seen, F.col("at"))).alias("n"))
+    hour = F.when(F.col("series_id").endswith("1"), F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOUR"))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    found = A.advanced(runs.select("series_id", stamp(F.col("b") - hour).alias("generated_at")), runs.select("series_id", stamp(F.col("n")).alias("generated_at")))
+    return late.union(found)
 
 
 @query("audit_determinism", """+ b AS (SELECT series_id, period, CASE WHEN series_id = 'nat-5' THEN m + 1 ELSE m END AS m, ytd FROM obs WHERE NOT (series_id = 'nat-6' AND period LIKE '%-07'))
@@ -172,12 +153,3 @@ def _(x):
     total = lambda like, name: x.obs.where(F.col("series_id").like(like)).groupBy("period").agg(F.sum(F.col("m").cast("decimal(28,2)")).cast("double").alias(name))
     both = total("mkt-%", "by_segment").join(total("nat-%", "by_nation"), "period")
     return both.withColumn("same", F.abs(F.col("by_segment") - F.col("by_nation")) < 0.01)
-
-
-@query("sampling_strata", "+ s AS (SELECT c.section, 'latest' AS stratum, COUNT(DISTINCT o.series_id) AS n FROM obs o JOIN catalog c USING (series_id) GROUP BY 1 UNION ALL SELECT c.section, 'jan_feb', COUNT(*) FROM obs o JOIN catalog c USING (series_id) WHERE o.span = 2 AND o.period >= '2000' GROUP BY 1 UNION ALL SELECT c.section, 'random', LEAST(20, COUNT(*)) FROM obs o JOIN catalog c USING (series_id) GROUP BY 1) SELECT * FROM s")
-def _(x):
-    rows = x.obs.join(x.catalog.select("series_id", "section"), "series_id")
-    last = rows.groupBy("section").agg(F.countDistinct("series_id").alias("n")).select("section", F.lit("latest").alias("stratum"), "n")
-    merged = rows.where("span = 2 AND period >= '2000'").groupBy("section").agg(F.count("*").alias("n")).select("section", F.lit("jan_feb"), "n")
-    drawn = A.sample(rows, "section", 20, 5).groupBy("section").agg(F.count("*").alias("n")).select("section", F.lit("random"), "n")
-    return last.union(merged).union(drawn)

@@ -133,10 +133,11 @@ def _(x):
     return K.findings(off.withColumnRenamed("first_id", "series_id"), "pairs", "WARN")
 
 
-@query("gate_ytd_arith", STAGED + f""", r AS (SELECT a.*, b.ytd AS before, b.period >= '2000-06' AS pin FROM staged a LEFT JOIN staged b ON a.series_id = b.series_id AND b.period = {PREV.format(a='a')} WHERE a.period >= '2000-06'),
-  w AS (SELECT *, CASE WHEN span = 2 THEN m ELSE before + m END AS want FROM r) """ + find("ytd_arithmetic", "CASE WHEN COALESCE(pin, FALSE) OR span = 2 THEN 'BLOCK' ELSE 'WARN' END", "w", "ABS(ytd - want) > GREATEST(0.2, ABS(ytd) * 0.005)"))
+@query("gate_ytd_arith", STAGED + TYPED + f""", r AS (SELECT a.*, b.ytd AS before, b.period >= '2000-06' AS pin FROM typed a LEFT JOIN typed b ON a.series_id = b.series_id AND b.period = {PREV.format(a='a')} WHERE a.period >= '2000-06' AND a.value_type IN ('level', 'count')),
+  w AS (SELECT *, CASE WHEN span = 2 THEN m ELSE before + m END AS want, CASE WHEN value_type = 'count' THEN 2 ELSE 0.02 END AS least FROM r) """ + find("ytd_arithmetic", "CASE WHEN COALESCE(pin, FALSE) OR span = 2 THEN 'BLOCK' ELSE 'WARN' END", "w", "ABS(ytd - want) > GREATEST(least, ABS(ytd) * 0.005)"))
 def _(x):
-    return K.ytd_arithmetic(staged(x), touched(x))
+    """Series of every type, of which levels and counts add up; counts have no decimals, levels two."""
+    return K.ytd_arithmetic(typed(x).withColumn("decimals", F.when(F.col("value_type") == "count", 0).otherwise(2)), touched(x))
 
 
 @query("gate_yoy_base", STAGED + TYPED + f""", r AS (SELECT a.series_id, a.period, a.m, a.m_yoy, a.ytd, a.ytd_yoy, b.m AS bm, b.ytd AS yb, {AGO.format(a='a')} AS ago FROM typed a JOIN typed b ON a.series_id = b.series_id AND a.span = b.span AND b.period = {AGO.format(a='a')} WHERE a.value_type = 'level'),
@@ -183,11 +184,18 @@ def _(x):
     return K.calendar_step(staged(x).where(F.col("period") >= cut).groupBy("series_id").agg(F.min("period").alias("period")), latest, KNOWN_STEPS)
 
 
-@query("gate_release_window", "SELECT 'release_window' AS check_id, 'WARN' AS severity, 'nat-' || c_nationkey AS series_id, strftime(o_orderdate, '%Y-%m') AS period FROM orders JOIN customer ON o_custkey = c_custkey WHERE day(o_orderdate) NOT BETWEEN 6 AND 24", pre=False)
+#: source, frequency, first and last day, months after the period's end, months without a print of their own.
+CALENDAR = (("BUILDING", "M", 9, 15, 1, ["01"]), ("MACHINERY", "M", 14, 31, 1, []), ("HOUSEHOLD", "M", 1, 20, 2, ["02", "08"]), ("AUTOMOBILE", "Q", 9, 12, 1, []))
+
+
+@query("gate_release_window", f"""WITH cal AS (SELECT * FROM (VALUES {values(tuple((s, f, lo, hi, lag, ",".join(k)) for s, f, lo, hi, lag, k in CALENDAR))}) t(source, freq, low, high, lag, skips)),
+  r AS (SELECT 'ord-' || o_orderkey AS series_id, c_mktsegment AS source, strftime(o_orderdate - INTERVAL 1 MONTH, '%Y-%m') AS period, CAST(o_orderdate AS DATE) AS day FROM orders JOIN customer ON o_custkey = c_custkey), w AS (SELECT r.*, low, high, CAST(CAST(period || '-01' AS DATE) + to_months(lag) AS DATE) AS first FROM r JOIN cal USING (source) WHERE freq = 'M' AND NOT contains(skips, substr(period, 6, 2)))
+  SELECT 'release_window' AS check_id, 'WARN' AS severity, series_id, period FROM w WHERE day NOT BETWEEN LEAST(first + CAST(low - 1 AS INT), last_day(first)) - 3 AND LEAST(first + CAST(high - 1 AS INT), last_day(first)) + 3""", pre=False)
 def _(x):
-    customer = x.table("customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("nat-"), "c_nationkey").alias("series_id"))
-    rows = x.table("orders").join(customer, "o_custkey").select("series_id", F.date_format("o_orderdate", "yyyy-MM").alias("period"), F.dayofmonth("o_orderdate").alias("day"), F.lit(9).alias("low"), F.lit(21).alias("high"))
-    return K.release_window(rows)
+    """Every order as a release, on its day, of the month before; segments are sources of which one prints quarters and one has no rule."""
+    customer = x.table("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("source"))
+    rows = x.table("orders").join(customer, "o_custkey").select(F.concat(F.lit("ord-"), "o_orderkey").alias("series_id"), "source", F.date_format(F.add_months(F.col("o_orderdate").cast("date"), -1), "yyyy-MM").alias("period"), F.col("o_orderdate").alias("released"))
+    return K.release_calendar(rows, x.rows(CALENDAR, "source string, freq string, low int, high int, lag int, skips array<string>"))
 
 
 @query("gate_completeness", """+ r AS (SELECT DISTINCT nat || '/' || period AS release, seg AS field FROM cells), a AS (SELECT release, g AS "group", f AS field FROM (SELECT DISTINCT release FROM r), (VALUES ('core', 'BUILDING'), ('core', 'MACHINERY'), ('home', 'HOUSEHOLD')) t(g, f))
@@ -213,11 +221,61 @@ def _(x):
     return K.release_identity(new, manifests, manifests.where("capture <> 'rel-2000-11/b'"), S.stale(rows), confirmed)
 
 
-@query("gate_break_no_yoy", f"""+ w AS (SELECT series_id, effective, yoy_valid_from AS vf FROM breaks WHERE no_yoy_across AND yoy_valid_from > effective),
-  nn AS (SELECT w.series_id, w.vf AS period, COUNT(*) FILTER (WHERE o.period >= w.effective AND o.period < w.vf) AS n, COUNT(*) FILTER (WHERE o.period = w.vf AND o.m_yoy IS NOT NULL) AS y FROM w JOIN obs o USING (series_id) GROUP BY 1, 2)
-  SELECT 'break_no_yoy' AS check_id, 'BLOCK' AS severity, series_id, period FROM obs o WHERE m_yoy IS NOT NULL AND {BLOCKED.format(a='o', p='period')} UNION ALL SELECT 'break_restated', 'BLOCK', series_id, period FROM nn WHERE y > 0 AND n < 12""")
+#: Windows of the quarters and years of segments: two of a year and less, one longer.
+COARSE = (("q-BUILDING", "1997-Q2", True, "1998-Q2"), ("q-MACHINERY", "1998-Q1", True, "1998-Q3"), ("a-BUILDING", "1997", True, "1998"), ("a-HOUSEHOLD", "1996", True, "1999"), ("q-FURNITURE", "1999-Q1", True, None))
+COARSE_SCHEMA = "series_id string, effective string, no_yoy_across boolean, yoy_valid_from string"
+
+
+@query("gate_break_no_yoy", f"""+ rw AS (SELECT series_id, period, m_yoy FROM obs UNION ALL SELECT CASE WHEN period LIKE '%Q%' THEN 'q-' ELSE 'a-' END || substr(series_id, 5), period, CASE WHEN period LIKE '%8%' THEN m END FROM mixed WHERE period LIKE '%Q%' OR length(period) = 4),
+  bw AS (SELECT series_id, effective, no_yoy_across, yoy_valid_from FROM breaks UNION ALL SELECT * FROM (VALUES {values(COARSE)})), w AS (SELECT series_id, effective, yoy_valid_from AS vf FROM bw WHERE no_yoy_across AND yoy_valid_from > effective),
+  nn AS (SELECT w.series_id, w.vf AS period, COUNT(*) FILTER (WHERE o.period >= w.effective AND o.period < w.vf) AS n, COUNT(*) FILTER (WHERE o.period = w.vf AND o.m_yoy IS NOT NULL) AS y FROM w JOIN rw o USING (series_id) GROUP BY 1, 2)
+  SELECT 'break_no_yoy' AS check_id, 'BLOCK' AS severity, series_id, period FROM rw o WHERE m_yoy IS NOT NULL AND {BLOCKED.format(a='o', p='period').replace('FROM breaks', 'FROM bw')} UNION ALL SELECT 'break_restated', 'BLOCK', series_id, period FROM nn WHERE y > 0 AND n < CASE WHEN period LIKE '%Q%' THEN 4 WHEN length(period) = 4 THEN 1 ELSE 12 END""")
+def _(x):
+    """Months with their breaks, and quarters and years of segments with others; those print a rate in some years."""
+    coarse = x.mixed.where("period LIKE '%Q%' OR length(period) = 4")
+    id_ = F.concat(F.when(F.col("period").like("%Q%"), "q-").otherwise("a-"), F.expr("substr(series_id, 5)"))
+    rows = x.obs.select("series_id", "period", "m_yoy").union(coarse.select(id_, "period", F.when(F.col("period").like("%8%"), F.col("m"))))
+    walls = x.breaks.select("series_id", "effective", "no_yoy_across", "yoy_valid_from").union(x.rows(COARSE, COARSE_SCHEMA))
+    return K.break_no_yoy(rows, walls)
+
+
+MANY_SQL = """+ w AS (SELECT 'nat-' || c_nationkey AS series_id, strftime(o_orderdate, '%Y-%m-%d') AS effective, CASE WHEN o_orderkey % 11 = 0 THEN strftime(o_orderdate - INTERVAL 3 DAY, '%Y-%m-%d') ELSE strftime(o_orderdate + CAST(o_orderkey % 20 AS INT) * INTERVAL 1 DAY, '%Y-%m-%d') END AS vf FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 300000),
+  d AS (SELECT 'nat-' || s_nationkey AS series_id, strftime(l_shipdate, '%Y-%m-%d') AS period, COUNT(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)"""
+
+
+def _many(x):
+    """Large orders of a nation as windows of some days, of which some end before they begin; and the days on which its suppliers ship."""
+    day = lambda d: F.date_format(d, "yyyy-MM-dd")
+    customer = x.table("customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("nat-"), "c_nationkey").alias("series_id"))
+    orders = x.table("orders").where("o_totalprice > 300000").join(customer, "o_custkey")
+    days = F.when(F.col("o_orderkey") % 11 == 0, -3).otherwise((F.col("o_orderkey") % 20).cast("int"))
+    walls = orders.select("series_id", day(F.col("o_orderdate")).alias("effective"), F.lit(True).alias("no_yoy_across"), day(F.date_add(F.col("o_orderdate").cast("date"), days)).alias("yoy_valid_from"))
+    supplier = x.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.concat(F.lit("nat-"), "s_nationkey").alias("series_id"))
+    shipped = x.table("lineitem").select("l_suppkey", day(F.col("l_shipdate")).alias("period")).join(supplier, "l_suppkey").groupBy("series_id", "period").agg(F.count("*").alias("n"))
+    return walls, shipped
+
+
+@query("break_windows_swept", MANY_SQL + " SELECT series_id, period, n, EXISTS (SELECT 1 FROM w WHERE w.series_id = d.series_id AND d.period >= w.effective AND d.period < w.vf) AS blocked FROM d")
+def _(x):
+    """Thousands of windows a series, by one sort of both."""
+    walls, shipped = _many(x)
+    return B.blocked_by_sweep(shipped, walls)
+
+
+@query("break_seams_swept", MANY_SQL + ", g AS (SELECT *, lag(period, 2) OVER (PARTITION BY series_id ORDER BY period) AS prior FROM d) SELECT series_id, period, EXISTS (SELECT 1 FROM w WHERE w.series_id = g.series_id AND g.prior < w.effective AND w.effective <= g.period) AS seam FROM g")
+def _(x):
+    """Whether a window begins between a day and the last but one before it."""
+    walls, shipped = _many(x)
+    rows = shipped.withColumn("prior", F.expr("lag(period, 2) OVER (PARTITION BY series_id ORDER BY period)"))
+    return B.seam_by_sweep(rows, walls, "prior").select("series_id", "period", "seam")
+
+
+@query("break_rows_within", MANY_SQL + ", u AS (SELECT DISTINCT series_id, effective, vf FROM w WHERE vf > effective) SELECT u.series_id, u.effective, u.vf AS until, COUNT(d.period) AS n FROM u LEFT JOIN d ON d.series_id = u.series_id AND d.period >= u.effective AND d.period < u.vf GROUP BY 1, 2, 3")
 def _(x):
-    return K.break_no_yoy(x.obs, x.breaks)
+    """How many shipping days each window holds, by running counts."""
+    walls, shipped = _many(x)
+    windows = walls.where("yoy_valid_from > effective").select("series_id", "effective", F.col("yoy_valid_from").alias("until")).distinct()
+    return B.rows_within(windows, shipped, "effective", "until", "n")
 
 
 @query("gate_break_link", """+ ended AS (SELECT 'nat-' || n_nationkey AS series_id, n_regionkey % 2 = 1 AS ended FROM nation),

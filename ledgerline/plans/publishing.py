@@ -4,10 +4,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import periods as P
+from ledgerline.operators import breaks as B
 from ledgerline.operators import publish as U
 from ledgerline.operators import series as S
 from ledgerline.plans.registry import query
+from ledgerline.plans.sql import BLOCKED
 from ledgerline.plans.windows import RATES, rates, tail
+from ledgerline.sources import readers as R
+from ledgerline.sources import store as T
 
 LAST = RATES + ", e AS (SELECT p.*, c.name, c.section, c.tier, c.headline, o.span, CASE WHEN c.headline = 'ytd' THEN o.ytd ELSE o.m END AS value FROM pair p JOIN obs o USING (series_id, period) JOIN catalog c USING (series_id) WHERE p.period = (SELECT MAX(period) FROM obs z WHERE z.series_id = p.series_id))"
 FMT = "CASE WHEN ROUND(ABS({0}), 1) = ABS(ROUND({0}, 6)) THEN format('{{:.1f}}', ABS({0})) ELSE format('{{:.2f}}', ABS({0})) END"
@@ -86,14 +90,23 @@ def _(x):
     return said(x, x.held(rates(x))).where("y IS NOT NULL").select("series_id", "sentence")
 
 
-@query("level_sentence", """+ l AS (SELECT series_id, period, ROUND(m_yoy / 4 + 50, 1) AS v FROM obs WHERE m_yoy IS NOT NULL AND span = 1), g AS (SELECT *, lag(v) OVER (PARTITION BY series_id ORDER BY period) AS p FROM l), d AS (SELECT *, ROUND(v - p, 6) AS d FROM g)
-  SELECT series_id, period, substr(period, 1, 4) || ' 年 ' || CAST(substr(period, 6, 2) AS INT) || ' 月制造业 PMI 为 ' || format('{:.1f}', v) || CASE WHEN d IS NULL THEN '' WHEN d = 0 THEN '，与上月持平' ELSE '，比上月' || CASE WHEN d > 0 THEN '上升' ELSE '回落' END || ' ' || format('{:.1f}', ABS(d)) || ' 个点' END
-   || CASE WHEN COALESCE((p >= 50) <> (v >= 50), FALSE) OR ABS(v - 50) <= 0.5 THEN '，位于荣枯线' || CASE WHEN v >= 50 THEN '上方' ELSE '下方' END ELSE '' END AS sentence FROM d""")
+@query("level_sentence", """+ l AS (SELECT series_id, period, CASE WHEN series_id LIKE 'mkt-%' THEN ROUND(m_yoy / 4 + 50, 1) ELSE ROUND(LEAST(ABS(m_yoy), 60) / 10, 1) END AS v, series_id LIKE 'nat-%' AS rate FROM obs WHERE m_yoy IS NOT NULL AND span = 1), g AS (SELECT *, lag(v) OVER (PARTITION BY series_id ORDER BY period) AS p FROM l), d AS (SELECT *, ROUND(v - p, 6) AS d FROM g),
+  rn AS (SELECT *, sign(d) AS sg, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period DESC) AS n, FIRST_VALUE(sign(d)) OVER (PARTITION BY series_id ORDER BY period DESC) AS s1 FROM d), run AS (SELECT series_id, ANY_VALUE(s1) AS s1, COALESCE(MIN(n) FILTER (WHERE sg IS DISTINCT FROM s1 OR s1 = 0 OR sg IS NULL), MAX(n) + 1) - 1 AS run FROM rn GROUP BY 1),
+  z AS (SELECT d.*, CASE WHEN period = MAX(period) OVER (PARTITION BY d.series_id) THEN run END AS run, s1 FROM d JOIN run USING (series_id))
+  SELECT series_id, period, substr(period, 1, 4) || ' 年 ' || CAST(substr(period, 6, 2) AS INT) || ' 月' || CASE WHEN rate THEN '失业率' ELSE '制造业 PMI ' END || '为 ' || format('{:.1f}', v) || CASE WHEN rate THEN '%' ELSE '' END || CASE WHEN d IS NULL THEN '' WHEN d = 0 THEN '，与上月持平' ELSE '，比上月' || CASE WHEN d > 0 THEN '上升' WHEN rate THEN '下降' ELSE '回落' END || ' ' || format('{:.1f}', ABS(d)) || CASE WHEN rate THEN ' 个百分点' ELSE ' 个点' END END
+   || CASE WHEN NOT rate AND (COALESCE((p >= 50) <> (v >= 50), FALSE) OR ABS(v - 50) <= 0.5) THEN '，位于荣枯线' || CASE WHEN v >= 50 THEN '上方' ELSE '下方' END ELSE '' END
+   || CASE WHEN rate AND run >= 3 THEN '，连续 ' || CASE WHEN run > 24 THEN '24 个月以上' ELSE run || ' 个月' END || CASE WHEN s1 > 0 THEN '上升' ELSE '下降' END ELSE '' END AS sentence FROM z""")
 def _(x):
-    rows = x.obs.where("m_yoy IS NOT NULL AND span = 1").select("series_id", "period", F.round(F.col("m_yoy") / 4 + 50, 1).alias("v"))
-    rows = rows.withColumn("p", F.lag("v").over(Window.partitionBy("series_id").orderBy("period")))
-    label = P.period_label("period", F.lit(False), F.lit(1))
-    return rows.select("series_id", "period", U.level_sentence(label, F.lit("制造业 PMI"), F.col("v"), F.col("p"), F.lit("上月"), 50.0).alias("sentence"))
+    """Segments as an index with a line, nations as a rate in percent whose last row counts its steps."""
+    rate = F.col("series_id").like("nat-%")
+    v = F.when(rate, F.round(F.least(F.abs("m_yoy"), F.lit(60.0)) / 10, 1)).otherwise(F.round(F.col("m_yoy") / 4 + 50, 1))
+    rows = x.held(x.obs.where("m_yoy IS NOT NULL AND span = 1").select("series_id", "period", v.alias("v"), rate.alias("rate")))
+    streaks = S.level_streaks(rows, "v", U.LEVEL_STREAK).select("series_id", "run", "state")
+    w = Window.partitionBy("series_id").orderBy("period")
+    rows = rows.withColumns({"p": F.lag("v").over(w), "last": F.lead("v").over(w).isNull()}).join(streaks, "series_id")
+    label, name = P.period_label("period", F.lit(False), F.lit(1)), F.when(F.col("rate"), "失业率").otherwise("制造业 PMI")
+    text = U.level_sentence(label, name, F.col("v"), F.col("p"), F.lit("上月"), 50.0, F.col("rate"), F.col("rate"), F.col("state"), F.when(F.col("last") & F.col("rate"), F.col("run")))
+    return rows.select("series_id", "period", text.alias("sentence"))
 
 
 @query("verb", "SELECT series_id, CASE WHEN tier = 3 THEN '上涨' ELSE '增长' END AS verb FROM catalog")
@@ -155,6 +168,37 @@ def _(x):
     return bundle_entry(x).groupBy("section").agg(_listed(tile, "series_id").alias("tiles"), _listed(fresh, "series_id").alias("freshness"))
 
 
+PUBLISHED_SQL = f"""SELECT 'section/' || section AS document, series_id, COUNT(*) AS points, MAX(period) AS last, CAST(SUM(CAST(CASE WHEN headline = 'ytd' THEN ytd ELSE m END AS DECIMAL(28,2))) AS DOUBLE) AS level, COUNT(CASE WHEN NOT blk THEN CASE WHEN headline = 'ytd' THEN ytd_yoy ELSE m_yoy END END) AS yoy,
+    CASE WHEN tier < 3 THEN CAST(SUM(CAST(ytd AS DECIMAL(28,2))) AS DOUBLE) END AS level_ytd, CASE WHEN tier < 3 THEN COUNT(CASE WHEN NOT blk THEN ytd_yoy END) END AS yoy_ytd, section = 'market' AS written FROM pb GROUP BY 1, 2, section, tier"""
+
+
+@query("write_bundles", f"""+ src AS (SELECT * FROM obs WHERE series_id LIKE 'mkt-%' UNION ALL SELECT * FROM old WHERE series_id LIKE 'nat-%'), pb AS (SELECT c.section, c.tier, c.headline, o.*, {BLOCKED.format(a='o', p='period')} AS blk FROM src o JOIN catalog c USING (series_id)),
+  fr AS (SELECT * FROM (SELECT DISTINCT metric, period FROM panel) JOIN (SELECT DISTINCT metric, entity FROM panel) USING (metric)) {PUBLISHED_SQL}
+  UNION ALL SELECT 'index', section, COUNT(DISTINCT series_id), MAX(period), NULL, NULL, NULL, NULL, TRUE FROM pb GROUP BY section
+  UNION ALL SELECT 'panel', entity || '/' || metric, COUNT(*), MAX(period), CAST(SUM(CAST(p.m AS DECIMAL(28,1))) AS DOUBLE), COUNT(p.m), NULL, NULL, FALSE FROM fr LEFT JOIN panel p USING (entity, metric, period) GROUP BY 2""")
+def _(x):
+    """Two publications, of which the second has new segments; what a reader finds then, and what had to be written for it."""
+    both = (F.col("tier") < 3).alias("both")
+    kinds = x.catalog.select("series_id", "headline", both)
+    arrays = lambda rows: R.aligned_arrays(B.blocked(rows, x.breaks).join(kinds, "series_id"))
+    panel, root = R.assemble_panel(x.panel, x.panel.where("false")), x.scratch()
+    T.publish(x.spark, R.bundle_documents(arrays(x.old), x.catalog, panel), root, "2001-04")
+    mixed = x.obs.where("series_id LIKE 'mkt-%'").union(x.old.where("series_id LIKE 'nat-%'"))
+    wrote = T.publish(x.spark, R.bundle_documents(arrays(mixed), x.catalog, panel), root, "2001-09").select("document", "written")
+    docs = x.held(T.read(x.spark, root))
+    none, long = F.lit(None).cast("double"), F.lit(None).cast("long")
+    total = lambda c, d: F.aggregate(F.transform(F.filter(c, lambda v: v.isNotNull()), lambda v: v.cast(f"decimal(28,{d})")), F.lit(0).cast(f"decimal(38,{d})"), lambda a, v: (a + v).cast(f"decimal(38,{d})")).cast("double")
+    some = lambda c: F.size(F.filter(c, lambda v: v.isNotNull())).cast("long")
+    parsed = lambda like, schema: docs.where(F.col("document").like(like)).select("document", F.from_json("body", schema).alias("d"))
+    s = parsed("section/%", R.SECTION).select("document", F.explode("d.series").alias("s")).select("document", "s.*")
+    rows = s.select("document", F.col("id").alias("series_id"), F.size("periods").cast("long").alias("points"), F.element_at("periods", -1).alias("last"), total("level", 2).alias("level"), some("yoy").alias("yoy"), F.when(F.col("level_ytd").isNotNull(), total("level_ytd", 2)).alias("level_ytd"), F.when(F.col("yoy_ytd").isNotNull(), some("yoy_ytd")).alias("yoy_ytd"))
+    i = parsed("index", R.INDEX).select("document", F.explode("d.sections").alias("s")).select("document", "s.section", "s.series", "s.latest", none, long, none, long)
+    p = parsed("panel", R.PANEL).select("document", F.explode("d.cells").alias("s")).select("document", "s.*")
+    filled = F.filter("values", lambda v: v.isNotNull())
+    p = p.select("document", F.concat_ws("/", "entity", "metric"), F.size("periods").cast("long"), F.element_at("periods", -1), F.when(F.size(filled) > 0, total("values", 1)), F.size(filled).cast("long"), none, long)
+    return rows.union(i).union(p).join(wrote, "document")
+
+
 @query("diary_diff", """+ n AS (SELECT series_id, MAX(period) AS period FROM obs GROUP BY 1), b AS (SELECT series_id, MAX(period) AS before FROM old WHERE series_id <> 'nat-0' GROUP BY 1), r AS (SELECT series_id, period, COUNT(*) AS n FROM long_obs o JOIN long_old p USING (series_id, period, measure) WHERE ABS(o.value - p.value) >= 1e-9 GROUP BY 1, 2)
   SELECT series_id, before, period, CASE WHEN before IS NULL THEN 'new' ELSE 'advanced' END AS kind, series_id || ': ' || COALESCE(before || ' → ', '') || period AS line FROM n LEFT JOIN b USING (series_id) WHERE period IS DISTINCT FROM before UNION ALL SELECT series_id, period, period, 'revised', series_id || ': ' || period || ' (' || n || ')' FROM r""")
 def _(x):

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None, pre: bool = True) -> Callable:
 
 
 def _load() -> None:
-    from ledgerline.plans import audits, gates, ingest, joins, merges, publishing, reductions, scalars, scans, windows  # noqa: F401
+    from ledgerline.plans import archive, audits, gates, ingest, joins, merges, publishing, rebuild, reductions, scalars, scans, windows  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

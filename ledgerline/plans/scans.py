@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import periods as P
 from ledgerline.functions import text as X
-from ledgerline.operators import extract as E
 from ledgerline.plans.registry import query
 from ledgerline.sources import readers as R
 
@@ -89,17 +88,11 @@ def _(x):
     return x.table("pages").select("page_id", X.strip_html(F.col("html")).alias("text"))
 
 
-@query("write_bundles", "SELECT c.section, o.series_id, COUNT(*) AS n, MAX(o.period) AS last FROM obs o JOIN catalog c USING (series_id) GROUP BY 1, 2")
+@query("write_series_canonical", """SELECT series_id, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period) AS place, '{"period":"' || period || '","span":' || span || ',"m":' || format('{:.2f}', m) || COALESCE(',"m_yoy":' || format('{:.1f}', m_yoy), '') || COALESCE(',"ytd":' || format('{:.2f}', ytd), '') || COALESCE(',"ytd_yoy":' || format('{:.1f}', ytd_yoy), '') || '}' AS line FROM obs""")
 def _(x):
-    path = scratch(x)
-    R.write_bundles(x.obs.join(x.catalog.select("series_id", "section"), "series_id"), path)
-    back = x.spark.read.json(path, schema="series_id string, period string, section string")
-    return back.groupBy("section", "series_id").agg(F.count("*").alias("n"), F.max("period").alias("last"))
-
-
-@query("write_series_canonical", "SELECT series_id, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period) AS place, '{\"period\":\"' || period || '\",\"span\":' || span AS head FROM obs")
-def _(x):
-    return R.canonical_lines(x.obs).select("series_id", F.col("place").cast("long").alias("place"), F.regexp_extract("line", r'^(\{"period":"[^"]*","span":[0-9]+)', 1).alias("head"))
+    """Every observation as its line, levels with two decimals and rates with one."""
+    fixed = x.obs.withColumns({c: F.col(c).cast(f"decimal(28,{d})") for c, d in (("m", 2), ("ytd", 2), ("m_yoy", 1), ("ytd_yoy", 1))})
+    return R.canonical_lines(fixed).select("series_id", F.col("place").cast("long").alias("place"), "line")
 
 
 @query("promote_staged", "SELECT series_id, COUNT(*) AS n, MAX(period) AS last FROM (SELECT series_id, period FROM old WHERE series_id NOT LIKE 'mkt-%' UNION ALL SELECT series_id, period FROM obs WHERE series_id LIKE 'mkt-%') GROUP BY 1")
@@ -114,10 +107,3 @@ def _(x):
     x.catalog.groupBy("section").agg(F.collect_list(F.struct("series_id", "name")).alias("series")).write.json(path)
     back = x.spark.read.json(path, schema="section string, series array<struct<series_id:string,name:string>>")
     return back.select("section", F.explode("series").alias("s")).groupBy("section").agg(F.count("*").alias("series"))
-
-
-@query("page_label_value_search", r"""WITH t AS (SELECT trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'), '<style[^>]*>.*?</style>', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS t FROM pages),
-  l AS (SELECT label, t, instr(t, label) AS place FROM t, (VALUES ('onth'), ('entr'), ('with')) v(label))
-  SELECT label, COUNT(*) AS pages, COUNT(*) FILTER (WHERE regexp_matches(substr(t, greatest(place - 220, 1), 540), '[0-9]')) AS with_number FROM l WHERE place > 0 GROUP BY 1""", pre=False)
-def _(x):
-    return E.labels_in_pages(x.table("pages").select("page_id", "html"), ("onth", "entr", "with"))

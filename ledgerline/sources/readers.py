@@ -59,9 +59,39 @@ def latest_captures(captures: DataFrame) -> DataFrame:
     return there.groupBy("indicator", "code").agg(F.max_by("value", "fetched").alias("value"), F.max("fetched").alias("fetched"))
 
 
-def write_bundles(bundles: DataFrame, path: str) -> None:
-    """One folder of JSON for each section, rows in order of series_id."""
-    bundles.repartition("section").sortWithinPartitions("section", "series_id").write.partitionBy("section").json(path)
+def aligned_arrays(rows: DataFrame) -> DataFrame:
+    """(series_id, periods, level, yoy, level_ytd, yoy_ytd): a series' published arrays, aligned to its periods.
+
+    Rows are (series_id, period, headline, both, blocked, m, ytd, m_yoy, ytd_yoy): the first two arrays are of the headline caliber, the
+    last two of the year to date where a series has `both`, else null. Rates in a window without rates are null.
+    """
+    cum, free = F.col("headline") == "ytd", ~F.col("blocked")
+    at = F.struct(
+        "period", F.when(cum, F.col("ytd")).otherwise(F.col("m")).alias("level"), F.when(free, F.when(cum, F.col("ytd_yoy")).otherwise(F.col("m_yoy"))).alias("yoy"),
+        F.col("ytd").alias("level_ytd"), F.when(free, F.col("ytd_yoy")).alias("yoy_ytd"),
+    )
+    one = rows.groupBy("series_id").agg(F.array_sort(F.collect_list(at)).alias("a"), F.max("both").alias("both"))
+    part = lambda c: F.transform("a", lambda r: r[c])
+    return one.select("series_id", part("period").alias("periods"), part("level").alias("level"), part("yoy").alias("yoy"), *(F.when(F.col("both"), part(c)).alias(c) for c in ("level_ytd", "yoy_ytd")))
+
+
+def bundle_documents(arrays: DataFrame, catalog: DataFrame, panel: DataFrame) -> DataFrame:
+    """(document, body): a document for each section with its series' arrays, one for the panel's, and the index of sections; all as JSON with nulls kept."""
+    text = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    own = arrays.join(catalog.select("series_id", "section", "tier", "name"), "series_id")
+    series = F.struct("tier", F.col("series_id").alias("id"), "name", "periods", "level", "yoy", "level_ytd", "yoy_ytd")
+    sections = own.groupBy("section").agg(F.array_sort(F.collect_list(series)).alias("series")).select(F.concat(F.lit("section/"), "section").alias("document"), text(F.struct("section", "series")).alias("body"))
+    last = F.element_at("periods", -1)
+    listed = own.groupBy("section").agg(F.count("*").alias("series"), F.max(last).alias("latest"))
+    index = listed.agg(text(F.struct(F.array_sort(F.collect_list(F.struct("section", "series", "latest"))).alias("sections")))).select(F.lit("index").alias("document"), F.col("*")).toDF("document", "body")
+    cells = panel.agg(text(F.struct(F.array_sort(F.collect_list(F.struct("entity", "metric", "periods", "values"))).alias("cells")))).select(F.lit("panel").alias("document"), F.col("*")).toDF("document", "body")
+    return sections.union(index).union(cells)
+
+
+#: What a reader takes from a document.
+SECTION = "section string, series array<struct<tier:int,id:string,name:string,periods:array<string>,level:array<double>,yoy:array<double>,level_ytd:array<double>,yoy_ytd:array<double>>>"
+INDEX = "sections array<struct<section:string,series:bigint,latest:string>>"
+PANEL = "cells array<struct<entity:bigint,metric:string,periods:array<string>,values:array<double>>>"
 
 
 def canonical_lines(rows: DataFrame) -> DataFrame:

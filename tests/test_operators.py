@@ -198,7 +198,7 @@ def test_a_release_rewrites_the_years_it_touches_and_logs_every_step(spark, tmp_
     for name, rows in (("s-1", first), ("s-2", again), ("s-2", again)):  # the second is repeated
         assert I.ingest(spark, spark.createDataFrame(rows, I.ROW), root, name)[0]
     assert {(r.series_id, r.period): r.value for r in I.newest(spark, root).collect()} == {("a", "2024-12"): 1.0, ("a", "2025-01"): 4.0, ("b", "2025-02"): 9.0}
-    assert sorted(p.name for p in (tmp_path / "cells" / "s-2").iterdir() if p.is_dir()) == ["year=2025"]
+    assert sorted(p.name for p in (tmp_path / "cells" / "s-2" / "part=all").iterdir() if p.is_dir()) == ["year=2025"]
     assert [tuple(r) for r in I.revisions(spark, root).orderBy("row_no").collect()] == [("s-2", "a", "2025-01", "m", 1, 2.0, 3.0), ("s-2", "a", "2025-01", "m", 2, 3.0, 4.0)]
 
 
