@@ -86,16 +86,16 @@ def renderings(value: Column) -> Column:
     """(scale, text) of every way in which a page may print a value: of each unit the longest first; negative values only with their sign or a word for it."""
 
     def general(v: Column) -> Column:
-        # Six significant digits, without zeros at the end; sizes beyond are never printed this way.
+        # Six significant digits, without zeros at the end; sizes beyond are printed in full only.
         size, text = F.abs(v), F.lit(None).cast("string")
         for digits, least in ((0, 1e5), (1, 1e4), (2, 1e3), (3, 1e2), (4, 10.0), (5, 1.0), (6, 0.1), (7, 0.01), (8, 1e-3), (9, 1e-4)):
-            text = F.coalesce(text, F.when(size >= least, F.format_string(f"%.{digits}f", v)))
+            text = F.coalesce(text, F.when(size >= least, _fixed(v, digits)))
         return F.when(v == 0, "0").when(size < 1e6, _bare(text))
 
     def some(v: Column) -> Column:
-        size, whole = F.abs(v), F.format_string("%.0f", F.rint(v))
-        fixed = [F.when(t.isin("", "0", "-0", "-"), None).otherwise(t) for t in (_bare(F.format_string("%.1f", v)), _bare(F.format_string("%.2f", v)))]
-        short = _bare(F.format_string("%.1f", size))
+        size, whole = F.abs(v), _fixed(v, 0)
+        fixed = [F.when(t.isin("", "0", "-0", "-"), None).otherwise(t) for t in (_bare(_fixed(v, 1)), _bare(_fixed(v, 2)))]
+        short = _bare(_fixed(size, 1))
         below = [F.concat(F.lit("下降"), general(size)), F.concat(F.lit("负"), general(size)), F.when(short != "0", F.concat(F.lit("下降"), short))]
         texts = F.array(general(v), *fixed, F.when((F.abs(v - F.rint(v)) < 1e-6) | (size >= 1000), whole), *(F.when(v < 0, x) for x in below))
         texts = F.array_distinct(F.array_compact(texts))
@@ -107,6 +107,11 @@ def renderings(value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(*(of_scale(*s) for s in SCALES)))
 
 
+def _fixed(v: Column, digits: int) -> Column:
+    """A number with so many decimals, rounded as it is in binary, halves to even."""
+    return F.replace(F.format_number(v, digits), F.lit(","), F.lit(""))
+
+
 def _bare(text: Column) -> Column:
     """A fixed-point number without zeros at its end."""
     return F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)

@@ -87,17 +87,18 @@ def _(x):
 
 
 def _bare_sql(v: str, digits: int) -> str:
-    return f"regexp_replace(CAST(ROUND(CAST({v} AS DECIMAL(28,10)), {digits}) AS VARCHAR), '\\.?0+$', '')" if digits else f"CAST(CAST(round_even({v}, 0) AS BIGINT) AS VARCHAR)"
+    return f"regexp_replace(format('{{:.{digits}f}}', {v}), '\\.?0+$', '')" if digits else f"format('{{:.0f}}', {v})"
 
 
 def _ways_sql(v: str) -> str:
-    """The texts in which a value may be printed, as the list of a DuckDB query; equal texts once, longest first."""
+    """The texts in which a value may be printed, as the list of a DuckDB query; equal texts once."""
     size = f"ABS({v})"
-    general = "CASE " + f"WHEN {v} = 0 THEN '0' WHEN {size} >= 1000000 THEN NULL " + " ".join(f"WHEN {size} >= {least} THEN {_bare_sql('{0}', d) if d else 'CAST(CAST(ROUND({0}) AS BIGINT) AS VARCHAR)'}" for d, least in ((0, 100000), (1, 10000), (2, 1000), (3, 100), (4, 10), (5, 1), (6, 0.1), (7, 0.01), (8, 0.001), (9, 0.0001))) + " END"
+    bounds = ((0, 100000), (1, 10000), (2, 1000), (3, 100), (4, 10), (5, 1), (6, 0.1), (7, 0.01), (8, 0.001), (9, 0.0001))
+    general = lambda w: f"CASE WHEN {w} = 0 THEN '0' WHEN {size} >= 1000000 THEN NULL " + " ".join(f"WHEN {size} >= {least} THEN {_bare_sql(w, d)}" for d, least in bounds) + " END"
     fixed = [f"CASE WHEN {_bare_sql(v, d)} NOT IN ('', '0', '-0', '-') THEN {_bare_sql(v, d)} END" for d in (1, 2)]
     whole = f"CASE WHEN ABS({v} - round_even({v}, 0)) < 0.000001 OR {size} >= 1000 THEN {_bare_sql(v, 0)} END"
-    low = [f"'下降' || {general.format(size)}", f"'负' || {general.format(size)}", f"CASE WHEN {_bare_sql(size, 1)} <> '0' THEN '下降' || {_bare_sql(size, 1)} END"]
-    each = ", ".join([general.format(v), *fixed, whole, *(f"CASE WHEN {v} < 0 THEN {x} END" for x in low)])
+    low = [f"'下降' || {general(size)}", f"'负' || {general(size)}", f"CASE WHEN {_bare_sql(size, 1)} <> '0' THEN '下降' || {_bare_sql(size, 1)} END"]
+    each = ", ".join([general(v), *fixed, whole, *(f"CASE WHEN {v} < 0 THEN {x} END" for x in low)])
     return f"list_filter(list_distinct([{each}]), lambda w: w IS NOT NULL)"
 
 
