@@ -373,8 +373,8 @@ def all_checks(now: DataFrame, rows: DataFrame, before: DataFrame, log: DataFram
     """
     kinds = c.catalog.select("series_id", "value_type")
     after, touched = held(wide(now).join(kinds, "series_id", "left")), held(rows.select("series_id", "period").distinct())
-    stored = before.groupBy("series_id").agg(F.max("period").alias("period"))
-    new = after.join(touched, ["series_id", "period"], "left_semi")
+    stored = held(before.groupBy("series_id").agg(F.max("period").alias("period")))
+    new = held(after.join(touched, ["series_id", "period"], "left_semi"))
     only = lambda found: found.join(touched, ["series_id", "period"], "left_semi").select(*FINDING)
     places = after.withColumn("place", F.row_number().over(Window.partitionBy("series_id").orderBy("period")))
     rates = after.where("m_yoy IS NOT NULL").where(~F.col("period").isin(*c.shocks) if c.shocks else F.lit(True))
@@ -411,10 +411,10 @@ def all_checks(now: DataFrame, rows: DataFrame, before: DataFrame, log: DataFram
     if c.ended is not None:
         problems = B.link_problems(c.breaks, c.ended)
         found.append(problems.join(touched.select("series_id").distinct(), "series_id", "left_semi").select(F.lit("break_link").alias("check_id"), "severity", "series_id", F.col("other").alias("period")))
-    every = found[0].select(*FINDING)
-    for part in found[1:]:
-        every = every.union(part.select(*FINDING))
-    return acknowledged(every, c.known)
+    parts = [f.select(*FINDING) for f in found]
+    while len(parts) > 1:  # in pairs, as each union is analysed anew
+        parts = [a.union(b) for a, b in zip(parts[::2], parts[1::2], strict=False)] + parts[len(parts) // 2 * 2 :]
+    return acknowledged(parts[0], c.known)
 
 
 def verdict(found: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ CHOSEN = (
     "fn_period_steps", "fn_release_windows", "fn_titles", "fn_number_tests", "fn_number_text", "fn_ticks", "fn_text_signs", "fn_provenance", "audit_determinism", "audit_derived", "audit_archive_sample",
     "smoke_sample_compare", "stage_identity_replay", "gate_break_link", "page_label_value_search", "dataset_fingerprint", "link_select",
     "gate_schema_lines", "gate_release_identity", "gate_catalog", "audit_headline_numbers", "audit_derived_rules", "section_bundle", "city_rows",
+    "pages_for_src", "break_windows_swept", "break_rows_within", "merkle_diff", "merkle_ranges", "sampling_strata", "sample_smallest", "extract_prose_stats", "nearest_marker_caliber", "city_table_extract",
+    "write_bundles", "write_series_canonical", "gate_break_no_yoy", "gate_release_window", "audit_freshness",
 )
 
 
