@@ -180,3 +180,15 @@ def label_hits(labels: DataFrame, names: DataFrame, name: str, width: int = 4) -
     keys = F.array_distinct(F.concat(*(F.coalesce(grams(k), F.array().cast("array<string>")) for k in range(1, width + 1))))
     keyed = labels.where("label <> ''").withColumn("_w", F.substring("label", 1, width))
     return names.withColumn("_w", F.explode(keys)).join(keyed, "_w").where(F.contains(text, F.col("label"))).drop("_w")
+
+
+def candidates(series: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
+    """(series_id, key, by, extra): for each series (series_id, source_id, label) what may be its source among names.
+
+    The one that its own source id names, where it is on file; else all whose name holds its label, with how much longer they are.
+    """
+    known = names.select(F.col(key), F.col(name))
+    direct = series.join(known.withColumn("source_id", F.col(key)), "source_id").select("series_id", key, F.lit("id").alias("by"), F.lit(0).alias("extra"))
+    rest = series.join(direct.select("series_id"), "series_id", "left_anti").select("series_id", "label")
+    hits = label_hits(rest, known, name)
+    return direct.union(hits.select("series_id", key, F.lit("label").alias("by"), (F.length(name) - F.length("label")).alias("extra")))

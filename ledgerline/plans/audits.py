@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerline.operators import audit as A
+from ledgerline.operators import breaks as B
 from ledgerline.operators import merge as G
 from ledgerline.operators import reduce as R
 from ledgerline.operators import series as S
@@ -10,6 +11,7 @@ from ledgerline.plans.publishing import LAST, SENTENCE_SQL, entries, said
 from ledgerline.plans.registry import query
 from ledgerline.plans.sql import BLOCKED, SEAM
 from ledgerline.plans.windows import PRIOR, rates
+from ledgerline.sources.readers import aligned_arrays
 
 
 @query("audit_bundle_source", """+ pub AS (SELECT series_id, CASE WHEN series_id = 'nat-8' THEN 'market' ELSE section END AS section FROM catalog WHERE series_id <> 'nat-9' UNION ALL SELECT 'nat-2', 'nation' UNION ALL SELECT 'ghost', 'nation'),
@@ -22,16 +24,21 @@ def _(x):
     return A.sources(c.where("series_id <> 'nat-6'"), published, c)
 
 
-@query("audit_latest_anchor", """+ t AS (SELECT series_id, MAX(period) AS p FROM obs GROUP BY 1), f AS (SELECT series_id, p, unnest(['latest', 'yoy_series', 'level_series', 'freshness']) AS field FROM t),
-  b AS (SELECT *, CASE WHEN field = 'latest' AND series_id LIKE 'nat-1%' THEN '2001-01' WHEN field = 'yoy_series' AND series_id LIKE 'mkt-%' THEN NULL WHEN field = 'freshness' AND series_id = 'nat-5' THEN '2001-02' ELSE p END AS period FROM f)
+@query("audit_latest_anchor", """+ t AS (SELECT series_id, MAX(period) AS p, MAX(period) FILTER (WHERE period <= '2001-01') AS early, MAX(period) FILTER (WHERE period <= '2001-02') AS late FROM obs GROUP BY 1), f AS (SELECT t.*, unnest(['latest', 'yoy_series', 'level_series', 'freshness']) AS field FROM t),
+  b AS (SELECT *, CASE WHEN field = 'latest' AND series_id LIKE 'nat-1%' THEN early WHEN field = 'yoy_series' AND series_id LIKE 'mkt-%' THEN NULL WHEN field = 'freshness' AND series_id = 'nat-5' THEN late ELSE p END AS period FROM f)
   SELECT 'latest_anchor.' || field AS check_id, 'block' AS status, series_id, period FROM b WHERE period IS DISTINCT FROM p""")
 def _(x):
-    """All ends of what is published; some nations lag in one of them, the segments' rates are empty."""
-    fields = F.explode(F.array(*map(F.lit, ("latest", "yoy_series", "level_series", "freshness")))).alias("field")
-    last = x.obs.groupBy("series_id").agg(F.max("period").alias("period")).select("series_id", "period", fields)
-    late = F.when((F.col("field") == "latest") & F.col("series_id").like("nat-1%"), "2001-01").when((F.col("field") == "freshness") & (F.col("series_id") == "nat-5"), "2001-02")
-    empty = (F.col("field") == "yoy_series") & F.col("series_id").like("mkt-%")
-    return A.latest_anchor(last.withColumn("period", F.when(~empty, F.coalesce(late, "period"))), x.obs)
+    """The ends of published arrays, and what the record and the index say of them; some nations lag in one of them, the segments' rates are empty."""
+    kinds = x.catalog.select("series_id", "headline", (F.col("tier") < 3).alias("both"))
+    arrays = aligned_arrays(B.blocked(x.obs, x.breaks).join(kinds, "series_id"))
+    upto = lambda last: F.filter("periods", lambda p: p <= last)
+    segment = F.col("series_id").like("mkt-%")
+    ends = {
+        "latest": F.when(F.col("series_id").like("nat-1%"), upto("2001-01")).otherwise(F.col("periods")), "yoy_series": F.transform(F.slice("yoy", 1, F.when(segment, 0).otherwise(F.size("yoy"))), lambda _, i: F.get("periods", i)),
+        "level_series": F.transform("level", lambda _, i: F.get("periods", i)), "freshness": F.when(F.col("series_id") == "nat-5", upto("2001-02")).otherwise(F.col("periods")),
+    }
+    tails = arrays.select("series_id", F.inline(F.array(*(F.struct(F.lit(k).alias("field"), F.try_element_at(v, F.lit(-1)).alias("period")) for k, v in ends.items()))))
+    return A.latest_anchor(tails, x.obs)
 
 
 @query("audit_yoy_break_nulls", f"""+ b AS (SELECT series_id, period, m_yoy AS y, lag(period) OVER w AS prev, lag(m_yoy) OVER w AS yp FROM obs WINDOW w AS (PARTITION BY series_id ORDER BY period)) SELECT 'yoy_break_nulls' AS check_id, 'block' AS status, series_id, period FROM obs o WHERE m_yoy IS NOT NULL AND {BLOCKED.format(a='o', p='period')}

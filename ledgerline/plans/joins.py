@@ -163,14 +163,21 @@ def _(x):
 
 @query(
     "candidate_match",
-    """+ labels AS (SELECT DISTINCT substr(split_part(p_name, ' ', 2), 2) AS label FROM part WHERE length(split_part(p_name, ' ', 2)) > 1),
-    hits AS (SELECT l.label, n.p_partkey, length(n.p_name) - length(l.label) AS extra FROM labels l JOIN part n ON contains(n.p_name, l.label))
-    SELECT label, COUNT(*) AS n, arg_min(p_partkey, (extra, p_partkey)) AS best FROM hits GROUP BY 1""",
+    """+ srs AS (SELECT p_partkey AS series_id, CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 1 WHEN p_partkey % 7 = 0 THEN -1 END AS source_id, substr(split_part(p_name, ' ', 2), 2) AS label FROM part),
+    direct AS (SELECT s.series_id, n.p_partkey, 'id' AS way, 0 AS extra FROM srs s JOIN part n ON n.p_partkey = s.source_id),
+    lbl AS (SELECT DISTINCT label FROM srs WHERE series_id NOT IN (SELECT series_id FROM direct) AND label <> ''), hits AS (SELECT l.label, n.p_partkey, length(n.p_name) - length(l.label) AS extra FROM lbl l JOIN part n ON contains(n.p_name, l.label)),
+    best AS (SELECT label, COUNT(*) AS n, arg_min(p_partkey, (extra, p_partkey)) AS best FROM hits GROUP BY 1)
+    SELECT series_id, way, 1 AS n, p_partkey AS best FROM direct UNION ALL SELECT s.series_id, 'label', b.n, b.best FROM srs s JOIN best b USING (label) WHERE s.series_id NOT IN (SELECT series_id FROM direct)""",
 )
 def _(x):
-    """Words without their first letter, found within names."""
-    names = x.table("part").select("p_partkey", "p_name")
-    word = F.split_part("p_name", F.lit(" "), F.lit(2))
-    labels = x.table("part").where(F.length(word) > 1).select(F.expr("substr(split_part(p_name, ' ', 2), 2)").alias("label")).distinct()
-    hits = G.label_hits(labels, names, "p_name").withColumn("extra", F.length("p_name") - F.length("label"))
-    return hits.groupBy("label").agg(F.count("*").alias("n"), F.min_by("p_partkey", F.struct("extra", "p_partkey")).alias("best"))
+    """Parts as series: some name their source, of which a few aren't on file; the others are found by a word without its first letter."""
+    part, key = x.table("part"), F.col("p_partkey")
+    source = F.when(key % 3 == 0, key + 1).when(key % 7 == 0, -1)
+    series = part.select(key.alias("series_id"), source.alias("source_id"), F.expr("substr(split_part(p_name, ' ', 2), 2)").alias("label"))
+    names = part.select("p_partkey", "p_name")
+    # Series of one label have the same candidates: labels are looked up once each.
+    direct = G.candidates(series.withColumn("label", F.lit("")), names, "p_partkey", "p_name").select("series_id", F.col("by").alias("way"), F.lit(1).cast("long").alias("n"), F.col("p_partkey").alias("best"))
+    rest = series.join(direct, "series_id", "left_anti")
+    each = G.candidates(rest.select(F.col("label").alias("series_id"), F.lit(None).cast("long").alias("source_id"), "label").distinct(), names, "p_partkey", "p_name")
+    best = each.groupBy(F.col("series_id").alias("label")).agg(F.count("*").alias("n"), F.min_by("p_partkey", F.struct("extra", "p_partkey")).alias("best"))
+    return direct.union(rest.join(best, "label").select("series_id", F.lit("label").alias("way"), "n", "best"))
