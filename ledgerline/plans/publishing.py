@@ -32,10 +32,13 @@ SENTENCE_SQL = LAST + STREAK_SQL + f""", s0 AS (SELECT e.*, CAST(substr(e.period
 ENTRY_SQL = SENTENCE_SQL + """, n AS (SELECT o.series_id, COUNT(*) AS points, MIN(o.period) AS since FROM obs o GROUP BY 1),
   sp AS (SELECT series_id, period, y, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period DESC) AS k FROM pair), spark AS (SELECT series_id, string_agg(COALESCE(format('{:.1f}', y), '-'), ',' ORDER BY period) AS spark, MIN(period) AS spark_from FROM sp WHERE k <= 24 GROUP BY 1),
   mk AS (SELECT series_id, string_agg(effective || ':' || kind, ',' ORDER BY effective) AS annotations FROM breaks GROUP BY 1),
+  lv AS (SELECT series_id, string_agg(COALESCE(format('{:.2f}', CASE WHEN headline = 'ytd' THEN ytd ELSE m END), '-'), ',' ORDER BY period) AS levels, CASE WHEN ANY_VALUE(tier) < 3 THEN string_agg(format('{:.2f}', ytd), ',' ORDER BY period) END AS levels_ytd, CASE WHEN ANY_VALUE(tier) < 3 THEN string_agg(COALESCE(format('{:.1f}', CASE WHEN NOT blk THEN ytd_yoy END), '-'), ',' ORDER BY period) END AS spark_ytd
+    FROM (SELECT o.*, c.headline, c.tier, """ + BLOCKED.format(a="o", p="period") + """ AS blk, ROW_NUMBER() OVER (PARTITION BY o.series_id ORDER BY o.period DESC) AS k FROM obs o JOIN catalog c USING (series_id)) WHERE k <= 24 GROUP BY 1),
   rv AS (SELECT o.series_id, COUNT(*) AS revisions FROM long_obs o JOIN long_old p USING (series_id, period, measure) WHERE ABS(o.value - p.value) >= 1e-9 GROUP BY 1)
   SELECT e.series_id, section, tier, name, e.period, value, y, prev, yp, ROUND(y - yp, 6) AS delta, CASE WHEN ROUND(y - yp, 6) > 0 THEN 'up' WHEN ROUND(y - yp, 6) < 0 THEN 'down' WHEN y - yp IS NOT NULL THEN 'flat' END AS direction, span = 2 AS merged, points, since,
-    COALESCE(said.kind, 'none') AS streak_kind, COALESCE(run, 0) AS streak, sentence, spark, spark_from, COALESCE(annotations, '') AS annotations, COALESCE(revisions, 0) AS revisions
-  FROM e JOIN n USING (series_id) JOIN spark USING (series_id) LEFT JOIN said USING (series_id) LEFT JOIN mk USING (series_id) LEFT JOIN rv USING (series_id)"""
+    COALESCE(said.kind, 'none') AS streak_kind, COALESCE(run, 0) AS streak, sentence, spark, spark_from, COALESCE(annotations, '') AS annotations, COALESCE(revisions, 0) AS revisions, levels, levels_ytd, spark_ytd,
+    concat_ws(',', CASE WHEN span = 2 THEN 'jan_feb' END, CASE WHEN EXISTS (SELECT 1 FROM breaks k WHERE k.series_id = e.series_id AND (2001 * 12 + 8) - (CAST(substr(k.effective, 1, 4) AS INT) * 12 + CAST(substr(k.effective, 6, 2) AS INT)) BETWEEN 0 AND 12) THEN 'break_recent' END) AS flags
+  FROM e JOIN n USING (series_id) JOIN spark USING (series_id) JOIN lv USING (series_id) LEFT JOIN said USING (series_id) LEFT JOIN mk USING (series_id) LEFT JOIN rv USING (series_id)"""
 
 
 def entries(x):
@@ -66,22 +69,28 @@ def said(x, rows):
 
 @query("bundle_entry", ENTRY_SQL)
 def bundle_entry(x):
-    """The published record of every series: latest and previous, streak and sentence, the last 24 rates, breaks and revisions."""
+    """The published record of every series: latest and previous, streak and sentence, its last 24 levels and rates, those of the year to date where it has both, flags, breaks and revisions."""
     rows = x.held(rates(x))
     d = F.round(F.col("y") - F.col("yp"), 6)
     points = x.obs.groupBy("series_id").agg(F.count("*").alias("points"), F.min("period").alias("since"))
     last = rows.withColumn("_k", F.row_number().over(Window.partitionBy("series_id").orderBy(F.desc("period")))).where("_k <= 24")
-    marks = F.transform(F.array_sort(F.collect_list(F.struct("period", "y"))), lambda r: F.when(r["y"].isNull(), "-").otherwise(F.format_string("%.1f", r["y"])))
-    spark = last.groupBy("series_id").agg(F.array_join(marks, ",").alias("spark"), F.min("period").alias("spark_from"))
+    level = F.when(F.col("headline") == "ytd", F.col("ytd")).otherwise(F.col("m"))
+    kept = F.array_sort(F.collect_list(F.struct("period", "y", level.alias("level"), "ytd", F.when(~F.col("blocked"), F.col("ytd_yoy")).alias("ytd_yoy"))))
+    text = lambda c, digits: F.array_join(F.transform("a", lambda r: F.when(r[c].isNull(), "-").otherwise(F.format_string(f"%.{digits}f", r[c]))), ",")
+    arrays = last.groupBy("series_id").agg(kept.alias("a"), F.min("period").alias("spark_from"))
+    spark = arrays.select("series_id", "spark_from", text("y", 1).alias("spark"), text("level", 2).alias("levels"), text("ytd", 2).alias("levels_ytd"), text("ytd_yoy", 1).alias("spark_ytd"))
+    recent = U.break_recent(x.breaks, "2001-08-01").withColumn("recent", F.lit(True))
     notes = x.breaks.groupBy("series_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "effective", "kind"))), ",").alias("annotations"))
     before = x.long(x.old).withColumnRenamed("value", "_was")
     revised = x.long(x.obs).join(before, ["series_id", "period", "span", "measure"]).where("abs(value - _was) >= 1e-9").groupBy("series_id").agg(F.count("*").alias("revisions"))
-    out = said(x, rows).join(points, "series_id").join(spark, "series_id").join(notes, "series_id", "left").join(revised, "series_id", "left")
+    out = said(x, rows).join(points, "series_id").join(spark, "series_id").join(notes, "series_id", "left").join(revised, "series_id", "left").join(recent, "series_id", "left")
+    both = F.col("tier") < 3
     return out.select(
         "series_id", "section", "tier", "name", "period", "value", "y", "prev", "yp", d.alias("delta"),
         F.when(d > 0, "up").when(d < 0, "down").when(d == 0, "flat").alias("direction"), (F.col("span") == 2).alias("merged"), "points", "since",
         F.when(F.col("y").isNull(), "none").otherwise(F.col("kind")).alias("streak_kind"), F.when(F.col("y").isNull(), 0).otherwise(F.col("run")).cast("long").alias("streak"), "sentence", "spark", "spark_from",
         F.coalesce("annotations", F.lit("")).alias("annotations"), F.coalesce("revisions", F.lit(0)).cast("long").alias("revisions"),
+        "levels", F.when(both, F.col("levels_ytd")).alias("levels_ytd"), F.when(both, F.col("spark_ytd")).alias("spark_ytd"), F.concat_ws(",", F.when(F.col("span") == 2, "jan_feb"), F.when(F.col("recent"), "break_recent")).alias("flags"),
     )
 
 
