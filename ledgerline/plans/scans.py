@@ -45,12 +45,21 @@ def _(x):
     return rows.groupBy("series_id").agg(F.count("*").alias("n")).union(skipped.groupBy(F.lit("skipped")).agg(F.count("*")))
 
 
-@query("pivot_wide_records", "SELECT period, 'mkt-BUILDING' AS series_id, SUM(CASE WHEN seg = 'BUILDING' THEN v END)::DOUBLE AS m FROM cells GROUP BY 1 HAVING SUM(CASE WHEN seg = 'BUILDING' THEN v END) IS NOT NULL UNION ALL SELECT period, 'mkt-MACHINERY', SUM(CASE WHEN seg = 'MACHINERY' THEN v END)::DOUBLE FROM cells GROUP BY 1 HAVING SUM(CASE WHEN seg = 'MACHINERY' THEN v END) IS NOT NULL")
+@query("pivot_wide_records", """+ r AS (SELECT period, CASE WHEN period LIKE '%-02' AND period >= '1998' THEN 'jan_feb' ELSE 'month' END AS g, seg, SUM(v)::DOUBLE AS v, SUM(n)::DOUBLE AS n FROM cells GROUP BY 1, 2, 3)
+  SELECT 'mkt-' || seg AS series_id, period, CASE WHEN g = 'jan_feb' AND seg <> 'HOUSEHOLD' THEN 'ytd' ELSE 'm' END AS measure, v AS value FROM r UNION ALL SELECT 'cnt-' || seg, period, 'm', n FROM r WHERE seg IN ('BUILDING', 'MACHINERY')""")
 def _(x):
-    """Records with a map of metrics become a row for each series that the map table names."""
-    records = x.cells.groupBy("period", "seg").agg(F.sum("v").cast("double").alias("v")).groupBy("period").agg(F.map_from_entries(F.collect_list(F.struct("seg", "v"))).alias("metrics"))
-    names = x.rows([("BUILDING", "mkt-BUILDING"), ("MACHINERY", "mkt-MACHINERY")], "metric string, series_id string")
-    return records.select("period", F.explode("metrics").alias("metric", "m")).join(names, "metric").select("period", "series_id", "m")
+    """Records of a month with a map of all metrics, sums and counts of every segment; merged prints give sums as the year so far, but for one segment; three counts have no series."""
+    group = F.when(F.col("period").like("%-02") & (F.col("period") >= "1998"), "jan_feb").otherwise("month")
+    sums = x.cells.groupBy("period", "seg").agg(F.sum("v").cast("double").alias("v"), F.sum("n").cast("double").alias("n"))
+    pairs = sums.select("period", F.explode(F.array(F.struct(F.concat(F.col("seg"), F.lit("_value")).alias("k"), F.col("v").alias("v")), F.struct(F.concat(F.col("seg"), F.lit("_count")).alias("k"), F.col("n").alias("v")))).alias("e"))
+    records = pairs.groupBy("period").agg(F.map_from_entries(F.collect_list("e")).alias("metrics")).select("period", group.alias("group"), "metrics")
+    segments = x.catalog.where("section = 'market'").select("name")
+    value, series = F.concat("name", F.lit("_value")), F.concat(F.lit("mkt-"), "name")
+    none = F.lit(None).cast("string")
+    fields = segments.select(value.alias("metric"), none.alias("group"), series.alias("series_id"), F.lit("m").alias("measure"))
+    fields = fields.union(segments.where("name <> 'HOUSEHOLD'").select(value, F.lit("jan_feb"), series, F.lit("ytd")))
+    fields = fields.union(segments.where("name IN ('BUILDING', 'MACHINERY')").select(F.concat("name", F.lit("_count")), none, F.concat(F.lit("cnt-"), "name"), F.lit("m")))
+    return R.pivot_wide(records, fields)
 
 
 @query("panel_explode", "SELECT entity::VARCHAR AS entity, metric, period, m AS value FROM panel")

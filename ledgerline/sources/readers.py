@@ -36,6 +36,19 @@ def flatten_observations(docs: DataFrame) -> DataFrame:
     return rows.select("series_id", "place", F.col("o")["period"].alias("period"), F.coalesce(F.col("o")["span"].try_cast("int"), F.lit(1)).alias("span"), *numbers, present.alias("present"))
 
 
+def pivot_wide(records: DataFrame, fields: DataFrame) -> DataFrame:
+    """(series_id, period, measure, value) of wide records (period, group, metrics: map of names to numbers).
+
+    `fields` is (metric, group, series_id, measure): what a name stands for in records of a group, or of any where the group is
+    null; a group's own line goes first, so that it may give a name another caliber. Names without a line are left out.
+    """
+    rows = records.select("period", "group", F.explode("metrics").alias("metric", "value")).where("value IS NOT NULL")
+    own = fields.where("group IS NOT NULL").select("metric", "group", F.col("series_id").alias("_s1"), F.col("measure").alias("_m1"))
+    every = fields.where("group IS NULL").select("metric", F.col("series_id").alias("_s2"), F.col("measure").alias("_m2"))
+    both = rows.join(F.broadcast(own), ["metric", "group"], "left").join(F.broadcast(every), "metric", "left")
+    return both.select(F.coalesce("_s1", "_s2").alias("series_id"), "period", F.coalesce("_m1", "_m2").alias("measure"), "value").where("series_id IS NOT NULL")
+
+
 def explode_panel(panels: DataFrame) -> DataFrame:
     """Long cells from panels (id, periods, cells: entity -> metric -> measure -> values aligned to periods)."""
     rows = panels.select("id", "periods", F.explode("cells").alias("entity", "_m")).select("id", "periods", "entity", F.explode("_m").alias("metric", "_v")).select("id", "periods", "entity", "metric", F.explode("_v").alias("measure", "_a"))
