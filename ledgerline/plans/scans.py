@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ledgerline.functions import periods as P
-from ledgerline.functions import text as X
 from ledgerline.plans.registry import query
 from ledgerline.sources import readers as R
 
@@ -92,9 +91,16 @@ def _(x):
     return x.captures.select(F.explode(codes).alias("code")).distinct().select("code", P.decode_code("code").alias("period"))
 
 
-@query("scan_html_captures", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'), '<style[^>]*>.*?</style>', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM pages""", pre=False)
+@query("scan_html_captures", r"""WITH t AS (SELECT page_id, page_id % 5 AS k, url, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>', ' ', 'gsi'), '<style[^>]*>.*?</style>', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM pages)
+  SELECT page_id, CASE WHEN k = 2 THEN '{"n":' || page_id || ',"url":"' || url || '"}' ELSE text END AS text FROM t WHERE k < 3 AND text <> ''""", pre=False)
 def _(x):
-    return x.table("pages").select("page_id", X.strip_html(F.col("html")).alias("text"))
+    """Pages as files: as they are, in a JSON envelope, with an object as payload, cut off, and of another kind."""
+    k, html = F.col("page_id") % 5, F.col("html")
+    wrapped = F.to_json(F.struct(html.alias("payload"), F.lit("x").alias("source")))
+    bare = F.to_json(F.struct(F.struct(F.col("page_id").alias("n"), "url").alias("payload")))
+    raw = F.when(k == 1, wrapped).when(k == 2, bare).when(k == 3, F.concat(F.lit('{"payload": "'), F.col("url"))).otherwise(html)
+    name = F.concat(F.col("page_id").cast("string"), F.when(k == 0, ".html").when(k == 4, ".pdf").otherwise(".json"))
+    return R.capture_texts(x.table("pages").select("page_id", name.alias("name"), raw.alias("raw"))).select("page_id", "text")
 
 
 @query("write_series_canonical", """SELECT series_id, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY period) AS place, '{"period":"' || period || '","span":' || span || ',"m":' || format('{:.2f}', m) || COALESCE(',"m_yoy":' || format('{:.1f}', m_yoy), '') || COALESCE(',"ytd":' || format('{:.2f}', ytd), '') || COALESCE(',"ytd_yoy":' || format('{:.1f}', ytd_yoy), '') || '}' AS line FROM obs""")

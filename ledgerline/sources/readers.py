@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.text import strip_html
+
 MEASURES = ("m", "m_yoy", "ytd", "ytd_yoy", "mom", "real_yoy")
 SERIES_SCHEMA = (
     "schema string, id string, name_zh string, name_en string, unit_zh string, value_type string, freq string, calibers array<string>, decimals int, generated_at string, "
@@ -36,6 +38,18 @@ def flatten_observations(docs: DataFrame) -> DataFrame:
     return rows.select("series_id", "place", F.col("o")["period"].alias("period"), F.coalesce(F.col("o")["span"].try_cast("int"), F.lit(1)).alias("span"), *numbers, present.alias("present"))
 
 
+def capture_texts(captures: DataFrame) -> DataFrame:
+    """Captures (name, raw, ...) with `text`, what a reader sees: pages without markup; of JSON files the text of their payload, be it a page or an
+    object, or of the whole document if they have none. Files of other kinds, JSON that can't be read, and captures without text are left out.
+    """
+    doc = F.try_parse_json("raw")
+    payload = F.try_variant_get(doc, "$.payload", "variant")
+    kind = F.schema_of_variant(payload)
+    inner = F.when(kind == "STRING", F.try_variant_get(doc, "$.payload", "string")).when(kind.startswith("OBJECT"), F.to_json(payload)).otherwise(F.to_json(doc))
+    text = F.when(F.lower("name").rlike(r"\.html?$"), strip_html(F.col("raw"))).when(F.lower("name").endswith(".json"), strip_html(inner))
+    return captures.withColumn("text", text).where("text <> ''")
+
+
 def pivot_wide(records: DataFrame, fields: DataFrame) -> DataFrame:
     """(series_id, period, measure, value) of wide records (period, group, metrics: map of names to numbers).
 
