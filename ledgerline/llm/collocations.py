@@ -48,7 +48,7 @@ ARCS = "slice long, range int, states binary, runs binary, labels binary, suffix
 
 
 def _arcs(slice_: int, state: np.ndarray, label: np.ndarray, suffix: np.ndarray | None, count: np.ndarray, before: np.ndarray, weight: np.ndarray, all_: int, ranges: int) -> list[tuple]:
-    """A slice's arcs, sorted by state and label, in a row for each range; `before` and `weight` are the states'. Without suffixes the label is the suffix."""
+    """A slice's arcs, given by ascending state, in a row for each range; `before` and `weight` are the states'. Without suffixes the label is the suffix."""
     spread = mixed(label.astype(np.uint64)).astype(np.float64) / 2.0**64
     at = np.minimum((before + weight * spread) * (ranges / max(1, all_)), ranges - 1).astype(np.int64)
     order = np.argsort(at.astype(np.uint16) if ranges <= 1 << 16 else at, kind="stable")
@@ -134,11 +134,13 @@ def _longer(ranges: int):
             _, words, there = _words(row)
             of = lambda name: np.concatenate([np.frombuffer(p[name], np.int32) for p in row["arcs"]]).astype(np.int64)  # noqa: B023, E731
             arcs = of("states") << 32 | of("labels")
-            order = np.argsort(arcs)
             ordinal = np.concatenate([np.frombuffer(p["ordinals"], np.int32).astype(np.int64) + p["base"] for p in row["arcs"]])
+            # States stand by their ordinals, which is not the order of their words: a range's labels and runs have to go by the same.
+            order = np.argsort(ordinal)
             arcs, ordinal, (before, weight) = arcs[order], ordinal[order], (x[order] for x in V.unplaced(row["arcs"]))
+            by = np.argsort(arcs)
             key = words[there] << 32 | words[there + 1]
-            at = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
+            at = by[np.minimum(np.searchsorted(arcs, key, sorter=by), len(arcs) - 1)]
             state = np.full(len(words), -1)
             hit = arcs[at] == key
             state[there[hit]] = at[hit]

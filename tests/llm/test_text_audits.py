@@ -170,6 +170,14 @@ def test_collocations(spark, monkeypatch, slice_bytes):
     assert got == phrases(rows) and len(got) > 100
 
 
+def test_collocations_of_few_words_over_many_ranges(spark):
+    """A frequent word's pairs are spread over ranges by their second words, so that their ordinals don't ascend with those words."""
+    r = random.Random(1)
+    rows = [(k, " ".join(f"w{r.randrange(10)}" for _ in range(r.randrange(120))), r.choice(("en", "de", None))) for k in range(600)]
+    got = set(map(tuple, collocations.collocations(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)).collect()))
+    assert got == phrases(rows)
+
+
 def test_collocations_over_documents(spark):
     rows = [(r[0], r[1], r[2]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()]
     assert set(map(tuple, QUERIES["op13_collocations"](spark, SMALL).collect())) == phrases(rows)
