@@ -174,12 +174,21 @@ def resolve_parameter(rows: DataFrame, own: DataFrame, kinds: DataFrame, kind_ke
 
 
 def label_hits(labels: DataFrame, names: DataFrame, name: str, width: int = 4) -> DataFrame:
-    """Labels anywhere within names: an equi-join on the label's first `width` characters (all, if it has fewer), then the whole label; empty labels meet nothing."""
+    """Labels anywhere within names: an equi-join on the label's first `width` characters (all, if it has fewer), then the whole label; empty labels meet nothing.
+
+    Equal names are looked through once. The names' stretches are many times their size, which the optimiser doesn't know, so they are merged and never sent whole.
+    """
     text = F.col(name)
     grams = lambda k: F.when(F.length(text) >= k, F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substring(text, i, F.lit(k))))
     keys = F.array_distinct(F.concat(*(F.coalesce(grams(k), F.array().cast("array<string>")) for k in range(1, width + 1))))
     keyed = labels.where("label <> ''").withColumn("_w", F.substring("label", 1, width))
-    return names.withColumn("_w", F.explode(keys)).join(keyed, "_w").where(F.contains(text, F.col("label"))).drop("_w")
+    met = names.select(name).distinct().withColumn("_w", F.explode(keys)).join(keyed.hint("merge"), "_w").where(F.contains(text, F.col("label"))).drop("_w")
+    return names.join(met, name)
+
+
+def by_source(series: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """(series_id, key, by, extra): the source that each series' own source id names, where it is on file."""
+    return series.join(names.select(F.col(key).alias("source_id"), F.col(key)), "source_id").select("series_id", key, F.lit("id").alias("by"), F.lit(0).alias("extra"))
 
 
 def candidates(series: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
@@ -187,8 +196,7 @@ def candidates(series: DataFrame, names: DataFrame, key: str, name: str) -> Data
 
     The one that its own source id names, where it is on file; else all whose name holds its label, with how much longer they are.
     """
-    known = names.select(F.col(key), F.col(name))
-    direct = series.join(known.withColumn("source_id", F.col(key)), "source_id").select("series_id", key, F.lit("id").alias("by"), F.lit(0).alias("extra"))
+    known, direct = names.select(F.col(key), F.col(name)), by_source(series, names, key)
     rest = series.join(direct.select("series_id"), "series_id", "left_anti").select("series_id", "label")
     hits = label_hits(rest, known, name)
     return direct.union(hits.select("series_id", key, F.lit("label").alias("by"), (F.length(name) - F.length("label")).alias("extra")))

@@ -175,9 +175,11 @@ def _(x):
     source = F.when(key % 3 == 0, key + 1).when(key % 7 == 0, -1)
     series = part.select(key.alias("series_id"), source.alias("source_id"), F.expr("substr(split_part(p_name, ' ', 2), 2)").alias("label"))
     names = part.select("p_partkey", "p_name")
-    # Series of one label have the same candidates: labels are looked up once each.
-    direct = G.candidates(series.withColumn("label", F.lit("")), names, "p_partkey", "p_name").select("series_id", F.col("by").alias("way"), F.lit(1).cast("long").alias("n"), F.col("p_partkey").alias("best"))
+    direct = G.by_source(series, names, "p_partkey").select("series_id", F.col("by").alias("way"), F.lit(1).cast("long").alias("n"), F.col("p_partkey").alias("best"))
     rest = series.join(direct, "series_id", "left_anti")
-    each = G.candidates(rest.select(F.col("label").alias("series_id"), F.lit(None).cast("long").alias("source_id"), "label").distinct(), names, "p_partkey", "p_name")
-    best = each.groupBy(F.col("series_id").alias("label")).agg(F.count("*").alias("n"), F.min_by("p_partkey", F.struct("extra", "p_partkey")).alias("best"))
+    # Series of one label have the same candidates, and parts of one name are alike but for the first: both are looked up once each.
+    texts = names.groupBy("p_name").agg(F.count("*").alias("n"), F.min("p_partkey").alias("p_partkey"))
+    hits = G.label_hits(rest.select("label").distinct(), texts, "p_name")
+    extra = F.char_length("p_name") - F.char_length("label")
+    best = hits.groupBy("label").agg(F.sum("n").alias("n"), F.min_by("p_partkey", F.struct(extra.alias("extra"), "p_partkey")).alias("best"))
     return direct.union(rest.join(best, "label").select("series_id", F.lit("label").alias("way"), "n", "best"))

@@ -160,6 +160,14 @@ def test_labels_are_found_within_words(spark):
     assert sorted(tuple(r) for r in G.label_hits(labels, names, "name").select("k", "label").collect()) == [(1, "ink"), (1, "nk ros"), (2, "ink"), (3, "x")]
 
 
+def test_stretches_of_names_are_not_sent_whole(spark):
+    """Equal names are looked through once, and their stretches, which no estimate of size counts, go to no broadcast."""
+    names = spark.createDataFrame([(k, "pink rose") for k in range(3000)], "id int, name string")
+    hits = G.label_hits(spark.createDataFrame([(1, "k ros")], "k int, label string"), names, "name")
+    plan = hits._jdf.queryExecution().sparkPlan().toString()
+    assert hits.count() == 3000 and "SortMergeJoin [_w" in plan and plan.index("Generate") > plan.index("SortMergeJoin [_w")
+
+
 def test_sentences(spark):
     rows = [(5.9, 5.1), (-1.0, 2.0), (1.0, -2.0), (-3.0, -4.0), (0.0, 1.0), (2.0, None), (2.0, 2.0)]
     df = spark.createDataFrame(rows, "y double, yp double")
