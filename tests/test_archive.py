@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import archive as A
 from ledgerline.operators import extract as E
+from ledgerline.plans import registry
+from ledgerline.sources.bind import Model
+from tests.conftest import SMALL
 
 FALLS = ("负增长", "下降", "下跌", "下滑", "降至", "回落", "减少", "亏损", "负", "-", "－", "−")
 
@@ -125,3 +128,11 @@ def test_city_tables(spark, least):
     html = "<table>" + "".join(f"<tr>{c}</tr>" for c in cells) + "</table><table></table>"
     got = [tuple(x) for x in E.city_tables(spark.createDataFrame([(1, html)], "page_id long, html string"), least).orderBy("nth").collect()]
     assert got == ([(1, 0, 0, "甲市", 100.1, 99.0), (1, 0, 1, "丙市", 130.0, 150.0), (1, 0, 2, "丁市", 70.0, 50.0)] if least == 3 else [])
+
+
+def test_pages_of_a_source_are_found_without_their_texts(spark, monkeypatch):
+    """Only what pages are filed as is joined, so what a task holds doesn't go with the pages."""
+    kept, held = [], Model.held
+    monkeypatch.setattr(Model, "held", lambda self, df: kept.append(df.columns) or held(self, df))
+    registry.queries()["pages_for_src"](spark, SMALL).count()
+    assert kept and not any({"html", "text"} & set(columns) for columns in kept)
