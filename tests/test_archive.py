@@ -136,3 +136,26 @@ def test_pages_of_a_source_are_found_without_their_texts(spark, monkeypatch):
     monkeypatch.setattr(Model, "held", lambda self, df: kept.append(df.columns) or held(self, df))
     registry.queries()["pages_for_src"](spark, SMALL).count()
     assert kept and not any({"html", "text"} & set(columns) for columns in kept)
+
+
+def test_grams_of_texts_are_thinned_where_they_are_made(spark):
+    """Every place of a text, of characters of any width, without a shuffle of all grams."""
+    text = "ab😀零售额" * 2
+    texts = spark.createDataFrame([(1, text), (2, "")], "page_id int, text string")
+    labels = spark.createDataFrame([("😀零售",), ("额a",)], "label string").repartition(2)
+    index = A.gram_index(texts, labels)
+    assert "SortMergeJoin" not in index._jdf.queryExecution().sparkPlan().toString()
+    want = {(g, 1, k + 1) for g in ("😀零售", "额a") for k in range(len(text)) if text.startswith(g, k)}
+    assert set(map(tuple, index.collect())) == want
+
+
+def test_lookups_are_dealt_by_their_number(spark):
+    """Pairs of facts and pages are dealt over tasks by their number, which few bytes may hold."""
+    kept = []
+    pages = spark.createDataFrame([(k, f"2001-02-15_{k}.html", f"<p>甲总额{k}</p>") for k in range(40)], "page_id int, name string, html string")
+    facts = spark.createDataFrame([("f", "a", "2001-01", 7.0, None)], "fact string, series_id string, period string, value double, src string")
+    labels = spark.createDataFrame([("a", 1, "甲总额")], "series_id string, nth int, label string")
+    out = A.look_up(facts, labels, pages, lambda df: kept.append(df) or df.checkpoint())
+    assert [(r["state"], r["page_id"]) for r in out.collect()] == [("verified", 7)]
+    close = next(df for df in kept if df.columns == ["fact", "page_id", "scale", "evidence"])
+    assert "REPARTITION_BY_NUM" in close._jdf.queryExecution().sparkPlan().toString()
