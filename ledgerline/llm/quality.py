@@ -1,9 +1,10 @@
 """Document quality: Bradley-Terry pairwise ranking.
 
 A document's strength is linear in features of its text. Preference pairs (a labelled good document over a labelled
-bad one) are drawn from a bounded sample of labelled rows, and the weights minimise the logistic loss on feature
-differences. A quantile of the sample's strengths, at the labels' share of bad rows, is the threshold; the score is
-the logistic function of the strength's distance from it, shifted so that the threshold has score `at`.
+bad one) are drawn from all labelled rows by hashes: in each of PAIRS_PER_ROW rounds a row of the larger class meets one of
+the other on average. The weights minimise the logistic loss on feature differences, by Newton steps whose sums each
+partition makes of its pairs. A quantile of the labelled rows' strengths, at the labels' share of bad rows, is the threshold; the
+score is the logistic function of the strength's distance from it, shifted so that the threshold has score `at`.
 
 Features are column expressions, so scoring is one scan of the documents without a shuffle.
 
@@ -15,17 +16,19 @@ it stands in either table; null labels and ids are left out of the fit; without
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table
+from ledgerline.llm.common import kept, table
 
-#: Most labelled ids of either class in the sample that the weights are fitted on.
-SAMPLE_PER_CLASS = 4000
 PAIRS_PER_ROW = 8
+#: Bins into which an order statistic's range is cut at once, whose counts go to the driver.
+BINS = 1000
 FEATURES = ("length", "word_length", "distinct", "repeats", "upper", "symbols", "digits", "bars", "marked", "lines", "short")
 
 
@@ -85,43 +88,90 @@ def sample_rows(labels: DataFrame, label_col: str, per_class: int, id_col: str =
     return each[0].union(each[1]), sizes
 
 
+#: Labelled ids up to which they are sent to every task, so that only their documents' features are counted.
+SENT = 200_000
+
+
+def labelled_features(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
+    """(id, label, f) of every labelled id that has documents."""
+    labels = kept(labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.max("label").alias("label")))
+    docs, f = docs.where(F.col(id_col).isNotNull()), features(text_col).alias("f")
+    if labels.count() <= SENT:
+        rows = docs.select(F.col(id_col).alias("id"), text_col).join(F.broadcast(labels), "id").select("id", "label", f)
+    else:  # features are shorter than texts
+        rows = docs.select(F.col(id_col).alias("id"), f).join(labels, "id")
+    return kept(rows.groupBy("id", "label").agg(F.min("f").alias("f")))
+
+
+def pairs(rows: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """(d): what the features of a good row are above a bad one's, for all that meet by a hash in some round."""
+    buckets = max(1, min(sizes[0], sizes[1]))
+    dealt = rows.select("label", "f", F.explode(F.transform(F.sequence(F.lit(0), F.lit(PAIRS_PER_ROW - 1)), lambda r: F.struct(r.alias("round"), F.pmod(F.xxhash64("id", r), F.lit(buckets)).alias("at")))).alias("k"))
+    side = lambda label, name: dealt.where(F.col("label") == label).select("k.round", "k.at", F.col("f").alias(name))
+    return side(1, "good").join(side(0, "bad"), ["round", "at"]).select(F.zip_with("good", "bad", lambda x, y: x - y).alias("d"))
+
+
+def _slopes(w: np.ndarray, scale: np.ndarray):
+    """Of each partition: its number of pairs, and the sums of their losses' gradient and second derivatives."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, grad, hess = 0, np.zeros(len(w)), np.zeros((len(w), len(w)))
+        for batch in batches:
+            diff = np.where(scale > 1e-8, batch.column(0).flatten().to_numpy().reshape(len(batch), len(w)) / scale, 0.0)
+            p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
+            n, grad, hess = n + len(batch), grad - p @ diff, hess + (diff * (p * (1 - p))[:, None]).T @ diff
+        yield pa.RecordBatch.from_arrays([pa.array([[float(n), *grad, *hess.ravel()]], pa.list_(pa.float64()))], ["sums"])
+
+    return run
+
+
+def _strength(weights: np.ndarray) -> Column:
+    return F.aggregate(F.zip_with("f", F.array(*map(F.lit, map(float, weights))), lambda f, w: f * w), F.lit(0.0), lambda total, term: total + term)
+
+
+def nth_smallest(values: DataFrame, k: int) -> float:
+    """The value at place k (from 0) of the column `s` in order; ranges of values are narrowed by the counts of their bins."""
+    low, high = values.agg(F.min("s"), F.max("s")).first()
+    while low < high:
+        here = values.where(F.col("s").between(low, high))
+        at = F.least(F.floor((F.col("s") - low) / ((high - low) / BINS)), F.lit(BINS - 1))
+        bins = sorted(here.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")).collect())
+        before = values.where(F.col("s") < low).count()
+        for r in bins:
+            if k < before + r["n"]:
+                break
+            before += r["n"]
+        low, high = r["low"], r["high"]
+    return low
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", at: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> Ranker:
-    """Learns from all rows of `labels` that the sample takes; leave held-out rows out before."""
-    sample, sizes = sample_rows(labels, label_col, SAMPLE_PER_CLASS, id_col)
+    """Learns from all rows of `labels`; leave held-out rows out before."""
     none = Ranker((0.0,) * len(FEATURES), math.log(at / (1 - at)), at)
-    if not sizes.get(0) or not sizes.get(1):
-        return none
-    # The sample has at most 2 * SAMPLE_PER_CLASS rows of two numbers, whatever the tables' sizes.
-    rows = docs.select(id_col, text_col).join(F.broadcast(sample), id_col).select(id_col, "label", features(text_col).alias("f"))
-    rows = rows.groupBy(id_col, "label").agg(F.min("f").alias("f")).collect()
-    rows = sorted((r[id_col], r["label"], r["f"]) for r in rows)
-    x, y = np.array([f for _, _, f in rows]).reshape(len(rows), len(FEATURES)), np.array([label for _, label, _ in rows])
-    if len(set(y)) < 2:
+    rows = labelled_features(docs, labels, label_col, id_col, text_col)
+    each = lambda f: [f(F.col("f")[k]) for k in range(len(FEATURES))]
+    told = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not told.get(0) or not told.get(1):
         return none
-    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
-    z = np.where(scale > 1e-8, (x - mean) / scale, 0.0)
-    good, bad = np.nonzero(y == 1)[0], np.nonzero(y == 0)[0]
-    rng = np.random.default_rng(7)
-    n = PAIRS_PER_ROW * max(len(good), len(bad))
-    better, worse = (np.concatenate([rng.permutation(s) for _ in range(-(-n // len(s)))])[:n] for s in (good, bad))
-    diff = z[better] - z[worse]
+    scale = np.maximum(np.array(rows.agg(*each(F.stddev_pop)).first(), float), 1e-9)
+    met = kept(pairs(rows, told))
     w = np.zeros(len(FEATURES))
     for _ in range(25):  # Newton steps on the mean logistic loss with a small ridge
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        grad = -(diff * p[:, None]).mean(axis=0) + 1e-3 * w
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff / n + 1e-3 * np.eye(len(w))
+        # One row a partition.
+        sums = np.array([r[0] for r in met.mapInArrow(_slopes(w, scale), "sums array<double>").collect()]).sum(axis=0)
+        n = max(1.0, sums[0])
+        grad = sums[1 : 1 + len(w)] / n + 1e-3 * w
+        hess = sums[1 + len(w) :].reshape(len(w), len(w)) / n + 1e-3 * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
-    strength = z @ w
-    weight = np.where(y == 1, sizes[1] / len(good), sizes[0] / len(bad))
-    order = np.argsort(strength, kind="stable")
-    below = np.cumsum(weight[order]) / weight.sum()
-    k = min(int(np.searchsorted(below, sizes[0] / (sizes[0] + sizes[1]))), len(order) - 2)
-    cut = (strength[order[k]] + strength[order[k + 1]]) / 2
     raw = np.where(scale > 1e-8, w / scale, 0.0)
-    return Ranker(tuple(map(float, raw)), float(cut + mean @ raw), at)
+    strength, total = kept(rows.select(_strength(raw).alias("s"))), told[0] + told[1]
+    k = min(told[0] - 1, total - 2)
+    below = nth_smallest(strength, k)
+    above = below if strength.where(F.col("s") <= below).count() > k + 1 else strength.where(F.col("s") > below).agg(F.min("s")).first()[0]
+    return Ranker(tuple(map(float, raw)), float((below + above) / 2), at)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

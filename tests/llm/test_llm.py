@@ -118,6 +118,19 @@ def test_quality_is_brute_force(spark):
         assert abs(got[r.doc_id].score - want) < 1e-9 and got[r.doc_id].predicted == (want >= 0.3) and got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    """Every labelled row is in some pair or counted in the threshold; the threshold is the exact order statistic."""
+    docs_, labels = common.table(spark, SMALL, "documents"), common.table(spark, SMALL, "labels")
+    rows = quality.labelled_features(docs_, labels, "quality", "doc_id", "text")
+    want = {r[0] for r in labels.where("quality IN (0, 1)").join(docs_, "doc_id").select("doc_id").collect()}
+    assert {r[0] for r in rows.select("id").collect()} == want
+    monkeypatch.setattr(quality, "SENT", 0)
+    assert quality.labelled_features(docs_, labels, "quality", "doc_id", "text").exceptAll(rows).isEmpty()
+    values = [float(v) for v in np.random.default_rng(3).normal(size=300).round(1)] + [1e9, -1e9, 1e-12]
+    s = spark.createDataFrame([(v,) for v in values], "s double")
+    assert [quality.nth_smallest(s, k) for k in (0, 1, 150, 302)] == [sorted(values)[k] for k in (0, 1, 150, 302)]
+
+
 def test_a_labelled_id_counts_once(spark):
     labels = spark.createDataFrame([(1, 1)] * 500 + [(2, 0)] * 500 + [(None, 1)], "doc_id long, quality int")
     found, sizes = quality.sample_rows(labels, "quality", 10)
