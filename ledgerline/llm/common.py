@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -44,6 +45,14 @@ def small_side(df: DataFrame, most: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def give_back() -> None:
+    """Returns what this worker has freed to the system, as other workers and later stages share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts together have about `most` bytes, or of one row."""
     for batch in batches:
@@ -54,6 +63,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 8 <<
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        give_back()
 
 
 def batch_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

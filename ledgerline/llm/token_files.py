@@ -43,6 +43,8 @@ ESCAPE = 15
 END_ID = 1
 BLOCK_IDS = 1 << 16
 OFFSET_EVERY = 4096
+#: Bytes of text encoded at once, for which a worker needs some thirty times as much.
+SLICE_BYTES = 1 << 20
 #: Bytes of text of a shard, about.
 SHARD_BYTES = 32 << 20
 #: Shards up to which their first places, two numbers each, are sent to every task.
@@ -259,7 +261,7 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, before = TaskContext.get().partitionId(), 0, 0
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches, most=SLICE_BYTES):
             ids, lengths = encode_texts(batch.column(1), tokenizer)
             ends = np.cumsum(lengths)
             part = (ends - lengths) // BLOCK_IDS

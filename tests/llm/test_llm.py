@@ -2,7 +2,10 @@
 
 import datetime
 import hashlib
+import os
 import re
+import subprocess
+import sys
 import unicodedata
 import zlib
 from collections import Counter
@@ -525,6 +528,24 @@ def test_words_are_encoded_as_the_library_does():
             assert own.tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
 
 
+def test_encoding_holds_little_at_once():
+    """What a worker needs beyond its batch is little, and goes back to the system after it."""
+    code = """
+import resource, sys, pyarrow as pa, public_tokenizers
+from ledgerline.llm import common, token_files as t
+path = public_tokenizers.path("word_bpe_49k.json")
+batch = pa.record_batch([pa.array(range(64)), pa.array([("the quick brown fox jumps over it " * 8000)[:1 << 18]] * 64)], ["id", "text"])
+t.encode_texts(batch.column(1)[:1], path)
+now = lambda: int(next(x for x in open("/proc/self/smaps_rollup") if x.startswith("Rss")).split()[1]) >> 10
+base = now()
+for b in common.slices([batch], most=getattr(t, "SLICE_BYTES", 4 << 20)):
+    t.pack(t.encode_texts(b.column(1), path)[0])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10) - base, now() - base)
+"""
+    most, left = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(common.__file__) + "/../..").stdout.split())
+    assert most < 30 and left < 10
+
+
 def test_ranges_of_ids_are_read_from_the_files(spark, tmp_path):
     rows = [(None if k % 3 else k, "some words of text " * (k % 50)) for k in range(600)] + [(9, "hot id " + str(k)) for k in range(300)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
