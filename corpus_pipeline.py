@@ -1,7 +1,8 @@
 """From raw documents to token files: five stages, each written as Parquet and read again by the next.
 
 1. quality: documents that the pairwise ranking rejects go.
-2. near-dedup: of documents that meet by MinHash over five-word shingles, and are found similar, the one with the smallest id stays.
+2. near-dedup: of documents that meet by ball hashing of their SimHash fingerprints (op4's, here over five-word shingles) or, beyond its
+   radius, by MinHash, and are found similar, the one with the smallest id stays.
 3. decontamination: documents that hold a benchmark item go.
 4. mixing: every document is repeated as often as the mix takes it, which may be never.
 5. token files: the texts as ids, packed and read back.

@@ -140,11 +140,16 @@ def linked_fingerprints(fps: DataFrame) -> DataFrame:
     )
 
 
+def linked_groups(fps: DataFrame) -> DataFrame:
+    """(fp, component): the smallest fingerprint reachable, for each of the distinct `fps` that has a link; by ball hashing."""
+    return kept(connected_components(linked_fingerprints(fps)).withColumnRenamed("node", "fp"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id_col, fp, component_id): the smallest id reachable by links of three or fewer bits, for every row."""
     prints = kept(simhash(df, id_col, text_col, words))
     nodes = kept(prints.groupBy("fp").agg(F.min(id_col).alias("least")))
-    parts = kept(connected_components(linked_fingerprints(nodes)).withColumnRenamed("node", "fp"))
+    parts = linked_groups(nodes)
     named = nodes.join(parts, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), "least")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     return prints.join(named.join(least, "component").select("fp", "component_id"), "fp", "left").select(id_col, "fp", "component_id")
@@ -187,25 +192,39 @@ def min_bands(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, same, n, bands): what texts of equal words share, the number of distinct shingles, and the bands (none without shingles)."""
+    """(id, same, fp, n, bands): what texts of equal words share, the fingerprint, the number of distinct shingles, and the bands (none without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, PAIR_BYTES):
             texts = batch.column(1).to_pylist()
-            each = [np.unique(shingle_hashes(t, words)) for t in texts]
+            each = [shingle_hashes(t, words) for t in texts]
+            fp = majority(np.concatenate([np.zeros(0, np.uint64), *each]), np.fromiter(map(len, each), np.int64, len(each)))
+            each = [np.unique(h) for h in each]
             counts = np.fromiter(map(len, each), np.int64, len(each))
             found = min_bands(np.concatenate([np.zeros(0, np.uint64), *each]), counts[counts > 0])
             same = [xxhash.xxh128_hexdigest(b" ".join((t or "").encode().lower().split())) for t in texts]
             ends = np.concatenate([[0], np.cumsum((counts > 0) * BANDS)]).astype(np.int32)
             bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array(counts), bands], out.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array(fp.view(np.int64)), pa.array(counts), bands], out.names)
 
     out = T.StructType(
-        [T.StructField("id", df.schema[id_col].dataType), T.StructField("same", T.StringType()), T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
+        [T.StructField("id", df.schema[id_col].dataType), T.StructField("same", T.StringType()), T.StructField("fp", T.LongType()), T.StructField("n", T.LongType())]
+        + [T.StructField("bands", T.ArrayType(T.LongType()))]
     )
     return df.select(id_col, text_col).mapInArrow(run, out)
 
 
+def ball_buckets(one: DataFrame) -> DataFrame:
+    """(id, n, variant) of `one` (id, fp, n): those whose fingerprints link at three or fewer bits, however many links apart, share a variant.
+
+    By op4's ball hashing. Rows without a partner are left out, and so are those without shingles.
+    """
+    some = one.where("n > 0").select("id", "fp", "n")
+    nodes = kept(some.groupBy("fp").agg(F.count("*").alias("holders")))
+    met = nodes.join(linked_groups(nodes), "fp", "left").where("component IS NOT NULL OR holders > 1")
+    return some.join(met.select("fp", F.xxhash64(F.lit("ball"), F.coalesce("component", "fp")).alias("variant")), "fp").select("id", "n", "variant")
+
+
 def _similar(least: float, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(slices(batches, 2, PAIR_BYTES), 3, PAIR_BYTES):
@@ -325,15 +344,17 @@ def _links_across(met: DataFrame, one: DataFrame, found: DataFrame, texts_of: Ca
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component_id) of every non-null id: groups linked by texts of equal words or by a Jaccard similarity of their shingles.
 
-    MinHash over BANDS bands: a pair at similarity 0.8 meets in a band with probability 0.9993, at 0.85 with 0.99999. In each
-    band's bucket every document is paired with the least and with its neighbour, so pairs grow with the rows and not with
-    their square; the numbers of shingles, then the exact similarity verify each pair. Where that leaves a bucket in
+    Documents meet by ball hashing, as in op4, of fingerprints over the same shingles: all whose fingerprints link at three or
+    fewer bits are one bucket. At similarity 0.8 fingerprints differ in 10 bits on average, beyond any ball that can be
+    listed, so MinHash over BANDS bands adds buckets: such a pair meets in a band with probability 0.9993, at 0.85 with 0.99999. In
+    each bucket of either kind every document is paired with the least and with its neighbour, so pairs grow with the rows
+    and not with their square; the numbers of shingles, then the exact similarity verify each pair. Where that leaves a bucket in
     several components, all pairs across them are verified, so that every pair that meets anywhere is linked.
     """
     id_type = df.schema[id_col].dataType
     drawn = kept(sketches(df.where(F.col(id_col).isNotNull()), id_col, text_col, words))
-    one = kept(drawn.groupBy("same").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("bands").alias("bands")))
-    met = one.select("id", "n", F.explode("bands").alias("variant"))
+    one = kept(drawn.groupBy("same").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands")))
+    met = kept(ball_buckets(one)).union(one.select("id", "n", F.explode("bands").alias("variant")))
     order = "OVER (PARTITION BY variant ORDER BY id)"
     row = "struct(id, n)"
     near = met.select("id", "n", F.expr(f"first_value({row}) {order}").alias("hub"), F.expr(f"lag({row}) {order}").alias("last")).where("last IS NOT NULL")

@@ -245,6 +245,34 @@ def test_pairs_in_a_bucket_of_unlike_documents_are_found(spark):
     assert left == set(range(families))
 
 
+def test_near_dedup_meets_by_ball_hashing(spark):
+    """Pairs at similarity 0.8 that no band of MinHash brings together, but whose fingerprints agree, as they repeat a line."""
+
+    def text(k, side):
+        loop, head = " ".join(f"loop{k}{c}" for c in "abcde"), " ".join(f"t{k}x{j}" for j in range(11))
+        return f"{' '.join([loop] * 40)} {head} end{k}p{side} end{k}q{side}"
+
+    texts = [text(k, side) for k in (1054, 3041, 3187, 3483, 6203, 6757, 10667) for side in (0, 1)]
+    for a, b in zip(texts[::2], texts[1::2], strict=True):
+        bags = [np.unique(simhash.shingle_hashes(t, 5)) for t in (a, b)]
+        bands = simhash.min_bands(np.concatenate(bags), np.array([len(x) for x in bags]))
+        assert not (bands[0] == bands[1]).any() and len(np.intersect1d(*bags)) == 0.8 * len(np.union1d(*bags))
+    left = corpus_pipeline.drop_near_duplicates(spark, docs(spark, *texts), SMALL)
+    assert sorted(r.doc_id for r in left.collect()) == list(range(0, len(texts), 2))
+
+
+def test_ball_buckets_are_the_linked_fingerprints(spark):
+    rng = np.random.default_rng(21)
+    base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    near = [int(b) ^ sum(1 << int(x) for x in rng.choice(64, rng.integers(0, 5), replace=False)) for b in base for _ in range(3)]
+    signed = [x - 2**64 if x >= 2**63 else x for x in near]
+    rows = [(k, fp, 1) for k, fp in enumerate(signed)] + [(1000, signed[0], 0)]
+    found = {r.id: r.variant for r in simhash.ball_buckets(spark.createDataFrame(rows, "id long, fp long, n long")).collect()}
+    linked = {(i, j) for i in range(len(near)) for j in range(i) if (near[i] ^ near[j]).bit_count() <= 3}
+    assert set(found) == {i for pair in linked for i in pair} and all(found[i] == found[j] for i, j in linked)
+    assert len(set(found.values())) == len({c for i, c in components(range(len(near)), near).items() if i in found})
+
+
 def test_similar_across_is_brute_force():
     rng = np.random.default_rng(10)
     bags = []
