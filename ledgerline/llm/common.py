@@ -66,20 +66,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 8 <<
         give_back()
 
 
-def batch_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of every text in one flat array, and how many each text has. A null text has none."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-    flat = lists.flatten()
-    rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    full = pc.greater(pc.binary_length(flat), 0)
-    return flat.filter(full), np.bincount(rows[full.to_numpy(zero_copy_only=False)], minlength=len(lists))
-
-
 def coded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The distinct words of a batch, the place of each word of the batch among them, and the words of each text."""
-    flat, counts = batch_words(texts)
-    coded = flat.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), counts
+    """The distinct words of a batch, the place of each word of the batch among them, and how many each text has. A null text has none."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    coded = lists.flatten().dictionary_encode()
+    words, places = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    each = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    if "" in words:  # what stands between two white spaces is no word
+        none = words.index("")
+        full = places != none
+        rows = np.repeat(np.arange(len(lists)), each)[full]
+        places = places[full]
+        places = places - (places > none)
+        return words[:none] + words[none + 1 :], places, np.bincount(rows, minlength=len(lists))
+    return words, places, each.astype(np.int64)
 
 
 def row_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -138,7 +138,8 @@ class WordEncoder:
     """
 
     LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
-    PLAIN = re.compile(rf"([{LETTERS}]+)([!-/:-@\[-^`{{-~]*)")
+    #: Letters and marks of each line, or all of a line that is not of this form.
+    PLAIN = re.compile(rf"^(?:([{LETTERS}]+)([!-/:-@\[-^`{{-~]*)|(.*))$", re.MULTILINE)
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -171,48 +172,89 @@ class WordEncoder:
         at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
         return np.where(self.keys[at] == hashes, at, -1)
 
-    def _keep(self, hashes: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> None:
-        starts = len(self.flat) + np.cumsum(counts) - counts
-        self.flat = np.concatenate([self.flat, flat.astype("<u4")])
+    def _keep(self, hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
+        """Remembers new words; of equal ones the first."""
         hashes, first = np.unique(hashes, return_index=True)
-        first = first[self._places(hashes) < 0]
-        hashes = hashes[self._places(hashes) < 0]
         at = np.searchsorted(self.keys, hashes)
         self.keys, self.starts, self.counts = np.insert(self.keys, at, hashes), np.insert(self.starts, at, starts[first]), np.insert(self.counts, at, counts[first])
 
-    def _singly(self, words: list[str]) -> None:
+    def _singly(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [self._one(w) for w in words]
-        self._keep(self._hashes(words), np.array([x for own in ids for x in own], "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)))
+        return np.array([x for own in ids for x in own], "<u4"), np.fromiter(map(len, ids), np.int64, len(ids))
 
-    def _learn(self, words: list[str]) -> None:
-        parts = [(w, m[1].lower() if self.folds else m[1], m[2]) for w in words if (m := self.PLAIN.fullmatch(w))] if self.splits else []
-        letters = list(dict.fromkeys(p[1] for p in parts))
-        letters = [letters[k] for k in np.nonzero(self._places(self._hashes(letters)) < 0)[0]]
+    def _in_runs(self, letters: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """All ids of runs of letters one after the other, and how many each has; None if the tokenizer cuts letters after all."""
+        found, counts = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
         for k in range(0, len(letters), 5000):
             some = letters[k : k + 5000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.nonzero(self.ends[ids])[0] + 1
-            if len(stops) != len(some):  # the tokenizer cuts letters after all
-                parts = []
-                break
-            self._keep(self._hashes(some), ids, np.diff(stops, prepend=0))
-        if parts:
-            self._singly(list(dict.fromkeys(p[2] for p in parts)))
-            at = np.stack([self._places(self._hashes([p[side] for p in parts])) for side in (1, 2)], axis=1)
-            counts = self.counts[at].astype(np.int64)
-            self._keep(self._hashes([p[0] for p in parts]), ranges(self.flat, self.starts[at].ravel(), counts.ravel()), counts.sum(axis=1))
-        self._singly([words[k] for k in np.nonzero(self._places(self._hashes(words)) < 0)[0]])
+            found.append(np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4"))
+            stops = np.nonzero(self.ends[found[-1]])[0] + 1
+            if len(stops) != len(some):
+                return None
+            counts.append(np.diff(stops, prepend=0))
+        return np.concatenate(found), np.concatenate(counts)
+
+    def _learn(self, words: list[str], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each of these words begin among `flat`, and how many it has. All are remembered at once."""
+        parts = self.PLAIN.findall("\n".join(words)) if self.splits else []
+        plain = [k for k, p in enumerate(parts) if p[0]]
+        heads, marks = [parts[k][0] for k in plain], [parts[k][1] for k in plain]
+        if self.folds and heads:
+            heads = "\n".join(heads).lower().split("\n")  # these letters are as many in lower case
+        letters = {w: k for k, w in enumerate(dict.fromkeys(heads))}
+        names, known = list(letters), self._hashes(list(letters))
+        at = self._places(known)
+        fresh = np.nonzero(at < 0)[0]
+        found = self._in_runs([names[k] for k in fresh])
+        if found is None:
+            plain, heads, marks, fresh, letters, found = [], [], [], fresh[:0], {}, (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        # One behind the other: what is remembered, new letters, marks, and all other words.
+        tails = {w: k for k, w in enumerate(dict.fromkeys(marks))}
+        taken = np.zeros(len(words), bool)
+        taken[plain] = True
+        rest = np.nonzero(~taken)[0]
+        tail_ids, tail_counts = self._singly(list(tails))
+        rest_ids, rest_counts = self._singly([words[k] for k in rest])
+        pool = np.concatenate([self.flat, found[0], tail_ids])
+        begin = lambda counts, start: start + np.cumsum(counts) - counts
+        starts, counts = np.zeros(len(letters), np.int64), np.zeros(len(letters), np.int64)
+        if letters:
+            old = np.nonzero(at >= 0)[0]
+            starts[old], counts[old] = self.starts[at[old]], self.counts[at[old]]
+            starts[fresh], counts[fresh] = begin(found[1], len(self.flat)), found[1]
+        head = np.fromiter(map(letters.__getitem__, heads), np.int64, len(heads))
+        tail = np.fromiter(map(tails.__getitem__, marks), np.int64, len(marks))
+        pair_starts = np.stack([starts[head], begin(tail_counts, len(self.flat) + len(found[0]))[tail]], axis=1)
+        pair_counts = np.stack([counts[head], tail_counts[tail]], axis=1)
+        # A word that is its own letters has its ids among theirs already.
+        whole = np.fromiter((not m for m in marks), bool, len(marks))
+        joined = np.nonzero(~whole)[0]
+        base = len(self.flat) + len(found[0])
+        composed = ranges(pool, pair_starts[joined].ravel(), pair_counts[joined].ravel())
+        sums = pair_counts.sum(axis=1)
+        out_starts, out_counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        plain = np.array(plain, np.int64)
+        out_counts[plain], out_counts[rest] = sums, rest_counts
+        out_starts[plain[whole]] = pair_starts[whole, 0]
+        out_starts[plain[joined]] = begin(sums[joined], base)
+        out_starts[rest] = begin(rest_counts, base + len(composed))
+        self.flat = np.concatenate([self.flat, found[0], composed, rest_ids])
+        self._keep(np.concatenate([known[fresh], hashes]), np.concatenate([starts[fresh], out_starts]), np.concatenate([counts[fresh], out_counts]))
+        return out_starts, out_counts
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words one after the other, and how many each has."""
         if 20 * len(self.keys) + 4 * len(self.flat) > REMEMBERED:
             self._forget()
         hashes = self._hashes(words)
-        missing = np.nonzero(self._places(hashes) < 0)[0]
-        if len(missing):
-            self._learn([words[k] for k in missing])
         at = self._places(hashes)
-        return ranges(self.flat, self.starts[at], self.counts[at].astype(np.int64)), self.counts[at].astype(np.int64)
+        missing = np.nonzero(at < 0)[0]
+        starts, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        held = np.nonzero(at >= 0)[0]
+        starts[held], counts[held] = self.starts[at[held]], self.counts[at[held]]
+        if len(missing):
+            starts[missing], counts[missing] = self._learn([words[k] for k in missing], hashes[missing])
+        return ranges(self.flat, starts, counts), counts
 
 
 def ranges(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

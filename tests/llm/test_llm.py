@@ -286,6 +286,21 @@ def test_similar_across_is_brute_force():
     assert simhash.similar_across(bags, part, chunk, 0.8) == [p for p in want if chunk[p[0]] != chunk[p[1]]]
 
 
+def test_word_encoder_remembers_ids_once():
+    """Words are learnt in one go, their ids held once, and equal to the tokenizer's own, whatever was learnt before."""
+    encoder = token_files.WordEncoder(files())
+    own = lambda words: [encoder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    encoder.ids(["qzxvkw"])
+    assert len(encoder.flat) == len(own(["qzxvkw"])[0]) and len(encoder.keys) == 1
+    times, keep = [], encoder._keep
+    encoder._keep = lambda *a: (times.append(1), keep(*a))
+    words = ["qzxvkw", "Qzxvkw", "qzxvkw,", "qzxvkw...", "plain", "plain)*", "a1", "---", "Größe...", "ÀÞ", "àþ", "İİ", "Σας,", "中文", "ß!", "\x1cx", "x'"]
+    for some in (words[:8], words, words[::-1]):
+        ids, counts = encoder.ids(some)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == own(some)
+    assert len(times) == 2 and (np.diff(encoder.keys.astype(object)) > 0).all()
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(20, 16))
