@@ -92,27 +92,26 @@ def row_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): for every node of `edges` (a, b) the smallest node that it reaches.
 
-    Alternating large-star and small-star steps (Kiveris et al., 2014): each step is a minimum by node and a
-    join back. Minima are taken before the shuffle, a hub's edges stay rows that adaptive execution may split over tasks,
-    and every round is held in the shared folder.
+    Alternating large-star and small-star steps (Kiveris et al., 2014) on edges from the greater end to the lesser: the first
+    leads each edge on to the least node that its lesser end points to, by a minimum by node and a join back; the second
+    leads all that a node points to, and itself, to the least of them. Minima are taken before the shuffle, a hub's edges stay rows that
+    adaptive execution may split over tasks, and every round is held in the shared folder. It ends when each node points to one that
+    points nowhere.
     """
+    pairs = lambda *ends: F.inline(F.array(*(F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in ends)))
     e = kept(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    seen = None
-    while True:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = kept(small.union(low.select("u", F.col("m").alias("v"))).distinct())
-        state = e.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if state == seen:
-            break
-        seen = state
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+    while not _are_stars(e):
+        low = e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+        large = e.join(low, "v", "left").select("u", F.coalesce("m", "v").alias("v")).repartition("u")
+        e = kept(large.withColumn("m", F.expr("min(v) OVER (PARTITION BY u)")).select(pairs(("v", "m"), ("u", "m"))).where("u <> v").distinct())
+    return e.select(pairs(("u", "v"), ("v", "v"))).distinct().toDF("node", "component")
+
+
+def _are_stars(e: DataFrame) -> bool:
+    """Whether in `e` (u, v) each u has one v, which is no u itself."""
+    ends = e.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out")), F.struct(F.col("v").alias("node"), F.lit(0).alias("out")))))
+    return ends.groupBy("node").agg(F.sum("out").alias("n"), F.min("out").alias("least")).where("n > 1 OR n = 1 AND least = 0").isEmpty()

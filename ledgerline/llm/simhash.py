@@ -18,7 +18,7 @@ equal rows; a null id keeps its row and takes the component of its fingerprint;
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import connected_components, kept, slices, table
+from ledgerline.llm.common import connected_components, kept, slices, small_side, table
 
 SEED = 42
 _LANES = np.uint64(0x0101010101010101)
@@ -319,8 +319,8 @@ def _across(least: float):
     return run
 
 
-def _links_across(met: DataFrame, one: DataFrame, found: DataFrame, texts_of: Callable[[DataFrame], DataFrame], words: int, similarity: float) -> DataFrame:
-    """(a, b): of all that meet in `met` (variant, id), the similar pairs that the components `found` do not link yet.
+def _links_across(met: DataFrame, one: DataFrame, found: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b): of all that meet in `met` (variant, id), which is held, the similar pairs that the components `found` do not link yet.
 
     Buckets whose documents are in one component need nothing more. In all others every pair across components is held
     against the similarity, in blocks of two chunks of a bucket, which bound what a task holds.
@@ -333,7 +333,7 @@ def _links_across(met: DataFrame, one: DataFrame, found: DataFrame, texts_of: Ca
     )
     dealt = kept(placed.join(open_, "variant").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")))
     id_type = dealt.schema["id"].dataType
-    bags = texts_of(dealt.select("id").distinct()).mapInArrow(_bags(words), T.StructType([T.StructField("id", id_type), T.StructField("bag", T.BinaryType())]))
+    bags = texts.join(small_side(dealt.select("id").distinct()), "id", "left_semi").mapInArrow(_bags(words), T.StructType([T.StructField("id", id_type), T.StructField("bag", T.BinaryType())]))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     block = ["variant", "i", "j"]
     blocks = dealt.withColumn("other", other).select("variant", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "part", "id")
@@ -357,19 +357,21 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = kept(ball_buckets(one)).union(one.select("id", "n", F.explode("bands").alias("variant")))
     order = "OVER (PARTITION BY variant ORDER BY id)"
     row = "struct(id, n)"
-    near = met.select("id", "n", F.expr(f"first_value({row}) {order}").alias("hub"), F.expr(f"lag({row}) {order}").alias("last")).where("last IS NOT NULL")
-    near = near.select(F.col("id").alias("b"), "n", F.explode(F.array_distinct(F.array("hub", "last"))).alias("a"))
+    # Most buckets hold one document: only those that meet another go further.
+    met = met.select("variant", "id", "n", F.expr(f"first_value({row}) {order}").alias("hub"), F.expr(f"lag({row}) {order}").alias("last"), F.expr(f"lead(true) {order}").alias("more"))
+    met = kept(met.where("last IS NOT NULL OR more").drop("more"))
+    near = met.where("last IS NOT NULL").select(F.col("id").alias("b"), "n", F.explode(F.array_distinct(F.array("hub", "last"))).alias("a"))
     # Of texts at the similarity, the lesser set has at least that share of the greater one.
-    near = kept(near.where(f"a.id <> b AND least(n, a.n) >= {similarity}D * greatest(n, a.n)").select("a.id", "b").toDF("a", "b").distinct())
-    named = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts_of = lambda ids: df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    texts = kept(texts_of(named))
+    near = near.where(f"a.id <> b AND least(n, a.n) >= {similarity}D * greatest(n, a.n)").select("a.id", "b").toDF("a", "b").distinct()
+    named = small_side(met.select("id").distinct())
+    texts = kept(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(named, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
     text = lambda name: texts.select(F.col("id").alias(name), F.col("text").alias(f"{name}_text"))
     both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text")
     links = both.mapInArrow(_similar(similarity, words), T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)]))
-    links = kept(links)
-    more = _links_across(met, one, connected_components(links), texts_of, words, similarity)
-    found = kept(connected_components(links.union(more)))
+    found = kept(connected_components(links))
+    more = kept(_links_across(met, one, found, texts, words, similarity))
+    if not more.isEmpty():  # the components stand for the links that made them
+        found = kept(connected_components(found.toDF("a", "b").union(more)))
     reps = one.select("same", F.col("id").alias("node")).join(found, "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
     return drawn.select("id", "same").join(reps, "same").select("id", "component_id")
 
@@ -390,5 +392,5 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
 def _without_lost(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> DataFrame:
     groups = similar_groups(df, id_col, text_col, words, similarity)
-    lost = groups.where("id <> component_id").select(F.col("id").alias("_lost")).distinct()
+    lost = small_side(groups.where("id <> component_id").select(F.col("id").alias("_lost")).distinct())
     return df.join(lost, df[id_col] == F.col("_lost"), "left_anti")

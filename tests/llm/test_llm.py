@@ -261,6 +261,28 @@ def test_near_dedup_meets_by_ball_hashing(spark):
     assert sorted(r.doc_id for r in left.collect()) == list(range(0, len(texts), 2))
 
 
+def test_near_dedup_takes_few_tasks(spark):
+    """Every task of a shuffle leaves files, however few rows it has: with many partitions these outgrow the data."""
+    rng, sc, texts = np.random.default_rng(10), spark.sparkContext, []
+    for _ in range(6):
+        w = stretch(rng, 104)
+        texts += [" ".join(w[:k] + ["x"] + w[k + 1 :]) for k in range(5, 100, 12)]
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("20", "false"), strict=True):
+            spark.conf.set(k, v)
+        sc.setJobGroup("near_dedup", "")
+        left = simhash.one_of_each(docs(spark, *texts)).select("doc_id").collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    told = sc.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup("near_dedup") for s in told.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for i in map(told.getStageInfo, stages) if i)
+    assert len(left) == 6 and tasks < 2000, tasks
+
+
 def test_ball_buckets_are_the_linked_fingerprints(spark):
     rng = np.random.default_rng(21)
     base = rng.integers(0, 2**63, 60, dtype=np.uint64)
