@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import decontaminate, mixing, quality, simhash, token_files
-from ledgerline.llm.common import shared_dir, table
+from ledgerline.llm.common import shared_dir, small_side, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     key = F.concat_ws(":", F.col("doc_id"), F.xxhash64("text"), F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)))
     keyed = docs.withColumn("_key", key)
     found = decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col="_key").select("_key").distinct()
-    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
+    # The keys are few, so that the texts needn't be shuffled; found first, so that the Python workers have the memory for themselves.
+    return keyed.join(small_side(found), "_key", "left_anti").select(*docs.columns)
 
 
 #: Shares into which rows equal in id, source and size are cut by their texts.

@@ -12,7 +12,7 @@ shingles, so of any fifth of them, and one more, it holds one; the rarest in the
 a document opens the windows around it for its own items only, so that a passage that many items share opens none.
 
 Benchmarks of any size are worked off in parts of at most ITEMS_AT_ONCE items and BYTES_AT_ONCE bytes (or one item) against all documents;
-one part's index is what a task holds in memory. Windows are worked off by WINDOWS_AT_ONCE.
+one part's index is what a task holds in memory, with the words of SLICE_BYTES of text. Windows are worked off by WINDOWS_AT_ONCE.
 
 Rows: null or empty texts hold nothing, and items without words are in no document; items of fewer than
 five words match as a whole; null ids keep their rows; repeated rows give repeated results; of windows of equal similarity
@@ -25,6 +25,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,11 @@ LANES = 4
 RADIUS = 67
 ITEMS_AT_ONCE, BYTES_AT_ONCE = 20_000, 16 << 20
 WINDOWS_AT_ONCE = 8192
+#: Bytes of text whose words are held at once, for which a worker needs some twenty times as much.
+SLICE_BYTES = 1 << 20
 
 _MARKS = re.compile(r"[\W_]+")
+_LINE_MARKS = re.compile(r"(?:[^\w\n]|_)+")
 _WORDS = re.compile(WORD)
 
 
@@ -52,6 +56,11 @@ def plain(word: str) -> str:
     return _MARKS.sub("", word.lower())
 
 
+def all_plain(words: list[str]) -> list[str]:
+    """`plain` of each of these words, none of which holds a line feed, in one go."""
+    return _LINE_MARKS.sub("", "\n".join(words).lower()).split("\n") if words else []
+
+
 def shingles(words: list[str], size: int = SHINGLE) -> list[str]:
     """Runs of `size` words; of all words if there are fewer; none of no words."""
     return [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
@@ -171,6 +180,24 @@ class Index:
             yield self.items[k][0], s, -d, -w
 
 
+def passages(batches: Iterator[pa.RecordBatch], index: Index, out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """What the texts of the batches (id, text) hold of the items, as `out`: a row for every text and item."""
+    for batch in slices(batches, most=SLICE_BYTES):
+        distinct, codes, counts = coded_words(batch.column(1))
+        bare = all_plain(distinct)
+        ids = np.fromiter((index.vocabulary.get(w, -1) if w else -2 for w in bare), np.int64, len(bare))[codes]
+        rows, stops = [], np.cumsum(counts)
+        for k, (stop, n) in enumerate(zip(stops.tolist(), counts.tolist(), strict=True)):
+            own = ids[stop - n : stop]
+            full = own > -2
+            hits = index.hits(own[full]) if n else {}
+            if hits:
+                words = [bare[c] for c in codes[stop - n : stop][full]]
+                rows += [(batch.column(0)[k].as_py(), *m) for m in index.matches(words, hits)]
+        columns = zip(*rows, strict=True) if rows else [[] for _ in out]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out.types, strict=True)], out.names)
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id_col, item_col, similarity, differing_bits, first_word): a row for every document and item that it holds."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
@@ -181,33 +208,18 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         [T.StructField(id_col, id_type), T.StructField(item_col, item_type), T.StructField("similarity", T.DoubleType())]
         + [T.StructField("differing_bits", T.IntegerType()), T.StructField("first_word", T.LongType())]
     )
-    found = df.sparkSession.createDataFrame([], out)
+    found = []
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
         index = df.sparkSession.sparkContext.broadcast(Index(sorted(((r["item"], r["text"]) for r in rows), key=repr)))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            at = index.value
-            for batch in slices(batches):
-                distinct, codes, counts = coded_words(batch.column(1))
-                bare = [plain(w) for w in distinct]
-                ids = np.fromiter((at.vocabulary.get(w, -1) if w else -2 for w in bare), np.int64, len(bare))[codes]
-                rows, stops = [], np.cumsum(counts)
-                names = batch.column(0).to_pylist()
-                for k, (stop, n) in enumerate(zip(stops.tolist(), counts.tolist(), strict=True)):
-                    own = ids[stop - n : stop]
-                    full = own > -2
-                    hits = at.hits(own[full]) if n else {}
-                    if hits:
-                        words = [bare[c] for c in codes[stop - n : stop][full]]
-                        rows += [(names[k], *m) for m in at.matches(words, hits)]
-                columns = zip(*rows, strict=True) if rows else [[] for _ in out]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (batch.column(0).type, _arrow(item_type), pa.float64(), pa.int32(), pa.int64()), strict=True)], out.names
-                )
-
-        found = found.union(df.select(id_col, text_col).mapInArrow(run, out))
-    return found
+            for batch in batches:
+                kinds = (batch.column(0).type, _arrow(item_type), pa.float64(), pa.int32(), pa.int64())
+                yield from passages(iter([batch]), index.value, pa.schema(zip(out.names, kinds, strict=True)))
+
+        found.append(df.select(id_col, text_col).mapInArrow(run, out))
+    return reduce(DataFrame.union, found) if found else df.sparkSession.createDataFrame([], out)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

@@ -611,6 +611,35 @@ print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10) - base, now() -
     assert most < 30 and left < 10
 
 
+def test_decontamination_holds_little_at_once():
+    """What a worker needs for a batch of many different words beyond the batch, whose texts are long or short."""
+    code = """
+import resource, numpy as np, pyarrow as pa
+from ledgerline.llm import decontaminate as d
+letters = np.random.default_rng(15).integers(97, 123, (64, 1 << 18)).astype(np.uint8)
+letters[:, ::7] = 32
+batch = pa.record_batch([pa.array(range(64)), pa.array([x.tobytes().decode() for x in letters])], ["id", "text"])
+index = d.Index([(1, batch.column(1)[63].as_py()[:400])])
+out = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("differing_bits", pa.int32()), ("first_word", pa.int64())])
+base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10
+found = pa.Table.from_batches(d.passages(iter([batch]), index, out)).to_pylist()
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10) - base, *(r["doc_id"] for r in found))
+"""
+    most, *found = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(common.__file__) + "/../..").stdout.split())
+    assert found == [63] and most < 80
+
+
+def test_plain_words_at_once():
+    words = ["Ab_c.", "ΟΔΟΣ", "ΣΑ", "İ", "ſ\x85x", "a\u2028b", "_", "...", "e\u0301", "日本。", "ẞ\x1cK"]
+    assert decontaminate.all_plain(words) == [decontaminate.plain(w) for w in words] and decontaminate.all_plain([]) == []
+
+
+def test_decontamination_stage_shuffles_no_texts(spark):
+    docs_ = common.table(spark, SMALL, "documents")
+    plan = corpus_pipeline.drop_contaminated(spark, docs_, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and not re.search("SortMergeJoin|Exchange hashpartitioning", plan)
+
+
 def test_ranges_of_ids_are_read_from_the_files(spark, tmp_path):
     rows = [(None if k % 3 else k, "some words of text " * (k % 50)) for k in range(600)] + [(9, "hot id " + str(k)) for k in range(300)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
